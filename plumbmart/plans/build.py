@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -19,15 +19,19 @@ class Model(NamedTuple):
     inputs: tuple[str, ...]
     build: Callable[..., DataFrame]
     stored: bool
+    partition_by: tuple[str, ...] = ()
 
 
 _MEDICARE, _SVI, _FACILITY = (f"raw.{s}" for s in (C.MEDICARE, C.VULNERABILITY, C.FACILITY))
 
-# In dependency order. Stored models are written once; the others are plain plans.
+# In dependency order. Stored models are written once, by year where later models
+# read one year; the others are plain plans over the stored ones.
 MODELS: dict[str, Model] = {
-    "stg_cms_om_gv_county_year": Model((_MEDICARE,), staging.stg_cms_om_gv_county_year, True),
+    "stg_cms_om_gv_county_year": Model(
+        (_MEDICARE,), staging.stg_cms_om_gv_county_year, True, ("year",)
+    ),
     "stg_cms_om_gv_benchmark_year": Model(
-        (_MEDICARE,), staging.stg_cms_om_gv_benchmark_year, True
+        (_MEDICARE,), staging.stg_cms_om_gv_benchmark_year, True, ("year",)
     ),
     "stg_cdc_svi_county_2022": Model((_SVI,), staging.stg_cdc_svi_county_2022, True),
     "stg_cms_dialysis_facility": Model((_FACILITY,), staging.stg_cms_dialysis_facility, True),
@@ -109,7 +113,7 @@ def build(
     select: Iterable[str] | None = None,
     exclude: Iterable[str] = (),
     check: bool = True,
-    store: Callable[[DataFrame, str], DataFrame] = materialise,
+    store: Callable[[DataFrame, str, Sequence[str]], DataFrame] = materialise,
 ) -> dict[str, DataFrame]:
     """Build the selected models, checking each as soon as it can be checked.
 
@@ -134,7 +138,7 @@ def build(
         relation = enforce_contract(
             model.build(*(tables[i] for i in model.inputs)), schema(name), name
         )
-        tables[name] = store(relation, name) if model.stored else relation
+        tables[name] = store(relation, name, model.partition_by) if model.stored else relation
         verify()
     if check:
         declared = {n: t for n, t in tables.items() if n in RELATIONS}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,13 +38,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and read it back.
 
     Used where several consumers read one relation: it cuts the lineage, keeps
-    column pruning for the readers and survives lost executors.
+    column and partition pruning for the readers and survives lost executors.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/plumbmart/{label}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*(f"`{c}`" for c in df.columns))
