@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -87,7 +87,7 @@ def page_evidence(rows: DataFrame, page: Sequence[str], key: str, position: str)
 
 
 def page_order_violations(
-    rows: DataFrame, page: str, offset: str, page_size: int, key: str, position: str
+    rows: DataFrame, page: str, offset: str, key: str, position: str
 ) -> DataFrame:
     """Neighbouring records of an ordered page set whose keys do not increase.
 
