@@ -38,7 +38,7 @@ def _share(part: str, whole: str, digits: int = 4) -> str:
 
 def _noisy(text: str, key: str, place: int) -> str:
     """Publication gaps and damage, spread over keys, years and metrics."""
-    slot = f"({key} * 7 + yr + {3 * place}) % 29"
+    slot = f"(slot + {3 * place}) % 29"
     return (
         f"case {slot} when 0 then '*' when 1 then '' when 2 then 'NA' when 3 then ' na '"
         f" when 4 then ' ' || ({text}) || ' '"
@@ -81,24 +81,27 @@ _STATE_CODE = "case n_nationkey when 4 then '11' else lpad(cast(n_nationkey * 3
 _STATE_LABEL = "case n_nationkey when 4 then 'DC' else chr(65 + n_nationkey) || chr(65 + n_nationkey) end"
 
 
+def _score_numbers() -> str:
+    """A number per rank (of 10,000) and percentage (of 1,000) from the balance."""
+    return ", ".join(
+        f"(cents + 99999) * {i + 1} % {10001 if name in C.RANKS else 1001} as number_{name}"
+        for i, name in enumerate(C.VULNERABILITY_METRICS)
+    )
+
+
 def _scores() -> str:
-    """Ranks and percentages of a customer from its balance, as text tokens."""
+    """Ranks and percentages as text tokens, with gaps and damage by key."""
     out = []
     for i, name in enumerate(C.VULNERABILITY_METRICS):
-        if name in C.RANKS:
-            v = f"((cents + 99999) * {i + 1} % 10001)"
-            text = f"printf('%d.%04d', {v} $div 10000, {v} % 10000)"
-            outside = "'1.25'"
-        else:
-            v = f"((cents + 99999) * {i + 2} % 1001)"
-            text = f"printf('%d.%d', {v} $div 10, {v} % 10)"
-            outside = "'101'"
-        slot = f"(k * 5 + {i}) % 37"
+        unit, digits, outside = (10000, 4, "'1.25'") if name in C.RANKS else (10, 1, "'101'")
+        v = f"number_{name}"
+        text = f"printf('%d.%0{digits}d', {v} $div {unit}, {v} % {unit})"
         out.append(
-            f"case {slot} when 0 then '-999' when 1 then ' -999 ' when 2 then null"
+            f"case (slot + {i}) % 37 when 0 then '-999' when 1 then ' -999 ' when 2 then null"
             f" when 5 then ' ' || {text} || ' ' else case"
-            f" when {slot} = 3 and k % 20 = 0 then 'BROKEN'"
-            f" when {slot} = 4 and k % 20 = 0 then {outside} else {text} end end as {name.upper()}"
+            f" when (slot + {i}) % 37 = 3 and k % 20 = 0 then 'BROKEN'"
+            f" when (slot + {i}) % 37 = 4 and k % 20 = 0 then {outside} else {text} end end"
+            f" as {name.upper()}"
         )
     return ", ".join(out)
 
@@ -230,8 +233,14 @@ INPUTS: dict[str, tuple[tuple[str, ...], str]] = {
         " when k % 5 = 0 then $list('All', '<65') else $list('All') end) as part"
         " from activity_levels",
     ),
-    "raw_medicare": (
+    "medicare_texts": (
         ("medicare_rows",),
+        "select k, c_name, state, label, code, yr, level, part, noise, noise * 7 + yr as slot, "
+        + ", ".join(f"{text} as text_{name}" for name, text in _METRIC_TEXT.items())
+        + " from medicare_rows",
+    ),
+    "raw_medicare": (
+        ("medicare_texts",),
         "select cast(yr as string) as YEAR,"
         " case when level = 0 then 'County' when part = 'National' then 'National'"
         " else 'State' end as BENE_GEO_LVL,"
@@ -241,15 +250,16 @@ INPUTS: dict[str, tuple[tuple[str, ...], str]] = {
         " when k % 331 = 0 then '' else code end when 1 then state else '' end as BENE_GEO_CD,"
         " case when part = '<65' then part else 'All' end as BENE_AGE_LVL, "
         + ", ".join(
-            f"{_noisy(text, 'noise', i)} as {name.upper()}"
-            for i, (name, text) in enumerate(_METRIC_TEXT.items())
+            f"{_noisy(f'text_{name}', 'noise', i)} as {name.upper()}"
+            for i, name in enumerate(_METRIC_TEXT)
         )
-        + f", {_lineage(C.MEDICARE, 'medicare', 'source_content_sha256')} from medicare_rows",
+        + f", {_lineage(C.MEDICARE, 'medicare', 'source_content_sha256')} from medicare_texts",
     ),
     "svi_rows": (
         ("county",),
-        "select * from county where k % 97 <> 0 and k % 13 <> 0"
-        " union all select * from county where k % 151 = 0 and k % 97 <> 0 and k % 13 <> 0",
+        "select k, c_name, n_name, state, label, code, k * 5 as slot, $each(case when k % 151 = 0"
+        f" then $list(1, 2) else $list(1) end) as copy, {_score_numbers()}"
+        " from county where k % 97 <> 0 and k % 13 <> 0",
     ),
     "raw_vulnerability": (
         ("svi_rows",),
