@@ -12,6 +12,8 @@ from plumbmart.operators.relational import one_row
 # A canonical hash is defined over one ordered list (columns, pages, sources), so
 # the list has to fit one value. Relations of any size use ``table_checksum``.
 LIST_LIMIT = 1_000_000
+# Pages planned per generated block.
+PLAN_BLOCK = 4096
 
 
 def canonical_json(value: Column) -> Column:
@@ -115,13 +117,19 @@ def page_plan_issues(pages: DataFrame, record_count: Column, page_size: int) ->
     plan is every multiple of ``page_size`` below ``record_count``.
     """
     total = pages.sparkSession.range(1).select(record_count.cast("bigint").alias("total"))
-    planned = total.where(F.col("total") > 0).select(
-        "total",
-        F.explode(F.sequence(F.lit(0), F.col("total") - 1, F.lit(page_size))).alias("planned_offset"),
-    ).select(
-        F.col("planned_offset").alias("result_offset"),
-        (F.col("planned_offset") / page_size).cast("bigint").alias("planned_index"),
-        F.least(F.lit(page_size), F.col("total") - F.col("planned_offset")).alias("planned_count"),
+    # two short sequences instead of one array as long as the page set
+    last_block = F.floor(F.greatest(F.col("total") - 1, F.lit(0)) / (page_size * PLAN_BLOCK))
+    blocks = total.select("total", F.explode(F.sequence(F.lit(0), last_block)).alias("block"))
+    planned = (
+        blocks.repartition("block")
+        .select("total", "block", F.explode(F.sequence(F.lit(0), F.lit(PLAN_BLOCK - 1))).alias("i"))
+        .select("total", (F.col("block") * PLAN_BLOCK + F.col("i")).alias("planned_index"))
+        .withColumn("result_offset", F.col("planned_index") * page_size)
+        .where(F.col("result_offset") < F.col("total"))
+        .select(
+            "result_offset", "planned_index",
+            F.least(F.lit(page_size), F.col("total") - F.col("result_offset")).alias("planned_count"),
+        )
     )
     both = planned.join(pages.select("page_index", "result_offset", "record_count"),
                         "result_offset", "full")
