@@ -1,25 +1,35 @@
 """Exact continuous quantile (type 7) on decimals, global or per group.
 
 No task ever sorts a whole group. Values are first counted per distinct value
-with a map-side combine; then each pass counts value ranges of one width, keeps
-only the one or two ranges that hold the wanted order statistics, and hands
-those to the next, narrower width. A pass sees at most (wide step / narrow step)
-ranges per group, so the running count over them is small whatever the data.
+with a map-side combine. Each pass then splits the current range of values into
+at most ``SPLITS`` ordered parts, counts them, keeps the one or two parts that
+hold the wanted order statistics, and hands only those to the next pass. What a
+running count sees is bounded by ``SPLITS`` per group, whatever the data.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 WORKING = "decimal(30,10)"
+SPLITS = 65_536
+# The first split is by magnitude: 256 parts per power of two. A decimal(30,10)
+# spans about 100 powers of two on each side of zero, so 51,200 parts at most.
+_PER_OCTAVE, _SHIFT = 256, 10_000
 
 
-def _range_start(value: str, step: str):
-    width = F.lit(step).cast(WORKING)
-    return (F.col(value) - F.pmod(F.col(value), width)).cast(WORKING)
+def _by_magnitude() -> Column:
+    size = F.floor(F.log2(F.abs(F.col("_x"))) * _PER_OCTAVE) + _SHIFT
+    return F.when(F.col("_x") == 0, F.lit(0)).otherwise(size * F.signum("_x").cast("bigint"))
+
+
+def _evenly() -> Column:
+    width = F.col("_max") - F.col("_min")
+    part = F.floor((F.col("_x") - F.col("_min")) / width * SPLITS)
+    return F.when(width > 0, part).otherwise(F.lit(0))
 
 
 def exact_quantile(
@@ -29,71 +39,79 @@ def exact_quantile(
     by: Sequence[str] = (),
     numerator: int = 3,
     denominator: int = 4,
-    steps: Sequence[str] = ("100000", "1", "0.00001"),
+    passes: int = 3,
     alias: str = "quantile",
 ) -> DataFrame:
     """``by`` columns, ``alias`` (decimal(38,10)) and ``value_count``.
 
-    ``steps`` are the range widths, widest first, each a multiple of the next.
-    The defaults suit magnitudes up to 10^10; ``("0.00001",)`` is enough for
-    shares between 0 and 1. Interpolation is exact and truncates at the tenth
-    decimal place.
+    Splits are computed on doubles, which is safe because only order matters: the
+    conversion never reverses two values and never parts equal ones. The values
+    kept and the interpolation are exact decimals, truncated at the tenth place.
+    Two passes suffice for shares between 0 and 1, three up to about 10^10.
     """
     by = list(by)
-    counted = (
+    scope = (
         df.where(F.col(value).isNotNull())
-        .groupBy(*by, F.col(value).cast(WORKING).alias("_v"))
+        .groupBy(*by, value)
         .agg(F.count(F.lit(1)).alias("_n"))
+        .select(*by, F.col(value).cast(WORKING).alias("_v"), "_n")
+        .withColumn("_x", F.col("_v").cast("double"))
     )
-    for i, step in enumerate(steps):
-        counted = counted.withColumn(f"_r{i}", _range_start("_v", step))
-
-    # kept: the ranges holding the wanted ranks, with the rows before each range
-    kept = None
-    passes = [f"_r{i}" for i in range(len(steps))] + ["_v"]
-    for depth, bucket in enumerate(passes):
-        outer = by + passes[depth - 1 : depth] if depth else by
-        scope = counted
-        if kept is not None:
-            # without groups at most two ranges are kept, which bounds the broadcast
-            scope = counted.join(kept if by else F.broadcast(kept), outer, "inner")
-        ranges = scope.groupBy(*outer, bucket).agg(
+    place = ["_before", "_lo", "_hi", "_total"]
+    keys = by
+    for depth in range(passes + 1):
+        last = depth == passes
+        part = "_v" if last else f"_part{depth}"
+        if not last:
+            scope = scope.withColumn(part, _evenly() if depth else _by_magnitude())
+        counted = scope.groupBy(*keys, part).agg(
             F.sum("_n").alias("_n"),
-            *([] if kept is None else [F.first(c).alias(c) for c in ("_before", "_lo", "_hi", "_total")]),
+            F.min("_x").alias("_min"),
+            F.max("_x").alias("_max"),
+            *(F.first(c).alias(c) for c in (place if depth else ())),
         )
-        group = Window.partitionBy(*outer) if outer else Window.partitionBy(F.lit(0))
-        running = group.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-        ranges = ranges.withColumn("_prior", F.coalesce(F.sum("_n").over(running), F.lit(0)))
-        if kept is None:
-            ranges = ranges.withColumn("_total", F.sum("_n").over(group))
-            place = (F.col("_total") - 1) * numerator
-            ranges = ranges.withColumn("_before", F.col("_prior"))
-            ranges = ranges.withColumn("_lo", F.floor(place / denominator))
-            ranges = ranges.withColumn("_hi", F.ceil(place / denominator))
+        group = Window.partitionBy(*keys)
+        earlier = group.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+        prior = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+        if depth:
+            counted = counted.withColumn("_before", F.col("_before") + prior)
         else:
-            ranges = ranges.withColumn("_before", F.col("_before") + F.col("_prior"))
-        end = F.col("_before") + F.col("_n")
-        holds_lo = F.col("_lo").between(F.col("_before"), end - 1)
-        holds_hi = F.col("_hi").between(F.col("_before"), end - 1)
-        kept = ranges.where(holds_lo | holds_hi).select(
-            *by, bucket, "_before", "_n", "_lo", "_hi", "_total"
-        )
-        if bucket != "_v":
-            kept = kept.drop("_n")
+            rank = (F.sum("_n").over(group) - 1) * numerator
+            counted = counted.withColumns(
+                {
+                    "_before": prior,
+                    "_lo": F.floor(rank / denominator),
+                    "_hi": F.ceil(rank / denominator),
+                    "_total": F.sum("_n").over(group),
+                }
+            )
+        wanted = _holds("_lo") | _holds("_hi")
+        kept = counted.where(wanted)
+        if not last:
+            kept = kept.select(*keys, part, *place, "_min", "_max")
+            # without groups at most two parts are kept, which bounds the broadcast
+            narrowed = kept if by else F.broadcast(kept)
+            keys = [*keys, part]
+            scope = scope.select(*keys, "_v", "_n", "_x").join(narrowed, keys)
 
-    end = F.col("_before") + F.col("_n")
-    low = F.max(F.when(F.col("_lo").between(F.col("_before"), end - 1), F.col("_v")))
-    high = F.max(F.when(F.col("_hi").between(F.col("_before"), end - 1), F.col("_v")))
     picked = kept.groupBy(*by).agg(
-        low.alias("_low"), high.alias("_high"), F.max("_total").alias("_total")
+        F.max(F.when(_holds("_lo"), F.col("_v"))).alias("_low"),
+        F.max(F.when(_holds("_hi"), F.col("_v"))).alias("_high"),
+        F.max("_total").alias("_total"),
     )
     weight = F.pmod((F.col("_total") - 1) * numerator, F.lit(denominator)).cast("decimal(4,0)")
     rise = ((F.col("_high") - F.col("_low")) * weight).cast("decimal(34,10)")
-    unit = F.lit(denominator).cast("decimal(14,10)") * F.lit("0.0000000001").cast("decimal(10,10)")
-    whole = rise - F.pmod(rise, unit.cast("decimal(14,10)"))
-    result = F.col("_low") + whole.cast("decimal(34,10)") / F.lit(denominator).cast("decimal(4,0)")
+    unit = (F.lit(denominator).cast("decimal(4,0)") * F.lit("1E-10").cast("decimal(10,10)")).cast(
+        "decimal(14,10)"
+    )
+    exact = (rise - F.pmod(rise, unit)).cast("decimal(34,10)") / F.lit(denominator).cast("decimal(4,0)")
     return picked.select(
         *by,
-        F.when(F.col("_total").isNotNull(), result).cast("decimal(38,10)").alias(alias),
+        (F.col("_low") + exact).cast("decimal(38,10)").alias(alias),
         F.col("_total").alias("value_count"),
     )
+
+
+def _holds(rank: str) -> Column:
+    """Whether a counted part contains the (zero-based) rank."""
+    return (F.col(rank) >= F.col("_before")) & (F.col(rank) < F.col("_before") + F.col("_n"))

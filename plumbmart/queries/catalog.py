@@ -445,7 +445,7 @@ def line_price_p75(spark, sf):
     prices = read_table(spark, sf, "lineitem").select(
         F.col("l_extendedprice").cast("decimal(18,2)").alias("price")
     )
-    return exact_quantile(prices, "price", alias="p75", steps=("1000", "0.1"))
+    return exact_quantile(prices, "price", alias="p75")
 
 
 @register(
@@ -459,7 +459,7 @@ def order_price_p75_by_priority(spark, sf):
         "o_orderpriority", "o_orderstatus", F.col("o_totalprice").cast("decimal(18,2)").alias("price")
     )
     return exact_quantile(
-        prices, "price", by=["o_orderpriority", "o_orderstatus"], alias="p75", steps=("1000", "0.1")
+        prices, "price", by=["o_orderpriority", "o_orderstatus"], alias="p75"
     )
 
 

@@ -2,6 +2,8 @@ import math
 import random
 from decimal import ROUND_DOWN, Decimal
 
+import pytest
+
 from plumbmart.operators.quantile import exact_quantile
 
 TENTH = Decimal("0.0000000001")
@@ -25,7 +27,7 @@ def frame(spark, rows):
 
 def test_published_example(spark):
     rows = [("a", Decimal(v)) for v in ("0.01", "0.02", "0.03", "0.04")]
-    assert exact_quantile(frame(spark, rows), "v", steps=("0.00001",)).collect()[0].quantile == \
+    assert exact_quantile(frame(spark, rows), "v", passes=2).collect()[0].quantile == \
         Decimal("0.0325000000")
 
 
@@ -43,6 +45,19 @@ def test_groups_against_brute_force(spark):
         assert got[g].value_count == len(values)
 
 
+@pytest.mark.parametrize("passes", [1, 2, 4])
+def test_wide_magnitudes_and_close_values(spark, passes):
+    """Huge, tiny, equal-as-double and negative values in one group."""
+    random.seed(passes)
+    values = [Decimal(10) ** random.randint(-10, 18) * random.choice([1, -1]) for _ in range(150)]
+    close = Decimal("12345678901234567.0000000001")
+    values += [close + TENTH * i for i in range(120)]
+    for part in (values, values[:150], values[150:]):
+        rows = [("a", v) for v in part]
+        got = exact_quantile(frame(spark, rows), "v", passes=passes).collect()[0]
+        assert got.quantile == brute(part)
+
+
 def test_one_value_holding_most_rows(spark):
     rows = [("a", Decimal("0.5"))] * 400 + [("a", Decimal(i) / 1000) for i in range(100)]
     for num in (1, 2, 3):
