@@ -64,9 +64,8 @@ def _counted(name: str, rows: DataFrame) -> DataFrame:
 
 def _unpivot(counts: DataFrame, names: Iterable[str]) -> DataFrame:
     """One (name, number) row per column of a one-row relation."""
-    pairs = [F.struct(F.lit(n).alias("assertion"), F.col(f"`{n}`").alias("violations"))
-             for n in names]
-    return counts.select(F.explode(F.array(*pairs)).alias("r")).select("r.*")
+    pairs = [f"'{n}', `{n}`" for n in names]
+    return counts.selectExpr(f"stack({len(pairs)}, {', '.join(pairs)}) as (assertion, violations)")
 
 
 def assertion_report(rules: Mapping[str, Rule], tables: Tables) -> DataFrame:
@@ -91,10 +90,8 @@ def assertion_report(rules: Mapping[str, Rule], tables: Tables) -> DataFrame:
 
 def not_null_report(relation: str, df: DataFrame) -> DataFrame:
     """NULLs in every required column, all columns in one scan."""
-    required = [f.name for f in RELATIONS[relation] if f.required]
-    names = [f"not_null:{relation}.{c}" for c in required]
-    counts = df.agg(*(F.count_if(F.col(c).isNull()).alias(n)
-                      for c, n in zip(required, names, strict=True)))
+    names = {f"not_null:{relation}.{f.name}": f.name for f in RELATIONS[relation] if f.required}
+    counts = df.selectExpr(*(f"count_if(`{c}` is null) as `{n}`" for n, c in names.items()))
     return _unpivot(counts, names)
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbmart.plans.build import build, plan
+from plumbmart.plans.build import MODELS, build, plan, with_ancestors
 from plumbmart.queries.inputs import spark_input
 from plumbmart.session import materialise
 from plumbmart.sources import contracts as C
@@ -22,14 +24,15 @@ SOURCES = {
 _BUILT: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
-def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def sources(spark: SparkSession, sf_dir: str, names=tuple(SOURCES)) -> dict[str, DataFrame]:
     """The derived source relations, lazily defined."""
-    return {name: spark_input(spark, sf_dir, text) for name, text in SOURCES.items()}
+    return {name: spark_input(spark, sf_dir, SOURCES[name]) for name in names}
 
 
 def model(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One model as a lazy plan from the derived sources."""
-    return plan(sources(spark, sf_dir), [name])[name]
+    """One model as a lazy plan from the derived sources it needs."""
+    read = {i for n in with_ancestors([name]) for i in MODELS[n].inputs}
+    return plan(sources(spark, sf_dir, [n for n in SOURCES if n in read]), [name])[name]
 
 
 def mart(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -46,7 +49,11 @@ def mart(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Stored raw relations with their load audits and the build audit."""
-    tables = {n: materialise(df, n) for n, df in sources(spark, sf_dir).items()}
+    # independent writes, so they share the cluster instead of queueing
+    with ThreadPoolExecutor(len(SOURCES)) as pool:
+        stored = pool.map(lambda item: (item[0], materialise(item[1], item[0])),
+                          sources(spark, sf_dir).items())
+        tables = dict(stored)
     medicare, svi, facility = (
         tables[f"raw.{s}"] for s in (C.MEDICARE, C.VULNERABILITY, C.FACILITY)
     )
