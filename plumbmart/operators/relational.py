@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A key counts as hot when it holds at least one row in this many. By
@@ -114,6 +114,15 @@ def flag_latest(df: DataFrame, column: str, flag: str) -> DataFrame:
     return df.withColumn(flag, F.col(column) == latest)
 
 
+def inline(spark: SparkSession, names: Sequence[str], rows: Sequence[tuple]) -> DataFrame:
+    """A few literal rows as a relation, without a Python worker."""
+    literals = ", ".join(
+        "(" + ", ".join(str(v) if isinstance(v, int) else f"'{v}'" for v in row) + ")"
+        for row in rows
+    )
+    return spark.sql(f"select * from values {literals} as t({', '.join(names)})")
+
+
 def scaffold(categories: DataFrame, counted: DataFrame, on: str, count: str) -> DataFrame:
     """Every category with its count, zero where nothing was counted."""
     return categories.join(counted.select(on, count), on, "left").withColumn(

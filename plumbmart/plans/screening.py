@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbmart.operators.quantile import exact_quantile
-from plumbmart.operators.relational import one_row, scaffold
+from plumbmart.operators.relational import inline, one_row, scaffold
 from plumbmart.plans.relations import columns
 from plumbmart.sources import contracts as C
 
@@ -186,9 +186,8 @@ def audit_screening_quadrant_summary(threshold: DataFrame, mart: DataFrame) -> D
     totals = counted.agg(
         *(F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in measures)
     ).withColumnRenamed("screening_row_count", "total_screening_row_count")
-    spark = mart.sparkSession
-    categories = spark.createDataFrame(
-        list(C.QUADRANTS), "category_display_order int, screening_quadrant string"
+    categories = inline(
+        mart.sparkSession, ("category_display_order", "screening_quadrant"), C.QUADRANTS
     )
     return (
         scaffold(categories, counted, "screening_quadrant", "screening_row_count")

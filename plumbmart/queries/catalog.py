@@ -430,8 +430,8 @@ def priority_scaffold(spark, sf):
     counted = read_table(spark, sf, "orders").groupBy("o_orderpriority").agg(
         F.count(F.lit(1)).alias("order_count")
     )
-    categories = spark.createDataFrame(
-        list(enumerate(_PRIORITIES)), "display_order int, o_orderpriority string"
+    categories = R.inline(
+        spark, ("display_order", "o_orderpriority"), tuple(enumerate(_PRIORITIES))
     )
     return R.scaffold(categories, counted, "o_orderpriority", "order_count")
 
@@ -445,7 +445,7 @@ def line_price_p75(spark, sf):
     prices = read_table(spark, sf, "lineitem").select(
         F.col("l_extendedprice").cast("decimal(18,2)").alias("price")
     )
-    return exact_quantile(prices, "price", alias="p75")
+    return exact_quantile(prices, "price", passes=2, alias="p75")
 
 
 @register(
@@ -459,7 +459,7 @@ def order_price_p75_by_priority(spark, sf):
         "o_orderpriority", "o_orderstatus", F.col("o_totalprice").cast("decimal(18,2)").alias("price")
     )
     return exact_quantile(
-        prices, "price", by=["o_orderpriority", "o_orderstatus"], alias="p75"
+        prices, "price", by=["o_orderpriority", "o_orderstatus"], passes=2, alias="p75"
     )
 
 
