@@ -283,10 +283,9 @@ def labelled_documents(spark, sf):
 
 @register(
     "line_order_multiset_difference",
-    "(select l_orderkey as orderkey, year(l_shipdate) as yr from lineitem except all"
-    " select o_orderkey, year(o_orderdate) from orders) union all"
-    " (select o_orderkey, year(o_orderdate) from orders except all"
-    " select l_orderkey, year(l_shipdate) from lineitem)",
+    "with l as (select l_orderkey as orderkey, cast(year(l_shipdate) as integer) as yr from lineitem),"
+    " o as (select o_orderkey, cast(year(o_orderdate) as integer) from orders)"
+    " (from l except all from o) union all (from o except all from l)",
 )
 def line_order_multiset_difference(spark, sf):
     lines = read_table(spark, sf, "lineitem").select(
@@ -300,7 +299,7 @@ def line_order_multiset_difference(spark, sf):
 
 @register(
     "order_ship_year_difference",
-    "select yr from (select distinct year(o_orderdate) as yr, 1 as side from orders union"
+    "select cast(yr as integer) as yr from (select distinct year(o_orderdate) as yr, 1 as side from orders union"
     " select distinct year(l_shipdate), 2 from lineitem) group by yr having count(*) = 1",
 )
 def order_ship_year_difference(spark, sf):
@@ -334,7 +333,7 @@ def order_line_cell_differences(spark, sf):
     " count(*) filter (l_discount = 0) as n_full_price,"
     " count(*) filter (not l_tax = 0) as n_taxed,"
     " cast(sum(case when l_linenumber = 1 then cast(l_quantity as bigint) end) as bigint)"
-    " as first_line_quantity, max(case when l_tax = 0 then year(l_shipdate) end) as last_untaxed_year,"
+    " as first_line_quantity, cast(max(case when l_tax = 0 then year(l_shipdate) end) as integer) as last_untaxed_year,"
     " bool_or(l_quantity = 50) as any_full_quantity, count(distinct l_suppkey) as n_suppliers"
     " from lineitem group by all",
 )
@@ -407,7 +406,7 @@ def document_reuse_decisions(spark, sf):
 
 @register(
     "order_year_flags",
-    "select yr, yr = max(yr) over () as is_latest from (select year(o_orderdate) as yr from orders"
+    "select cast(yr as integer) as yr, yr = max(yr) over () as is_latest from (select year(o_orderdate) as yr from orders"
     " union select year(l_shipdate) from lineitem)",
 )
 def order_year_flags(spark, sf):
@@ -774,8 +773,8 @@ def nation_list_hash(spark, sf):
 
 @register(
     "order_page_order_violations",
-    "select a.o_orderkey // 1000 as page, a.o_orderkey as place, a.o_orderdate as key,"
-    " b.o_orderkey // 1000 as next_page, b.o_orderdate as next_key from orders a join orders b"
+    "select a.o_orderkey // 1000 as page, a.o_orderkey as place, cast(a.o_orderdate as date) as key,"
+    " b.o_orderkey // 1000 as next_page, cast(b.o_orderdate as date) as next_key from orders a join orders b"
     " on b.o_orderkey = a.o_orderkey + 1 where b.o_orderdate <= a.o_orderdate",
 )
 def order_page_order_violations(spark, sf):
@@ -783,7 +782,7 @@ def order_page_order_violations(spark, sf):
         F.expr("o_orderkey div 1000").alias("page"),
         F.expr("o_orderkey div 1000 * 1000").alias("offset"),
         F.expr("o_orderkey % 1000").alias("position"),
-        "o_orderdate",
+        F.to_date("o_orderdate").alias("o_orderdate"),
     )
     return ev.page_order_violations(orders, "page", "offset", "o_orderdate", "position")
 
@@ -874,7 +873,8 @@ def vulnerability_page_evidence(spark, sf):
         ["raw_vulnerability"],
         "select count(*) as record_count, count(distinct GRASP_ID) as distinct_object_ids,"
         " count(distinct STCNTY) as distinct_county_fips, bool_or(STCNTY = '11001') as district_present,"
-        f" count_if(left(STCNTY, 2) in {oracle.ABROAD}) as territory_row_count from raw_vulnerability",
+        f" count(*) filter (left(STCNTY, 2) in {oracle.ABROAD}) as territory_row_count"
+        " from raw_vulnerability",
     ),
 )
 def vulnerability_page_set_summary(spark, sf):
@@ -889,7 +889,7 @@ def vulnerability_page_set_summary(spark, sf):
     oracle.with_relations(
         ["raw_facility"],
         f"select count(*) as row_count, count(distinct {_CCN}) as distinct_key_count,"
-        f" count_if(starts_with({_CCN}, '0')) as leading_zero_count from raw_facility",
+        f" count(*) filter (starts_with({_CCN}, '0')) as leading_zero_count from raw_facility",
     ),
 )
 def facility_file_evidence(spark, sf):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from plumbmart.plans.relations import columns
+from plumbmart.plans.relations import RELATIONS
 from plumbmart.queries.inputs import INPUTS, duckdb_ctes
 from plumbmart.sources import contracts as C
 
@@ -372,7 +372,10 @@ def _model_sql(name: str) -> str:
     text = MODELS[name][1]
     if name == "raw_audit":
         return text
-    listed = ", ".join(columns(name))
+    listed = ", ".join(
+        f"cast({f.name} as bigint) as {f.name}" if f.type == "bigint" else f.name
+        for f in RELATIONS[name]
+    )
     if text.startswith("from "):
         return f"select {listed} {text}"
     return f"select {listed} from ({text}) as shaped"

@@ -50,5 +50,17 @@ def test_query_equals_sql(spark, duck, name):
     assert got[1] == want[1]
 
 
+KINDS = {"string": "VARCHAR", "int": "INTEGER", "timestamp_ntz": "TIMESTAMP"}
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
+def test_types_agree(spark, duck, name):
+    """The same column types on both sides, so that a hash of values can agree."""
+    fields = QUERIES[name](spark, FOLDER).schema.fields
+    got = {f.name: KINDS.get(k := f.dataType.simpleString(), k.upper()) for f in fields}
+    want = {r[0]: r[1] for r in duck.execute("describe " + SQL[name]).fetchall()}
+    assert got == want
+
+
 def test_entry(spark):
     assert entry_point.entry(spark).count() == 5
