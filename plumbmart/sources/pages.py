@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The parser travels with the job, so executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _text(value: object) -> str | None:
     if value is None or isinstance(value, str):
