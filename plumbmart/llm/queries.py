@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbmart.llm import bpe
-from plumbmart.llm.common import table
+from plumbmart.llm import bpe, langid, rules
+from plumbmart.llm.common import fold, stored, table
 
 
 def tokenizer_path() -> str:
@@ -29,8 +29,25 @@ def op1_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents, learned from the labels outside fold 2 of 4."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "text")
+    stats = stored(rules.statistics(docs).drop("text"), "statistics")
+    model = rules.train(stats.where("not held_out"), table(spark, sf_dir, "labels"))
+    return rules.score(stats, model).select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted languages of all documents, learned from those outside fold 2 of 4."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "text", "lang")
+    model = langid.train(docs.where("not held_out"))
+    return langid.predict(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_encoding": op1_bpe_encoding,
+    "op6_quality_classifier": op6_quality_classifier,
+    "op10_language_id": op10_language_id,
 }
 
 SQL: dict[str, str] = {}
