@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbmart.llm import bpe, langid, rules
+from plumbmart.llm import bpe, langid, mixing, rules, urls
 from plumbmart.llm.common import fold, stored, table
 
 
@@ -29,6 +29,16 @@ def op1_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Rules of the URL filter: verdict, host, path.
+URL_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on the URLs of all pages."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents, learned from the labels outside fold 2 of 4."""
     docs = table(spark, sf_dir, "documents").select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "text")
@@ -37,6 +47,13 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.score(stats, model).select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of all documents by source takes of each of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    mixed = mixing.mix(docs, mixing.cycle)
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("__copies") * F.col("size")).alias("taken"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted languages of all documents, learned from those outside fold 2 of 4."""
     docs = table(spark, sf_dir, "documents").select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "text", "lang")
@@ -46,7 +63,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_encoding": op1_bpe_encoding,
+    "op3_url_filter": op3_url_filter,
     "op6_quality_classifier": op6_quality_classifier,
+    "op9_mixing": op9_mixing,
     "op10_language_id": op10_language_id,
 }
 
