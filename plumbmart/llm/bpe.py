@@ -16,7 +16,7 @@ grow: the right edge of L and the left edge of R each pass through a chain of
 tokens, and a merge of two edge tokens that are alive at its rank would cross.
 
 Scale: rows are independent, so there is no shuffle. A task holds one block of
-about two million characters, its trie, and a memory of bounded size for words
+about four million characters, its trie, and a memory of bounded size for words
 already encoded. Lost tasks are simply run again.
 
 Nulls and texts without tokens give empty ids and an empty decoded text. Rows
@@ -46,7 +46,7 @@ from plumbmart.llm.common import by_value, without
 by_value(__name__)
 
 #: Characters of text handled at once, and distinct words kept between blocks.
-BLOCK = 2_000_000
+BLOCK = 4_000_000
 MEMORY = 200_000
 #: A longer word is encoded along one path instead of in the trie.
 LONG_WORD = 1_000
@@ -65,7 +65,12 @@ def byte_letters() -> list[str]:
 
 
 class Model:
-    """Tables of a tokenizer file: tokens, merges, and which tokens may be neighbours."""
+    """Tables of a tokenizer file: tokens, merges, which tokens may be neighbours, and which end where.
+
+    Tokens are numbers. The tokens that end a string are found by an automaton
+    over all prefixes of tokens: ``ends[state]`` are the tokens that are suffixes
+    of the string read so far, longest first.
+    """
 
     END = "</w>"
 
@@ -76,103 +81,165 @@ class Model:
         model = file["model"]
         if model["type"] != "BPE" or model.get("end_of_word_suffix") != self.END or file.get("decoder"):
             raise ValueError("the file must hold a BPE model with word ends and no decoder")
-        self.vocab: dict[str, int] = model["vocab"]
-        self.special = {t["content"]: t["id"] for t in file["added_tokens"]}
-        merges = [tuple(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
-        self.rank = {m: k for k, m in enumerate(merges)}
-        self.parts: dict[str, tuple[str, str]] = {}
-        self.born: dict[str, int] = {}
-        for k, (a, b) in enumerate(merges):
-            whole = a + b
-            if whole in self.parts or any(self.born.get(x, -1) >= k for x in (a, b)):
+        vocab: dict[str, int] = model["vocab"]
+        self.special: dict[str, int] = {t["content"]: t["id"] for t in file["added_tokens"]}
+        self.count = 1 + max([*vocab.values(), *self.special.values()])
+        self.string = [""] * self.count
+        for t, k in vocab.items():
+            self.string[k] = t
+        #: Of each token the two it is merged from (itself twice if it is a symbol), and the rank of that merge.
+        self.parts = [(k, k) for k in range(self.count)]
+        self.born = [-1] * self.count
+        self.rank: dict[int, int] = {}
+        for k, merge in enumerate(model["merges"]):
+            a, b = merge if isinstance(merge, list) else merge.split(" ")
+            a, b, whole = vocab[a], vocab[b], vocab[a + b]
+            if self.born[whole] >= 0 or max(self.born[a], self.born[b]) >= k:
                 raise ValueError("every token must come from one merge of earlier tokens")
-            self.parts[whole], self.born[whole] = (a, b), k
-        self.fits: dict[tuple[str, str], bool] = {}
+            self.parts[whole], self.born[whole], self.rank[a * self.count + b] = (a, b), k, k
+        self.fits: dict[int, bool] = {}
         # A token that the merges never leave standing cannot be in an encoding.
-        self.usable: set[str] = set()
-        for t in sorted(self.vocab, key=lambda t: self.born.get(t, -1)):
-            p = self.parts.get(t)
-            if p is None or (p[0] in self.usable and p[1] in self.usable and not self.crosses(*p, self.born[t])):
-                self.usable.add(t)
-        self.longest = max(len(t.removesuffix(self.END)) for t in self.usable)
-
-    def edge(self, token: str, side: int, limit: int) -> list[tuple[str, int]]:
+        usable: set[int] = set()
+        for t in sorted(vocab.values(), key=self.born.__getitem__):
+            a, b = self.parts[t]
+            if a == t or (a in usable and b in usable and not self.crosses(a, b, self.born[t])):
+                usable.add(t)
+        self.size = [len(t.removesuffix(self.END)) for t in self.string]
+        self.build(usable)
+
+    def symbols(self, token: int) -> list[str]:
+        """Characters of a token; the end mark belongs to the last."""
+        text = self.string[token]
+        if not text.endswith(self.END) or text == self.END:
+            return list(text)
+        return [*text[: -len(self.END) - 1], text[-len(self.END) - 1 :]]
+
+    def build(self, usable: set[int]) -> None:
+        """The automaton: ``goto`` (completed as it is used), ``fail`` and ``ends`` of every state."""
+        self.goto: list[dict[str, int] | None] = [{}]
+        own: list[int] = [-1]
+        for t in sorted(usable):
+            state = 0
+            for c in self.symbols(t):
+                if self.goto[state] is None:
+                    self.goto[state] = {}
+                edges = self.goto[state]
+                if c not in edges:
+                    edges[c] = len(self.goto)
+                    self.goto.append(None)
+                    own.append(-1)
+                state = edges[c]
+            own[state] = t
+        self.fail = [0] * len(self.goto)
+        self.ends: list[tuple[int, ...]] = [()] * len(self.goto)
+        queue = [0]
+        trie = [dict(e) if e else {} for e in self.goto]
+        for state in queue:
+            for c, child in trie[state].items():
+                self.fail[child] = self.follow(self.fail[state], c) if state else 0
+                below = self.ends[self.fail[child]]
+                self.ends[child] = (own[child], *below) if own[child] >= 0 else below
+                queue.append(child)
+
+    def follow(self, state: int, c: str) -> int:
+        """The next state, which is kept for the next time."""
+        edges = self.goto[state]
+        if edges is not None and c in edges:
+            return edges[c]
+        new = self.follow(self.fail[state], c) if state else 0
+        if edges is None:
+            edges = self.goto[state] = {}
+        edges[c] = new
+        return new
+
+    def edge(self, token: int, side: int, limit: int) -> list[tuple[int, int]]:
         """The tokens at one edge of ``token`` as it grows, each with the rank that consumes it."""
         chain = [(token, limit)]
-        while (p := self.parts.get(token)) is not None:
-            chain.append((p[side], self.born[token]))
-            token = p[side]
+        while (part := self.parts[token][side]) != token:
+            chain.append((part, self.born[token]))
+            token = part
         return chain
 
-    def crosses(self, left: str, right: str, limit: int) -> bool:
+    def crosses(self, left: int, right: int, limit: int) -> bool:
         """Whether a merge ranked below ``limit`` joins the two tokens across their border."""
         for a, a_ends in self.edge(left, 1, limit):
             for b, b_ends in self.edge(right, 0, limit):
-                k = self.rank.get((a, b))
+                k = self.rank.get(a * self.count + b)
                 # Of two equal merges the left one goes first: it wins against
                 # b's own growth and loses against a's.
                 if k is not None and k < a_ends and k < limit and k <= b_ends:
                     return True
         return False
 
-    def neighbours(self, left: str, right: str) -> bool:
-        fits = self.fits.get((left, right))
-        if fits is None:
-            if len(self.fits) > 1_000_000:
-                self.fits.clear()
-            fits = self.fits[left, right] = not self.crosses(left, right, 1 << 60)
+    def neighbours(self, left: int, right: int) -> bool:
+        if len(self.fits) > 500_000:
+            self.fits.clear()
+        fits = self.fits[left * self.count + right] = not self.crosses(left, right, 1 << 60)
         return fits
 
-    def last_token(self, tail: str, lasts: list[str], end: str = "") -> tuple[str, int]:
-        """The last token of a prefix and its length; ``lasts`` has those of the shorter prefixes."""
+    def last_token(self, state: int, lasts: list[int]) -> int:
+        """The last token of a prefix, from its state and the last tokens of the shorter prefixes."""
         depth = len(lasts) + 1
-        for size in range(min(len(tail), depth), 0, -1):
-            token = tail[len(tail) - size :] + end
-            if token in self.usable and (size == depth or self.neighbours(lasts[depth - size - 1], token)):
-                return token, size
-        raise ValueError(f"no token of the vocabulary ends at {tail[-1]!r}")
-
-    def read_back(self, final: str, lasts: list[str]) -> list[str]:
+        for t in self.ends[state]:
+            size = self.size[t]
+            if size == depth:
+                return t
+            before = lasts[depth - size - 1]
+            fits = self.fits.get(before * self.count + t)
+            if fits or (fits is None and self.neighbours(before, t)):
+                return t
+        raise ValueError("the vocabulary lacks a byte")
+
+    def read_back(self, token: int, lasts: list[int]) -> list[int]:
         """The tokens of a path, from its last token back to its first."""
-        tokens, at, token = [final], len(lasts) + 1, final
-        while at := at - len(token.removesuffix(self.END)):
+        tokens, at = [token], len(lasts) + 1
+        while at := at - self.size[token]:
             token = lasts[at - 1]
             tokens.append(token)
-        return tokens[::-1]
+        tokens.reverse()
+        return tokens
 
-    def encode_words(self, words: list[str]) -> dict[str, list[str]]:
-        """Tokens of each distinct word, given in byte letters."""
-        out: dict[str, list[str]] = {}
+    def encode_words(self, words: list[tuple[str, str]]) -> Iterator[tuple[str, list[int]]]:
+        """Pairs of a word and its tokens, for distinct words and their spelling in byte letters."""
         trie: dict = {}
-        for w in words:
+        for w, word in words:
             if len(w) > LONG_WORD:
-                lasts: list[str] = []
-                for k in range(1, len(w)):
-                    lasts.append(self.last_token(w[max(0, k - self.longest) : k], lasts)[0])
-                out[w] = self.read_back(self.last_token(w[-self.longest :], lasts, self.END)[0], lasts)
+                lasts: list[int] = []
+                state = 0
+                for c in w[:-1]:
+                    state = self.follow(state, c)
+                    lasts.append(self.last_token(state, lasts))
+                yield word, self.read_back(self.last_token(self.follow(state, w[-1] + self.END), lasts), lasts)
                 continue
             node = trie
             for c in w[:-1]:
                 child = node.get(c)
-                node = node.setdefault(c, {}) if child is None else child
-            node[w[-1] + self.END] = w
+                if child is None:
+                    child = node[c] = {}
+                node = child
+            node[w[-1] + self.END] = word
         lasts = []
-        stack = [(iter(trie.items()), "")]
+        goto, follow, last_token = self.goto, self.follow, self.last_token
+        stack = [(iter(trie.items()), 0)]
         while stack:
-            edges, tail = stack[-1]
+            edges, state = stack[-1]
+            here = goto[state]
             for c, child in edges:
-                if isinstance(child, str):
-                    out[child] = self.read_back(self.last_token((tail + c[0])[-self.longest :], lasts, self.END)[0], lasts)
+                below = here.get(c) if here else None
+                if below is None:
+                    below = follow(state, c)
+                    here = goto[state]
+                token = last_token(below, lasts)
+                if child.__class__ is str:
+                    yield child, self.read_back(token, lasts)
                 else:
-                    below = (tail + c)[-self.longest :]
-                    lasts.append(self.last_token(below, lasts)[0])
+                    lasts.append(token)
                     stack.append((iter(child.items()), below))
                     break
             else:
                 stack.pop()
                 if stack:
                     lasts.pop()
-        return out
 
 
 class Encoder:
@@ -183,6 +250,7 @@ class Encoder:
         self.letters = {b: c for b, c in enumerate(byte_letters()) if chr(b) != c}
         self.ids: dict[str, bytes] = {}
         self.decoded: dict[str, str] = {}
+        self.packed = [k.to_bytes(4, "little") for k in range(model.count)]
         self.special = {s: np.uint32(i).tobytes() for s, i in model.special.items()}
         self.special_split = re.compile("(" + "|".join(map(re.escape, model.special)) + ")") if model.special else None
         self.known: set[str] = set(map(chr, range(128)))
@@ -248,12 +316,11 @@ class Encoder:
             self.ids.update(self.special)
             self.decoded.update({s: s for s in self.special})
         new = set().union(*(w for _, w in block)) - self.ids.keys()
-        spelled = {w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(self.letters): w for w in new}
-        vocab = self.model.vocab
-        for letters, tokens in self.model.encode_words(list(spelled)).items():
-            word = spelled[letters]
-            self.ids[word] = np.array([vocab[t] for t in tokens], "<u4").tobytes()
-            self.decoded[word] = " ".join(tokens)
+        spelled = [(w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(self.letters), w) for w in new]
+        packed, string = self.packed, self.model.string
+        for word, tokens in self.model.encode_words(spelled):
+            self.ids[word] = b"".join([packed[t] for t in tokens])
+            self.decoded[word] = " ".join([string[t] for t in tokens])
         for k, words in block:
             if words:
                 out[k][0].append(b"".join(map(self.ids.__getitem__, words)))
