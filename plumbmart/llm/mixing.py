@@ -43,7 +43,7 @@ EPOCHS = 3
 SEED = "mix"
 SALTS = 32
 RANGES = 4096
-RESULTS = ("size", "source_size", "target")
+RESULTS = ("size", "source_size", "target", "copies")
 
 
 def word_count(text: Column) -> Column:
@@ -57,11 +57,11 @@ def order_hash(key: Column, seed: str) -> Column:
 
 
 def prepared(df: DataFrame, key: str, text: str, source: str, seed: str) -> DataFrame:
-    """``df`` with its size, its source as a non-null name, and its place in the seeded order."""
+    """``df`` with its size (``__size``), its source as a non-null name, and its place in the seeded order."""
     name = F.coalesce(F.concat(F.lit("="), F.col(f"`{source}`").cast("string")), F.lit(""))
     ident = F.col(f"`{key}`")
-    return without(df, *RESULTS).withColumns(
-        {"size": word_count(F.col(f"`{text}`")), "__source": name, "__u": order_hash(ident, seed), "__id": F.coalesce(ident.cast("string"), F.lit(""))}
+    return df.withColumns(
+        {"__size": word_count(F.col(f"`{text}`")), "__source": name, "__u": order_hash(ident, seed), "__id": F.coalesce(ident.cast("string"), F.lit(""))}
     )
 
 
@@ -136,25 +136,28 @@ def plan(rows: DataFrame, weight: Callable[[Column], Column], epochs: int = EPOC
     return goal.join(small, "__source", "left").select("__source", "source_size", "target", "whole", "last_large", "last_small")
 
 
-def mix(df: DataFrame, weight: Callable[[Column], Column], key: str = "doc_id", text: str = "text", source: str = "source", epochs: int = EPOCHS, seed: str = SEED) -> DataFrame:
-    """``df`` with size, source_size, target and ``__copies``, the repetitions that the mix takes."""
+def mix(
+    df: DataFrame, weight: Callable[[Column], Column], key: str = "doc_id", text: str = "text", source: str = "source", epochs: int = EPOCHS, seed: str = SEED, results: tuple[str, str, str, str] = RESULTS
+) -> DataFrame:
+    """``df`` with its size, its source's size and target, and the copies that the mix takes, under the names of ``results``."""
     rows = prepared(df, key, text, source, seed)
-    light = stored(rows.select("__source", "size", "__u", "__id"), "sizes")
+    light = stored(rows.select("__source", F.col("__size").alias("size"), "__u", "__id"), "sizes")
     mean = light.agg(F.avg("size")).first()[0] or 0.0
-    rows, light = (x.withColumn("large", F.col("size") > mean) for x in (rows, light))
-    per_source = stored(plan(light, weight, epochs), "mix")
-    salted = per_source.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    per_source = stored(plan(light.withColumn("large", F.col("size") > mean), weight, epochs), "mix")
+    salted = per_source.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = salted.select(*(F.col(c).alias(f"__{c.removeprefix('__')}") for c in salted.columns))
     joined = rows.withColumn("__salt", F.pmod(F.col("__u"), F.lit(SALTS)).cast("int")).join(salted, ["__source", "__salt"])
     # A source without a border there has nothing to take there.
-    last = F.when(F.col("large"), F.col("last_large")).otherwise(F.col("last_small"))
-    extra = F.coalesce(F.struct("__u", "__id", "size") <= last, F.lit(False)) & (F.col("whole") < epochs)
-    return joined.withColumn("__copies", (F.col("whole") + extra.cast("int")).cast("int")).drop("__source", "__salt", "__u", "__id", "large", "whole", "last_large", "last_small")
+    last = F.when(F.col("__size") > mean, F.col("__last_large")).otherwise(F.col("__last_small"))
+    extra = F.coalesce(F.struct(F.col("__u"), F.col("__id"), F.col("__size").alias("size")) <= last, F.lit(False)) & (F.col("__whole") < epochs)
+    made = dict(zip(results, (F.col("__size"), F.col("__source_size"), F.col("__target"), (F.col("__whole") + extra.cast("int")).cast("int")), strict=True))
+    return joined.select(*(F.col(f"`{c}`") for c in without(df, *results).columns), *(c.alias(n) for n, c in made.items()))
 
 
-def repeated(mixed: DataFrame) -> DataFrame:
+def repeated(mixed: DataFrame, copies: str) -> DataFrame:
     """The rows of the mix: every row as often as it is taken."""
-    times = F.when(F.col("__copies") > 0, F.sequence(F.lit(1), F.col("__copies"))).otherwise(F.array().cast("array<int>"))
-    return mixed.withColumn("__copies", F.explode(times)).drop("__copies")
+    times = F.when(F.col(copies) > 0, F.sequence(F.lit(1), F.col(copies))).otherwise(F.array().cast("array<int>"))
+    return mixed.withColumn(copies, F.explode(times)).drop(copies)
 
 
 def cycle(rank: Column) -> Column:

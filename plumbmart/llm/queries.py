@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbmart.llm import bpe, langid, mixing, rules, urls
+from plumbmart.llm import bpe, langid, minhash, mixing, rules, urls
 from plumbmart.llm.common import fold, stored, table
+from plumbmart.llm.sql import SQL  # noqa: F401
 
 
 def tokenizer_path() -> str:
@@ -47,11 +48,16 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.score(stats, model).select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between all documents whose sets of five-word runs are 0.8 similar, and the classes they form."""
+    return minhash.similar(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix of all documents by source takes of each of them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     mixed = mixing.mix(docs, mixing.cycle)
-    return mixed.select("doc_id", "size", "source_size", "target", (F.col("__copies") * F.col("size")).alias("taken"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,8 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_encoding": op1_bpe_encoding,
     "op3_url_filter": op3_url_filter,
     "op6_quality_classifier": op6_quality_classifier,
+    "op7_jaccard_join": op7_jaccard_join,
     "op9_mixing": op9_mixing,
     "op10_language_id": op10_language_id,
 }
-
-SQL: dict[str, str] = {}

@@ -38,8 +38,8 @@ by_value(__name__)
 
 TRAIN_ROWS = 20_000
 STATISTICS = (
-    "st_words", "st_word_length", "st_upper", "st_digit", "st_mark", "st_stop", "st_other", "st_repeat",
-    "st_distinct", "st_lines", "st_line_words", "st_marked_words", "st_bare_marks", "st_shouts", "st_top_word",
+    "__st_words", "__st_word_length", "__st_upper", "__st_digit", "__st_mark", "__st_stop", "__st_other", "__st_repeat",
+    "__st_distinct", "__st_lines", "__st_line_words", "__st_marked_words", "__st_bare_marks", "__st_shouts", "__st_top_word",
 )
 
 UPPER = np.zeros(256, bool)

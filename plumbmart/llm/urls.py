@@ -32,7 +32,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbmart.llm.common import fold, stored, without
+from plumbmart.llm.common import stored, without
 
 ALPHABET = "abcdefghijklmnopqrstuvwxyz0/.-_^"
 SIZE = len(ALPHABET)
@@ -137,7 +137,8 @@ def judge(df: DataFrame, rules: Sequence[Rule], key: str = "page_id", url: str =
     link = F.col(f"`{url}`").cast("string")
     parsed = kept.withColumns({"host": host_of(link), "path": path_of(link)})
     ruled = parsed.withColumn("__fit", fitting(rules, F.col("host"), F.col("path"))).withColumn("__url", link)
-    kind, part = F.col("__fit.verdict"), fold(key, CALIBRATION)
+    digest = F.md5(F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")).cast("binary"))
+    kind, part = F.col("__fit.verdict"), F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % CALIBRATION
     model = train(ruled.where(part != 0).select("__fit", "__url"), kind, "__url")
     held = ruled.where(part == 0).select("__fit", score(F.col("__url"), model).alias("score"))
     limit = threshold(held, kind)
