@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbmart.llm import bpe, html, langid, minhash, mixing, rules, urls
+from plumbmart.llm import bpe, html, langid, minhash, mixing, ngramlm, rules, urls
 from plumbmart.llm.common import fold, stored, table
 from plumbmart.llm.sql import SQL  # noqa: F401
 
@@ -46,6 +46,13 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores of all documents, learned from those outside fold 2 of 7."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = ngramlm.score(docs, fold("doc_id", 7) != 2)
+    return done.select("doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents, learned from the labels outside fold 2 of 4."""
     docs = table(spark, sf_dir, "documents").select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "text")
@@ -77,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_encoding": op1_bpe_encoding,
     "op2_html_extraction": op2_html_extraction,
     "op3_url_filter": op3_url_filter,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_jaccard_join": op7_jaccard_join,
     "op9_mixing": op9_mixing,
