@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbmart.llm import bpe, html, langid, minhash, mixing, ngramlm, rules, urls
+from plumbmart.llm import bpe, html, langid, minhash, mixing, ngramlm, rules, urls, vecgraph
 from plumbmart.llm.common import fold, stored, table
 from plumbmart.llm.sql import SQL  # noqa: F401
 
@@ -46,6 +46,11 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between all embeddings of equal label with a cosine of 0.93 or more, and the components they form."""
+    return vecgraph.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language-model scores of all documents, learned from those outside fold 2 of 7."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_encoding": op1_bpe_encoding,
     "op2_html_extraction": op2_html_extraction,
     "op3_url_filter": op3_url_filter,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op5_lm_scoring": op5_lm_scoring,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_jaccard_join": op7_jaccard_join,
