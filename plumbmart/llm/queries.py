@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbmart.llm import bpe, html, langid, minhash, mixing, ngramlm, rules, urls, vecgraph
+from plumbmart.llm import bpe, html, langid, minhash, mixing, ngramlm, nndescent, rules, urls, vecgraph
 from plumbmart.llm.common import fold, stored, table
 from plumbmart.llm.sql import SQL  # noqa: F401
 
@@ -71,6 +71,11 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.similar(table(spark, sf_dir, "documents"))
 
 
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest of every fiftieth embedding, among all."""
+    return nndescent.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix of all documents by source takes of each of them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_lm_scoring": op5_lm_scoring,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_mixing": op9_mixing,
     "op10_language_id": op10_language_id,
 }

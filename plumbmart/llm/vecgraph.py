@@ -166,7 +166,7 @@ def linked(classes: DataFrame, centroids: np.ndarray, overlap: int, threshold: f
     placed = stored(with_clusters(classes, centroids, overlap), "clusters")
     shards = placed.select("key", "label", F.size("vector").alias("size"), F.explode("clusters").alias("cluster"))
     blocks = shards.groupBy("label", "size", "cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
+    own = F.pmod(F.xxhash64("key", "cluster"), F.col("blocks")).cast("int")
     dealt = stored(shards.join(blocks, ["label", "size", "cluster"]).withColumn("own", own), "members")
 
     def block_graph(table: pa.Table) -> pa.Table:
