@@ -49,7 +49,7 @@ DEGREE, PARTNERS, ROUNDS, ENOUGH = 24, 6, 5, 0.02
 CLUSTER, BLOCK, OVERLAP = 400, 400, 2
 #: Width of the beam, vertices of it expanded in a round, and vertices compared exactly.
 BEAM, STEP, FINAL = 64, 24, 24
-RECALL, AUDIT = 0.9, 100
+RECALL, AUDIT = 0.95, 100
 
 
 def codes_of(x: np.ndarray) -> np.ndarray:
@@ -266,7 +266,7 @@ def ranked_exactly(beam: DataFrame, vertices: DataFrame, k: int) -> DataFrame:
 
 
 def audited(found: DataFrame, vertices: DataFrame, k: int, sample: int = AUDIT) -> float:
-    """The share of the k + 1 nearest of a bounded sample of query vertices, by brute force, that was found."""
+    """The share of the k nearest others of a bounded sample of query vertices, by brute force, that was found."""
     chosen = found.orderBy(F.xxhash64("query", F.lit(5)), "query").limit(sample).join(vertices.select(F.col("vertex").alias("query"), "vector"), "query").collect()
     if not chosen:
         return 1.0
@@ -286,10 +286,11 @@ def audited(found: DataFrame, vertices: DataFrame, k: int, sample: int = AUDIT)
 
     every = vertices.select("vector", "ids").mapInArrow(run, "query long, score double, id long")
     place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc(F.round("score", 12)), "id"))
-    truth = every.withColumn("n", place).where(F.col("n") <= k + 1).groupBy("query").agg(F.collect_list("id").alias("ids"))
+    every = every.where("query <> id")
+    truth = every.withColumn("n", place).where(F.col("n") <= k).groupBy("query").agg(F.collect_list("id").alias("ids"))
     both = truth.join(found, "query").select(F.size(F.array_intersect("ids", F.col("found.id"))).alias("hit"), F.size("ids").alias("all"))
     row = both.agg(F.sum("hit"), F.sum("all")).first()
-    return row[0] / row[1]
+    return row[0] / row[1] if row[1] else 1.0
 
 
 def nearest(df: DataFrame, queries: Column, k: int = 5, key: str = "vec_id", vector: str = "embedding", recall: float = RECALL) -> DataFrame:
