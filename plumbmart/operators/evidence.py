@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plumbmart.operators.ordering import ordered, with_next
 from plumbmart.operators.relational import one_row
 
-# A canonical hash is defined over one ordered list (columns, pages, sources), so
-# the list has to fit one value. Relations of any size use ``table_checksum``.
-LIST_LIMIT = 1_000_000
+# Records of a rolled-up list that are hashed together.
+ROLL = 4096
 # Pages planned per generated block.
 PLAN_BLOCK = 4096
 
@@ -22,20 +22,36 @@ def canonical_json(value: Column) -> Column:
 
 
 def ordered_list(df: DataFrame, order: str, record: Column) -> DataFrame:
-    """One row holding ``records`` in ``order``; refuses lists beyond the limit."""
+    """One row holding ``records`` in ``order``.
+
+    For lists that a contract bounds (the columns of a schema, the sources of a
+    build), as the canonical form is one value. Relations have ``rolled_sha256``
+    and ``table_checksum``.
+    """
     entry = F.struct(F.col(order).alias("place"), record.alias("record"))
-    collected = df.select(entry.alias("entry")).agg(
-        F.count(F.lit(1)).alias("n"), F.collect_list("entry").alias("entries")
-    )
-    size = df.agg(F.count(F.lit(1))).scalar()
-    checked = collected.where(
-        F.assert_true(size <= LIST_LIMIT, F.lit("list too long for one canonical hash")).isNull()
-    )
-    return checked.select(
+    collected = df.select(entry.alias("entry")).agg(F.collect_list("entry").alias("entries"))
+    return collected.select(
         F.transform(F.array_sort("entries"), lambda e: e["record"]).alias("records")
     )
 
 
+def rolled_sha256(df: DataFrame, place: str, record: Column, alias: str = "sha256") -> DataFrame:
+    """SHA-256 of a list of any length, ordered by a whole number of its own for every record.
+
+    The records of every ``ROLL`` places are hashed as one JSON array, then those
+    digests with the number of their block likewise, four times in all: no task
+    holds more than ``ROLL`` records, for lists of up to ROLL**4 places.
+    """
+    level = df.select(F.col(place).cast("bigint").alias("at"), canonical_json(record).alias("digest"))
+    for step in range(4):
+        block = F.floor(F.col("at") / ROLL) if step < 3 else F.lit(0).cast("bigint")
+        entry = F.struct("at", "digest")
+        level = level.groupBy(block.alias("block")).agg(
+            F.sha2(canonical_json(F.array_sort(F.collect_list(entry))), 256).alias("digest")
+        ).withColumnRenamed("block", "at")
+    return level.select(F.col("digest").alias(alias))
+
+
 def list_sha256(df: DataFrame, order: str, record: Column, alias: str = "sha256") -> DataFrame:
     """SHA-256 of the canonical JSON array of ``record`` in ``order``."""
     listed = ordered_list(df, order, record)
@@ -53,7 +69,7 @@ def header_sha256(columns: DataFrame, order: str = "position") -> DataFrame:
 
 
 def snapshot_sha256(pages: DataFrame) -> DataFrame:
-    """Identity of an ordered page set."""
+    """Identity of the ordered page set of one published snapshot, as its manifest lists it."""
     identity = F.struct(
         "byte_count", "content_sha256", "page_index", "record_count", "result_offset"
     )
@@ -93,21 +109,29 @@ def page_order_violations(
 ) -> DataFrame:
     """Neighbouring records of an ordered page set whose keys do not increase.
 
-    Records sit at ``offset + position``. Each record is matched with the next
-    one by that place, an equi-join that spreads over the cluster, instead of
-    one window over all rows.
+    Neighbours are the records that follow each other, whatever the gap in their
+    places. Within a page that is a window on the page; across pages the last
+    record of one is compared with the first of the next that has records, from
+    one row a page.
     """
     placed = rows.select(
         F.col(page).alias("page"),
-        (F.col(offset) + F.col(position)).cast("bigint").alias("place"),
+        F.col(offset).cast("bigint").alias("offset"),
+        F.col(position).cast("bigint").alias("position"),
         F.col(key).alias("key"),
     )
-    following = placed.select(
-        (F.col("place") - 1).alias("place"),
-        F.col("page").alias("next_page"),
-        F.col("key").alias("next_key"),
+    inside = Window.partitionBy("page", "offset").orderBy("position")
+    near = placed.withColumns({"next_page": F.col("page"), "next_key": F.lead("key").over(inside)})
+    record = F.struct("position", "key")
+    ends = placed.groupBy("page", "offset").agg(F.min(record).alias("head"), F.max(record).alias("tail"))
+    following = F.struct("page", F.col("head.key").alias("key"))
+    pages = with_next(ordered(ends, [F.col("offset"), F.col("page")], "pages"), following, "after")
+    across = pages.select(
+        "page", "offset", F.col("tail.position").alias("position"), F.col("tail.key").alias("key"),
+        F.col("after.page").alias("next_page"), F.col("after.key").alias("next_key"),
     )
-    return placed.join(following, "place").where(F.col("next_key") <= F.col("key"))
+    both = near.select(*across.columns).union(across).where(F.col("next_key") <= F.col("key"))
+    return both.select("page", (F.col("offset") + F.col("position")).alias("place"), "key", "next_page", "next_key")
 
 
 def page_plan_issues(pages: DataFrame, record_count: Column, page_size: int) -> DataFrame:
@@ -252,22 +276,24 @@ def csv_evidence(rows: DataFrame, key: str) -> DataFrame:
 
 
 def row_digest(df: DataFrame, columns: Sequence[str]) -> Column:
-    """SHA-256 of a row as text, NULL and empty text kept apart."""
-    cells = [
-        F.coalesce(F.concat(F.lit("="), F.col(f"`{c}`").cast("string")), F.lit("~"))
-        for c in columns
-    ]
-    return F.sha2(F.concat_ws("\x1f", *cells), 256)
+    """SHA-256 of a row as text: each cell behind its length, a NULL as ``~``."""
+    def cell(c: str) -> Column:
+        text = F.col(f"`{c}`").cast("string")
+        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("~"))
+
+    return F.sha2(F.concat(*(cell(c) for c in columns)), 256)
 
 
 def table_checksum(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One digest of a relation, independent of row order and partitioning.
+    """One digest of a relation and its column names and types, independent of row order and partitioning.
 
     Equal rows are counted first, so copies cost nothing; digests then roll up
     by hash prefix (six digits, three, none), so no task holds more than its
     share of the distinct rows, and at most 4,096 digests above that.
     """
     names = sorted(columns or df.columns)
+    kinds = dict(df.dtypes)
+    heading = ",".join(f"{c}:{kinds[c]}" for c in names)
     counted = df.select(row_digest(df, names).alias("h")).groupBy("h").agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -280,4 +306,8 @@ def table_checksum(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
             F.sha2(F.concat_ws("\n", F.array_sort(F.collect_list("digest"))), 256).alias("digest"),
             F.sum("n").alias("n"),
         )
-    return level.select(F.col("digest").alias("checksum"), F.col("n").alias("row_count"))
+    total = level.agg(F.max("digest").alias("digest"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    return total.select(
+        F.sha2(F.concat_ws("\n", F.lit(heading), F.coalesce("digest", F.lit(""))), 256).alias("checksum"),
+        F.col("n").alias("row_count"),
+    )

@@ -1,35 +1,23 @@
 """Exact continuous quantile (type 7) on decimals, global or per group.
 
-No task ever sorts a whole group. Values are first counted per distinct value
-with a map-side combine. Each pass then splits the current range of values into
-at most ``SPLITS`` ordered parts, counts them, keeps the one or two parts that
-hold the wanted order statistics, and hands only those to the next pass. What a
-running count sees is bounded by ``SPLITS`` per group, whatever the data.
+Values are counted per distinct value with a map-side combine; the counts are put
+in order by range partitioning and stored. A value's rank is the count before its
+part plus the count before it in its part, so no task sees more than one part,
+however the values are spread and however many rows a group has. Counting and
+ranking use the declared type; only the last step, on two values a group, is wider.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WORKING = "decimal(30,10)"
-SPLITS = 65_536
-# The first split is by magnitude: 256 parts per power of two. A decimal(30,10)
-# spans about 100 powers of two on each side of zero, so 51,200 parts at most.
-_PER_OCTAVE, _SHIFT = 256, 10_000
+from plumbmart.operators.ordering import ordered, running_sum
+from plumbmart.operators.relational import one_row
 
-
-def _by_magnitude() -> Column:
-    size = F.floor(F.log2(F.abs(F.col("_x"))) * _PER_OCTAVE) + _SHIFT
-    return F.when(F.col("_x") == 0, F.lit(0)).otherwise(size * F.signum("_x").cast("bigint"))
-
-
-def _evenly() -> Column:
-    width = F.col("_max") - F.col("_min")
-    part = F.floor((F.col("_x") - F.col("_min")) / width * SPLITS)
-    return F.when(width > 0, part).otherwise(F.lit(0))
+RESULT = "decimal(38,10)"
 
 
 def exact_quantile(
@@ -39,81 +27,65 @@ def exact_quantile(
     by: Sequence[str] = (),
     numerator: int = 3,
     denominator: int = 4,
-    passes: int = 3,
     alias: str = "quantile",
 ) -> DataFrame:
     """``by`` columns, ``alias`` (decimal(38,10)) and ``value_count``.
 
-    Splits are computed on doubles, which is safe because only order matters: the
-    conversion never reverses two values and never parts equal ones. The values
-    kept and the interpolation are exact decimals, truncated at the tenth place.
-    ``passes`` decides how few distinct values the last step sees: about
-    0.003 * magnitude * 10^scale / 65,536^(passes - 1). Two suffice for shares at
-    scale 10 and for prices at scale 2, three for rates up to 10^5 at scale 10.
+    The interpolation is exact, truncated at the tenth place.
     """
     by = list(by)
-    scope = (
+    counted = (
         df.where(F.col(value).isNotNull())
         .groupBy(*by, value)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*by, F.col(value).cast(WORKING).alias("_v"), "_n")
-        .withColumn("_x", F.col("_v").cast("double"))
+        .withColumnRenamed(value, "_v")
     )
-    place = ["_before", "_lo", "_hi", "_total"]
-    keys = by
-    for depth in range(passes + 1):
-        last = depth == passes
-        part = "_v" if last else f"_part{depth}"
-        if not last:
-            scope = scope.withColumn(part, _evenly() if depth else _by_magnitude())
-        counted = scope.groupBy(*keys, part).agg(
-            F.sum("_n").alias("_n"),
-            F.min("_x").alias("_min"),
-            F.max("_x").alias("_max"),
-            *(F.first(c).alias(c) for c in (place if depth else ())),
-        )
-        group = Window.partitionBy(*keys)
-        earlier = group.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-        prior = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
-        if depth:
-            counted = counted.withColumn("_before", F.col("_before") + prior)
-        else:
-            rank = (F.sum("_n").over(group) - 1) * numerator
-            counted = counted.withColumns(
-                {
-                    "_before": prior,
-                    "_lo": F.floor(rank / denominator),
-                    "_hi": F.ceil(rank / denominator),
-                    "_total": F.sum("_n").over(group),
-                }
-            )
-        wanted = _holds("_lo") | _holds("_hi")
-        kept = counted.where(wanted)
-        if not last:
-            kept = kept.select(*keys, part, *place, "_min", "_max")
-            # without groups at most two parts are kept, which bounds the broadcast
-            narrowed = kept if by else F.broadcast(kept)
-            keys = [*keys, part]
-            scope = scope.select(*keys, "_v", "_n", "_x").join(narrowed, keys)
-
-    picked = kept.groupBy(*by).agg(
+    table = ordered(counted, [*(F.col(c) for c in by), F.col("_v")], "quantile")
+    ranked = running_sum(table, "_n", "_before")
+    groups = {c: f"_g{i}" for i, c in enumerate(by)}
+    whole = ranked.groupBy(*(F.col(c).alias(g) for c, g in groups.items())).agg(
+        F.sum("_n").alias("_total"), F.min("_before").alias("_start")
+    )
+    if by:
+        same = [F.col(c).eqNullSafe(F.col(g)) for c, g in groups.items()]
+        placed = ranked.join(whole, same).drop(*groups.values())
+    else:
+        placed = ranked.withColumn("_w", one_row(whole)).select("_v", "_n", "_before", "_w._total", "_w._start")
+    rank = (F.col("_total") - 1) * numerator
+    placed = placed.withColumns(
+        {"_at": F.col("_before") - F.col("_start"), "_lo": F.floor(rank / denominator), "_hi": F.ceil(rank / denominator)}
+    )
+    picked = placed.where(_holds("_lo") | _holds("_hi")).groupBy(*by).agg(
         F.max(F.when(_holds("_lo"), F.col("_v"))).alias("_low"),
         F.max(F.when(_holds("_hi"), F.col("_v"))).alias("_high"),
         F.max("_total").alias("_total"),
     )
-    weight = F.pmod((F.col("_total") - 1) * numerator, F.lit(denominator)).cast("decimal(4,0)")
-    rise = ((F.col("_high") - F.col("_low")) * weight).cast("decimal(34,10)")
-    unit = (F.lit(denominator).cast("decimal(4,0)") * F.lit("1E-10").cast("decimal(10,10)")).cast(
-        "decimal(14,10)"
-    )
-    exact = (rise - F.pmod(rise, unit)).cast("decimal(34,10)") / F.lit(denominator).cast("decimal(4,0)")
-    return picked.select(
-        *by,
-        (F.col("_low") + exact).cast("decimal(38,10)").alias(alias),
-        F.col("_total").alias("value_count"),
+    terms = F.array(*(t.cast(RESULT) for t in _interpolation(numerator, denominator)))
+    # a sum keeps scale and width of its type, which the sum of two columns does not
+    each = picked.select(*by, "_total", F.explode(terms).alias("_t"))
+    return each.groupBy(*by, "_total").agg(F.sum("_t").alias("_q")).select(
+        *by, F.col("_q").cast(RESULT).alias(alias), F.col("_total").alias("value_count")
     )
 
 
+def _interpolation(numerator: int, denominator: int) -> list[Column]:
+    """Parts that add up to low + (high - low) * weight, whole numbers and fractions apart."""
+    one, parts = F.lit(1).cast("decimal(1,0)"), F.lit(denominator).cast("decimal(4,0)")
+    weight = F.pmod((F.col("_total") - 1) * numerator, F.lit(denominator)).cast("decimal(4,0)")
+
+    def split(name: str) -> tuple[Column, Column]:
+        x = F.col(name).cast(RESULT)
+        return F.floor(x).cast("decimal(28,0)"), F.pmod(x, one).cast("decimal(10,10)")
+
+    (low, low_rest), (high, high_rest) = split("_low"), split("_high")
+    rise = high - low
+    left = F.pmod(rise, parts).cast("decimal(4,0)")
+    whole = ((rise - left) / parts).cast("decimal(28,0)") * weight
+    rest = ((left + (high_rest - low_rest)) * weight).cast("decimal(24,10)")
+    unit = (parts * F.lit("1E-10").cast("decimal(10,10)")).cast("decimal(14,10)")
+    return [low, low_rest, whole, ((rest - F.pmod(rest, unit)).cast("decimal(24,10)") / parts)]
+
+
 def _holds(rank: str) -> Column:
-    """Whether a counted part contains the (zero-based) rank."""
-    return (F.col(rank) >= F.col("_before")) & (F.col(rank) < F.col("_before") + F.col("_n"))
+    """Whether a counted value covers the (zero-based) rank."""
+    return (F.col(rank) >= F.col("_at")) & (F.col(rank) < F.col("_at") + F.col("_n"))

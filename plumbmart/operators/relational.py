@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# A key counts as hot when it holds at least one row in this many. By
-# construction at most HOT_FRACTION keys can be hot, which bounds the broadcast.
-HOT_FRACTION = 1000
+# Parts that the rows of one key are dealt out to.
+SALTS = 64
+# Copies of a row that are made from one array.
+REPEAT_BLOCK = 1000
 
 
 def one_row(df: DataFrame, *cols: str) -> Column:
@@ -79,16 +80,29 @@ def grain_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return counted.where(F.col("row_count") != 1)
 
 
+def _presence(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Every distinct row of the two sides with its count on either, in one pass."""
+    names = [f"`{c}`" for c in left.columns]
+    tagged = left.select(*names, F.lit(1).alias("__l"), F.lit(0).alias("__r")).union(
+        right.select(*names, F.lit(0), F.lit(1))
+    )
+    return tagged.groupBy(*names).agg(F.sum("__l").alias("__l"), F.sum("__r").alias("__r"))
+
+
 def multiset_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows of either side not matched one for one by the other side."""
-    right = right.select(*left.columns)
-    return left.exceptAll(right).union(right.exceptAll(left))
+    over = _presence(left, right).withColumn("__n", F.abs(F.col("__l") - F.col("__r"))).where("__n > 0")
+    # two short sequences instead of one array as long as the surplus
+    blocks = F.sequence(F.lit(0), F.expr(f"(__n - 1) div {REPEAT_BLOCK}"))
+    here = F.least(F.lit(REPEAT_BLOCK), F.col("__n") - F.col("__b") * REPEAT_BLOCK)
+    repeated = over.withColumn("__b", F.explode(blocks)).withColumn("__i", F.explode(F.sequence(F.lit(1), here)))
+    return repeated.select(*(f"`{c}`" for c in left.columns))
 
 
 def set_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     """Distinct rows found on one side only."""
-    right = right.select(*left.columns)
-    return left.subtract(right).union(right.subtract(left))
+    apart = _presence(left, right).where("(__l > 0) <> (__r > 0)")
+    return apart.select(*(f"`{c}`" for c in left.columns))
 
 
 def cell_differences(
@@ -130,32 +144,27 @@ def scaffold(categories: DataFrame, counted: DataFrame, on: str, count: str) ->
     )
 
 
-def skew_safe_lookup(
-    rows: DataFrame, lookup: DataFrame, keys: Sequence[str], weight: str
-) -> DataFrame:
-    """Inner join of ``rows`` to a lookup that is unique per key.
+def later_occurrences(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """Every row after the first of its key, with the place of that first row.
 
-    ``weight`` is the number of rows per key. Keys holding at least one row in
-    ``HOT_FRACTION`` are joined by broadcast (never more than ``HOT_FRACTION``
-    of them exist), so no hot key reaches a shuffle; the rest join by shuffle.
+    Rows of a key that tie on ``order`` are told apart: one of them may be the
+    first, the others are later. Rows with a NULL in the key belong to no key and
+    are left out. Keys are dealt out to ``SALTS`` parts each, so a key with a
+    third of all rows spreads; what is compared per key is one row a part.
     """
     keys = list(keys)
-    total = lookup.agg(F.sum(weight)).scalar()
-    hot = F.col(weight) * HOT_FRACTION >= total
-    hot_keys = F.broadcast(lookup.where(hot))
-    by_broadcast = rows.join(hot_keys, keys, "inner")
-    by_shuffle = rows.join(F.broadcast(lookup.where(hot).select(*keys)), keys, "left_anti").join(
-        lookup.where(~hot), keys, "inner"
-    )
-    return by_broadcast.unionByName(by_shuffle)
-
-
-def later_occurrences(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """Every row after the first of its key, with the place of that first row."""
-    firsts = (
-        df.groupBy(*keys)
-        .agg(F.min(order).alias("first_seen_at"), F.count(F.lit(1)).alias("key_row_count"))
-        .where(F.col("key_row_count") > 1)
+    some = df.dropna(subset=keys).withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
+    # ties of one part are equal rows, or as good as: any order of them will do
+    inside = Window.partitionBy(*keys, "__salt").orderBy(order)
+    placed = some.withColumn("__rn", F.row_number().over(inside))
+    place = F.struct(F.col(order).alias("o"), F.col("__salt").alias("s"), F.col("__rn").alias("n"))
+    parts = some.groupBy(*keys, "__salt").agg(F.min(order).alias("__o"), F.count(F.lit(1)).alias("__c"))
+    every = Window.partitionBy(*keys)
+    first = F.min(F.struct(F.col("__o").alias("o"), F.col("__salt").alias("s"))).over(every)
+    known = parts.withColumns({"__first": first, "key_row_count": F.sum("__c").over(every)})
+    known = known.where(F.col("key_row_count") > 1).select(*keys, "__salt", "__first", "key_row_count")
+    found = placed.join(known, [*keys, "__salt"])
+    later = place > F.struct(F.col("__first.o").alias("o"), F.col("__first.s").alias("s"), F.lit(1).alias("n"))
+    return found.where(later).select(
+        *(f"`{c}`" for c in df.columns), F.col("__first.o").alias("first_seen_at"), "key_row_count"
     )
-    found = skew_safe_lookup(df, firsts, keys, "key_row_count")
-    return found.where(F.col(order) > F.col("first_seen_at"))

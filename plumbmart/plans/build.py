@@ -37,7 +37,7 @@ MODELS: dict[str, Model] = {
     "stg_cms_dialysis_facility": Model((_FACILITY,), staging.stg_cms_dialysis_facility, True),
     "dim_county": Model(
         ("stg_cdc_svi_county_2022", "stg_cms_om_gv_county_year", "historical_county_identities"),
-        core.dim_county, False,
+        core.dim_county, True,
     ),
     "dim_year": Model(
         ("stg_cms_om_gv_county_year", "stg_cms_om_gv_benchmark_year"), core.dim_year, False
@@ -55,7 +55,7 @@ MODELS: dict[str, Model] = {
     ),
     "audit_cms_svi_county_reconciliation": Model(
         ("fct_medicare_county_year", "fct_svi_county"),
-        core.audit_cms_svi_county_reconciliation, False,
+        core.audit_cms_svi_county_reconciliation, True,
     ),
     "int_county_screening_threshold": Model(
         ("raw.build_input_audit", "dim_year", "dim_county", "fct_medicare_county_year",

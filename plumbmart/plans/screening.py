@@ -38,7 +38,7 @@ def int_county_screening_threshold(
             F.count_if(unavailable).alias("excluded"),
         )
     )
-    p75 = exact_quantile(current.where(reported(share)), share, passes=2, alias="p75")
+    p75 = exact_quantile(current.where(reported(share)), share, alias="p75")
     stamps = ("source_manifest_run_id", "source_retrieved_at_utc", "source_modified_at")
     cms = one_row(medicare.select(*stamps, "source_content_sha256").distinct())
     svi = one_row(svi_fact.select("svi_vintage", *stamps, "source_snapshot_sha256").distinct())

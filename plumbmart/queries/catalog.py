@@ -22,7 +22,7 @@ from plumbmart.operators import schema_checks as sc
 from plumbmart.operators.quantile import exact_quantile
 from plumbmart.plans import assertions as A
 from plumbmart.plans import quality as Q
-from plumbmart.plans.build import MODELS
+from plumbmart.plans.build import MODELS, plan
 from plumbmart.plans.relations import FOREIGN_KEYS, RELATIONS, columns
 from plumbmart.queries import assertion_sql, oracle
 from plumbmart.queries.inputs import read_table, spark_input
@@ -444,7 +444,7 @@ def line_price_p75(spark, sf):
     prices = read_table(spark, sf, "lineitem").select(
         F.col("l_extendedprice").cast("decimal(18,2)").alias("price")
     )
-    return exact_quantile(prices, "price", passes=2, alias="p75")
+    return exact_quantile(prices, "price", alias="p75")
 
 
 @register(
@@ -458,10 +458,35 @@ def order_price_p75_by_priority(spark, sf):
         "o_orderpriority", "o_orderstatus", F.col("o_totalprice").cast("decimal(18,2)").alias("price")
     )
     return exact_quantile(
-        prices, "price", by=["o_orderpriority", "o_orderstatus"], passes=2, alias="p75"
+        prices, "price", by=["o_orderpriority", "o_orderstatus"], alias="p75"
     )
 
 
+@register(
+    "wide_price_p75_by_status",
+    "with v as (select o_orderstatus, cast(case o_orderkey % 4 when 0 then cast(c as hugeint) * 100000000 * 1000000000000000000"
+    " when 1 then cast(c as hugeint) * 100000000 * 1000000 when 2 then cast(c as hugeint) * 100000000 else cast(c as hugeint) * 1000 end as hugeint) as x"
+    " from (select *, cast(cast(o_totalprice as decimal(18,2)) * 100 as bigint) as c from orders)),"
+    " r as (select *, row_number() over (partition by o_orderstatus order by x) - 1 as spot, count(*) over (partition by o_orderstatus) as n from v),"
+    " p as (select o_orderstatus, any_value(n) as n, max(case when spot = (n - 1) * 3 // 4 then x end) as low,"
+    " max(case when spot = ((n - 1) * 3 + 3) // 4 then x end) as high from r group by 1),"
+    " q as (select o_orderstatus, n, low + (high - low) // 4 * ((n - 1) * 3 % 4) + (high - low) % 4 * ((n - 1) * 3 % 4) // 4 as y from p)"
+    " select o_orderstatus, cast(cast(y // 10000000000 as varchar) || '.' || lpad(cast(y % 10000000000 as varchar), 10, '0') as decimal(38,10)) as p75,"
+    " n as value_count from q",
+)
+def wide_price_p75_by_status(spark, sf):
+    """A quantile over values that spread across thirty powers of ten."""
+    factor = F.expr(
+        "cast(case o_orderkey % 4 when 0 then '1000000000000000000' when 1 then '1000000'"
+        " when 2 then '1' else '0.00001' end as decimal(24,5))"
+    )
+    cents = F.col("o_totalprice").cast("decimal(14,2)")
+    prices = read_table(spark, sf, "orders").select(
+        "o_orderstatus", (cents * factor).cast("decimal(38,10)").alias("price")
+    )
+    return exact_quantile(prices, "price", by=["o_orderstatus"], alias="p75")
+
+
 # -- source contracts -----------------------------------------------------------------------
 
 
@@ -536,27 +561,49 @@ def facility_key_issues(spark, sf):
     )
 
 
+_COPIES = (
+    "select '{code}' as code, {keys}, {order} as row_order, first_seen_at from"
+    " (select *, row_number() over (partition by {keys} order by {order}) as rn,"
+    " min({order}) over (partition by {keys}) as first_seen_at from ({rows})) where rn > 1"
+)
+
+
 @register(
     "duplicate_county_codes",
     oracle.with_relations(
         ["raw_vulnerability"],
-        "select 'duplicate_county_fips' as code, STCNTY, row_order, first_seen_at from"
-        " (select STCNTY, cast(GRASP_ID as bigint) as row_order,"
-        " min(cast(GRASP_ID as bigint)) over (partition by STCNTY) as first_seen_at"
-        " from raw_vulnerability) where row_order > first_seen_at",
+        _COPIES.format(
+            code="duplicate_county_fips", keys="STCNTY", order="place",
+            rows="select STCNTY, cast(GRASP_ID as bigint) as place from raw_vulnerability"
+            " where regexp_full_match(STCNTY, '[0-9]{5}')",
+        ),
     ),
 )
 def duplicate_county_codes(spark, sf):
     rows = spark_input(spark, sf, "raw_vulnerability").withColumn(
         "row_order", F.col(C.OBJECT_ID).cast("bigint")
     )
-    return rc.duplicate_key_issues(rows, ["STCNTY"], "row_order", "duplicate_county_fips")
+    well_formed = tk.full_match(F.col("STCNTY"), "[0-9]{5}")
+    return rc.duplicate_key_issues(rows, ["STCNTY"], "row_order", "duplicate_county_fips", well_formed)
+
+
+@register(
+    "duplicate_line_grain",
+    _COPIES.format(
+        code="duplicate_grain", keys="l_partkey, l_suppkey", order="place",
+        rows="select l_partkey, l_suppkey, l_orderkey * 10 + l_linenumber as place from lineitem",
+    ),
+)
+def duplicate_line_grain(spark, sf):
+    """Later lines of a part and supplier, by their position in the table."""
+    lines = read_table(spark, sf, "lineitem").withColumn("place", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+    return rc.duplicate_key_issues(lines, ["l_partkey", "l_suppkey"], "place", "duplicate_grain")
 
 
 def _announced(spark, sf):
-    """A column list at scale: one entry per newest order, named by its customer."""
+    """A column list at scale: one entry per order, named by its customer."""
     customers = read_table(spark, sf, "customer")
-    return _newest_orders(spark, sf).join(
+    return read_table(spark, sf, "orders").join(
         customers, F.col("o_custkey") == F.col("c_custkey")
     ).select(
         F.col("c_name").alias("name"),
@@ -568,7 +615,7 @@ def _announced(spark, sf):
 _ANNOUNCED = (
     "with announced as (select c_name as name, c_mktsegment as declared_type,"
     " c_mktsegment || c_nationkey as header from orders join customer on o_custkey = c_custkey"
-    f" where {_NEWEST}), seen as (select name, count(*) as n, min(declared_type) as t,"
+    "), seen as (select name, count(*) as n, min(declared_type) as t,"
     " min(header) as h from announced group by 1), headers as (select header, count(*) as hn"
     " from announced group by 1) "
 )
@@ -773,14 +820,16 @@ def nation_list_hash(spark, sf):
 
 @register(
     "order_page_order_violations",
-    "select a.o_orderkey // 1000 as page, a.o_orderkey as place, cast(a.o_orderdate as date) as key,"
-    " b.o_orderkey // 1000 as next_page, cast(b.o_orderdate as date) as next_key from orders a join orders b"
-    " on b.o_orderkey = a.o_orderkey + 1 where b.o_orderdate <= a.o_orderdate",
+    "with placed as (select o_orderkey // 1000 as page, o_orderkey // 1000 * 5000 + o_orderkey % 1000 as place,"
+    " cast(o_orderdate as date) as key from orders),"
+    " near as (select *, lead(page) over (order by place) as next_page, lead(key) over (order by place) as next_key from placed)"
+    " select * from near where next_key <= key",
 )
 def order_page_order_violations(spark, sf):
+    """Order dates that do not rise, in pages whose offsets leave gaps."""
     orders = read_table(spark, sf, "orders").select(
         F.expr("o_orderkey div 1000").alias("page"),
-        F.expr("o_orderkey div 1000 * 1000").alias("offset"),
+        F.expr("o_orderkey div 1000 * 5000").alias("offset"),
         F.expr("o_orderkey % 1000").alias("position"),
         F.to_date("o_orderdate").alias("o_orderdate"),
     )
@@ -824,7 +873,7 @@ def _paged(spark, sf):
 
     members = [F.concat(F.lit(f'"{n}":'), token(n)) for n in C.VULNERABILITY_COLUMNS]
     record = F.concat(F.lit('{"attributes":{'), F.concat_ws(",", *members), F.lit("}}"))
-    placed = F.struct(F.col(C.OBJECT_ID).cast("int").alias("id"), record.alias("body"))
+    placed = F.struct(F.col(C.OBJECT_ID).cast("bigint").alias("id"), record.alias("body"))
     # a page holds the records of one 2,000-row offset, which bounds each group
     pages = rows.groupBy("source_page_index").agg(
         F.array_sort(F.collect_list(placed)).alias("records")
@@ -841,7 +890,7 @@ def _paged(spark, sf):
 
 _POSITIONED = (
     f"(select source_page_index, {', '.join(C.VULNERABILITY_COLUMNS)}, cast(row_number() over"
-    " (partition by source_page_index order by cast(GRASP_ID as integer)) - 1 as integer)"
+    " (partition by source_page_index order by cast(GRASP_ID as bigint)) - 1 as integer)"
     " as position from raw_vulnerability)"
 )
 
@@ -915,14 +964,18 @@ def medicare_csv_scan(spark, sf):
 # -- checksums ---------------------------------------------------------------------------
 
 
-def _checksum_sql(select: str, names: list[str]) -> str:
-    cells = ", ".join(f"coalesce('=' || cast({n} as varchar), '~')" for n in sorted(names))
+def _checksum_sql(select: str, kinds: dict[str, str]) -> str:
+    """The statement over the relation's columns with the types that the checksum names."""
+    cells = " || ".join(
+        f"coalesce(cast(length(cast({n} as varchar)) as varchar) || ':' || cast({n} as varchar), '~')" for n in sorted(kinds)
+    )
+    heading = ",".join(f"{n}:{kinds[n]}" for n in sorted(kinds))
     fold = "sha256(string_agg(digest, chr(10) order by digest)) as digest, sum(n) as n"
     return (
-        f"select digest as checksum, cast(n as bigint) as row_count from (select {fold} from"
+        f"select sha256('{heading}' || chr(10) || digest) as checksum, cast(n as bigint) as row_count from (select {fold} from"
         f" (select left(prefix, 3) as prefix, {fold} from (select left(h, 6) as prefix, {fold} from"
         " (select h, h || ':' || count(*) as digest, count(*) as n from"
-        f" (select sha256(concat_ws(chr(31), {cells})) as h from ({select})) group by h)"
+        f" (select sha256({cells}) as h from ({select})) group by h)"
         " group by 1) group by 1))"
     )
 
@@ -937,7 +990,10 @@ _ORDER_TEXT = (
     "order_checksum",
     _checksum_sql(
         f"select {', '.join(_ORDER_TEXT)} from orders",
-        [text.split()[-1] for text in _ORDER_TEXT],
+        {
+            "o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "price": "decimal(18,2)",
+            "day": "date", "o_orderpriority": "string",
+        },
     ),
 )
 def order_checksum(spark, sf):
@@ -946,7 +1002,7 @@ def order_checksum(spark, sf):
 
 @register(
     "document_checksum",
-    _checksum_sql("select lang, source, text from documents", ["lang", "source", "text"]),
+    _checksum_sql("select lang, source, text from documents", {"lang": "string", "source": "string", "text": "string"}),
 )
 def document_checksum(spark, sf):
     return ev.table_checksum(read_table(spark, sf, "documents").select("lang", "source", "text"))
@@ -956,8 +1012,51 @@ def document_checksum(spark, sf):
     "mart_checksum",
     oracle.with_relations(
         ["mart_county_screening"],
-        _checksum_sql("select * from mart_county_screening", columns("mart_county_screening")),
+        _checksum_sql("select * from mart_county_screening", {f.name: f.type for f in RELATIONS["mart_county_screening"]}),
     ),
 )
 def mart_checksum(spark, sf):
     return ev.table_checksum(mart(spark, sf)["mart_county_screening"])
+
+
+@register(
+    "mart_rebuild_equality",
+    "select relation, true as equal from (values ('dim_county'), ('audit_cms_svi_county_reconciliation')) t(relation)",
+)
+def mart_rebuild_equality(spark, sf):
+    """Whether models built once more from the raw tables have the checksums of the stored ones."""
+    tables = mart(spark, sf)
+    raw = {n: t for n, t in tables.items() if n not in MODELS}
+    names = ("dim_county", "audit_cms_svi_county_reconciliation")
+    again = plan(raw, names)
+    parts = [
+        ev.table_checksum(again[n]).select(
+            F.lit(n).alias("relation"),
+            F.col("checksum").eqNullSafe(ev.table_checksum(tables[n]).select("checksum").scalar()).alias("equal"),
+        )
+        for n in names
+    ]
+    return reduce(DataFrame.union, parts)
+
+
+def _rolled_sql(records: str, levels: int) -> str:
+    """Digests of digests over ``records`` (spot, digest), 4096 places at a time."""
+    parts = [f"level0 as ({records})"]
+    for k in range(levels):
+        block = "spot // 4096" if k < levels - 1 else "0"
+        entry = "'{\"at\":' || spot || ',\"digest\":' || to_json(digest) || '}'"
+        parts.append(
+            f"level{k + 1} as (select {block} as spot, sha256('[' || string_agg({entry}, ',' order by spot) || ']') as digest"
+            f" from level{k}" + (f" group by {block})" if k < levels - 1 else ")")
+        )
+    return f"with {', '.join(parts)} select digest as sha256 from level{levels}"
+
+
+@register(
+    "document_list_hash",
+    _rolled_sql("select doc_id as spot, '{\"content_sha256\":\"' || sha256(text) || '\"}' as digest from documents", 4),
+)
+def document_list_hash(spark, sf):
+    """One digest of the ordered list of all document fingerprints."""
+    documents = read_table(spark, sf, "documents").select("doc_id", F.sha2("text", 256).alias("content_sha256"))
+    return ev.rolled_sha256(documents, "doc_id", F.struct("content_sha256"))

@@ -266,7 +266,7 @@ INPUTS: dict[str, tuple[tuple[str, ...], str]] = {
         f"select state as ST, n_name as STATE, label as ST_ABBR,"
         " case when k % 401 = 0 then 'ABCDE' else code end as STCNTY,"
         " case when k % 409 = 0 then ' ' else c_name end as COUNTY,"
-        f" {_scores()}, cast(k % 2000000000 + 1 as string) as GRASP_ID,"
+        f" {_scores()}, cast(k + 1 as string) as GRASP_ID,"
         f" {_lineage(C.VULNERABILITY, 'vulnerability', 'source_snapshot_sha256')},"
         " k $div 2000 as source_page_index, k $div 2000 * 2000 as source_page_offset,"
         " $sha('page-' || cast(k $div 2000 as string)$bits) as source_page_sha256"

@@ -24,14 +24,25 @@ def test_list_hashes_equal_canonical_json(spark):
     assert ev.snapshot_sha256(pages).collect()[0][0] == sha(compact(want))
 
 
-def test_too_long_a_list_is_refused(spark, monkeypatch):
-    monkeypatch.setattr(ev, "LIST_LIMIT", 2)
-    with pytest.raises(Exception, match="too long"):
-        ev.header_sha256(columns_frame(spark, ["a", "b", "c"])).collect()
-
-
-def brute_checksum(rows):
-    digests = [sha("\x1f".join("~" if v is None else f"={v}" for v in r)) for r in rows]
+def test_rolled_hash_depends_on_place_and_content(spark, monkeypatch):
+    monkeypatch.setattr(ev, "ROLL", 3)
+    def digest(rows):
+        df = spark.createDataFrame(rows, "at bigint, v string").repartition(3)
+        return ev.rolled_sha256(df, "at", F.struct("v")).collect()[0][0]
+
+    rows = [(i, f"v{i}") for i in range(40)]
+    level = [(i, compact({"v": v})) for i, v in rows]
+    for step in range(4):
+        blocks = {}
+        for at, d in level:
+            blocks.setdefault(at // 3 if step < 3 else 0, []).append({"at": at, "digest": d})
+        level = [(b, sha(compact(entries))) for b, entries in sorted(blocks.items())]
+    assert digest(rows) == digest(rows[::-1]) == level[0][1]
+    assert digest(rows[:-1]) != digest(rows) != digest([(41 if i == 39 else i, v) for i, v in rows])
+
+
+def brute_checksum(rows, heading="k:string,v:string"):
+    digests = [sha("".join("~" if v is None else f"{len(v)}:{v}" for v in r)) for r in rows]
     counts = {h: digests.count(h) for h in set(digests)}
     level = [(h[:6], f"{h}:{n}") for h, n in counts.items()]
     for width in (6, 3, 0):
@@ -39,7 +50,17 @@ def brute_checksum(rows):
         for prefix, digest in level:
             groups.setdefault(prefix[:width], []).append(digest)
         level = [(p, sha("\n".join(sorted(d)))) for p, d in groups.items()]
-    return level[0][1]
+    return sha(heading + "\n" + level[0][1])
+
+
+def test_checksum_tells_cells_names_and_types_apart(spark):
+    checksum = lambda rows, kind: ev.table_checksum(spark.createDataFrame(rows, kind)).collect()[0].checksum
+    base = checksum([("a\x1f=b", "c")], "k string, v string")
+    assert base != checksum([("a", "b\x1f=c")], "k string, v string")
+    assert base != checksum([("a\x1f=b", "c")], "k string, w string")
+    assert checksum([(1,)], "k int") != checksum([(1,)], "k bigint")
+    assert checksum([("~",)], "k string") != checksum([(None,)], "k string")
+    assert ev.table_checksum(spark.createDataFrame([], "k string")).collect()[0].row_count == 0
 
 
 def test_checksum_ignores_order_and_partitions_but_not_content(spark):
@@ -57,6 +78,9 @@ def test_page_order_and_evidence(spark):
     df = spark.createDataFrame(rows, "page int, offset int, pos int, id int")
     bad = ev.page_order_violations(df, "page", "offset", "id", "pos").collect()
     assert [(r.page, r.place, r.key, r.next_key) for r in bad] == [(0, 1, 2, 2)]
+    gaps = spark.createDataFrame([(0, 0, 0, 10), (0, 0, 1, 11), (1, 4, 0, 5), (1, 4, 1, 6), (3, 90, 2, 6)], "page int, offset int, pos int, id int")
+    bad = ev.page_order_violations(gaps, "page", "offset", "id", "pos").collect()
+    assert sorted((r.page, r.place, r.key, r.next_page, r.next_key) for r in bad) == [(0, 1, 11, 1, 5), (1, 5, 6, 3, 6)]
     got = ev.page_evidence(df, ["page"], "id", "pos").orderBy("page").collect()
     assert [(r.record_count, r.first_key, r.last_key) for r in got] == [(2, 1, 2), (2, 2, 5)]
 

@@ -1,6 +1,6 @@
 import math
 import random
-from decimal import ROUND_DOWN, Decimal
+from decimal import ROUND_DOWN, Decimal, getcontext
 
 import pytest
 
@@ -11,6 +11,7 @@ TENTH = Decimal("0.0000000001")
 
 def brute(values, num=3, den=4):
     """Sort and interpolate; truncation applies to the rise, as values are exact."""
+    getcontext().prec = 60
     values = sorted(values)
     place = (len(values) - 1) * num
     lo, w = divmod(place, den)
@@ -27,8 +28,7 @@ def frame(spark, rows):
 
 def test_published_example(spark):
     rows = [("a", Decimal(v)) for v in ("0.01", "0.02", "0.03", "0.04")]
-    assert exact_quantile(frame(spark, rows), "v", passes=2).collect()[0].quantile == \
-        Decimal("0.0325000000")
+    assert exact_quantile(frame(spark, rows), "v").collect()[0].quantile == Decimal("0.0325000000")
 
 
 def test_groups_against_brute_force(spark):
@@ -45,16 +45,16 @@ def test_groups_against_brute_force(spark):
         assert got[g].value_count == len(values)
 
 
-@pytest.mark.parametrize("passes", [1, 2, 4])
-def test_wide_magnitudes_and_close_values(spark, passes):
+@pytest.mark.parametrize("seed", [1, 2, 4])
+def test_wide_magnitudes_and_close_values(spark, seed):
     """Huge, tiny, equal-as-double and negative values in one group."""
-    random.seed(passes)
-    values = [Decimal(10) ** random.randint(-10, 18) * random.choice([1, -1]) for _ in range(150)]
+    random.seed(seed)
+    values = [Decimal(10) ** random.randint(-10, 26) * random.choice([1, -1]) for _ in range(150)]
     close = Decimal("12345678901234567.0000000001")
     values += [close + TENTH * i for i in range(120)]
     for part in (values, values[:150], values[150:]):
         rows = [("a", v) for v in part]
-        got = exact_quantile(frame(spark, rows), "v", passes=passes).collect()[0]
+        got = exact_quantile(frame(spark, rows), "v").collect()[0]
         assert got.quantile == brute(part)
 
 

@@ -51,16 +51,23 @@ def test_one_row_refuses_two(spark):
         spark.range(1).withColumn("x", R.one_row(two)).collect()
 
 
-@pytest.mark.parametrize("fraction", [1, 4, 1000])
-def test_later_occurrences_with_a_hot_key_equals_brute_force(spark, monkeypatch, fraction):
-    monkeypatch.setattr(R, "HOT_FRACTION", fraction)
-    data = [("hot", i) for i in range(0, 300, 3)] + [(f"k{i % 70}", i) for i in range(1, 200, 3)]
-    df = spark.createDataFrame(data, "k string, o int")
-    first = {}
-    for k, o in data:
-        first[k] = min(o, first.get(k, o))
-    want = sorted((k, o, first[k]) for k, o in data if o > first[k])
-    assert rows(R.later_occurrences(df, ["k"], "o").select("k", "o", "first_seen_at")) == want
+@pytest.mark.parametrize("salts", [1, 4, 64])
+def test_later_occurrences_with_a_hot_key_and_ties_equals_brute_force(spark, monkeypatch, salts):
+    monkeypatch.setattr(R, "SALTS", salts)
+    data = [("hot", i // 2, i) for i in range(0, 300, 3)] + [(f"k{i % 70}", i, 0) for i in range(1, 200, 3)]
+    data += [("tie", 7, 0)] * 3 + [("tie", 7, 1), (None, 1, 1), (None, 1, 2)]
+    df = spark.createDataFrame(data, "k string, o int, x int")
+    want = []
+    for key in {k for k, _, _ in data if k is not None}:
+        mine = sorted(o for k, o, _ in data if k == key)
+        want += [(key, o, mine[0]) for o in mine[1:]]
+    assert rows(R.later_occurrences(df, ["k"], "o").select("k", "o", "first_seen_at")) == sorted(want)
+
+
+def test_surplus_copies_are_repeated(spark, monkeypatch):
+    monkeypatch.setattr(R, "REPEAT_BLOCK", 4)
+    a, b = keyed(spark, ["x"] * 14 + ["y"]), keyed(spark, ["x"] * 3 + ["y"] * 6)
+    assert rows(R.multiset_difference(a, b)) == [("x",)] * 11 + [("y",)] * 5
 
 
 def test_mutations_change_only_what_they_name(spark):
