@@ -118,11 +118,11 @@ from kinds join (select row, score from scores) using (row), edge
 #: Brute force over all pairs of equal label.
 OP4 = """
 with recursive v as materialized (
-  select vec_id, label, cast(embedding as double[]) as e, label is not null and embedding is not null
-    and coalesce(list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x))), false) and coalesce(list_bool_or(list_transform(embedding, lambda x: x <> 0)), false) as some
-  from embeddings
+  select vec_id, label, case when fit then cast(embedding as double[]) end as e, fit from (select *, label is not null and embedding is not null
+    and coalesce(list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x))), false) and coalesce(list_bool_or(list_transform(embedding, lambda x: x <> 0)), false) as fit
+  from embeddings)
 ), links as materialized (
-  select a.vec_id as x, b.vec_id as y from v a join v b on a.label = b.label and a.vec_id <> b.vec_id and a.some and b.some and len(a.e) = len(b.e)
+  select a.vec_id as x, b.vec_id as y from v a join v b on a.label = b.label and a.vec_id <> b.vec_id and a.fit and b.fit and len(a.e) = len(b.e)
   where list_cosine_similarity(a.e, b.e) >= 0.93
 ), reach as (select vec_id as x, vec_id as y from v union select r.x, l.y from reach r join links l on r.y = l.x),
 counted as (select x, count(*) as n from links group by x)
