@@ -169,8 +169,9 @@ def period_end(text: Column | str) -> Column:
 
 
 def epoch_millis_text(millis: Column | str) -> Column:
-    """Epoch milliseconds as UTC text to the second, in any session time zone."""
-    utc = F.to_utc_timestamp(F.timestamp_millis(_col(millis)), F.current_timezone())
+    """Epoch milliseconds as UTC text to the second, in any session time zone; NULL below 1."""
+    later = F.when(_col(millis) >= 1, _col(millis))
+    utc = F.to_utc_timestamp(F.timestamp_millis(later), F.current_timezone())
     return F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 

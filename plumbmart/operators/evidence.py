@@ -94,13 +94,15 @@ def input_set_sha256(audits: DataFrame, format_version: int) -> DataFrame:
 
 
 def page_evidence(rows: DataFrame, page: Sequence[str], key: str, position: str) -> DataFrame:
-    """Record count, first and last key and strict order within each page."""
-    return rows.groupBy(*page).agg(
+    """Record count, first and last key of each page, and its records whose key does not rise."""
+    before = F.lag(key).over(Window.partitionBy(*page).orderBy(position))
+    return rows.withColumn("_before", before).groupBy(*page).agg(
         F.count(F.lit(1)).alias("record_count"),
         F.min_by(key, position).alias("first_key"),
         F.max_by(key, position).alias("last_key"),
         F.min(key).alias("min_key"),
         F.max(key).alias("max_key"),
+        F.count_if(F.col(key) <= F.col("_before")).alias("unordered_count"),
     )
 
 
@@ -181,6 +183,26 @@ def page_set_summary(
     )
 
 
+def page_set_issues(summary: DataFrame, announced: Column) -> DataFrame:
+    """The rules that a page set's summary breaks, with the counts found and wanted."""
+    found, n = F.col, F.col("record_count")
+    rules = (
+        ("record_count_mismatch", n, announced),
+        ("object_ids_not_distinct", found("distinct_object_ids"), n),
+        ("counties_not_distinct", found("distinct_county_fips"), n),
+        ("district_missing", found("district_present").cast("bigint"), F.lit(1)),
+        ("territory_present", found("territory_row_count"), F.lit(0)),
+    )
+    checked = [
+        F.when(
+            seen != want,
+            F.struct(F.lit(code).alias("code"), seen.cast("bigint").alias("found"), want.cast("bigint").alias("wanted")),
+        )
+        for code, seen, want in rules
+    ]
+    return summary.select(F.explode(F.array_compact(F.array(*checked))).alias("issue")).select("issue.*")
+
+
 # -- recorded against recomputed ------------------------------------------------------
 
 
@@ -272,6 +294,31 @@ def csv_evidence(rows: DataFrame, key: str) -> DataFrame:
     )
 
 
+def file_shape(
+    rows: DataFrame, header: Sequence[str], published: Sequence[str], keys: Sequence[str], announced: Column
+) -> DataFrame:
+    """One row of evidence on a scanned file against what was published about it.
+
+    ``header`` is the file's own list of labels, ``rows`` has at least ``keys``.
+    """
+    listed = sorted({h for h in header if h not in published})
+    repeated = rows.groupBy(*(f"`{k}`" for k in keys)).agg(F.count(F.lit(1)).alias("n"))
+    counted = repeated.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
+        F.count_if(F.col("n") > 1).alias("repeated_key_count"),
+    )
+    labels = F.to_json(F.array(*(F.lit(h) for h in header)))
+    return counted.select(
+        F.lit(list(header) == list(published)).alias("header_as_published"),
+        F.lit(len(set(header)) != len(header)).alias("header_repeats"),
+        F.sha2(labels, 256).alias("header_sha256"),
+        F.lit(len(listed)).alias("additive_columns"),
+        "row_count",
+        (F.col("row_count") == announced).alias("row_count_as_announced"),
+        "repeated_key_count",
+    )
+
+
 # -- checksum of a whole relation --------------------------------------------------------
 
 

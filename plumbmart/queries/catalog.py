@@ -909,7 +909,8 @@ def vulnerability_page_records(spark, sf):
         ["raw_vulnerability"],
         "select source_page_index, count(*) as record_count,"
         " min_by(STCNTY, position) as first_key, max_by(STCNTY, position) as last_key,"
-        f" min(STCNTY) as min_key, max(STCNTY) as max_key from {_POSITIONED} group by 1",
+        " min(STCNTY) as min_key, max(STCNTY) as max_key, count(*) filter (STCNTY <= before) as unordered_count"
+        f" from (select *, lag(STCNTY) over (partition by source_page_index order by position) as before from {_POSITIONED}) group by 1",
     ),
 )
 def vulnerability_page_evidence(spark, sf):
@@ -933,6 +934,42 @@ def vulnerability_page_set_summary(spark, sf):
     )
 
 
+@register(
+    "vulnerability_page_set_issues",
+    oracle.with_relations(
+        ["raw_vulnerability"],
+        "select code, cast(found as bigint) as found, cast(wanted as bigint) as wanted from (select unnest(["
+        "{'code': 'record_count_mismatch', 'found': n, 'wanted': c}, {'code': 'object_ids_not_distinct', 'found': o, 'wanted': n},"
+        " {'code': 'counties_not_distinct', 'found': f, 'wanted': n}, {'code': 'district_missing', 'found': d, 'wanted': 1},"
+        " {'code': 'territory_present', 'found': t, 'wanted': 0}], recursive := true) from (select count(*) as n,"
+        " (select count(*) from customer) as c, count(distinct GRASP_ID) as o, count(distinct STCNTY) as f,"
+        f" max(cast(STCNTY = '11001' as int)) as d, count(*) filter (left(STCNTY, 2) in {oracle.ABROAD}) as t from raw_vulnerability))"
+        " where found <> wanted",
+    ),
+)
+def vulnerability_page_set_issues(spark, sf):
+    """Rules of a complete page set that the loaded one breaks, one county for each customer announced."""
+    announced = read_table(spark, sf, "customer").agg(F.count(F.lit(1))).scalar()
+    return ev.page_set_issues(vulnerability_page_set_summary(spark, sf), announced)
+
+
+@register(
+    "medicare_file_shape",
+    oracle.with_relations(
+        ["raw_medicare"],
+        "select true as header_as_published, false as header_repeats,"
+        " sha256('[' || '" + ",".join(f'"{c}"' for c in C.MEDICARE_COLUMNS) + "' || ']') as header_sha256, 0 as additive_columns,"
+        " cast(sum(n) as bigint) as row_count, sum(n) = (select count(*) from raw_medicare) as row_count_as_announced,"
+        f" count(*) filter (n > 1) as repeated_key_count from (select count(*) as n from raw_medicare group by {', '.join(C.MEDICARE_KEYS)})",
+    ),
+)
+def medicare_file_shape(spark, sf):
+    """Evidence on the Medicare file as written: header, counts and repeated grains."""
+    rows = medicare_csv_scan(spark, sf)
+    announced = spark_input(spark, sf, "raw_medicare").agg(F.count(F.lit(1))).scalar()
+    return ev.file_shape(rows, C.MEDICARE_COLUMNS, C.MEDICARE_COLUMNS, C.MEDICARE_KEYS, announced)
+
+
 @register(
     "facility_file_evidence",
     oracle.with_relations(

@@ -81,10 +81,13 @@ def code_status(x: str, star: bool) -> str:
 
 
 def code_reason(x: str) -> str:
-    from plumbmart.functions.tokens import UNAVAILABILITY_REASONS
-
-    cases = " ".join(f"when '{c}' then '{r}'" for c, r in UNAVAILABILITY_REASONS.items())
-    return f"case trim({x}) {cases} end"
+    return (
+        f"case trim({x}) when '199' then 'insufficient_patients' when '201' then 'data_not_reported'"
+        " when '255' then 'inaccurate_measure' when '258' then 'insufficient_history'"
+        " when '260' then 'insufficient_star_data' when '261' then 'inaccurate_star_component'"
+        " when '270' then 'disaster_suppression' when '280' then 'external_factors'"
+        " when '281' then 'external_factors_star_rating' end"
+    )
 
 
 def period_sql(x: str, part: int) -> str:

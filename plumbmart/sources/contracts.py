@@ -41,9 +41,22 @@ MEDICARE_METRICS = (
     ("er_visits_per_1000_benes", "rate", False),
 )
 MEDICARE_COLUMNS = MEDICARE_KEYS + tuple(m.upper() for m, _, _ in MEDICARE_METRICS)
+# The declared type of every column.
 MEDICARE_TYPES = {
-    name: "text" if name.startswith("BENE_GEO") or name == "BENE_AGE_LVL" else "numeric"
-    for name in MEDICARE_COLUMNS
+    "YEAR": "numeric",
+    "BENE_GEO_LVL": "text",
+    "BENE_GEO_DESC": "text",
+    "BENE_GEO_CD": "text",
+    "BENE_AGE_LVL": "text",
+    "BENES_OM_CNT": "numeric",
+    "MA_PRTCPTN_RATE": "numeric",
+    "BENE_DUAL_PCT": "numeric",
+    "BENES_OP_DLYS_CNT": "numeric",
+    "BENES_OP_DLYS_PCT": "numeric",
+    "OP_DLYS_VISITS_PER_1000_BENES": "numeric",
+    "OP_DLYS_MDCR_STDZD_PYMT_PC": "numeric",
+    "ACUTE_HOSP_READMSN_PCT": "numeric",
+    "ER_VISITS_PER_1000_BENES": "numeric",
 }
 MEDICARE_TYPE_FAMILIES = {
     "text": ("CHAR", "CHARACTER", "STRING", "TEXT", "VARCHAR"),

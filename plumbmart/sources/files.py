@@ -16,8 +16,8 @@ class HeaderError(ValueError):
 
 
 def csv_header(spark: SparkSession, path: str) -> list[str]:
-    """The ordered labels of the header line."""
-    first = spark.read.csv(path, header=False, quote='"', escape='"').head(1)
+    """The ordered labels of the header, which may hold quoted line breaks."""
+    first = spark.read.csv(path, header=False, quote='"', escape='"', multiLine=True).head(1)
     if not first:
         raise HeaderError(f"{path}: empty file")
     return [label if label is not None else "" for label in first[0]]

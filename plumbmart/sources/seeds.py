@@ -7,49 +7,56 @@ from pyspark.sql import DataFrame, SparkSession
 from plumbmart.plans.relations import schema
 from plumbmart.sources.contracts import HISTORICAL_VERSION
 
-_NO_BRIDGE = "No successor allocation or longitudinal bridge is applied."
-
-# States, the note on their boundary change, and for each historical
-# county its code, name and first and last observed year.
-_STATES = {
-    "02": (
-        "Alaska", "AK",
-        "Historical CMS source identity; Alaska county-equivalent boundaries changed.",
-    ),
-    "09": (
-        "Connecticut", "CT",
-        "Historical CMS source identity predates Connecticut planning-region geography in the"
-        " 2022+ current surface.",
-    ),
-    "46": (
-        "South Dakota", "SD",
-        "Historical CMS source identity; the county name and FIPS changed after the observed row.",
-    ),
-}
-_COUNTIES = (
-    ("02261", "Valdez-Cordova", 2014, 2018),
-    ("02270", "Wade Hampton", 2014, 2014),
-    ("09001", "Fairfield", 2014, 2021),
-    ("09003", "Hartford", 2014, 2021),
-    ("09005", "Litchfield", 2014, 2021),
-    ("09007", "Middlesex", 2014, 2021),
-    ("09009", "New Haven", 2014, 2021),
-    ("09011", "New London", 2014, 2021),
-    ("09013", "Tolland", 2014, 2021),
-    ("09015", "Windham", 2014, 2021),
-    ("46113", "Shannon", 2014, 2014),
+# The published seed table, but for its version column.
+_ROWS = (
+    (
+        "02261", "02", "Alaska", "AK", "Valdez-Cordova", "AK-Valdez-Cordova", 2014, 2018, "historical_source_only", False,
+        "Historical CMS source identity; Alaska county-equivalent boundaries changed. No successor allocation or longitudinal bridge is applied.",
+    ),
+    (
+        "02270", "02", "Alaska", "AK", "Wade Hampton", "AK-Wade Hampton", 2014, 2014, "historical_source_only", False,
+        "Historical CMS source identity; Alaska county-equivalent boundaries changed. No successor allocation or longitudinal bridge is applied.",
+    ),
+    (
+        "09001", "09", "Connecticut", "CT", "Fairfield", "CT-Fairfield", 2014, 2021, "historical_source_only", False,
+        "Historical CMS source identity predates Connecticut planning-region geography in the 2022+ current surface. No successor allocation or longitudinal bridge is applied.",
+    ),
+    (
+        "09003", "09", "Connecticut", "CT", "Hartford", "CT-Hartford", 2014, 2021, "historical_source_only", False,
+        "Historical CMS source identity predates Connecticut planning-region geography in the 2022+ current surface. No successor allocation or longitudinal bridge is applied.",
+    ),
+    (
+        "09005", "09", "Connecticut", "CT", "Litchfield", "CT-Litchfield", 2014, 2021, "historical_source_only", False,
+        "Historical CMS source identity predates Connecticut planning-region geography in the 2022+ current surface. No successor allocation or longitudinal bridge is applied.",
+    ),
+    (
+        "09007", "09", "Connecticut", "CT", "Middlesex", "CT-Middlesex", 2014, 2021, "historical_source_only", False,
+        "Historical CMS source identity predates Connecticut planning-region geography in the 2022+ current surface. No successor allocation or longitudinal bridge is applied.",
+    ),
+    (
+        "09009", "09", "Connecticut", "CT", "New Haven", "CT-New Haven", 2014, 2021, "historical_source_only", False,
+        "Historical CMS source identity predates Connecticut planning-region geography in the 2022+ current surface. No successor allocation or longitudinal bridge is applied.",
+    ),
+    (
+        "09011", "09", "Connecticut", "CT", "New London", "CT-New London", 2014, 2021, "historical_source_only", False,
+        "Historical CMS source identity predates Connecticut planning-region geography in the 2022+ current surface. No successor allocation or longitudinal bridge is applied.",
+    ),
+    (
+        "09013", "09", "Connecticut", "CT", "Tolland", "CT-Tolland", 2014, 2021, "historical_source_only", False,
+        "Historical CMS source identity predates Connecticut planning-region geography in the 2022+ current surface. No successor allocation or longitudinal bridge is applied.",
+    ),
+    (
+        "09015", "09", "Connecticut", "CT", "Windham", "CT-Windham", 2014, 2021, "historical_source_only", False,
+        "Historical CMS source identity predates Connecticut planning-region geography in the 2022+ current surface. No successor allocation or longitudinal bridge is applied.",
+    ),
+    (
+        "46113", "46", "South Dakota", "SD", "Shannon", "SD-Shannon", 2014, 2014, "historical_source_only", False,
+        "Historical CMS source identity; the county name and FIPS changed after the observed row. No successor allocation or longitudinal bridge is applied.",
+    ),
 )
 
 
 def historical_county_identities(spark: SparkSession) -> DataFrame:
     """County identities seen in older files but absent from the current index."""
-    rows = []
-    for fips, name, first, last in _COUNTIES:
-        state, abbreviation, note = _STATES[fips[:2]]
-        rows.append(
-            (
-                fips, fips[:2], state, abbreviation, name, f"{abbreviation}-{name}", first, last,
-                "historical_source_only", False, f"{note} {_NO_BRIDGE}", HISTORICAL_VERSION,
-            )
-        )
+    rows = [(*row, HISTORICAL_VERSION) for row in _ROWS]
     return spark.createDataFrame(rows, schema("historical_county_identities"))

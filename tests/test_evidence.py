@@ -100,7 +100,10 @@ def test_page_plan(spark):
 
 def test_page_set_summary(spark):
     df = spark.createDataFrame([("1", "01001"), ("2", "11001"), ("2", "72001")], "id string, fips string")
-    assert tuple(ev.page_set_summary(df, "id", "fips", "11001", ["72"]).collect()[0]) == (3, 2, 3, True, 1)
+    summary = ev.page_set_summary(df, "id", "fips", "11001", ["72"])
+    assert tuple(summary.collect()[0]) == (3, 2, 3, True, 1)
+    issues = sorted(tuple(r) for r in ev.page_set_issues(summary, F.lit(4)).collect())
+    assert issues == [("object_ids_not_distinct", 2, 3), ("record_count_mismatch", 3, 4), ("territory_present", 1, 0)]
 
 
 def test_evidence_differences(spark):
@@ -135,3 +138,5 @@ def test_content_decision_and_file_counts(spark):
         (1, True), (2, False)]
     df = spark.createDataFrame([("01",), ("1",), ("01",)], "`a b` string")
     assert tuple(ev.csv_evidence(df, "a b").collect()[0]) == (3, 2, 2)
+    shape = ev.file_shape(df, ["a b", "x"], ["a b"], ["a b"], F.lit(3)).collect()[0]
+    assert tuple(shape) == (False, False, sha('["a b","x"]'), 1, 3, True, 1)

@@ -76,11 +76,11 @@ def test_numbers_dates_and_flags(spark):
 def test_epoch_text_ignores_the_session_zone(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
-        df = spark.createDataFrame([(1734556371999,), (None,)], "x bigint")
+        df = spark.createDataFrame([(1734556371999,), (None,), (0,), (-1,), (1,)], "x bigint")
         got = [r.y for r in df.select(tk.epoch_millis_text("x").alias("y")).collect()]
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    assert got == ["2024-12-18T21:12:51Z", None]
+    assert got == ["2024-12-18T21:12:51Z", None, None, None, "1970-01-01T00:00:00Z"]
 
 
 def test_triple_names_and_value_status_agreement(spark):
