@@ -51,18 +51,15 @@ def ef_decode(data: bytes | memoryview) -> np.ndarray:
     return (high.astype(np.uint64) << np.uint64(width)) | low
 
 
-def quantised(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(codes, codebook) of probabilities: the nearest of at most 255 values, evenly spread over the sorted ones; 0 stays 0."""
-    some = values > 0
-    logs = np.log10(values[some])
-    kinds = np.unique(logs)
-    if len(kinds) > 255:
-        kinds = np.unique(np.quantile(logs, np.linspace(0, 1, 255)))
-    codes = np.zeros(len(values), np.uint8)
-    if len(kinds):
-        middle = (kinds[1:] + kinds[:-1]) / 2
-        codes[some] = np.searchsorted(middle, logs) + 1
-    return codes, np.concatenate([[0.0], 10**kinds])
+#: The probability of each code: none for 0, then from 1 down to 10 ** -10.
+PROBABILITY = np.concatenate([[0.0], 10.0 ** (-np.arange(255) * 10 / 254)])
+
+
+def quantised(values: np.ndarray) -> np.ndarray:
+    """The nearest code of each probability; 0 stays 0."""
+    with np.errstate(divide="ignore"):
+        steps = np.rint(-np.log10(values) * 254 / 10)
+    return np.where(values > 0, np.clip(steps, 0, 254) + 1, 0).astype(np.uint8)
 
 
 @dataclass
@@ -74,9 +71,7 @@ class Trie:
     pointers: bytes
     successors: bytes
     codes: np.ndarray
-    codebook: np.ndarray
     backoff: np.ndarray
-    backoff_book: np.ndarray
 
     @classmethod
     def build(cls, first: np.ndarray, second: np.ndarray, n: np.ndarray) -> Trie:
@@ -89,29 +84,29 @@ class Trie:
         # discounting); the discount is Ney's estimate from the pairs seen once and twice.
         once, twice = int((n == 1).sum()), int((n == 2).sum())
         discount = min(0.95, max(0.05, once / max(1, once + 2 * twice)))
-        codes, book = quantised((n - discount) / np.repeat(total, sizes) if len(n) else np.zeros(0))
-        back, back_book = quantised(discount * sizes / np.maximum(total, 1))
+        codes = quantised((n - discount) / np.repeat(total, sizes) if len(n) else np.zeros(0))
+        back = quantised(discount * sizes / np.maximum(total, 1))
         base = np.repeat(np.arange(len(contexts), dtype=np.uint64) * np.uint64(max(1, len(words))), sizes)
-        return cls(contexts, words, ef_encode(start.astype(np.uint64)), ef_encode(base + rank.astype(np.uint64)), codes, book, back, back_book)
+        return cls(contexts, words, ef_encode(start.astype(np.uint64)), ef_encode(base + rank.astype(np.uint64)), codes, back)
 
     def to_bytes(self) -> bytes:
-        parts = [x if isinstance(x, bytes) else np.ascontiguousarray(x).tobytes() for x in (self.contexts, self.words, self.pointers, self.successors, self.codes, self.codebook, self.backoff, self.backoff_book)]
+        parts = [x if isinstance(x, bytes) else np.ascontiguousarray(x).tobytes() for x in (self.contexts, self.words, self.pointers, self.successors, self.codes, self.backoff)]
         return np.array([len(p) for p in parts], "<u8").tobytes() + b"".join(parts)
 
     @classmethod
     def map(cls, data: bytes) -> Trie:
         """The trie in ``data``, of which nothing is copied."""
-        view, ends = memoryview(data), 64 + np.cumsum(np.frombuffer(data, "<u8", 8)).astype(int)
-        parts = [view[int(a) : int(b)] for a, b in zip([64, *ends], ends, strict=False)]
-        kinds = ("<u8", "<u8", None, None, "u1", "<f8", "u1", "<f8")
+        view, ends = memoryview(data), 48 + np.cumsum(np.frombuffer(data, "<u8", 6)).astype(int)
+        parts = [view[int(a) : int(b)] for a, b in zip([48, *ends], ends, strict=False)]
+        kinds = ("<u8", "<u8", None, None, "u1", "u1")
         return cls(*(p if k is None else np.frombuffer(p, k) for p, k in zip(parts, kinds, strict=True)))
 
     def backoffs(self, contexts: np.ndarray) -> np.ndarray:
-        """The back-off mass of each context; 1 where it is unknown."""
+        """The code of the back-off mass of each context; that of 1 where it is unknown."""
         if not len(self.contexts):
-            return np.ones(len(contexts))
+            return np.ones(len(contexts), np.uint8)
         at = np.minimum(np.searchsorted(self.contexts, contexts), len(self.contexts) - 1)
-        return np.where(self.contexts[at] == contexts, self.backoff_book[self.backoff[at]], 1.0)
+        return np.where(self.contexts[at] == contexts, self.backoff[at], np.uint8(1))
 
     def lookup(self) -> Successors:
         return Successors(self)
@@ -125,18 +120,18 @@ class Successors:
         self.level = ef_decode(trie.successors)
         self.pointers = np.append(ef_decode(trie.pointers).astype(np.int64), len(self.level))
 
-    def probabilities(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        """The discounted probability of each pair; 0 where it is unknown.
+    def codes(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """The code of the discounted probability of each pair; 0 where it is unknown.
 
         The successor's rank is searched relative to its context: in the part of
         the level that the context's pointers bound.
         """
         t = self.trie
         if not len(t.contexts):
-            return np.zeros(len(first))
+            return np.zeros(len(first), np.uint8)
         c = np.minimum(np.searchsorted(t.contexts, first), len(t.contexts) - 1)
         w = np.minimum(np.searchsorted(t.words, second), len(t.words) - 1)
         known = (t.contexts[c] == first) & (t.words[w] == second)
         wanted = c.astype(np.uint64) * np.uint64(len(t.words)) + w.astype(np.uint64)
         at = np.clip(np.searchsorted(self.level, wanted), self.pointers[c], np.maximum(self.pointers[c + 1] - 1, self.pointers[c]))
-        return np.where(known & (self.level[at] == wanted), t.codebook[t.codes[at]], 0.0)
+        return np.where(known & (self.level[at] == wanted), t.codes[at], np.uint8(0))

@@ -8,7 +8,8 @@ A text's tokens are its words (A-Z lower-cased) and one end, behind which the
 next text begins. A pair's probability is the discounted one of the pair plus the
 back-off mass of its first word times that of the second word alone,
 (c + 1) / (N + V + 1) with c its count, N all tokens and V the distinct ones of
-the training rows. base_score uses the latter only. Words are known by a 64-bit hash.
+the training rows. base_score uses the latter only. Words are known by a
+64-bit hash, the second one of a pair by 48 bits of it.
 
 How it is spread out. Rows are dealt to chunks of about CHUNK bytes of text by a
 hash of the row. A chunk sends, to every shard, the shard's distinct words and
@@ -19,12 +20,12 @@ the order it asked in: the count and back-off of every word, the probability of
 every pair. The chunk, made again from the same rows, adds these up per text. What
 is gathered is the statistics of the whole corpus; no task holds more than one
 chunk, or one shard of the statistics; the number of either grows with the
-input. The tries are rows of a stored table in the shared folder, mapped by
-numpy where they are used; no file is kept on a machine.
+input. A trie is one string of bytes whose levels numpy maps without copying them;
+no file is kept on a machine.
 
 Defined cases: a null text is an empty one, which has one token, the end. Without
 training rows N and V are 0 and every token has probability 1, base and model
-alike. Rows that repeat count as often as they occur. Columns other than the id
+alike (the scores are 0). Rows that repeat count as often as they occur. Columns other than the id
 and the results are not returned.
 """
 
@@ -38,13 +39,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbmart.llm.common import by_value, stored
-from plumbmart.llm.eftrie import Trie
+from plumbmart.llm.eftrie import PROBABILITY, Trie
 from plumbmart.llm.words import bytes_of, word_hashes
 
 by_value(__name__)
 
 #: Bytes of text in a chunk, on average.
-CHUNK = 24_000_000
+CHUNK = 12_000_000
+#: Chunks for each shard of the statistics.
+CHUNKS_A_SHARD = 2
+#: Second words of a pair travel as so many bytes of their hash.
+SHORT = 6
 #: The hash that stands for the end of a text, and for what is before its first word.
 END = np.uint64(0)
 
@@ -77,6 +82,27 @@ def pair_order(token: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray,
     return pairs, number, words[order]
 
 
+def shortened(words: np.ndarray) -> bytes:
+    return np.ascontiguousarray(words.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SHORT]).tobytes()
+
+
+def lengthened(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // SHORT, 8), np.uint8)
+    out[:, :SHORT] = np.frombuffer(data, np.uint8).reshape(-1, SHORT)
+    return out.view("<u8").ravel()
+
+
+def small(counts: np.ndarray) -> bytes:
+    """Counts as one byte each, those of 255 and more again behind."""
+    return np.minimum(counts, 255).astype(np.uint8).tobytes() + counts[counts >= 255].astype("<u4").tobytes()
+
+
+def large(data: bytes, n: int) -> np.ndarray:
+    out = np.frombuffer(data, np.uint8, n).astype(np.int64)
+    out[out == 255] = np.frombuffer(data, "<u4", offset=n)
+    return out
+
+
 def requests(texts: pa.Array, training: np.ndarray, shards: int) -> Iterator[tuple[int, bytes, bytes, bytes, bytes, bytes]]:
     """For each shard: words, their training counts, pairs of each word, second words, training counts of pairs."""
     token, row = tokens_of(texts)
@@ -93,7 +119,7 @@ def requests(texts: pa.Array, training: np.ndarray, shards: int) -> Iterator[tup
         a, b = edges[s], edges[s + 1]
         if a < b:
             p, q = ends[a], ends[b]
-            yield s, words[a:b].tobytes(), n_words[a:b].tobytes(), per_word[a:b].tobytes(), words[second[p:q]].tobytes(), n_pairs[p:q].tobytes()
+            yield s, words[a:b].tobytes(), small(n_words[a:b]), small(per_word[a:b]), shortened(words[second[p:q]]), small(n_pairs[p:q])
 
 
 def ask(docs: DataFrame, shards: int) -> DataFrame:
@@ -118,33 +144,35 @@ def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def answered(table: pa.Table) -> pa.Table:
-    """The answers of one shard to all chunks, and in a row of their own (chunk -1) its trie and its totals."""
-    read = lambda name, kind: [np.frombuffer(x, kind) for x in table.column(name).to_pylist()]
-    words, n_words, per_word = read("words", "<u8"), read("n_words", "<u4"), read("per_word", "<u4")
-    seconds, n_pairs = read("seconds", "<u8"), read("n_pairs", "<u4")
-    known, count = summed(np.concatenate(words), np.concatenate(n_words).astype(np.int64))
+    """The answers of one shard to all chunks, and in a row of their own (chunk -1) its totals."""
+    read = lambda name: table.column(name).to_pylist()
+    words = [np.frombuffer(x, "<u8") for x in read("words")]
+    n_words, per_word = ([large(x, len(w)) for x, w in zip(read(name), words, strict=True)] for name in ("n_words", "per_word"))
+    seconds = [lengthened(x) for x in read("seconds")]
+    n_pairs = [large(x, len(s)) for x, s in zip(read("n_pairs"), seconds, strict=True)]
+    known, count = summed(np.concatenate(words), np.concatenate(n_words))
     # Pairs as (number of the first word, second word), sorted.
     first = np.concatenate([np.repeat(np.searchsorted(known, w), p) for w, p in zip(words, per_word, strict=True)])
-    second, n = np.concatenate(seconds), np.concatenate(n_pairs).astype(np.int64)
+    second, n = np.concatenate(seconds), np.concatenate(n_pairs)
     taught = n > 0
     first, second, n = first[taught], second[taught], n[taught]
     order = np.lexsort((second, first))
     first, second, n = first[order], second[order], n[order]
     new = np.flatnonzero(np.concatenate([[True], (first[1:] != first[:-1]) | (second[1:] != second[:-1])])) if len(n) else np.zeros(0, np.int64)
-    trie = Trie.build(known[first[new]], second[new], np.add.reduceat(n, new) if len(new) else n).to_bytes()
-    model = Trie.map(trie)
-    search = model.lookup()
-    rows = []
-    for w, p, s in zip(words, per_word, seconds, strict=True):
-        rows.append((count[np.searchsorted(known, w)].astype("<u4").tobytes(), model.backoffs(w).astype("<f4").tobytes(), search.probabilities(np.repeat(w, p), s).astype("<f4").tobytes()))
+    trie = Trie.map(Trie.build(known[first[new]], second[new], np.add.reduceat(n, new) if len(new) else n).to_bytes())
+    search = trie.lookup()
+    rows = [
+        (count[np.searchsorted(known, w)].astype("<u4").tobytes(), trie.backoffs(w).tobytes(), search.codes(np.repeat(w, p), s).tobytes())
+        for w, p, s in zip(words, per_word, seconds, strict=True)
+    ]
     shard, chunks = table.column("shard")[0].as_py(), table.column("chunk").to_pylist()
     columns = [pa.array([shard] * (len(rows) + 1), pa.int32()), pa.array([*chunks, -1], pa.int32())]
     columns += [pa.array([*(r[k] for r in rows), None], pa.binary()) for k in range(3)]
-    columns += [pa.array([None] * len(rows) + [x], kind) for x, kind in ((trie, pa.binary()), (int(count.sum()), pa.int64()), (int((count > 0).sum()), pa.int64()))]
-    return pa.Table.from_arrays(columns, names=["shard", "chunk", "counts", "backoffs", "pairs", "trie", "tokens", "distinct"])
+    columns += [pa.array([None] * len(rows) + [x], pa.int64()) for x in (int(count.sum()), int((count > 0).sum()))]
+    return pa.Table.from_arrays(columns, names=["shard", "chunk", "counts", "backoffs", "pairs", "tokens", "distinct"])
 
 
-ANSWER = "shard int, chunk int, counts binary, backoffs binary, pairs binary, trie binary, tokens long, distinct long"
+ANSWER = "shard int, chunk int, counts binary, backoffs binary, pairs binary, tokens long, distinct long"
 
 
 def texts_scored(docs: pa.Table, answers: pa.Table, shards: int, total: int, distinct: int, key: str) -> pa.Table:
@@ -155,7 +183,7 @@ def texts_scored(docs: pa.Table, answers: pa.Table, shards: int, total: int, dis
     at = {s: k for k, s in enumerate(answers.column("shard").to_pylist())}
     order = [at[s] for s in sorted(at)]
     joined = lambda name, kind: np.concatenate([np.zeros(0, kind), *(np.frombuffer(answers.column(name)[k].as_py(), kind) for k in order)])
-    count, backoff, pair = joined("counts", "<u4").astype(np.int64), joined("backoffs", "<f4").astype(float), joined("pairs", "<f4").astype(float)
+    count, backoff, pair = joined("counts", "<u4").astype(np.int64), PROBABILITY[joined("backoffs", "u1")], PROBABILITY[joined("pairs", "u1")]
     alone = (count + 1) / (total + distinct + 1)
     first, second = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
     model = np.log10(np.minimum(pair + backoff[first] * alone[second], 1.0))
@@ -178,7 +206,8 @@ def chunked(df: DataFrame, training: Column, key: str, text: str, chunks: int) -
 def score(df: DataFrame, training: Column, key: str = "doc_id", text: str = "text", chunk: int = CHUNK) -> DataFrame:
     """(key, training, n_tokens, n_known, train_tokens, base_score, score) of every row of ``df``."""
     size = df.agg(F.sum(F.octet_length(F.col(f"`{text}`").cast("string")))).first()[0] or 0
-    chunks = shards = max(1, -(-size // chunk))
+    chunks = max(1, -(-size // chunk))
+    shards = max(1, -(-chunks // CHUNKS_A_SHARD))
     docs = chunked(df, training, key, text, chunks)
     asked = ask(docs, shards)
     answers = stored(asked.groupBy("shard").applyInArrow(answered, ANSWER), "answers")

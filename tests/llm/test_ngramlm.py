@@ -29,7 +29,7 @@ def test_trie_finds_what_was_put_in():
     trie = eftrie.Trie.map(eftrie.Trie.build(pairs[:, 0], pairs[:, 1], n).to_bytes())
     search = trie.lookup()
     probe = np.array([(a, b) for a in range(62) for b in range(62)], np.uint64)
-    got = search.probabilities(probe[:, 0], probe[:, 1])
+    got = eftrie.PROBABILITY[search.codes(probe[:, 0], probe[:, 1])]
     known = {tuple(p): c for p, c in zip(pairs.tolist(), n.tolist(), strict=True)}
     total = Counter()
     for (a, _), c in known.items():
@@ -37,12 +37,12 @@ def test_trie_finds_what_was_put_in():
     once, twice = int((n == 1).sum()), int((n == 2).sum())
     discount = min(0.95, max(0.05, once / (once + 2 * twice)))
     for (a, b), p in zip(probe.tolist(), got, strict=True):
-        assert p == pytest.approx((known[a, b] - discount) / total[a] if (a, b) in known else 0, rel=0.02)
+        assert p == pytest.approx((known[a, b] - discount) / total[a] if (a, b) in known else 0, rel=0.05)
     sums = defaultdict(float)
     for (a, _), p in zip(probe.tolist(), got, strict=True):
         sums[a] += p
-    for a, mass in zip(range(62), trie.backoffs(np.arange(62, dtype=np.uint64)), strict=True):
-        assert sums[a] + mass == pytest.approx(1, abs=0.03) and (a in total or mass == 1)
+    for a, mass in zip(range(62), eftrie.PROBABILITY[trie.backoffs(np.arange(62, dtype=np.uint64))], strict=True):
+        assert sums[a] + mass == pytest.approx(1, abs=0.05) and (a in total or mass == 1)
 
 
 def tokens(text):
@@ -65,7 +65,7 @@ def test_counts_and_base_scores_as_a_plain_model(spark, chunk):
         want.append((i, t, len(ws), sum(w in taught for w in ws), total, round(base, 9)))
     plain = lambda rows: sorted(rows, key=str)
     assert plain((r.doc_id, r.training, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 9)) for r in got) == plain(want)
-    # An exact model has the same discounts; codebooks hold all values of so small a model.
+    # An exact model has the same discounts; codes are within a twentieth of it.
     pairs, firsts = Counter(), Counter()
     for _, text, t in ROWS:
         ws = tokens(text)
@@ -82,7 +82,7 @@ def test_counts_and_base_scores_as_a_plain_model(spark, chunk):
                 alone = (taught[b] + 1) / (total + distinct + 1)
                 kinds = sum(x == a for x, _ in pairs)
                 score += math.log10((max(pairs[a, b] - discount, 0) + discount * kinds * alone) / firsts[a] if firsts[a] else alone)
-            assert r.score == pytest.approx(score, rel=1e-5)
+            assert r.score == pytest.approx(score, abs=0.021 * len(ws))
 
 
 def test_nothing_to_learn_from(spark):
