@@ -309,6 +309,7 @@ def extract(df: DataFrame, url: str = "url", html: str = "html", text: str = "te
     narrow = rows.select("__page", host_of(link).alias("__host"), path_of(link).alias("__path"), html)
     light = parsed(narrow, html, hashes=True).dropDuplicates(["__page"])
     shared = stored(aligned(partners(light)), "shared")
-    lines = parsed(rows, html, hashes=False).join(shared, "__page")
+    # Both sides by key at every size, so that needs grow in proportion.
+    lines = parsed(rows, html, hashes=False).join(shared.hint("merge"), "__page")
     wanted = F.filter("__lines", lambda x: x["kept"] | ~F.array_contains("__shared", x["number"]))
     return lines.withColumn(text, F.array_join(F.transform(wanted, lambda x: x["line"]), "\n\n")).drop("__page", "__lines", "__shared")
