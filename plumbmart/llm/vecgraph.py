@@ -87,16 +87,19 @@ def searched(x: np.ndarray, graph: np.ndarray, entries: list[int], radius: float
     cosine[rows, np.arange(lo, hi)] = 1
     expanded = np.zeros((q, n), bool)
 
+    step = max(1, 500_000 // graph.shape[1])
+
     def expand(r: np.ndarray, c: np.ndarray) -> None:
         expanded[r, c] = True
-        new = graph[c]
-        r = np.broadcast_to(r[:, None], new.shape)[new >= 0]
-        new = new[new >= 0]
-        unseen = cosine[r, new] == -2
-        pair = np.unique(r[unseen] * n + new[unseen])
-        r, c = pair // n, pair % n
-        for a in range(0, len(r), 100_000):
-            cosine[r[a : a + 100_000], c[a : a + 100_000]] = np.einsum("ij,ij->i", x[lo + r[a : a + 100_000]], x[c[a : a + 100_000]])
+        for a in range(0, len(r), step):
+            new = graph[c[a : a + step]]
+            row = np.broadcast_to(r[a : a + step, None], new.shape)[new >= 0]
+            new = new[new >= 0]
+            unseen = cosine[row, new] == -2
+            pair = np.unique(row[unseen] * n + new[unseen])
+            for b in range(0, len(pair), 50_000):
+                row, new = np.divmod(pair[b : b + 50_000], n)
+                cosine[row, new] = np.einsum("ij,ij->i", x[lo + row], x[new])
 
     while True:
         waiting = np.where(expanded, np.float32(-3), cosine)
