@@ -47,9 +47,9 @@ by_value(__name__)
 #: Neighbours of a vertex, best partners that a member of a meeting keeps, rounds, share of new edges that ends them.
 DEGREE, PARTNERS, ROUNDS, ENOUGH = 24, 6, 5, 0.02
 CLUSTER, BLOCK, OVERLAP = 400, 400, 2
-#: Width of the beam, vertices of it expanded in a round, and vertices compared exactly.
-BEAM, STEP, FINAL = 64, 24, 24
-RECALL, AUDIT = 0.95, 100
+#: Width of the beam, share of it that is expanded in a round, and vertices compared exactly.
+BEAM, STEP, FINAL = 256, 0.5, 24
+RECALL, AUDIT = 0.92, 100
 
 
 def codes_of(x: np.ndarray) -> np.ndarray:
@@ -236,7 +236,7 @@ def search(queries: DataFrame, codes: DataFrame, lists: DataFrame, beam: DataFra
     while True:
         state = beam.select("vertex", F.arrays_zip("others", "cosines", "flags").alias("b"))
         # The best that are not expanded; the list is in order.
-        open_ = F.slice(F.filter("b", lambda x: ~x["flags"]), 1, STEP)
+        open_ = F.slice(F.filter("b", lambda x: ~x["flags"]), 1, max(1, int(width * STEP)))
         state = state.select("vertex", "b", open_.alias("open"))
         step = state.select(F.col("vertex").alias("query"), F.explode("open").alias("o")).select("query", F.col("o.others").alias("vertex"))
         if not step.limit(1).count():
@@ -248,19 +248,26 @@ def search(queries: DataFrame, codes: DataFrame, lists: DataFrame, beam: DataFra
         beam = stored(merged(old.union(expanded(front)), width), "beam")
 
 
-def exact(a: Column, b: Column) -> Column:
-    """The cosine of two arrays of doubles, each scaled by its largest component first."""
-    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, p: s + p)
-    scaled = lambda x: F.transform(x, lambda p: p / F.array_max(F.transform(x, lambda q: F.abs(q))))
-    return dot(scaled(a), scaled(b)) / F.sqrt(dot(scaled(a), scaled(a))) / F.sqrt(dot(scaled(b), scaled(b)))
+def compared(pairs: DataFrame) -> DataFrame:
+    """(query, score, ids) of rows (query, own, vector, ids): cosines in double precision."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            score = np.zeros(batch.num_rows)
+            sizes = np.asarray(pa.compute.list_value_length(batch.column(1)))
+            for size in np.unique(sizes):
+                at = pa.array(np.flatnonzero(sizes == size))
+                score[at] = np.einsum("ij,ij->i", unit(matrix(batch.column(1).take(at))), unit(matrix(batch.column(2).take(at))))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.clip(score, -1, 1)), batch.column(3)], names=["query", "score", "ids"])
+
+    return pairs.select("query", "own", "vector", "ids").mapInArrow(run, "query long, score double, ids array<long>")
 
 
 def ranked_exactly(beam: DataFrame, vertices: DataFrame, k: int) -> DataFrame:
     """(query, found): for each query vertex the k + 1 best (score, id), its own ids among them."""
     pairs = beam.select(F.col("vertex").alias("query"), F.explode(F.concat(F.slice("others", 1, FINAL), F.array("vertex"))).alias("vertex")).distinct()
     rows = pairs.join(vertices, "vertex").join(vertices.select(F.col("vertex").alias("query"), F.col("vector").alias("own")), "query").where(F.size("own") == F.size("vector"))
-    score = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), exact(F.col("own"), F.col("vector"))))
-    each = rows.select("query", score.alias("score"), F.explode("ids").alias("id"))
+    each = compared(rows).select("query", "score", F.explode("ids").alias("id"))
     found = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("minus"), "id"))), 1, k + 1)
     return each.groupBy("query").agg(found.alias("found"))
 
@@ -313,7 +320,9 @@ def nearest(df: DataFrame, queries: Column, k: int = 5, key: str = "vec_id", vec
         found = stored(ranked_exactly(alone, vertices, k), "found")
         if width >= count or audited(found, vertices, k) >= recall:
             break
+        # The wider beam takes in what the narrow one passed by, so its vertices are expanded again.
         width *= 2
+        beam = beam.withColumn("flags", F.transform("flags", lambda _: F.lit(False)))
     each = asked.join(found, asked["vertex"] == found["query"]).select(F.col("id").alias("query_id"), F.slice(F.filter("found", lambda x: x["id"] != F.col("id")), 1, k).alias("f"))
     out = each.select("query_id", F.posexplode("f").alias("n", "x"))
     return out.select("query_id", (F.col("n") + 1).cast("int").alias("rank"), F.col("x.id").alias("vec_id"), (-F.col("x.minus")).alias("score"))
