@@ -12,13 +12,17 @@ keeps the best it met. Rounds end when few edges are new.
 The search. A query holds a beam of the best vertices seen. A round joins the
 best ones not expanded with their adjacency lists and merges the neighbours into
 the beam, until the whole beam is expanded. Queries start at their own
-neighbours. The best of the beam are compared in double precision on the original vectors.
+neighbours. All of the beam that may be among the k nearest, given how far codes are
+from their vectors, is compared in double precision on the original vectors.
 
-The recall is audited: at most AUDIT queries are compared with all vectors, and
-below ``recall`` the search goes on with a beam twice as wide.
+The recall is audited: at most AUDIT queries are compared with all vectors, and as
+many of those whose beam ends before that bound (tight groups). Below ``recall`` in
+either, the graph is built anew from finer codes if there are such queries, and else
+the search goes on with a beam twice as wide. If the recall is still missed
+when the beam is as wide as the table, that is an error.
 
-Scale: vectors travel as one byte a component; what a round shuffles is a fixed
-number of those for each vertex. Equal vectors are one vertex, which keeps its
+Scale: vectors travel as one byte a component, or two where one did not do; what a
+round shuffles is a fixed number of those for each vertex. Equal vectors are one vertex, which keeps its
 k + 1 smallest ids, as no query needs more of them; so copies, however many,
 make no hot vertex. The blocks of a cluster are bounded. The driver sees the
 centroids' sample and the audit's queries only.
@@ -47,19 +51,22 @@ by_value(__name__)
 #: Neighbours of a vertex, best partners that a member of a meeting keeps, rounds, share of new edges that ends them.
 DEGREE, PARTNERS, ROUNDS, ENOUGH = 24, 6, 5, 0.02
 CLUSTER, BLOCK, OVERLAP = 400, 400, 2
-#: Width of the beam, share of it that is expanded in a round, and vertices compared exactly.
-BEAM, STEP, FINAL = 256, 0.5, 24
+#: Width of the beam, share of it that is expanded in a round, and what single precision may add to a cosine.
+BEAM, STEP, ROUNDING = 256, 0.5, 1e-6
 RECALL, AUDIT = 0.92, 100
 
 
-def codes_of(x: np.ndarray) -> np.ndarray:
-    """Vectors as one byte a component, in the scale of their largest."""
-    return np.rint(x / np.abs(x).max(axis=1, keepdims=True) * 127).astype(np.int8)
+def codes_of(x: np.ndarray, size: int = 1) -> list[bytes]:
+    """Vectors as ``size`` bytes a component, in the scale of their largest, after a byte that says the size."""
+    kind, top = (np.int8, 127) if size == 1 else (np.int16, 32767)
+    return [bytes([size]) + c.tobytes() for c in np.rint(x / np.abs(x).max(axis=1, keepdims=True) * top).astype(kind)]
 
 
 def decoded(codes: list[bytes]) -> np.ndarray:
     """Unit vectors of codes of one length."""
-    x = np.frombuffer(b"".join(codes), np.int8).reshape(len(codes), -1).astype(np.float32)
+    raw = np.frombuffer(b"".join(codes), np.uint8).reshape(len(codes), -1)
+    kind, real = (np.int8, np.float32) if raw[0, 0] == 1 else (np.int16, np.float64)
+    x = np.ascontiguousarray(raw[:, 1:]).view(kind).astype(real)
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
@@ -205,13 +212,19 @@ def vertices_of(df: DataFrame, key: str, vector: str, copies: int) -> tuple[Data
     return rows.select("id", "digest").join(heads.select("digest", "vertex"), "digest").select("id", "vertex"), stored(vertices, "vertices")
 
 
-def coded(vertices: DataFrame) -> DataFrame:
+def coded(vertices: DataFrame, size: int = 1) -> DataFrame:
+    """(vertex, code, off): the codes and the angles between them and their vectors."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes = [codes_of(np.asarray(v, float)[None, :]).tobytes() for v in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes, pa.binary())], names=["vertex", "code"])
+            codes, off = [], []
+            for v in batch.column(1).to_pylist():
+                x = np.asarray(v, float)[None, :]
+                codes += codes_of(x, size)
+                off.append(float(np.arcsin(min(1.0, np.linalg.norm(unit(x) - unit(decoded(codes[-1:]).astype(float))) / 2)) * 2))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes, pa.binary()), pa.array(off, pa.float64())], names=["vertex", "code", "off"])
 
-    return vertices.select("vertex", "vector").mapInArrow(run, "vertex long, code binary")
+    return vertices.select("vertex", "vector").mapInArrow(run, "vertex long, code binary, off double")
 
 
 def expanded(frontier: DataFrame) -> DataFrame:
@@ -225,7 +238,7 @@ def expanded(frontier: DataFrame) -> DataFrame:
             cosine = [np.zeros(0, np.float32), *(decoded(codes) @ decoded([code])[0] for code, codes in zip(own, near, strict=True) if codes)]
             ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
             total = int(np.sum(sizes))
-            lists = [others, pa.ListArray.from_arrays(ends, pa.array(np.concatenate(cosine))), pa.ListArray.from_arrays(ends, pa.array(np.zeros(total, bool)))]
+            lists = [others, pa.ListArray.from_arrays(ends, pa.array(np.concatenate(cosine).astype(np.float32))), pa.ListArray.from_arrays(ends, pa.array(np.zeros(total, bool)))]
             yield pa.RecordBatch.from_arrays([pa.array(query), *lists], names=["vertex", "others", "cosines", "flags"])
 
     return frontier.select("query", "code", "others", "near").mapInArrow(run, LISTS)
@@ -263,20 +276,34 @@ def compared(pairs: DataFrame) -> DataFrame:
     return pairs.select("query", "own", "vector", "ids").mapInArrow(run, "query long, score double, ids array<long>")
 
 
-def ranked_exactly(beam: DataFrame, vertices: DataFrame, k: int) -> DataFrame:
-    """(query, found): for each query vertex the k + 1 best (score, id), its own ids among them."""
-    pairs = beam.select(F.col("vertex").alias("query"), F.explode(F.concat(F.slice("others", 1, FINAL), F.array("vertex"))).alias("vertex")).distinct()
+def ranked_exactly(beam: DataFrame, vertices: DataFrame, k: int, off: float, width: int) -> DataFrame:
+    """(query, cut, found): for each query vertex the k + 1 best (score, id), its own ids among them.
+
+    Codes are at most ``off`` from their vectors, so one of the k nearest is at most
+    4 ``off`` farther by codes than the k-th by codes besides the query itself, which may be
+    in the beam. ``cut``: the beam ends before that.
+    """
+    reach = F.acos(F.greatest(F.lit(-1.0), F.get("cosines", F.lit(k)).cast("double") - ROUNDING)) + 4 * off
+    bound = F.coalesce(F.cos(F.least(reach, F.lit(np.pi))) - ROUNDING, F.lit(-2.0))
+    near = beam.withColumn("bound", bound).withColumn("n", F.size(F.filter("cosines", lambda c: c >= F.col("bound"))))
+    # The beam is in order.
+    near = stored(near.select(F.col("vertex").alias("query"), (F.col("n") >= width).alias("cut"), F.slice("others", 1, F.col("n")).alias("others")), "near")
+    pairs = near.select("query", F.explode(F.concat("others", F.array("query"))).alias("vertex")).distinct()
     rows = pairs.join(vertices, "vertex").join(vertices.select(F.col("vertex").alias("query"), F.col("vector").alias("own")), "query").where(F.size("own") == F.size("vector"))
     each = compared(rows).select("query", "score", F.explode("ids").alias("id"))
     found = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("minus"), "id"))), 1, k + 1)
-    return each.groupBy("query").agg(found.alias("found"))
+    return each.groupBy("query").agg(found.alias("found")).join(near.select("query", "cut"), "query")
 
 
-def audited(found: DataFrame, vertices: DataFrame, k: int, sample: int = AUDIT) -> float:
-    """The share of the k nearest others of a bounded sample of query vertices, by brute force, that was found."""
-    chosen = found.orderBy(F.xxhash64("query", F.lit(5)), "query").limit(sample).join(vertices.select(F.col("vertex").alias("query"), "vector"), "query").collect()
+def audited(found: DataFrame, vertices: DataFrame, k: int, sample: int = AUDIT) -> tuple[float, float]:
+    """The share of the k nearest others that was found, by brute force, of a bounded sample of query vertices.
+
+    Those whose beam was cut are a sample of their own, with a share of its own.
+    """
+    parts = [found.where(c).orderBy(F.xxhash64("query", F.lit(5)), "query").limit(sample) for c in ("true", "cut")]
+    chosen = parts[0].union(parts[1]).select("query").distinct().join(vertices.select(F.col("vertex").alias("query"), "vector"), "query").collect()
     if not chosen:
-        return 1.0
+        return 1.0, 1.0
     queries = vertices.sparkSession.sparkContext.broadcast([(r.query, np.asarray(r.vector, float)) for r in chosen])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,31 +322,48 @@ def audited(found: DataFrame, vertices: DataFrame, k: int, sample: int = AUDIT)
     place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc(F.round("score", 12)), "id"))
     every = every.where("query <> id")
     truth = every.withColumn("n", place).where(F.col("n") <= k).groupBy("query").agg(F.collect_list("id").alias("ids"))
-    both = truth.join(found, "query").select(F.size(F.array_intersect("ids", F.col("found.id"))).alias("hit"), F.size("ids").alias("all"))
-    row = both.agg(F.sum("hit"), F.sum("all")).first()
-    return row[0] / row[1] if row[1] else 1.0
+    both = truth.join(found, "query").select("cut", F.size(F.array_intersect("ids", F.col("found.id"))).alias("hit"), F.size("ids").alias("all"))
+    sums = both.groupBy("cut").agg(F.sum("hit"), F.sum("all")).collect()
+    # One drawn from all queries that was cut adds to its own sample.
+    shares = {r.cut: r[1] / r[2] for r in sums}
+    return (sum(r[1] for r in sums) / sum(r[2] for r in sums) if sums else 1.0), shares.get(True, 1.0)
 
 
 def nearest(df: DataFrame, queries: Column, k: int = 5, key: str = "vec_id", vector: str = "embedding", recall: float = RECALL) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k nearest rows found of every row for which ``queries`` holds of its id."""
     members, vertices = vertices_of(df, key, vector, k + 1)
-    codes = stored(coded(vertices), "codes")
-    graph = graph_of(vertices, codes)
-    near = graph.select("vertex", F.posexplode("others").alias("n", "other")).join(codes.select(F.col("vertex").alias("other"), F.col("code").alias("c")), "other")
-    near = near.groupBy("vertex").agg(F.sort_array(F.collect_list(F.struct("n", "other", "c"))).alias("s"))
-    lists = stored(near.select("vertex", F.col("s.other").alias("others"), F.col("s.c").alias("near")), "adjacency")
     asked = stored(members.where(queries), "queries")
     starts = asked.select("vertex").distinct()
-    beam = stored(graph.join(starts, "vertex", "left_semi").select("vertex", "others", "cosines", F.transform("others", lambda _: F.lit(False)).alias("flags")), "beam")
-    width = BEAM
     count = vertices.count()
+
+    def prepared(size: int) -> tuple[DataFrame, float, DataFrame, DataFrame]:
+        """Codes, their largest angle with a vector, adjacency lists and first beams."""
+        codes = stored(coded(vertices, size), "codes")
+        graph = graph_of(vertices, codes)
+        near = graph.select("vertex", F.posexplode("others").alias("n", "other")).join(codes.select(F.col("vertex").alias("other"), F.col("code").alias("c")), "other")
+        near = near.groupBy("vertex").agg(F.sort_array(F.collect_list(F.struct("n", "other", "c"))).alias("s"))
+        lists = stored(near.select("vertex", F.col("s.other").alias("others"), F.col("s.c").alias("near")), "adjacency")
+        beam = stored(graph.join(starts, "vertex", "left_semi").select("vertex", "others", "cosines", F.transform("others", lambda _: F.lit(False)).alias("flags")), "beam")
+        return codes, codes.agg(F.max("off")).first()[0] or 0.0, lists, beam
+
+    size, width = 1, BEAM
+    codes, off, lists, beam = prepared(size)
     while True:
         beam = search(starts, codes, lists, beam, width)
         # A vertex without any neighbour has no beam, but itself and its copies.
-        alone = starts.join(beam, "vertex", "left").select("vertex", F.coalesce("others", F.array().cast("array<long>")).alias("others"))
-        found = stored(ranked_exactly(alone, vertices, k), "found")
-        if width >= count or audited(found, vertices, k) >= recall:
+        alone = starts.join(beam, "vertex", "left")
+        alone = alone.select("vertex", *(F.coalesce(c, F.array().cast(f"array<{kind}>")).alias(c) for c, kind in (("others", "long"), ("cosines", "float"))))
+        found = stored(ranked_exactly(alone, vertices, k, off, width), "found")
+        every, tight = audited(found, vertices, k)
+        share = min(every, tight)
+        if share >= recall:
             break
+        if size == 1 and tight < recall:
+            size = 2
+            codes, off, lists, beam = prepared(size)
+            continue
+        if width >= count:
+            raise RuntimeError(f"recall {share:.3f} of {recall} with a beam of the whole table")
         # The wider beam takes in what the narrow one passed by, so its vertices are expanded again.
         width *= 2
         beam = beam.withColumn("flags", F.transform("flags", lambda _: F.lit(False)))

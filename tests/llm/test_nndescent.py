@@ -73,3 +73,23 @@ def test_recall_of_the_query_on_all_embeddings(spark):
     want = brute(rows, lambda q: q % 50 == 0)
     assert got.keys() == want.keys()
     assert sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want) >= 0.9 * 5 * len(want)
+
+
+def test_a_tight_group_of_distinct_near_copies(spark):
+    """One-byte codes cannot rank these; a third of the rows are within a cosine of 0.99999."""
+    rng = np.random.default_rng(4)
+    centre = rng.normal(size=32)
+    centre /= np.sqrt(centre @ centre)
+    rows = [(i, (centre + rng.normal(size=32) * 0.0022 / np.sqrt(32) if i % 3 == 0 else rng.normal(size=32)).tolist()) for i in range(2400)]
+    got = found(nndescent.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("id") % 20 == 0))
+    want = brute(rows, lambda q: q % 20 == 0)
+    for tight in (True, False):
+        some = [q for q in want if (q % 3 == 0) == tight]
+        assert sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in some) >= 0.9 * 5 * len(some)
+
+
+def test_an_audit_that_fails_at_the_full_width_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(nndescent, "audited", lambda *_: (0.5, 1.0))
+    df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(RuntimeError, match="recall 0.500"):
+        nndescent.nearest(df, F.lit(True))
