@@ -3,7 +3,9 @@
 ``extract(df)`` adds the main text of every page. Pages of a host are put in the
 order of their paths; a page's partner is the neighbour whose path begins alike
 for longest (on a tie the earlier one), unless that page is a copy of it (nine
-tenths of its lines are shared), when the other neighbour is taken. The lines of the two
+tenths of its lines are shared), when the other neighbour is taken. Pages of a host with
+equal lines are one page in the order. Where both neighbours are copies, the partner is
+looked for among the pages that begin a run of copies. The lines of the two
 pages are aligned by a longest common subsequence, and lines that both have are
 deleted: menus, notices and footers that a site's pages share.
 
@@ -230,13 +232,13 @@ def alike(a: str, b: str) -> int:
     return n
 
 
-def shared_lines(lines: list[int], path: str, neighbours: list[tuple[str, list[int]]]) -> list[int]:
-    """Numbers of the lines that a page shares with its partner; neighbours are (path, lines), earlier first."""
+def shared_lines(lines: list[int], path: str, neighbours: list[tuple[str, list[int]]]) -> list[int] | None:
+    """Numbers of the lines that a page shares with its partner, None without one; neighbours are (path, lines), earlier first."""
     for _, other in sorted(neighbours, key=lambda n: -alike(path, n[0])):
         found = common(lines, other)
         if len(found) < COPY * len(lines):
             return found
-    return []
+    return None
 
 
 def parsed(df: DataFrame, html: str, hashes: bool) -> DataFrame:
@@ -283,22 +285,61 @@ def partners(light: DataFrame) -> DataFrame:
     before = F.when(F.col("__at") == 1, F.col("__last")).otherwise(F.col("__before"))
     after = F.when(F.col("__at") == F.col("__rows"), F.col("__first")).otherwise(F.col("__after"))
     around = F.filter(F.array(before, after), lambda x: x.isNotNull() & (x["host"] == F.col("__host")))
-    return joined.select("__page", "__path", "__lines", F.transform(around, lambda x: F.struct(x["path"].alias("path"), x["lines"].alias("lines"))).alias("__around"))
+    previous = F.when(before["host"] == F.col("__host"), before["lines"]).alias("__previous")
+    return joined.select("__page", "__host", "__path", "__lines", "__part", "__at", previous, F.transform(around, lambda x: F.struct(x["path"].alias("path"), x["lines"].alias("lines"))).alias("__around"))
 
 
 def aligned(pairs: DataFrame) -> DataFrame:
-    """(__page, __shared): the numbers of the lines that a page shares with its partner."""
+    """``pairs`` without __around, with __shared: the numbers of the lines that a page shares with its partner, null without one."""
+    names = [c for c in pairs.columns if c != "__around"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pages, paths, lines, around = (batch.column(c) for c in range(4))
+            paths, lines, around = (batch.column(c) for c in ("__path", "__lines", "__around"))
             shared = [
                 shared_lines(mine, path, [(n["path"], n["lines"]) for n in near])
                 for path, mine, near in zip(paths.to_pylist(), lines.to_pylist(), around.to_pylist(), strict=True)
             ]
-            yield pa.RecordBatch.from_arrays([pages, pa.array(shared, pa.list_(pa.int32()))], names=["__page", "__shared"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(shared, pa.list_(pa.int32()))], names=[*names, "__shared"])
 
-    return pairs.select("__page", "__path", "__lines", "__around").mapInArrow(run, "__page binary, __shared array<int>")
+    schema = pairs.select(*names).schema
+    return pairs.mapInArrow(run, StructType([*schema.fields, StructField("__shared", ArrayType(IntegerType()))]))
+
+
+def begins(pairs: DataFrame) -> DataFrame:
+    """``pairs`` with __begins instead of __previous: whether a page is not a copy of the page before it."""
+    names = [c for c in pairs.columns if c != "__previous"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = zip(batch.column("__lines").to_pylist(), batch.column("__previous").to_pylist(), strict=True)
+            flags = [other is None or len(common(mine, other)) < COPY * max(len(mine), len(other)) for mine, other in both]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(flags, pa.bool_())], names=[*names, "__begins"])
+
+    schema = pairs.select(*names).schema
+    return pairs.mapInArrow(run, StructType([*schema.fields, StructField("__begins", BooleanType())]))
+
+
+def shared_of(light: DataFrame) -> DataFrame:
+    """(__page, __shared) of distinct pages: runs of near copies look for their partner outside of the run."""
+    first = stored(aligned(begins(partners(light))), "aligned")
+    lost = first.where("__shared is null")
+    # A page that begins a run may be in its part or in one before.
+    mine = F.last(F.when(F.col("__begins"), F.col("__page")), ignorenulls=True)
+    inside = mine.over(Window.partitionBy("__part").orderBy("__at").rowsBetween(Window.unboundedPreceding, 0))
+    ends = first.where("__begins").groupBy("__part").agg(F.max_by("__page", "__at").alias("end"))
+    parts = first.select("__part").distinct().join(ends, "__part", "left")
+    # One row a part: this window is as small as the number of partitions.
+    carried = F.last("end", ignorenulls=True).over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    runs = first.select("__page", "__part", inside.alias("inside")).join(parts.select("__part", carried.alias("carried")), "__part")
+    runs = runs.select("__page", F.coalesce("inside", "carried").alias("__run"))
+    around = partners(first.where("__begins").select("__page", "__host", "__path", "__lines"))
+    own = F.array(F.struct(F.col("__path").alias("path"), F.col("__lines").alias("lines")))
+    around = around.select(F.col("__page").alias("__run"), F.concat(own, "__around").alias("__around"))
+    again = lost.select("__page", "__path", "__lines").join(runs, "__page").join(around, "__run")
+    found = aligned(again.select("__page", "__path", "__lines", "__around"))
+    none = F.array().cast("array<int>")
+    return first.where("__shared is not null").select("__page", "__shared").union(found.select("__page", F.coalesce("__shared", none)))
 
 
 def extract(df: DataFrame, url: str = "url", html: str = "html", text: str = "text") -> DataFrame:
@@ -307,8 +348,12 @@ def extract(df: DataFrame, url: str = "url", html: str = "html", text: str = "te
     rows = kept.withColumn("__page", page_key(kept.columns))
     link = F.col(f"`{url}`").cast("string")
     narrow = rows.select("__page", host_of(link).alias("__host"), path_of(link).alias("__path"), html)
-    light = parsed(narrow, html, hashes=True).dropDuplicates(["__page"])
-    shared = stored(aligned(partners(light)), "shared")
+    light = stored(parsed(narrow, html, hashes=True).dropDuplicates(["__page"]).withColumn("__same", F.unhex(F.md5(F.to_json(F.struct("__host", "__lines")).cast("binary")))), "light")
+    # Pages of a host with equal lines are one, that with the first path.
+    one = F.min(F.struct("__path", "__page", "__host", "__lines")).alias("one")
+    distinct = light.groupBy("__same").agg(one).select("__same", "one.*")
+    each = shared_of(distinct.select("__page", "__host", "__path", "__lines")).join(distinct.select("__page", "__same"), "__page").select("__same", "__shared")
+    shared = stored(light.select("__page", "__same").join(each, "__same").select("__page", "__shared"), "shared")
     # Both sides by key at every size, so that needs grow in proportion.
     lines = parsed(rows, html, hashes=False).join(shared.hint("merge"), "__page")
     wanted = F.filter("__lines", lambda x: x["kept"] | ~F.array_contains("__shared", x["number"]))

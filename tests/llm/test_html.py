@@ -102,6 +102,21 @@ def test_neighbours_do_not_depend_on_the_parts(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_runs_of_copies_take_a_partner_outside(spark):
+    copies = [(i, f"http://h.org/a/{i:03}", body("Menu", *(f"same {j}" for j in range(20)), "Foot"), None) for i in range(6)]
+    near = [(i, f"http://h.org/b/{i:03}", body("Menu", *(f"near {j}" for j in range(20)), f"own {i}", "Foot"), None) for i in range(10, 16)]
+    other = [(20, "http://h.org/c/1", body("Menu", "else", "Foot"), None)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts in ("1", "5", "40"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            got = {r.page_id: r.text.split("\n\n") for r in html.extract(pages(spark, [*copies, *near, *other])).collect()}
+            want = {i: [f"same {j}" for j in range(20)] for i in range(6)} | {i: [*(f"near {j}" for j in range(20)), f"own {i}"] for i in range(10, 16)} | {20: ["else"]}
+            assert got == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_empty_table(spark):
     assert html.extract(pages(spark, [])).count() == 0
 
