@@ -3,8 +3,8 @@
 ``near_duplicates(df)`` links all vectors of an equal label whose cosine is 0.93 or
 more: for every row its number of links and the smallest id that links reach.
 
-The method. Every vector is put into the shards of its nearest clusters (two, so
-shards overlap). Each block of a shard gets a graph: candidates are a vector's
+The method. Every vector is put into the shards of its two nearest clusters and of
+those that a vector at the threshold from it may be nearest to. Each block of a shard gets a graph: candidates are a vector's
 nearest ones in the block, and of two that lie in the same direction only the
 nearer stays (robust pruning), with edges both ways. The adjacency lists that a vector has
 from its shards are united. Then every vector is searched in each of its shards:
@@ -12,9 +12,11 @@ greedily with a small beam from the medoids of the blocks and from its own place
 and then through all vertices within a widened range until nothing new is in it.
 What is found is verified by the cosine in double precision.
 
-The recall is audited: a sample of at most AUDIT vectors is compared with all
-vectors of its label, and if fewer than ``recall`` of its links were found,
-everything is done again with twice the overlap.
+The recall is audited in every run: a sample of about AUDIT vectors, drawn alike from
+classes of their number of links, is compared with all vectors of its label. If fewer than
+``recall`` of the links were found, everything is done again with twice the reach, and
+if it is still missed with all shards in reach, that is an error. If the sample has no
+link, a warning says that the recall is unknown.
 
 Scale: equal vectors of a label are one class. Shards are dealt out in blocks of
 about BLOCK vectors, each pair of blocks a group of its own, so no group grows
@@ -31,6 +33,7 @@ one.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,6 +49,9 @@ from plumbmart.llm.vectors import centroids_of, digest, matrix, unit, usable, wi
 by_value(__name__)
 
 THRESHOLD, OVERLAP, RECALL, AUDIT = 0.93, 2, 0.9, 200
+#: How far into other clusters a vector at the threshold is expected, in standard deviations of a random direction: in simulation
+#: (64 dimensions, random, 20 to 1,000 clusters) 0.994 to 0.999 of pairs at cosine 0.93 share a shard, in 2.8 to 5.8 shards a vector.
+DEVIATIONS = 1
 #: Vectors of a cluster, and of a block of a shard, on average.
 CLUSTER, BLOCK = 1_000, 800
 #: Candidates, kept edges, pruning factor, width of the beam, and how far below the threshold vertices are expanded.
@@ -164,9 +170,9 @@ def group_links(table: pa.Table, threshold: float) -> pa.Table:
     return pa.table({"key": pa.array([keys[k] for k in some], pa.binary()), "links": pa.array(links[some], pa.int64()), "root": pa.array([keys[union.find(k)] for k in some], pa.binary())})
 
 
-def linked(classes: DataFrame, centroids: np.ndarray, overlap: int, threshold: float) -> DataFrame:
+def linked(classes: DataFrame, centroids: np.ndarray, overlap: int, threshold: float, deviations: float) -> DataFrame:
     """(key, links, root) found with so many clusters a vector."""
-    placed = stored(with_clusters(classes, centroids, overlap), "clusters")
+    placed = stored(with_clusters(classes, centroids, overlap, reach=(threshold, deviations)), "clusters")
     shards = placed.select("key", "label", F.size("vector").alias("size"), F.explode("clusters").alias("cluster"))
     blocks = shards.groupBy("label", "size", "cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("key", "cluster"), F.col("blocks")).cast("int")
@@ -188,11 +194,21 @@ def linked(classes: DataFrame, centroids: np.ndarray, overlap: int, threshold: f
     return stored(rows.groupBy("label", "size", "cluster", "i", "j").applyInArrow(search, "key binary, links long, root binary"), "links")
 
 
-def audited(classes: DataFrame, links: DataFrame, threshold: float, sample: int = AUDIT) -> float:
-    """The share of the links of a bounded sample of vectors, by brute force, that was found."""
-    chosen = classes.orderBy(F.xxhash64("key", F.lit(3)), "key").limit(sample).collect()
+def audited(classes: DataFrame, links: DataFrame, threshold: float, sample: int = AUDIT) -> float | None:
+    """The share of the links of vectors that have any which was found, by brute force, or None if no link was seen.
+
+    The sample is bounded and drawn alike from vectors without a found link and with
+    1, 2 to 3, 4 to 7 ... of them; each vector counts alike. The lower counts of the worst of
+    those with links, and of all by the number of vectors that each stands for.
+    """
+    found = links.groupBy("key").agg(F.sum("links").alias("found"))
+    kinds = classes.join(found, "key", "left").withColumn("found", F.coalesce("found", F.lit(0)))
+    kinds = stored(kinds.withColumn("kind", F.least(F.ceil(F.log2(F.col("found") + 1)), F.lit(12)).cast("int")), "audit")
+    counts = {r.kind: r["count"] for r in kinds.groupBy("kind").count().collect()}
+    share = -(-sample // max(1, len(counts)))
+    chosen = [r for kind in counts for r in kinds.where(F.col("kind") == kind).orderBy(F.xxhash64("key", F.lit(3)), "key").limit(share).collect()]
     if not chosen:
-        return 1.0
+        return None
     queries = classes.sparkSession.sparkContext.broadcast([(bytes(r.key), r.label, np.asarray(r.vector, float)) for r in chosen])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,9 +225,20 @@ def audited(classes: DataFrame, links: DataFrame, threshold: float, sample: int
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.binary()), pa.array([n for _, n in found], pa.int64())], names=["key", "true"])
 
     truth = classes.select("label", "key", "vector", "weight").mapInArrow(run, "key binary, true long").groupBy("key").agg(F.sum("true").alias("true"))
-    both = truth.join(links.groupBy("key").agg(F.sum("links").alias("found")), "key", "left")
-    row = both.agg(F.sum("true"), F.sum(F.coalesce("found", F.lit(0)))).first()
-    return row[1] / row[0] if row[0] else 1.0
+    true = {bytes(r.key): r.true for r in truth.collect()}
+    parts: dict[int, list[float | None]] = {}
+    for r in chosen:
+        n = true.get(bytes(r.key), 0)
+        parts.setdefault(r.kind, []).append(min(1.0, r.found / n) if n else None)
+    shares, weights = [], []
+    for kind, each in parts.items():
+        seen = [x for x in each if x is not None]
+        if seen:
+            shares.append((kind, sum(seen) / len(seen)))
+            weights.append(counts[kind] * len(seen) / len(each))
+    if not shares:
+        return None
+    return min([sum(w * x for w, (_, x) in zip(weights, shares, strict=True)) / sum(weights), *(x for kind, x in shares if kind)])
 
 
 def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label", threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
@@ -221,13 +248,18 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     classes = rows.where("some").groupBy("key").agg(F.min("__id").alias("first"), F.count("*").alias("weight"), F.first("label").alias("label"), F.first("vector").alias("vector"))
     classes = stored(classes, "classes")
     centroids = centroids_of(classes, CLUSTER)
-    overlap = OVERLAP
+    deviations, overlap, limit = DEVIATIONS, OVERLAP, np.sqrt(max(1, centroids.shape[1] - 1))
     while True:
-        links = linked(classes, centroids, overlap, threshold)
-        # With all clusters of every vector nothing can be missed between shards.
-        if overlap >= len(centroids) or audited(classes, links, threshold) >= recall:
+        links = linked(classes, centroids, overlap, threshold, deviations)
+        share = audited(classes, links, threshold)
+        if share is None:
+            warnings.warn("no link among the audited vectors: recall unknown", stacklevel=2)
+        if share is None or share >= recall:
             break
-        overlap *= 2
+        if deviations >= limit:
+            # Nothing is missed between shards any more.
+            raise RuntimeError(f"recall {share:.3f} of {recall} with all shards in reach")
+        deviations *= 2
     counted = links.groupBy("key").agg(F.sum("links").alias("links"))
     reached = components(links.select(F.col("key").alias("a"), F.col("root").alias("b"))).withColumnRenamed("vertex", "key")
     joined = classes.select("key", "first", "weight").join(counted, "key", "left").join(reached, "key", "left").withColumn("component", F.coalesce("component", "key"))

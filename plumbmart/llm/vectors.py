@@ -70,8 +70,11 @@ def centroids_of(df: DataFrame, per_cluster: int, key: str = "key", vector: str
     return kmeans(x, min(k, len(x)))
 
 
-def with_clusters(df: DataFrame, centroids: np.ndarray, overlap: int, vector: str = "vector", name: str = "clusters") -> DataFrame:
-    """``df`` with the ``overlap`` nearest clusters of each vector; those of another dimension are in cluster 0."""
+def with_clusters(df: DataFrame, centroids: np.ndarray, overlap: int, vector: str = "vector", name: str = "clusters", reach: tuple[float, float] | None = None) -> DataFrame:
+    """``df`` with the ``overlap`` nearest clusters of each vector; those of another dimension are in cluster 0.
+
+    With ``reach`` (threshold, deviations) also those that are within_reach().
+    """
     shared = df.sparkSession.sparkContext.broadcast(centroids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,9 +85,32 @@ def with_clusters(df: DataFrame, centroids: np.ndarray, overlap: int, vector: st
             out: list[list[int]] = [[0]] * len(lists)
             if fits.any():
                 at = np.flatnonzero(fits)
-                near = np.argsort(-(unit(matrix(lists.take(pa.array(at)))) @ c.T), axis=1, kind="stable")[:, :overlap]
-                for k, row in zip(at, near.tolist(), strict=True):
+                x = unit(matrix(lists.take(pa.array(at))))
+                near = within_reach(x, c, *reach, overlap) if reach else np.argsort(-(x @ c.T), axis=1, kind="stable")[:, :overlap].tolist()
+                for k, row in zip(at, near, strict=True):
                     out[k] = row
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.int32()))], names=[*batch.schema.names, name])
 
     return df.mapInArrow(run, StructType([*df.schema.fields, StructField(name, ArrayType(IntegerType()))]))
+
+
+def within_reach(x: np.ndarray, c: np.ndarray, threshold: float, deviations: float, least: int) -> list[list[int]]:
+    """For each unit vector the clusters that a vector at the threshold from it may be nearest to, at least the ``least`` nearest.
+
+    Such a vector is x cos + u sin with u at right angles to x. It is nearer to a centroid
+    c than to the nearest one n if (c - n) u sin > (n - c) x cos, and (c - n) u is at most
+    the length of c - n across x; for a random direction u its standard deviation is that
+    by the root of the dimensions. From that root on, ``deviations`` miss nothing.
+    """
+    threshold, d = max(threshold, 1e-3), max(1, x.shape[1] - 1)
+    factor = np.sqrt(max(0.0, 1 - threshold * threshold)) / threshold * min(1.0, deviations / np.sqrt(d))
+    own, out = (c * c).sum(1), []
+    for a in range(0, len(x), 512):
+        cosine = x[a : a + 512] @ c.T
+        order = np.argsort(-cosine, axis=1, kind="stable")
+        first = order[:, 0]
+        gap = cosine[np.arange(len(first)), first][:, None] - cosine
+        across = np.sqrt(np.maximum(0, own[first][:, None] + own - 2 * c[first] @ c.T - gap * gap))
+        fits = gap <= factor * across + 1e-9
+        out += [row[f | (np.arange(len(row)) < least)].tolist() for row, f in zip(order, np.take_along_axis(fits, order, 1), strict=True)]
+    return out

@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from plumbmart.llm import queries, vecgraph
+from plumbmart.llm import queries, vecgraph, vectors
 
 NAN, INF = float("nan"), float("inf")
 
@@ -92,3 +92,25 @@ def test_frames_of_pandas(spark, oracle):
     frame = pd.DataFrame(rows, columns=["vec_id", "embedding", "label"]).astype({"label": "Int64"})
     want = sorted(oracle("op4_embedding_dedup", embeddings=frame)[["vec_id", "n_links", "component_id", "kept"]].itertuples(index=False, name=None))
     assert want == brute(rows)
+
+
+def test_a_pair_at_the_threshold_shares_a_shard():
+    rng = np.random.default_rng(6)
+    x, u, c = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in rng.normal(size=(3, 1000, 64)))
+    u -= (u * x).sum(1, keepdims=True) * x
+    y = x * 0.93 + u / np.linalg.norm(u, axis=1, keepdims=True) * np.sqrt(1 - 0.93**2)
+    for deviations, share in ((vecgraph.DEVIATIONS, 0.99), (8, 1)):
+        a, b = (vectors.within_reach(v, c, 0.93, deviations, 2) for v in (x, y))
+        assert np.mean([bool(set(i) & set(j)) for i, j in zip(a, b, strict=True)]) >= share
+    nearest = [set(np.argsort(-(v @ c.T), axis=1)[k, :2]) for k in range(1000) for v in (x, y)]
+    assert np.mean([bool(i & j) for i, j in zip(nearest[::2], nearest[1::2], strict=True)]) < 0.9
+
+
+def test_the_audit_sees_rare_lost_links(spark):
+    rng = np.random.default_rng(7)
+    rows = [(bytes([i // 250, i % 250]), rng.normal(size=16).tolist(), 0, 1) for i in range(600)]
+    pairs = [(bytes([9, i]), (np.asarray(rows[i][1]) * 2 + 0.01).tolist(), 0, 1) for i in range(20)]
+    classes = spark.createDataFrame([*rows, *pairs], "key binary, vector array<double>, label int, weight long")
+    some = spark.createDataFrame([(bytes([9, i]), 1, b"") for i in range(4)], "key binary, links long, root binary")
+    assert vecgraph.audited(classes, some, 0.93) < 0.7
+    assert vecgraph.audited(classes.where("substr(key, 1, 1) <> X'09'"), some, 0.93) is None
