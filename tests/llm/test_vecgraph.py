@@ -102,7 +102,7 @@ def test_a_pair_at_the_threshold_shares_a_shard():
     for deviations, share in ((vecgraph.DEVIATIONS, 0.99), (8, 1)):
         a, b = (vectors.within_reach(v, c, 0.93, deviations, 2) for v in (x, y))
         assert np.mean([bool(set(i) & set(j)) for i, j in zip(a, b, strict=True)]) >= share
-    nearest = [set(np.argsort(-(v @ c.T), axis=1)[k, :2]) for k in range(1000) for v in (x, y)]
+    nearest = [set(np.argsort(-(c @ v[k]))[:2]) for k in range(1000) for v in (x, y)]
     assert np.mean([bool(i & j) for i, j in zip(nearest[::2], nearest[1::2], strict=True)]) < 0.9
 
 
