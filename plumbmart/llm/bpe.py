@@ -1,6 +1,6 @@
 """BPE encoding and decoding by prefix-sharing trie traversal.
 
-``encode_decode(df, model)`` adds the token ids and the decoded text of every row.
+``encode_decode(df, model)`` adds the token ids and, if asked for, the decoded text of every row.
 
 The method. In a BPE vocabulary whose tokens each come from one merge, the
 encoding of a string is settled by the *last token* of each of its prefixes: the
@@ -16,8 +16,9 @@ grow: the right edge of L and the left edge of R each pass through a chain of
 tokens, and a merge of two edge tokens that are alive at its rank would cross.
 
 Scale: rows are independent, so there is no shuffle. A task holds one block of
-about four million characters, its trie, and a memory of bounded size for words
-already encoded. Lost tasks are simply run again.
+about a million characters (or one longer word), its trie, and two memories of
+bounded size: words already encoded, counted in bytes, and completed edges of the
+automaton. Lost tasks are simply run again.
 
 Nulls and texts without tokens give empty ids and an empty decoded text. Rows
 repeat as they come. An input column named like a result column is replaced.
@@ -45,9 +46,12 @@ from plumbmart.llm.common import by_value, without
 
 by_value(__name__)
 
-#: Characters of text handled at once, and distinct words kept between blocks.
-BLOCK = 4_000_000
-MEMORY = 200_000
+#: Characters of text handled at once; bytes of encoded words, and completed edges, kept between blocks.
+BLOCK = 1_000_000
+MEMORY = 48 << 20
+EDGES = 300_000
+#: What a kept word takes besides its letters, ids and decoded text.
+OVERHEAD = 250
 #: A longer word is encoded along one path instead of in the trie.
 LONG_WORD = 1_000
 
@@ -116,6 +120,7 @@ class Model:
 
     def build(self, usable: set[int]) -> None:
         """The automaton: ``goto`` (completed as it is used), ``fail`` and ``ends`` of every state."""
+        self.completed = 0
         self.goto: list[dict[str, int] | None] = [{}]
         own: list[int] = [-1]
         for t in sorted(usable):
@@ -133,9 +138,9 @@ class Model:
         self.fail = [0] * len(self.goto)
         self.ends: list[tuple[int, ...]] = [()] * len(self.goto)
         queue = [0]
-        trie = [dict(e) if e else {} for e in self.goto]
+        self.trie = [dict(e) if e else None for e in self.goto]
         for state in queue:
-            for c, child in trie[state].items():
+            for c, child in (self.trie[state] or {}).items():
                 self.fail[child] = self.follow(self.fail[state], c) if state else 0
                 below = self.ends[self.fail[child]]
                 self.ends[child] = (own[child], *below) if own[child] >= 0 else below
@@ -150,8 +155,16 @@ class Model:
         if edges is None:
             edges = self.goto[state] = {}
         edges[c] = new
+        self.completed += 1
         return new
 
+    def forget(self) -> None:
+        """Back to the edges of the trie, once many more were completed."""
+        if self.completed > EDGES:
+            self.goto = [dict(e) if e else None for e in self.trie]
+            self.goto[0] = self.goto[0] or {}
+            self.completed = 0
+
     def edge(self, token: int, side: int, limit: int) -> list[tuple[int, int]]:
         """The tokens at one edge of ``token`` as it grows, each with the rank that consumes it."""
         chain = [(token, limit)]
@@ -245,8 +258,10 @@ class Model:
 class Encoder:
     """Encodes texts in blocks with one model; keeps words between blocks up to a bound."""
 
-    def __init__(self, model: Model):
+    def __init__(self, model: Model, decode: bool = True):
         self.model = model
+        self.decode = decode
+        self.held = 0
         self.letters = {b: c for b, c in enumerate(byte_letters()) if chr(b) != c}
         self.ids: dict[str, bytes] = {}
         self.decoded: dict[str, str] = {}
@@ -289,7 +304,7 @@ class Encoder:
         yield text[start:] if start else text
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, str]]:
-        """Ids as little-endian unsigned 32-bit integers, and the decoded text, of each text."""
+        """Ids as little-endian unsigned 32-bit integers, and the decoded text (empty if not asked for), of each text."""
         out: list[tuple[list[bytes], list[str]]] = [([], []) for _ in texts]
         block: list[tuple[int, list[str]]] = []
         size = 0
@@ -310,8 +325,9 @@ class Encoder:
         return [(b"".join(i), " ".join(d)) for i, d in out]
 
     def flush(self, block: list[tuple[int, list[str]]], out: list[tuple[list[bytes], list[str]]]) -> None:
-        if len(self.ids) > MEMORY:
-            self.ids, self.decoded = {}, {}
+        self.model.forget()
+        if self.held > MEMORY:
+            self.ids, self.decoded, self.held = {}, {}, 0
         if not self.ids:
             self.ids.update(self.special)
             self.decoded.update({s: s for s in self.special})
@@ -320,23 +336,27 @@ class Encoder:
         packed, string = self.packed, self.model.string
         for word, tokens in self.model.encode_words(spelled):
             self.ids[word] = b"".join([packed[t] for t in tokens])
-            self.decoded[word] = " ".join([string[t] for t in tokens])
+            self.held += len(word) + 4 * len(tokens) + OVERHEAD
+            if self.decode:
+                self.decoded[word] = " ".join([string[t] for t in tokens])
+                self.held += len(self.decoded[word]) + OVERHEAD // 2
         for k, words in block:
             if words:
                 out[k][0].append(b"".join(map(self.ids.__getitem__, words)))
-                out[k][1].append(" ".join(map(self.decoded.__getitem__, words)))
+                if self.decode:
+                    out[k][1].append(" ".join(map(self.decoded.__getitem__, words)))
 
 
 def encode_decode(
-    df: DataFrame, model: Model, text: str = "text", ids: str = "token_ids", decoded: str = "decoded", packed: bool = False
+    df: DataFrame, model: Model, text: str = "text", ids: str = "token_ids", decoded: str | None = "decoded", packed: bool = False
 ) -> DataFrame:
-    """``df`` with the ids and the decoded text of every row.
+    """``df`` with the ids and, unless ``decoded`` is None, the decoded text of every row.
 
     The ids are an array of integers or, where ``packed``, a binary of little-endian
     unsigned 32-bit integers. ``model`` is sent to the executors once; its size is
     that of the tokenizer file.
     """
-    kept = without(df, ids, decoded)
+    kept = without(df, ids, *([decoded] if decoded else []))
     shared = df.sparkSession.sparkContext.broadcast(model)
     source = kept.withColumn("__text", F.col(f"`{text}`").cast("string"))
 
@@ -346,13 +366,13 @@ def encode_decode(
         else:
             ends = np.cumsum([0, *(len(i) // 4 for i, _ in done)], dtype="int32")
             of_ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(i for i, _ in done), "<i4")))
-        return [of_ids, pa.array([d for _, d in done], pa.string())]
+        return [of_ids, pa.array([d for _, d in done], pa.string())] if decoded else [of_ids]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder = Encoder(shared.value, bool(decoded))
         for batch in batches:
             at = batch.schema.get_field_index("__text")
-            names = [*(n for n in batch.schema.names if n != "__text"), ids, decoded]
+            names = [*(n for n in batch.schema.names if n != "__text"), ids, *([decoded] if decoded else [])]
             sizes = [n or 0 for n in pc.binary_length(batch.column(at)).to_pylist()]
             start = 0
             while start < len(sizes):
@@ -367,5 +387,5 @@ def encode_decode(
                 yield pa.RecordBatch.from_arrays([*rest, *results(done)], names=names)
                 start = stop
 
-    added = StructType([StructField(ids, BinaryType() if packed else ArrayType(IntegerType())), StructField(decoded, StringType())])
-    return source.mapInArrow(run, StructType([*kept.schema.fields, *added.fields]))
+    added = [StructField(ids, BinaryType() if packed else ArrayType(IntegerType())), *([StructField(decoded, StringType())] if decoded else [])]
+    return source.mapInArrow(run, StructType([*kept.schema.fields, *added]))

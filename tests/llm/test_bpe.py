@@ -50,6 +50,20 @@ def test_every_code_point(model, library):
         assert got == expected(library, text), hex(ord(text[1]))
 
 
+def test_memories_are_bounded_and_decoding_is_optional(library, monkeypatch):
+    monkeypatch.setattr(bpe, "EDGES", 500)
+    monkeypatch.setattr(bpe, "MEMORY", 20_000)
+    monkeypatch.setattr(bpe, "BLOCK", 2_000)
+    small = bpe.Model(PATH)
+    encoder = bpe.Encoder(small, decode=False)
+    texts = odd_texts()
+    for text in texts:
+        assert encoder.encode([text]) == [(expected(library, text)[0], "")], repr(text)
+        assert encoder.held < 20_000 + 400 * len(text) + 1_000
+        assert small.completed < 500 + 100 * (len(text) + 10)
+    assert not encoder.decoded.keys() - small.special.keys()
+
+
 def test_long_texts_are_cut_before_white_space(model, library, monkeypatch):
     monkeypatch.setattr(bpe, "BLOCK", 50)
     monkeypatch.setattr(bpe, "MEMORY", 20)
