@@ -53,8 +53,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token ids of every document of the mix."""
-    done = bpe.encode_decode(docs.select("doc_id", "source", "text"), bpe.Model(queries.tokenizer_path()))
+    """The token ids of every document of the mix; decoded texts are not made."""
+    done = bpe.encode_decode(docs.select("doc_id", "source", "text"), bpe.Model(queries.tokenizer_path()), decoded=None)
     return done.select("doc_id", "source", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids")
 
 
