@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbmart.llm import bpe, html, langid, minhash, mixing, ngramlm, nndescent, rules, urls, vecgraph
+from plumbmart.llm import bpe, html, langid, minhash, mixing, ngramlm, nndescent, packing, rules, urls, vecgraph
 from plumbmart.llm.common import fold, stored, table
 from plumbmart.llm.sql import SQL  # noqa: F401
 
@@ -90,6 +90,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of all documents' pieces of at most 4096 tokens in as few sequences as the search finds."""
+    pieces = packing.token_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+    length = F.expr("octet_length(ids) div 4").cast("long").alias("length")
+    narrow = stored(pieces.select("doc_id", "piece", "start", length, F.crc32("ids").alias("ids_crc32")), "pieces")
+    return packing.pack(narrow, "length", ["doc_id", "piece", "ids_crc32"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_encoding": op1_bpe_encoding,
     "op2_html_extraction": op2_html_extraction,
@@ -101,4 +109,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_mixing": op9_mixing,
     "op10_language_id": op10_language_id,
+    "op13_best_fit_packing": op13_best_fit_packing,
 }
