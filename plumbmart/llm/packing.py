@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
-from plumbmart.llm.bpe import ASCII_SPLIT
+from plumbmart.llm.bpe import ASCII_SPLIT, byte_letters
 from plumbmart.llm.common import by_value, without
 from plumbmart.llm.ordering import ordered
 
@@ -58,10 +58,15 @@ STEPS = 2_000
 CHOICES = 32
 #: Characters encoded at once, and bytes of encoded words kept between blocks.
 BLOCK = 1_000_000
-MEMORY = 48 << 20
+MEMORY = 96 << 20
 OVERHEAD = 180
 #: White space that no token spans.
 WHITE = re.compile(r"[^\x20\x09-\x0D]+")
+# Fixed values of the file format: its split pattern over lower-cased text of Latin letters, which end before U+02B0.
+BEYOND = re.compile("[^\x00-\u02af]")
+PLAIN_SPLIT = re.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºÀ-ÖØ-öø-ʯ]+|[0-9²³¹¼½¾]|[^\x09-\x0D\x20\x85\xA0a-z0-9ªµº²³¹¼½¾À-ÖØ-öø-ʯ]+"
+)
 
 Filling = tuple[tuple[int, int], ...]
 
@@ -303,8 +308,9 @@ class Words:
     """Ids of texts by the tokenizers library, which sees each distinct word of a block once.
 
     White space is dropped by the tokenizer and never inside a token, so the ids of
-    a text are those of its words. A text of ASCII without a special token's mark is
-    split further, as the tokenizer itself splits it.
+    a text are those of its words. A text of Latin letters, which no normal form
+    changes, without a special token's mark is lower-cased and split further, as the
+    tokenizer itself does.
     """
 
     def __init__(self, file: str):
@@ -315,11 +321,21 @@ class Words:
         self.library = Tokenizer.from_str(file)
         self.library.no_truncation()
         self.library.no_padding()
+        self.model = self.library.model
+        self.letters = {b: c for b, c in enumerate(byte_letters()) if chr(b) != c}
+        self.packed = [k.to_bytes(4, "little") for k in range(self.library.get_vocab_size())]
         self.ids: dict[str, bytes] = {}
         self.held = 0
 
-    def split(self, text: str) -> list[str]:
-        return ASCII_SPLIT.findall(text.lower()) if text.isascii() and "<|" not in text else WHITE.findall(text)
+    def split(self, text: str) -> tuple[bool, list[str]]:
+        """Whether the words are such that BPE applies to each as it is, and the words."""
+        if "<|" not in text:
+            lower = text.lower()
+            if text.isascii():
+                return True, ASCII_SPLIT.findall(lower)
+            if not BEYOND.search(text) and not BEYOND.search(lower):
+                return True, PLAIN_SPLIT.findall(lower)
+        return False, WHITE.findall(text)
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit integers of each text."""
@@ -328,11 +344,21 @@ class Words:
             split = [self.split(x) for x in texts[start:stop]]
             if self.held > MEMORY:
                 self.ids, self.held = {}, 0
-            self.learn(list(set().union(*split) - self.ids.keys()))
-            out.extend(b"".join(map(self.ids.__getitem__, words)) for words in split)
+            for plain, learn in ((True, self.learn), (False, self.learn_whole)):
+                learn(list(set().union(*(words for kind, words in split if kind is plain)) - self.ids.keys()))
+            out.extend(b"".join(map(self.ids.__getitem__, words)) for _, words in split)
         return out
 
     def learn(self, words: list[str]) -> None:
+        """Encode words that the tokenizer neither changes nor splits, by its model alone."""
+        tokenize, packed = self.model.tokenize, self.packed
+        for word in words:
+            spelled = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.letters)
+            ids = b"".join([packed[t.id] for t in tokenize(spelled)])
+            self.ids[word] = ids
+            self.held += len(word) + len(ids) + OVERHEAD
+
+    def learn_whole(self, words: list[str]) -> None:
         """Encode many words as one text; a token belongs to the word that its first character stands in."""
         for start, stop in _blocks([len(w) + 1 for w in words], BLOCK):
             part = words[start:stop]

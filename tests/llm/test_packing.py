@@ -114,6 +114,8 @@ def test_ids_are_those_of_the_library(monkeypatch):
     words = packing.Words(open(PATH, encoding="utf-8").read())
     points = [c for c in map(chr, range(1, 0x3200)) if not 0xD800 <= ord(c) < 0xE000]
     texts = odd_texts() + ["".join(f"a{c}b {c} " for c in points[k : k + 16]) for k in range(0, len(points), 16)]
+    latin = "aEé ÄßñÇøŒſİªµ²½¹3'_-.,\xa0\x85\u02afÞ÷×"
+    texts += ["".join(random.Random(k).choice(latin) for _ in range(50)) for k in range(300)]
     texts += ["J̌ ǰ İ", "x" * 5000 + " y", "the quick brown foxes' " * 60]
     for text, got in zip(texts, words.encode(texts), strict=True):
         assert got == np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
