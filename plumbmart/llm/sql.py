@@ -131,3 +131,37 @@ from v join (select x, min(y) as component_id from reach group by x) k on k.x =
 """
 
 SQL: dict[str, str] = {"op3_url_filter": OP3, "op4_embedding_dedup": OP4, "op7_jaccard_join": OP7, "op9_mixing": OP9}
+
+#: Every phrase of one to five words is counted; all longer candidates of a candidate are looked at.
+SQL["op12_collocations"] = r"""
+with pieces as (
+  select row_number() over () as pid, lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda w: w <> '') as ws
+  from (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0b\x0c\r]')) as piece from documents)),
+words as (select pid, lang, generate_subscripts(ws, 1) as i, unnest(ws) as w from pieces),
+runs as (select lang, w as w1, lead(w, 1) over o as w2, lead(w, 2) over o as w3, lead(w, 3) over o as w4, lead(w, 4) over o as w5
+  from words window o as (partition by pid order by i)),
+phrases as (
+  select lang, [w1] as p from runs
+  union all select lang, [w1, w2] from runs where w2 is not null
+  union all select lang, [w1, w2, w3] from runs where w3 is not null
+  union all select lang, [w1, w2, w3, w4] from runs where w4 is not null
+  union all select lang, [w1, w2, w3, w4, w5] from runs where w5 is not null),
+f as (select lang, p, count(*) as f from phrases group by all),
+totals as (select lang, count(*) as n from words group by lang),
+candidates as (select lang, p, f as a from f where len(p) >= 2 and f >= 100),
+inside as (
+  select distinct c.lang, c.p[s.s : s.s + m.m - 1] as p, max(c.a) as most
+  from candidates c, range(2, 5) m(m), range(1, 5) s(s)
+  where m.m < len(c.p) and s.s + m.m - 1 <= len(c.p) group by all),
+kept as (select c.* from candidates c left join inside i on i.lang = c.lang and i.p = c.p where i.most is null or 100 * i.most < 100 * c.a),
+cuts as (select kept.*, k.k, p[1 : k.k] as lp, p[k.k + 1 :] as rp from kept, range(1, 5) k(k) where k.k < len(p)),
+scored as (
+  select cuts.lang, cuts.p, cuts.a, cuts.k, fl.f as l, fr.f as r, n,
+    cast((1000::hugeint * cuts.a * n) // (fl.f::hugeint * fr.f) as bigint) as score
+  from cuts join f fl on fl.lang = cuts.lang and fl.p = cuts.lp join f fr on fr.lang = cuts.lang and fr.p = cuts.rp join totals on totals.lang = cuts.lang),
+weakest as (select * from scored qualify row_number() over (partition by lang, p order by score, k) = 1)
+select lang, row_number() over (partition by lang order by score desc, a desc, array_to_string(p, ' ')) as rank,
+  array_to_string(p, ' ') as phrase, a, l, r, n, score
+from weakest qualify rank <= 2000
+"""
