@@ -285,6 +285,8 @@ def expand(docs: DataFrame, seeds: DataFrame, words: DataFrame, totals: DataFram
     """Scored survivors (lang, phrase, a, l, r, n, score) among the phrases that begin with a seed (lang, word, h, f)."""
     empty = docs.sparkSession.createDataFrame([], "lang string, phrase string, a bigint, l bigint, r bigint, n bigint, score bigint")
     first, every = bits(seeds, "h"), bits(words, "h")
+    if first is None:
+        return empty
     levels: dict[int, Bits] = {}
     for size in range(2, longest + 1):
         table = bits(count_grown(docs, first, every, levels, size, least), "h")
