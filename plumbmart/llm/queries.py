@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbmart.llm import bpe, collocations, html, langid, minhash, mixing, ngramlm, nndescent, packing, rules, urls, vecgraph
+from plumbmart.llm import bpe, collocations, html, langid, minhash, mixing, ngramlm, nndescent, packing, rules, spelling, urls, vecgraph
 from plumbmart.llm.common import fold, stored, table
 from plumbmart.llm.sql import SQL  # noqa: F401
 
@@ -90,6 +90,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The frequent variant of every word of the documents that has one, and how many words are one edit away."""
+    return spelling.forms(spelling.words(table(spark, sf_dir, "documents")))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each language's first 2000 phrases of two to five words, by the score of their weakest cut."""
     return collocations.collocations(table(spark, sf_dir, "documents"))
@@ -114,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_mixing": op9_mixing,
     "op10_language_id": op10_language_id,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_collocations": op12_collocations,
     "op13_best_fit_packing": op13_best_fit_packing,
 }

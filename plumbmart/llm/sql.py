@@ -165,3 +165,28 @@ select lang, row_number() over (partition by lang order by score desc, a desc, a
   array_to_string(p, ' ') as phrase, a, l, r, n, score
 from weakest qualify rank <= 2000
 """
+
+#: All pairs of words are compared. Each code point is one byte there, as the distance counts bytes.
+SQL["op11_spelling_variants"] = r"""
+with recursive poly(i, k, c) as (
+  select i, 0, i from range(256) t(i)
+  union all select i, k + 1, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end from poly where k < 8),
+crc as materialized (select list(c order by i) as t from poly where k = 8),
+runs as (select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) as w from documents),
+each as materialized (select doc_id, w, count(*) as n from runs group by all),
+hashed as (select w, n, xor(4294967295, list_reduce(
+    list_concat([4294967295::bigint], list_transform(flatten(list_transform(string_split(coalesce(doc_id::varchar, '') || ':' || w, ''),
+      lambda x: case when unicode(x) < 128 then [unicode(x)] else [192 + (unicode(x) >> 6), 128 + (unicode(x) & 63)] end)), lambda x: x::bigint)),
+    lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]))) as h from each, crc),
+slipped as (select case when h % 97 = 0 then left(w, (h % length(w))::int) || substr(w, (h % length(w))::int + 2) else w end as word, n from hashed),
+words as materialized (select word, sum(n)::bigint as n, translate(word, (select string_agg(chr(i::int), '' order by i) from range(192, 256) t(i)),
+    (select string_agg(chr(i::int), '' order by i) from range(1, 65) t(i))) as bytes from slipped where length(word) >= 5 group by word having sum(n) >= 3),
+pairs as materialized (select a.word, b.word as near, b.n as near_n from words a join words b on length(b.word) between length(a.word) - 1 and length(a.word) + 1
+  where a.word <> b.word and levenshtein(a.bytes, b.bytes) = 1),
+counted as (select word, count(*) as n_near from pairs group by word),
+best as (select * from pairs qualify row_number() over (partition by word order by near_n desc, near) = 1),
+formed as materialized (select w.word, w.n, coalesce(n_near, 0) as n_near, case when near_n >= 2 * w.n then near end as form, case when near_n >= 2 * w.n then near_n end as form_n
+  from words w left join counted using (word) left join best using (word)),
+chain(word, here, steps) as (select word, word, 0 from formed union all select chain.word, form, steps + 1 from chain join formed on formed.word = here where form is not null)
+select word, form, (select max_by(here, steps) from chain c where c.word = formed.word) as root, n, n_near, form_n from formed
+"""
