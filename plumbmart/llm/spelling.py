@@ -77,7 +77,11 @@ def both_ways(words: DataFrame) -> DataFrame:
 
 
 def trie(keys: DataFrame) -> DataFrame:
-    """Edges (node, label, child, near, near_n, inner) of the second halves; ``near`` is the word that ends at the child."""
+    """Edges (node, first, label, child, near, near_n, firsts) of the second halves.
+
+    ``near`` is the word that ends at the child, ``first`` and ``firsts`` the code
+    points that the label and the child's edges begin with.
+    """
     first = base(F.col("size") - 1)
     prefixes = keys.withColumn("d", F.explode(F.sequence(first, F.col("size")))).select(
         "key", "rev", "size", "n", "d", node(F.substring(F.col("key"), F.lit(1), F.col("d"))).alias("node"),
@@ -88,21 +92,25 @@ def trie(keys: DataFrame) -> DataFrame:
     paths = placed.groupBy("key", "rev", "size", "n").agg(F.sort_array(F.collect_list(F.struct("d", "node"))).alias("p"))
     steps = paths.select("key", "size", "n", "p", F.explode(F.sequence(F.lit(1), F.size("p") - 1)).alias("k")).select(
         F.expr("p[k - 1].node").alias("node"), F.expr("substring(key, p[k - 1].d + 1, p[k].d - p[k - 1].d)").alias("label"), F.expr("p[k].node").alias("child"),
-        F.expr("if(k = size(p) - 1, key, null)").alias("near"), F.expr("if(k = size(p) - 1, n, null)").alias("near_n"), F.expr("k < size(p) - 1").alias("inner"),
+        F.expr("if(k = size(p) - 1, key, null)").alias("near"), F.expr("if(k = size(p) - 1, n, null)").alias("near_n"),
     )
-    return steps.groupBy("node", "label", "child").agg(F.max("near").alias("near"), F.max("near_n").alias("near_n"), F.max("inner").alias("inner"))
+    edges = stored(steps.groupBy("node", "label", "child").agg(F.max("near").alias("near"), F.max("near_n").alias("near_n")), "steps")
+    edges = edges.withColumn("first", F.left("label", F.lit(1)))
+    # No more than there are letters.
+    beyond = edges.groupBy(F.col("node").alias("child")).agg(F.array_join(F.collect_set("first"), "").alias("firsts"))
+    return edges.join(beyond, "child", "left")
 
 
-#: Length of the common beginning of the rest of the word and the label.
-COMMON = """case when startswith(rest, label) then length(label) when left(rest, 1) <> left(label, 1) then 0
-  else aggregate(sequence(1, least(length(rest), length(label))), 0, (p, k) -> if(p = k - 1 and substring(rest, k, 1) = substring(label, k, 1), k, p)) end"""
-#: Code points of the word used by an edge, and edits by then: as it is, replaced, inserted, deleted.
-MOVES = """filter(array(
-  if(p = length(label), struct(length(label) as used, edits as edits), null),
-  if(edits = 0 and p < length(label) and length(rest) > p and startswith(substring(rest, p + 2), substring(label, p + 2)), struct(length(label) as used, 1 as edits), null),
-  if(edits = 0 and p < length(label) and startswith(substring(rest, p + 1), substring(label, p + 2)), struct(length(label) - 1 as used, 1 as edits), null),
-  if(edits = 0 and p < length(label) and length(rest) > p and startswith(substring(rest, p + 2), substring(label, p + 1)), struct(length(label) + 1 as used, 1 as edits), null)
-), m -> m is not null)"""
+#: Length of the common beginning of the rest of the word and the label; no word has a space.
+COMMON = r"""case when startswith(rest, label) then length(label) when left(rest, 1) <> first then 0
+  else length(regexp_extract(concat(rest, ' ', label), '^([^ ]*)[^ ]*+ \\1', 1)) end"""
+#: Ways to take an edge: as the word goes on, or with its code point ``p`` replaced, inserted or deleted.
+WAYS = ("as it is", "replaced", "inserted", "deleted")
+FITS = """case way when 0 then p = length(label)
+  when 1 then p < length(label) and length(rest) > p and startswith(substring(rest, p + 2), substring(label, p + 2))
+  when 2 then p < length(label) and startswith(substring(rest, p + 1), substring(label, p + 2))
+  else p < length(label) and length(rest) > p and startswith(substring(rest, p + 2), substring(label, p + 1)) end"""
+USED = "length(label) + case way when 2 then -1 when 3 then 1 else 0 end"
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
@@ -111,17 +119,24 @@ def near_pairs(words: DataFrame) -> DataFrame:
     edges = stored(trie(keys), "edges")
     at = base(F.col("size"))
     states = keys.select("key", "rev", at.alias("position"), node(F.substring(F.col("key"), F.lit(1), at)).alias("node"), F.lit(0).alias("edits"))
+    rest = F.expr("substring(key, position + 1)").alias("rest")
     found: DataFrame | None = None
     while True:
-        met = states.join(edges, "node").withColumn("rest", F.expr("substring(key, position + 1)")).withColumn("p", F.expr(COMMON))
-        moved = met.withColumn("m", F.explode(F.expr(MOVES))).select(
-            "key", "rev", (F.col("position") + F.col("m.used")).alias("position"), F.col("child").alias("node"), F.col("m.edits").alias("edits"), "near", "near_n", "inner"
-        )
+        # One edit left: every edge of the node. None left: the edge that goes on as the word does.
+        free = states.where("edits = 0").select("key", "rev", "position", "node", rest).join(edges, "node").withColumn("p", F.expr(COMMON))
+        free = free.withColumn("way", F.explode(F.array(*map(F.lit, range(len(WAYS)))))).where(F.expr(FITS))
+        free = free.withColumns({"position": F.col("position") + F.expr(USED), "edits": F.when(F.col("way") == 0, 0).otherwise(1)})
+        bound = states.where("edits = 1").select("key", "rev", "position", "node", rest, F.expr("substring(key, position + 1, 1)").alias("first"))
+        bound = bound.join(edges, ["node", "first"]).where("startswith(rest, label)")
+        bound = bound.withColumns({"position": F.col("position") + F.length("label"), "edits": F.lit(1)})
+        columns = ["key", "rev", "position", "child", "edits", "near", "near_n", "firsts"]
+        moved = free.select(*columns).union(bound.select(*columns))
         left = F.length("key") - F.col("position")
         hit = F.col("near").isNotNull() & (left == 1 - F.col("edits"))
-        more = F.col("inner") & ~((F.col("edits") == 1) & (left == 0))
-        new = moved.withColumns({"near": F.when(hit, F.col("near")), "near_n": F.when(hit, F.col("near_n")), "more": more})
-        new = stored(new.where("near is not null or more").drop("inner"), "frontier")
+        # What has no edit left needs an edge that begins with its next code point.
+        more = F.col("firsts").isNotNull() & ((F.col("edits") == 0) | ((left > 0) & F.expr("instr(firsts, substring(key, position + 1, 1)) > 0")))
+        new = moved.select("key", "rev", "position", F.col("child").alias("node"), "edits", F.when(hit, F.col("near")).alias("near"), F.when(hit, F.col("near_n")).alias("near_n"), more.alias("more"))
+        new = stored(new.where("near is not null or more"), "frontier")
         hits = new.where("near is not null").select("key", "rev", "near", "near_n")
         found = hits if found is None else found.union(hits)
         states = new.where("more").select("key", "rev", "position", "node", "edits")
