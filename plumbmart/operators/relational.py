@@ -91,12 +91,17 @@ def _presence(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def multiset_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows of either side not matched one for one by the other side."""
-    over = _presence(left, right).withColumn("__n", F.abs(F.col("__l") - F.col("__r"))).where("__n > 0")
+    over = _presence(left, right).withColumn("__n", F.abs(F.col("__l") - F.col("__r")))
+    return _repeated(over, left.columns)
+
+
+def _repeated(counted: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns of every row ``__n`` times."""
     # two short sequences instead of one array as long as the surplus
     blocks = F.sequence(F.lit(0), F.expr(f"(__n - 1) div {REPEAT_BLOCK}"))
     here = F.least(F.lit(REPEAT_BLOCK), F.col("__n") - F.col("__b") * REPEAT_BLOCK)
-    repeated = over.withColumn("__b", F.explode(blocks)).withColumn("__i", F.explode(F.sequence(F.lit(1), here)))
-    return repeated.select(*(f"`{c}`" for c in left.columns))
+    repeated = counted.where("__n > 0").withColumn("__b", F.explode(blocks)).withColumn("__i", F.explode(F.sequence(F.lit(1), here)))
+    return repeated.select(*(f"`{c}`" for c in columns))
 
 
 def set_difference(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -108,18 +113,26 @@ def set_difference(left: DataFrame, right: DataFrame) -> DataFrame:
 def cell_differences(
     left: DataFrame, right: DataFrame, keys: Sequence[str], cells: Sequence[str]
 ) -> DataFrame:
-    """Keys missing on one side, or with any cell that differs (NULL-safe)."""
-    def side(df: DataFrame, tag: str) -> DataFrame:
-        return df.select(
-            *keys, F.struct(*cells).alias(f"{tag}_cells"), F.lit(True).alias(f"in_{tag}")
-        )
+    """Keys missing on one side, or with any cell that differs (NULL-safe).
 
-    joined = side(left, "left").join(side(right, "right"), list(keys), "full")
-    differs = F.lit(False)
-    for c in cells:
-        differs = differs | is_distinct(F.col(f"left_cells.{c}"), F.col(f"right_cells.{c}"))
-    missing = F.col("in_left").isNull() | F.col("in_right").isNull()
-    return joined.where(missing | differs).select(*keys)
+    Rows of a repeated key are paired, equal rows first; each pair that differs and
+    each row without a partner gives its key once, so the result is never longer
+    than the two inputs together. A key with a NULL has no partner. One grouped
+    union, no join: copies and hot keys are summed before the shuffle.
+    """
+    keys = list(keys)
+    counted = _presence(left.select(*keys, *cells), right.select(*keys, *cells))
+    none = F.lit(False)
+    for k in keys:
+        none = none | F.col(k).isNull()
+    surplus = F.col("__l") - F.col("__r")
+    apart = counted.where(none | (surplus != 0)).select(
+        *keys,
+        F.when(none, F.col("__l") + F.col("__r")).otherwise(F.greatest(surplus, F.lit(0))).alias("__l"),
+        F.when(none, 0).otherwise(F.greatest(-surplus, F.lit(0))).alias("__r"),
+    )
+    pairs = apart.groupBy(*keys).agg(F.greatest(F.sum("__l"), F.sum("__r")).alias("__n"))
+    return _repeated(pairs, keys)
 
 
 def flag_latest(df: DataFrame, column: str, flag: str) -> DataFrame:
@@ -147,24 +160,23 @@ def scaffold(categories: DataFrame, counted: DataFrame, on: str, count: str) ->
 def later_occurrences(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """Every row after the first of its key, with the place of that first row.
 
-    Rows of a key that tie on ``order`` are told apart: one of them may be the
-    first, the others are later. Rows with a NULL in the key belong to no key and
-    are left out. Keys are dealt out to ``SALTS`` parts each, so a key with a
-    third of all rows spreads; what is compared per key is one row a part.
+    Of the rows of a key that tie on ``order`` the one with the smallest digest is
+    first, so reruns agree; of its exact copies all but one are later. Rows with a
+    NULL in the key belong to no key and are left out. Exact copies are counted
+    before the shuffle, and the other rows of a key are dealt out to ``SALTS`` parts,
+    so neither a third of all rows under one key nor a third that are one row meet
+    in one task; what is compared per key is one row a part.
     """
-    keys = list(keys)
-    some = df.dropna(subset=keys).withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
-    # ties of one part are equal rows, or as good as: any order of them will do
-    inside = Window.partitionBy(*keys, "__salt").orderBy(order)
-    placed = some.withColumn("__rn", F.row_number().over(inside))
-    place = F.struct(F.col(order).alias("o"), F.col("__salt").alias("s"), F.col("__rn").alias("n"))
-    parts = some.groupBy(*keys, "__salt").agg(F.min(order).alias("__o"), F.count(F.lit(1)).alias("__c"))
+    keys, names = list(keys), [f"`{c}`" for c in df.columns]
+    counted = df.dropna(subset=keys).groupBy(*names).agg(F.count(F.lit(1)).alias("__c"))
+    digest = F.struct(F.xxhash64(*names).alias("a"), F.xxhash64(F.lit(1), *names).alias("b"))
+    place = F.struct(F.col(f"`{order}`").alias("o"), digest.alias("d"))
+    some = counted.withColumns({"__place": place, "__salt": F.pmod(F.xxhash64(*names), F.lit(SALTS))})
+    parts = some.groupBy(*keys, "__salt").agg(F.min("__place").alias("__p"), F.sum("__c").alias("__n"))
     every = Window.partitionBy(*keys)
-    first = F.min(F.struct(F.col("__o").alias("o"), F.col("__salt").alias("s"))).over(every)
-    known = parts.withColumns({"__first": first, "key_row_count": F.sum("__c").over(every)})
+    known = parts.withColumns({"__first": F.min("__p").over(every), "key_row_count": F.sum("__n").over(every)})
     known = known.where(F.col("key_row_count") > 1).select(*keys, "__salt", "__first", "key_row_count")
-    found = placed.join(known, [*keys, "__salt"])
-    later = place > F.struct(F.col("__first.o").alias("o"), F.col("__first.s").alias("s"), F.lit(1).alias("n"))
-    return found.where(later).select(
-        *(f"`{c}`" for c in df.columns), F.col("__first.o").alias("first_seen_at"), "key_row_count"
-    )
+    found = some.join(known, [*keys, "__salt"])
+    later = found.withColumn("__n", F.col("__c") - F.when(F.col("__place") == F.col("__first"), 1).otherwise(0))
+    later = later.withColumn("first_seen_at", F.col("__first.o"))
+    return _repeated(later, [*df.columns, "first_seen_at", "key_row_count"])

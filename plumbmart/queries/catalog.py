@@ -327,6 +327,23 @@ def order_line_cell_differences(spark, sf):
     return R.cell_differences(orders, lines, ["orderkey"], ["status", "yr"])
 
 
+@register(
+    "supplier_line_differences",
+    "with a as (select l_suppkey as k, l_returnflag as f, l_quantity as q, row_number() over (partition by l_suppkey, l_returnflag, l_quantity) as i"
+    " from lineitem where l_linenumber <= 2), b as (select l_suppkey as k, l_returnflag as f, l_quantity as q,"
+    " row_number() over (partition by l_suppkey, l_returnflag, l_quantity) as i from lineitem where l_linenumber > 2),"
+    " x as (select k, row_number() over (partition by k) as place from a anti join b using (k, f, q, i)),"
+    " y as (select k, row_number() over (partition by k) as place from b anti join a using (k, f, q, i))"
+    " select suppkey, count(*) as n_differences from (select coalesce(x.k, y.k) as suppkey from x full join y on x.k = y.k and x.place = y.place) group by 1",
+)
+def supplier_line_differences(spark, sf):
+    """Early against late lines of each supplier, a key that repeats on both sides: how many do not pair."""
+    lines = read_table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("suppkey"), "l_returnflag", "l_quantity", "l_linenumber")
+    early, late = lines.where("l_linenumber <= 2"), lines.where("l_linenumber > 2")
+    apart = R.cell_differences(early, late, ["suppkey"], ["l_returnflag", "l_quantity"])
+    return apart.groupBy("suppkey").agg(F.count(F.lit(1)).alias("n_differences"))
+
+
 @register(
     "line_filtered_counts",
     "select l_returnflag, l_linestatus, count(*) as n_lines,"

@@ -37,6 +37,21 @@ def test_differences(spark):
     assert rows(R.cell_differences(left, right, ["i"], ["s", "n"])) == [(2,), (3,), (4,)]
 
 
+def test_repeated_keys_are_paired(spark):
+    left = [(1, "a"), (1, "a"), (1, "b"), (2, "x"), (2, "y"), (3, None), (3, None), (None, "n"), (None, "n"), (5, "q")] + [(9, f"c{i}") for i in range(500)]
+    right = [(1, "b"), (1, "a"), (1, "c"), (2, "y"), (2, "x"), (3, None), (None, "n"), (6, "q"), (6, "q")] + [(9, f"c{i}") for i in range(2, 502)]
+    both = [spark.createDataFrame(side, "k int, c string") for side in (left, right)]
+    got = [r[0] for r in R.cell_differences(*both, ["k"], ["c"]).collect()]
+    assert sorted(got, key=str) == sorted([1, 3, None, None, None, 5, 6, 6, 9, 9], key=str)
+
+
+def test_later_copies_are_the_same_in_every_run(spark):
+    data = [("k", 1, "x")] * 50 + [("k", 1, "y")] * 30 + [("k", 2, "z")] * 20 + [("l", 5, "x")]
+    runs = {tuple(sorted(map(tuple, R.later_occurrences(spark.createDataFrame(data[::step], "k string, o int, v string").repartition(n), ["k"], "o").collect()))) for step, n in ((1, 1), (-1, 7))}
+    (later,) = runs
+    assert len(later) == 99 and {r[3:] for r in later} == {(1, 100)}
+
+
 def test_latest_and_scaffold(spark):
     years = spark.createDataFrame([(2020,), (2024,)], "year int")
     assert rows(R.flag_latest(years, "year", "latest")) == [(2020, False), (2024, True)]
