@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbmart.operators.evidence import file_evidence
+from plumbmart.sources.csv_split import csv_records
 
 
 class HeaderError(ValueError):
@@ -32,9 +33,9 @@ def scan_csv(
 ) -> DataFrame:
     """The required columns as text exactly as received; blanks are ``''``.
 
-    Ragged rows and files whose header differs stop the read. Quoted line breaks
-    need ``multi_line``, which keeps a file in one task; switch it off for a
-    publisher that never breaks lines, and large files are split again.
+    Ragged rows and files whose header differs stop the read. Files are read by
+    many tasks, with quoted line breaks by ``csv_split``; switch ``multi_line`` off
+    for a publisher that never breaks lines, which saves its passes over the lines.
     """
     header = csv_header(spark, path)
     repeated = sorted({h for h in header if header.count(h) > 1})
@@ -43,17 +44,30 @@ def scan_csv(
     missing = [n for n in required if n not in header]
     if missing:
         raise HeaderError(f"{path}: required columns missing {missing}")
-    rows = (
-        spark.read.schema(T.StructType([T.StructField(h, T.StringType()) for h in header]))
-        .option("columnPruning", "false")
-        .csv(
-            path, header=True, multiLine=multi_line, quote='"', escape='"', mode="FAILFAST",
-            enforceSchema=False, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-        )
-    )
+    schema = T.StructType([T.StructField(h, T.StringType()) for h in header])
+    options = {
+        "quote": '"', "escape": '"', "mode": "FAILFAST", "columnPruning": "false",
+        "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+    }
+    if multi_line:
+        rows = _split_rows(csv_records(spark, path), header, schema, {**options, "multiLine": "true"})
+    else:
+        rows = spark.read.schema(schema).options(**options).csv(path, header=True, enforceSchema=False)
     return rows.select(*(F.coalesce(F.col(f"`{n}`"), F.lit("")).alias(n) for n in required))
 
 
+def _split_rows(records: DataFrame, header: Sequence[str], schema: T.StructType, options: dict[str, str]) -> DataFrame:
+    """Records parsed one by one; the first of each file must be the header."""
+    ddl = ", ".join(f"`{f.name.replace('`', '``')}` string" for f in schema.fields)
+    parsed = records.select("file", "first", F.from_csv("text", ddl, options).alias("row"))
+    same = F.lit(True)
+    for h in header:
+        same = same & F.coalesce(F.col("row").getField(h), F.lit("")).eqNullSafe(F.lit(h))
+    wrong = F.raise_error(F.concat(F.lit("the header differs in "), F.col("file"))).cast("boolean")
+    body = F.when(~F.col("first"), True).when(same, False).otherwise(wrong)
+    return parsed.where(body).select("row.*")
+
+
 def columns_frame(
     spark: SparkSession, names: Sequence[str], declared_types: Sequence[str] | None = None
 ) -> DataFrame:
