@@ -29,7 +29,7 @@ from plumbmart.queries.inputs import read_table, spark_input
 from plumbmart.queries.tables import mart, model
 from plumbmart.session import shared_folder
 from plumbmart.sources import contracts as C
-from plumbmart.sources.files import scan_csv
+from plumbmart.sources.files import csv_header, scan_csv
 from plumbmart.sources.pages import parse_pages
 from plumbmart.sources.sinks import combined_counts
 
@@ -981,10 +981,11 @@ def vulnerability_page_set_issues(spark, sf):
     ),
 )
 def medicare_file_shape(spark, sf):
-    """Evidence on the Medicare file as written: header, counts and repeated grains."""
-    rows = medicare_csv_scan(spark, sf)
+    """Evidence on the Medicare file as written: its own header, counts and repeated grains."""
+    path = medicare_file(spark, sf)
     announced = spark_input(spark, sf, "raw_medicare").agg(F.count(F.lit(1))).scalar()
-    return ev.file_shape(rows, C.MEDICARE_COLUMNS, C.MEDICARE_COLUMNS, C.MEDICARE_KEYS, announced)
+    rows = scan_csv(spark, path, C.MEDICARE_KEYS, multi_line=False)
+    return ev.file_shape(rows, csv_header(spark, path), C.MEDICARE_COLUMNS, C.MEDICARE_KEYS, announced)
 
 
 @register(
@@ -1006,13 +1007,59 @@ def facility_file_evidence(spark, sf):
     ),
 )
 def medicare_csv_scan(spark, sf):
-    """Write the Medicare rows as published CSV and read them with the strict scan."""
-    path = f"{shared_folder(spark)}/plumbmart/csv-{uuid.uuid4().hex}"
-    spark_input(spark, sf, "raw_medicare").write.csv(
-        path, header=True, quote='"', escape='"', emptyValue="",
-        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-    )
-    return scan_csv(spark, path, C.MEDICARE_COLUMNS, multi_line=False)
+    """The Medicare rows written as published CSV and read with the strict scan."""
+    return scan_csv(spark, medicare_file(spark, sf), C.MEDICARE_COLUMNS, multi_line=False)
+
+
+_FILES: dict[tuple[str, str, str], str] = {}
+
+
+def csv_file(rows: DataFrame, label: str, sf: str) -> str:
+    """The folder of ``rows`` as CSV files, written once a session."""
+    spark = rows.sparkSession
+    key = (spark.sparkContext.applicationId, sf, label)
+    if key not in _FILES:
+        path = f"{shared_folder(spark)}/plumbmart/csv-{uuid.uuid4().hex}"
+        rows.write.csv(
+            path, header=True, quote='"', escape='"', emptyValue="",
+            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        )
+        _FILES[key] = path
+    return _FILES[key]
+
+
+def medicare_file(spark: SparkSession, sf: str) -> str:
+    """The columns that are published, as CSV."""
+    return csv_file(spark_input(spark, sf, "raw_medicare").select(*C.MEDICARE_COLUMNS), "raw_medicare", sf)
+
+
+def document_file(spark: SparkSession, sf: str) -> str:
+    """All documents, whose texts have line breaks, as CSV."""
+    return csv_file(read_table(spark, sf, "documents").select("doc_id", "lang", "source", "text"), "documents", sf)
+
+
+@register(
+    "document_csv_scan",
+    "select cast(doc_id as varchar) as doc_id, coalesce(lang, '') as lang, cast(length(coalesce(text, '')) as bigint) as n_chars,"
+    " sha256(coalesce(text, '')) as text_sha256 from documents",
+)
+def document_csv_scan(spark, sf):
+    """Texts with quoted line breaks, written as CSV and read again by many tasks."""
+    rows = scan_csv(spark, document_file(spark, sf), ["doc_id", "lang", "text"])
+    return rows.select("doc_id", "lang", F.length("text").cast("bigint").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
+
+
+@register(
+    "document_file_shape",
+    "select false as header_as_published, false as header_repeats, sha256('[\"doc_id\",\"lang\",\"source\",\"text\"]') as header_sha256,"
+    " 1 as additive_columns, cast(sum(n) as bigint) as row_count, sum(n) = (select count(distinct doc_id) from documents) as row_count_as_announced,"
+    " count(*) filter (n > 1) as repeated_key_count from (select count(*) as n from documents group by text)",
+)
+def document_file_shape(spark, sf):
+    """Evidence on the documents' file, which has a column more than was published and texts that repeat."""
+    path = document_file(spark, sf)
+    announced = read_table(spark, sf, "documents").agg(F.countDistinct("doc_id")).scalar()
+    return ev.file_shape(scan_csv(spark, path, ["text"]), csv_header(spark, path), ["doc_id", "lang", "text"], ["text"], announced)
 
 
 # -- checksums ---------------------------------------------------------------------------
