@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 
 from plumbmart.operators.schema_checks import enforce_contract
 from plumbmart.plans import core, quality, screening, staging
@@ -20,6 +20,8 @@ class Model(NamedTuple):
     build: Callable[..., DataFrame]
     stored: bool
     partition_by: tuple[str, ...] = ()
+    # The stored model of which this one is a plain projection, row for row.
+    projects: str | None = None
 
 
 _MEDICARE, _SVI, _FACILITY = (f"raw.{s}" for s in (C.MEDICARE, C.VULNERABILITY, C.FACILITY))
@@ -44,14 +46,19 @@ MODELS: dict[str, Model] = {
     ),
     "dim_facility": Model(("stg_cms_dialysis_facility",), core.dim_facility, False),
     "fct_medicare_county_year": Model(
-        ("stg_cms_om_gv_county_year",), core.fct_medicare_county_year, False
+        ("stg_cms_om_gv_county_year",), core.fct_medicare_county_year, False,
+        projects="stg_cms_om_gv_county_year",
     ),
     "fct_medicare_benchmark_year": Model(
-        ("stg_cms_om_gv_benchmark_year",), core.fct_medicare_benchmark_year, False
+        ("stg_cms_om_gv_benchmark_year",), core.fct_medicare_benchmark_year, False,
+        projects="stg_cms_om_gv_benchmark_year",
+    ),
+    "fct_svi_county": Model(
+        ("stg_cdc_svi_county_2022",), core.fct_svi_county, False, projects="stg_cdc_svi_county_2022"
     ),
-    "fct_svi_county": Model(("stg_cdc_svi_county_2022",), core.fct_svi_county, False),
     "fct_facility_quality_snapshot": Model(
-        ("stg_cms_dialysis_facility",), core.fct_facility_quality_snapshot, False
+        ("stg_cms_dialysis_facility",), core.fct_facility_quality_snapshot, False,
+        projects="stg_cms_dialysis_facility",
     ),
     "audit_cms_svi_county_reconciliation": Model(
         ("fct_medicare_county_year", "fct_svi_county"),
@@ -107,40 +114,67 @@ def plan(raw: Mapping[str, DataFrame], select: Iterable[str] | None = None) -> d
     return tables
 
 
+def projected_columns(name: str, selected: Iterable[str]) -> dict[str, list[str]]:
+    """The required columns of a stored model and of the selected models that project it."""
+    models = [name, *(n for n in selected if MODELS[n].projects == name)]
+    return {n: quality.required(n) for n in models}
+
+
 def build(
     raw: Mapping[str, DataFrame],
     *,
     select: Iterable[str] | None = None,
     exclude: Iterable[str] = (),
     check: bool = True,
-    store: Callable[[DataFrame, str, Sequence[str]], DataFrame] = materialise,
+    store: Callable[..., DataFrame] = materialise,
 ) -> dict[str, DataFrame]:
     """Build the selected models, checking each as soon as it can be checked.
 
     An assertion runs once all of its relations exist, so a broken input stops
-    the build by the assertion's name before any model depends on it.
+    the build by the assertion's name before any model depends on it. Declared
+    not-null checks of a stored model, and of the models that project it, are
+    observed while it is written and read nothing again.
+
+    ``store(relation, name, partition_by)`` writes a model; with checks it also
+    gets ``watch``, a function of the written rows (see ``materialise``).
     """
     tables = dict(raw)
     skipped = set(with_descendants(exclude)) | set(exclude)
+    selected = [n for n in with_ancestors(MODELS if select is None else select) if n not in skipped]
     done: set[str] = set()
+    observed: set[str] = set()
 
-    def verify() -> None:
+    def verify(counts: Mapping[str, int] = {}) -> None:
         due = {n: r for n, r in assertions_for(tables).items() if n not in done}
         done.update(due)
-        if check and due:
-            quality.require_clean(quality.assertion_report(due, tables))
+        if check:
+            quality.require_clean(quality.assertion_report(due, tables) if due else None, counts)
+
+    def observing(relation: DataFrame, name: str) -> tuple[DataFrame, dict[str, int]]:
+        """Store a model and count what its not-null checks find on the way."""
+        wanted = projected_columns(name, selected)
+        watched = Observation()
+        counts = [c for n, columns in wanted.items() for c in quality.not_null_counts(n, columns)]
+        stored = store(relation, name, MODELS[name].partition_by, watch=lambda rows: rows.observe(watched, *counts))
+        observed.update(wanted)
+        # An empty relation may be planned away with its metrics.
+        return stored, dict(watched.get or {})
 
     verify()
-    for name in with_ancestors(MODELS if select is None else select):
-        if name in skipped:
-            continue
+    for name in selected:
         model = MODELS[name]
         relation = enforce_contract(
             model.build(*(tables[i] for i in model.inputs)), schema(name), name
         )
-        tables[name] = store(relation, name, model.partition_by) if model.stored else relation
-        verify()
+        counts: Mapping[str, int] = {}
+        if not model.stored:
+            tables[name] = relation
+        elif check:
+            tables[name], counts = observing(relation, name)
+        else:
+            tables[name] = store(relation, name, model.partition_by)
+        verify(counts)
     if check:
         declared = {n: t for n, t in tables.items() if n in RELATIONS}
-        quality.require_clean(quality.generic_report(declared))
+        quality.require_clean(quality.generic_report(declared, observed))
     return tables

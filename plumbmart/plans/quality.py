@@ -88,26 +88,40 @@ def assertion_report(rules: Mapping[str, Rule], tables: Tables) -> DataFrame:
 # -- generic checks from the relation declarations ------------------------------
 
 
-def not_null_report(relation: str, df: DataFrame) -> DataFrame:
-    """NULLs in every required column, all columns in one scan."""
-    names = {f"not_null:{relation}.{f.name}": f.name for f in RELATIONS[relation] if f.required}
-    counts = df.selectExpr(*(f"count_if(`{c}` is null) as `{n}`" for n, c in names.items()))
-    return _unpivot(counts, names)
-
-
-def unique_report(relation: str, df: DataFrame) -> DataFrame | None:
-    """Number of values that occur more than once, per unique column."""
-    parts = []
-    for field in RELATIONS[relation]:
-        if field.unique:
-            repeated = (
-                df.where(F.col(field.name).isNotNull())
-                .groupBy(field.name)
-                .agg(F.count(F.lit(1)).alias("n"))
-                .where("n > 1")
-            )
-            parts.append(_counted(f"unique:{relation}.{field.name}", repeated))
-    return reduce(DataFrame.union, parts) if parts else None
+def not_null_counts(relation: str, names: Iterable[str]) -> list[Column]:
+    """NULLs in each of the named columns, as aggregates to take or to observe."""
+    return [F.count_if(F.col(f"`{n}`").isNull()).alias(f"not_null:{relation}.{n}") for n in names]
+
+
+def required(relation: str) -> list[str]:
+    return [f.name for f in RELATIONS[relation] if f.required]
+
+
+def column_report(relation: str, df: DataFrame, not_null: bool = True) -> DataFrame | None:
+    """NULLs in required columns and values that a unique column repeats: one scan.
+
+    Without unique columns that is one aggregation. With them a row gives one entry
+    for each unique value and one for each NULL it should not have, and the entries
+    of all checks are counted in the same grouped pass.
+    """
+    nulls = required(relation) if not_null else []
+    unique = [f.name for f in RELATIONS[relation] if f.unique]
+    names = [f"not_null:{relation}.{n}" for n in nulls] + [f"unique:{relation}.{n}" for n in unique]
+    if not unique:
+        return _unpivot(df.agg(*not_null_counts(relation, nulls)), names) if nulls else None
+
+    def entry(kind: str, name: str, value: Column) -> Column:
+        return F.struct(F.lit(f"{kind}:{relation}.{name}").alias("assertion"), value.alias("value"))
+
+    cells = {n: F.col(f"`{n}`") for n in (*nulls, *unique)}
+    entries = [F.when(cells[n].isNull(), entry("not_null", n, F.lit(None).cast("string"))) for n in nulls]
+    entries += [F.when(cells[n].isNotNull(), entry("unique", n, cells[n].cast("string"))) for n in unique]
+    found = df.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e"))
+    counted = found.groupBy("e.assertion", "e.value").agg(F.count(F.lit(1)).alias("n"))
+    hits = F.when(F.col("value").isNull(), F.col("n")).otherwise((F.col("n") > 1).cast("long"))
+    return _unpivot(
+        counted.agg(*(F.coalesce(F.sum(F.when(F.col("assertion") == n, hits)), F.lit(0)).alias(n) for n in names)), names
+    )
 
 
 def relationship_report(tables: Tables) -> DataFrame | None:
@@ -120,14 +134,14 @@ def relationship_report(tables: Tables) -> DataFrame | None:
     return reduce(DataFrame.union, parts) if parts else None
 
 
-def generic_report(tables: Tables) -> DataFrame:
-    """All declared not-null, unique and relationship checks of the tables given."""
-    parts = []
-    for relation in RELATIONS:
-        if relation in tables:
-            if any(f.required for f in RELATIONS[relation]):
-                parts.append(not_null_report(relation, tables[relation]))
-            parts.append(unique_report(relation, tables[relation]))
+def generic_report(tables: Tables, observed: Iterable[str] = ()) -> DataFrame:
+    """All declared not-null, unique and relationship checks of the tables given.
+
+    The not-null checks of the ``observed`` relations are left out: they were
+    counted while those relations were written.
+    """
+    known = set(observed)
+    parts = [column_report(n, tables[n], n not in known) for n in RELATIONS if n in tables]
     parts.append(relationship_report(tables))
     return reduce(DataFrame.union, [p for p in parts if p is not None])
 
@@ -137,7 +151,10 @@ def failures(report: DataFrame) -> dict[str, int]:
     return {r.assertion: r.violations for r in report.where("violations > 0").collect()}
 
 
-def require_clean(report: DataFrame) -> None:
-    found = failures(report)
+def require_clean(report: DataFrame | None, observed: Mapping[str, int] = {}) -> None:
+    """Stop on violations in the report or among counts already observed."""
+    found = {n: c for n, c in observed.items() if c}
+    if report is not None:
+        found |= failures(report)
     if found:
         raise QualityFailure(found)

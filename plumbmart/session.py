@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,11 +53,18 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def materialise(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
+def materialise(
+    df: DataFrame,
+    label: str,
+    partition_by: Sequence[str] = (),
+    watch: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and read it back.
 
     Used where several consumers read one relation: it cuts the lineage, keeps
     column and partition pruning for the readers and survives lost executors.
+    ``watch`` is put on the rows that the writing tasks write, after any shuffle;
+    what it observes there counts each task once, whatever is run again.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/plumbmart/{label}-{uuid.uuid4().hex}"
@@ -65,5 +72,5 @@ def materialise(df: DataFrame, label: str, partition_by: Sequence[str] = ()) ->
         # a few tasks for each value, or every task would write a file for every value
         salt = F.pmod(F.xxhash64(*df.columns), F.lit(WRITERS))
         df = df.repartition(*partition_by, salt)
-    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
+    watch(df).write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*(f"`{c}`" for c in df.columns))

@@ -187,3 +187,42 @@ def test_declared_checks_cover_every_model(mart):
     report = quality.generic_report(declared)
     assert report.count() == 287 + 13 + 5
     assert quality.failures(report) == {}
+
+
+def test_column_report_counts_nulls_and_repeats_in_one_scan(mart):
+    damaged = mu.change_cell(mart["dim_county"], F.col("county_fips").isin("01001", "02013"), "county_fips", F.lit("11001"))
+    damaged = mu.change_cell(damaged, F.col("county_fips") == "09001", "county_fips", F.lit(None))
+    report = quality.column_report("dim_county", damaged)
+    assert quality.failures(report) == {"not_null:dim_county.county_fips": 1, "unique:dim_county.county_fips": 1}
+    assert report.count() == len(quality.required("dim_county")) + 1
+    plan_text = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan_text.count("Relation [") == 1
+    assert quality.failures(quality.column_report("dim_county", damaged.limit(0))) == {}
+
+
+def test_not_null_checks_are_observed_while_a_model_is_written(spark, folder):
+    """A NULL in a stage stops the build by the names of the stage's and the fact's check."""
+    raw = raw_sources(spark, f"{folder}/observed")
+    blank = mu.change_cell(raw[f"raw.{C.VULNERABILITY}"], F.lit(True), "source_retrieved_at_utc", F.lit(None))
+    with pytest.raises(quality.QualityFailure) as stopped:
+        build({**raw, f"raw.{C.VULNERABILITY}": blank}, select=["fct_svi_county"])
+    rows = raw[f"raw.{C.VULNERABILITY}"].count()
+    assert stopped.value.failures["not_null:stg_cdc_svi_county_2022.source_retrieved_at_utc"] == rows
+    assert stopped.value.failures["not_null:fct_svi_county.source_retrieved_at_utc"] == rows
+
+
+def test_observed_counts_of_an_empty_model(raw):
+    empty = {n: df.limit(0) if n == f"raw.{C.FACILITY}" else df for n, df in raw.items()}
+    with pytest.raises(quality.QualityFailure) as stopped:
+        build(empty, select=["stg_cms_dialysis_facility"])
+    assert set(stopped.value.failures) <= set(ASSERTIONS)
+    built = build({n: df for n, df in empty.items() if "audit" not in n}, select=["stg_cms_dialysis_facility"])
+    assert built["stg_cms_dialysis_facility"].count() == 0
+
+
+def test_projections_keep_the_rows_of_what_they_project(mart):
+    for name, model in MODELS.items():
+        if model.projects:
+            assert model.inputs == (model.projects,) and not model.stored
+            plain = mart[model.projects].select(*mart[name].columns)
+            assert plain.sameSemantics(mart[name]) or plain.exceptAll(mart[name]).isEmpty()
