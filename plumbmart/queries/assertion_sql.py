@@ -80,6 +80,19 @@ def _score_values() -> list[str]:
     return out
 
 
+def _unmatched(relation: str, other: str) -> str:
+    """The rows of one relation that the other does not have, numbered within their key."""
+    columns = ", ".join((
+        "county_fips", "svi_vintage", "acs_period_start", "acs_period_end",
+        *(n for m in C.VULNERABILITY_METRICS for n in (m, f"{m}_status")), *C.SNAPSHOT_LINEAGE,
+    ))
+    keyed = "where county_fips is not null and svi_vintage is not null"
+    return (
+        "(select county_fips, svi_vintage, row_number() over (partition by county_fips, svi_vintage) as place"
+        f" from (select {columns} from {relation} {keyed} except all select {columns} from {other} {keyed}))"
+    )
+
+
 def _families(condition: str) -> str:
     return " union all ".join(
         f"select ccn from stg_cms_dialysis_facility where {f}_availability_status = 'available'"
@@ -288,17 +301,12 @@ SQL: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "svi_fact_reconciles_stage": (
         ("stg_cdc_svi_county_2022", "fct_svi_county"),
-        "select 1 from stg_cdc_svi_county_2022 s full join fct_svi_county f"
-        " on s.county_fips = f.county_fips and s.svi_vintage = f.svi_vintage"
-        " where s.county_fips is null or f.county_fips is null or "
-        + " or ".join(
-            f"s.{c} is distinct from f.{c}"
-            for c in (
-                "acs_period_start", "acs_period_end",
-                *(n for m in C.VULNERABILITY_METRICS for n in (m, f"{m}_status")),
-                *C.SNAPSHOT_LINEAGE,
-            )
-        ),
+        # the rows of a repeated key are paired, equal rows first
+        f"select 1 from {_unmatched('stg_cdc_svi_county_2022', 'fct_svi_county')} s full join"
+        f" {_unmatched('fct_svi_county', 'stg_cdc_svi_county_2022')} f"
+        " on (s.county_fips, s.svi_vintage, s.place) = (f.county_fips, f.svi_vintage, f.place)"
+        " union all select 1 from stg_cdc_svi_county_2022 where county_fips is null or svi_vintage is null"
+        " union all select 1 from fct_svi_county where county_fips is null or svi_vintage is null",
     ),
     "svi_lineage_present": (
         ("stg_cdc_svi_county_2022",),

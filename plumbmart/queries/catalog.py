@@ -23,8 +23,10 @@ from plumbmart.operators.quantile import exact_quantile
 from plumbmart.plans import assertions as A
 from plumbmart.plans import quality as Q
 from plumbmart.plans.build import MODELS, plan
+from plumbmart.plans.damage import damage_report
 from plumbmart.plans.relations import FOREIGN_KEYS, RELATIONS, columns
 from plumbmart.queries import assertion_sql, oracle
+from plumbmart.queries.damage import DAMAGES, damage_sql
 from plumbmart.queries.inputs import read_table, spark_input
 from plumbmart.queries.tables import mart, model
 from plumbmart.session import shared_folder
@@ -146,6 +148,12 @@ def assertions_after_damage(spark, sf):
     )
 
 
+@register("damage_of_every_assertion", damage_sql())
+def damage_of_every_assertion(spark, sf):
+    """What each of the assertions finds after the damage that is made for it."""
+    return damage_report(A.ASSERTIONS, DAMAGES, mart(spark, sf))
+
+
 # -- typing ------------------------------------------------------------------------------
 
 _PRICE_TOKEN = (
