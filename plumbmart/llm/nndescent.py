@@ -22,11 +22,19 @@ the search goes on with a beam twice as wide. If the recall is still missed
 when the beam is as wide as the table, that is an error.
 
 Scale: vectors travel as one byte a component, or two where one did not do; what a
-round shuffles is a fixed number of those for each vertex. Equal vectors are one vertex, which keeps its
+round shuffles is a fixed number of those for each vertex. Vectors of one direction (equal
+ones and multiples, to DIGITS decimals of the largest component) are one vertex, which keeps its
 k + 1 smallest ids, as no query needs more of them; so copies, however many,
 make no hot vertex. The blocks of a cluster are bounded. The driver sees the
 centroids' sample and the audit's queries only.
 
+Ties: cosines that agree to DIGITS decimals are equal, as the last bits depend on the
+order of a sum, and the smaller id comes first. The score is the cosine of the two
+original vectors. The audit counts a row as found if one as near was returned. Directions
+that differ by more than DIGITS decimals though their cosine rounds to 1 (multiples in
+single precision) are vertices of their own, so among more of them than the beam holds
+the smallest ids may be missed.
+
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components, and rows with a null id, take no part. Vectors of another dimension
 than the query's are not compared. Rows that agree in their id are one row, that
@@ -54,6 +62,7 @@ CLUSTER, BLOCK, OVERLAP = 400, 400, 2
 #: Width of the beam, share of it that is expanded in a round, and what single precision may add to a cosine.
 BEAM, STEP, ROUNDING = 256, 0.5, 1e-6
 RECALL, AUDIT = 0.95, 100
+DIGITS = 12
 
 
 def codes_of(x: np.ndarray, size: int = 1) -> list[bytes]:
@@ -201,15 +210,18 @@ def graph_of(vertices: DataFrame, codes: DataFrame) -> DataFrame:
 
 
 def vertices_of(df: DataFrame, key: str, vector: str, copies: int) -> tuple[DataFrame, DataFrame]:
-    """(id, vertex) of every row that takes part, and (vertex, vector, ids), one row for each distinct vector."""
+    """(id, vertex, vector) of every row that takes part, and (vertex, vector, ids), one row for each direction."""
     rows = df.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{vector}`").cast("array<double>").alias("vector"))
     rows = rows.where(usable(F.col("vector")) & F.col("id").isNotNull()).withColumn("digest", digest(F.col("vector")))
-    rows = rows.groupBy("id").agg(F.min_by("vector", "digest").alias("vector"), F.min("digest").alias("digest"))
-    rows = stored(rows, "rows")
+    rows = rows.groupBy("id").agg(F.min_by("vector", "digest").alias("vector"))
+    largest = F.array_max(F.transform("vector", F.abs))
+    # -0.0 becomes 0.0
+    direction = F.transform("vector", lambda x: F.round(x / F.col("largest"), DIGITS) + F.lit(0.0))
+    rows = stored(rows.withColumn("largest", largest).select("id", "vector", digest(direction).alias("digest")), "rows")
     ids = rows.withColumn("n", F.row_number().over(Window.partitionBy("digest").orderBy("id"))).where(F.col("n") <= copies).groupBy("digest").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     heads = stored(ids.withColumn("vertex", F.col("ids")[0]), "ids")
     vertices = heads.join(rows.select(F.col("id").alias("vertex"), "vector"), "vertex").select("vertex", "vector", "ids")
-    return rows.select("id", "digest").join(heads.select("digest", "vertex"), "digest").select("id", "vertex"), stored(vertices, "vertices")
+    return rows.join(heads.select("digest", "vertex"), "digest").select("id", "vertex", "vector"), stored(vertices, "vertices")
 
 
 def coded(vertices: DataFrame, size: int = 1) -> DataFrame:
@@ -291,12 +303,12 @@ def ranked_exactly(beam: DataFrame, vertices: DataFrame, k: int, off: float, wid
     pairs = near.select("query", F.explode(F.concat("others", F.array("query"))).alias("vertex")).distinct()
     rows = pairs.join(vertices, "vertex").join(vertices.select(F.col("vertex").alias("query"), F.col("vector").alias("own")), "query").where(F.size("own") == F.size("vector"))
     each = compared(rows).select("query", "score", F.explode("ids").alias("id"))
-    found = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("minus"), "id"))), 1, k + 1)
+    found = F.slice(F.sort_array(F.collect_list(F.struct((-F.round("score", DIGITS)).alias("minus"), "id"))), 1, k + 1)
     return each.groupBy("query").agg(found.alias("found")).join(near.select("query", "cut"), "query")
 
 
 def audited(found: DataFrame, vertices: DataFrame, k: int, sample: int = AUDIT) -> tuple[float, float]:
-    """The share of the k nearest others that was found, by brute force, of a bounded sample of query vertices.
+    """The share of the k nearest others, or of others as near, that was found, by brute force, of a bounded sample of query vertices.
 
     Those whose beam was cut are a sample of their own, with a share of its own.
     """
@@ -309,20 +321,23 @@ def audited(found: DataFrame, vertices: DataFrame, k: int, sample: int = AUDIT)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, ids = np.asarray(pa.compute.list_value_length(batch.column(0))), batch.column(1)
+            first = np.asarray([i[0] for i in ids.to_pylist()], np.int64)
             rows = []
             for query, vector in queries.value:
                 at = np.flatnonzero(sizes == len(vector))
                 if len(at):
-                    cosine = unit(matrix(batch.column(0).take(pa.array(at)))) @ unit(vector[None, :])[0]
-                    top = np.argsort(-cosine, kind="stable")[: k + 1]
+                    cosine = np.round(unit(matrix(batch.column(0).take(pa.array(at)))) @ unit(vector[None, :])[0], DIGITS)
+                    top = np.lexsort((first[at], -cosine))[: k + 1]
                     rows += [(query, float(cosine[t]), i) for t in top for i in ids[int(at[t])].as_py()]
             yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], kind) for c, kind in enumerate((pa.int64(), pa.float64(), pa.int64()))], names=["query", "score", "id"])
 
     every = vertices.select("vector", "ids").mapInArrow(run, "query long, score double, id long")
-    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc(F.round("score", 12)), "id"))
+    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "id"))
     every = every.where("query <> id")
-    truth = every.withColumn("n", place).where(F.col("n") <= k).groupBy("query").agg(F.collect_list("id").alias("ids"))
-    both = truth.join(found, "query").select("cut", F.size(F.array_intersect("ids", F.col("found.id"))).alias("hit"), F.size("ids").alias("all"))
+    truth = every.withColumn("n", place).where(F.col("n") <= k).groupBy("query").agg(F.min("score").alias("least"), F.count("id").alias("all"))
+    others = F.slice(F.filter("found", lambda x: x["id"] != F.col("query")), 1, k)
+    hit = F.size(F.filter(others, lambda x: -x["minus"] >= F.col("least") - 2 * 10.0**-DIGITS))
+    both = truth.join(found, "query").select("cut", hit.alias("hit"), "all")
     sums = both.groupBy("cut").agg(F.sum("hit"), F.sum("all")).collect()
     # One drawn from all queries that was cut adds to its own sample.
     shares = {r.cut: r[1] / r[2] for r in sums}
@@ -332,6 +347,7 @@ def audited(found: DataFrame, vertices: DataFrame, k: int, sample: int = AUDIT)
 def nearest(df: DataFrame, queries: Column, k: int = 5, key: str = "vec_id", vector: str = "embedding", recall: float = RECALL) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k nearest rows found of every row for which ``queries`` holds of its id."""
     members, vertices = vertices_of(df, key, vector, k + 1)
+    members = stored(members, "members")
     asked = stored(members.where(queries), "queries")
     starts = asked.select("vertex").distinct()
     count = vertices.count()
@@ -367,6 +383,9 @@ def nearest(df: DataFrame, queries: Column, k: int = 5, key: str = "vec_id", vec
         # The wider beam takes in what the narrow one passed by, so its vertices are expanded again.
         width *= 2
         beam = beam.withColumn("flags", F.transform("flags", lambda _: F.lit(False)))
-    each = asked.join(found, asked["vertex"] == found["query"]).select(F.col("id").alias("query_id"), F.slice(F.filter("found", lambda x: x["id"] != F.col("id")), 1, k).alias("f"))
-    out = each.select("query_id", F.posexplode("f").alias("n", "x"))
-    return out.select("query_id", (F.col("n") + 1).cast("int").alias("rank"), F.col("x.id").alias("vec_id"), (-F.col("x.minus")).alias("score"))
+    each = asked.select("id", "vertex").join(found, asked["vertex"] == found["query"]).select(F.col("id").alias("query"), F.slice(F.filter("found", lambda x: x["id"] != F.col("id")), 1, k).alias("f"))
+    pairs = each.select("query", F.explode("f.id").alias("id"))
+    pairs = pairs.join(members.select("id", "vector"), "id").join(asked.select(F.col("id").alias("query"), F.col("vector").alias("own")), "query")
+    out = compared(pairs.select("query", "own", "vector", F.array("id").alias("ids"))).select("query", "score", F.col("ids")[0].alias("id"))
+    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc(F.round("score", DIGITS)), "id"))
+    return out.select(F.col("query").alias("query_id"), place.cast("int").alias("rank"), F.col("id").alias("vec_id"), "score")

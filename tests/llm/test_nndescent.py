@@ -88,6 +88,20 @@ def test_a_tight_group_of_distinct_near_copies(spark):
         assert sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in some) >= 0.9 * 5 * len(some)
 
 
+def test_multiples_of_one_vector_are_ties(spark):
+    """Their cosines differ in the last bits only; the smaller ids come first."""
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=16)
+    rows = [(i, (base * (1 + i) if i % 5 < 3 else rng.normal(size=16)).tolist()) for i in range(1000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert_same(found(nndescent.nearest(df, F.col("id") % 20 == 0, recall=1.0)), brute(rows, lambda q: q % 20 == 0))
+    single = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = found(nndescent.nearest(single, F.col("id") % 20 == 0))
+    want = brute([(r.vec_id, r.embedding) for r in single.collect()], lambda q: q % 20 == 0)
+    near = [c >= want[q][-1][1] - 1e-11 for q in want for _, c in got[q]]
+    assert len(near) == 5 * len(want) and sum(near) >= 0.95 * len(near)
+
+
 def test_an_audit_that_fails_at_the_full_width_is_an_error(spark, monkeypatch):
     monkeypatch.setattr(nndescent, "audited", lambda *_: (0.5, 1.0))
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 1.0])], "vec_id long, embedding array<double>")
