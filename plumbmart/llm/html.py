@@ -55,7 +55,7 @@ TAG = re.compile(
     r"""<!--.*?(?:-->|\Z) | <(?P<end>/?)(?P<name>[a-z][^\s/>]*+)(?P<rest>(?:[^>"']|"[^"]*+"|'[^']*+')*+)(?:>|\Z) | <(?P<end2>/?)(?P<name2>[a-z][^\s/>]*+)(?P<rest2>[^>]*+)(?:>|\Z) | <[!?/][^>]*+(?:>|\Z)""",
     re.S | re.I | re.X,
 )
-ATTRIBUTE = re.compile(r"""\b(class|id|role|style)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))|\bhidden\b""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*(?:"([^"]*+)"|'([^']*+)'|([^\s>]++)))?""")
 RAW = frozenset({"script", "style", "title", "textarea", "noscript", "template", "iframe", "svg", "math", "object", "select"})
 VOID = frozenset({"br", "img", "input", "meta", "link", "hr", "area", "base", "col", "embed", "source", "track", "wbr"})
 INLINE = frozenset(
@@ -70,26 +70,42 @@ NEVER_WORDS = frozenset(
         "pager", "pagination", "popup", "promo", "promotion", "recommended", "related", "search", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget",
     }
 )
+#: Of these, words that articles are also about: inside an article they count as a whole class or id only, not as a part.
+AMBIGUOUS = frozenset(
+    {"ad", "banner", "consent", "copyright", "disclaimer", "header", "menu", "notice", "notices", "promotion", "recommended", "related", "search", "share", "sharing", "social", "widget"}
+)
 #: How much of a page another may share and still not be a copy of it.
 COPY = 0.9
 KEEP, OPEN, NEVER_KEPT = 0, 1, 2
 
 
+def never_words(value: str, name: str, in_article: bool) -> frozenset[str] | set[str]:
+    """The words of a role, class or id that say it is never main text."""
+    whole = NEVER_WORDS.intersection(value.split())
+    if name in MARKED:
+        return whole
+    parts = NEVER_WORDS.intersection(re.split(r"[^a-z0-9]+", value))
+    return whole | (parts - AMBIGUOUS) if in_article else parts
+
+
 def is_never(name: str, rest: str, in_article: bool) -> bool:
-    """Whether an element is never main text, by its name, role, class, id or style."""
+    """Whether an element is never main text, by its name, role, class, id, style or the attribute hidden.
+
+    On an element that marks an article only whole classes count (``related``, not ``related-work``).
+    """
     if name in NEVER and not (name == "header" and in_article):
         return True
     if not rest.strip(" /"):
         return False
     for m in ATTRIBUTE.finditer(rest):
-        if not m[1]:
+        attribute, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        if attribute == "hidden":
             return True
-        value = (m[2] or m[3] or m[4] or "").lower()
-        if m[1].lower() == "style":
+        if attribute == "style":
             if "display:none" in value.replace(" ", ""):
                 return True
-        elif name not in ("html", "body"):
-            words = NEVER_WORDS.intersection(re.split(r"[^a-z0-9]+", value))
+        elif attribute in ("class", "id", "role") and name not in ("html", "body"):
+            words = never_words(value, name, in_article)
             if words and not (in_article and words == {"header"}):
                 return True
     return False

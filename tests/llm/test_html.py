@@ -131,3 +131,22 @@ def test_query_over_all_pages(spark):
         plain = [" ".join(entities.unescape(re.sub(r"<[^>]*(?:>|$)", "", b)).split()) for b in blocks]
         want = "\n\n".join(b for b in plain if b)
         assert (got[page.page_id].text, got[page.page_id].n_chars) == (want, len(want))
+
+
+@pytest.mark.parametrize("inside,text", [
+    ('<p>See <a href="/hidden-gems">this page</a> now</p>', "See this page now"),
+    ('<p aria-hidden="false">seen</p>', "seen"),
+    ('<p title="hidden">seen</p>', "seen"),
+    ("""<p title="a class='ad' b">seen</p>""", "seen"),
+    ('<p data-class="ad">seen</p>', "seen"),
+    ('<div class="search-and-rescue"><p>boats</p></div>', "boats"),
+    ('<div class="related"><p>links</p></div>', ""),
+    ('<div class="comment-list"><p>first!</p></div>', ""),
+    ("<div hidden><p>no</p></div>", ""),
+    ('<div class=x hidden=""><p>no</p></div>', ""),
+    ("<div CLASS=ad><p>no</p></div>", ""),
+])
+def test_attributes_are_read_as_such(inside, text):
+    for mark in ("<article>", '<article class="related-work">'):
+        kept = [t for kind, t in html.lines_of(f"<body>{mark}{inside}</article></body>") if kind == html.KEEP]
+        assert " ".join(kept) == text
