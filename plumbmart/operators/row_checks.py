@@ -13,13 +13,36 @@ from plumbmart.sources import contracts as C
 
 Check = tuple[str, str, Column]
 
-
-def row_issues(df: DataFrame, checks: Iterable[Check], keep: Sequence[str]) -> DataFrame:
-    """``keep`` columns plus ``code`` and ``field`` for every check that holds."""
-    hits = [
-        F.when(condition, F.struct(F.lit(code).alias("code"), F.lit(field).alias("field")))
-        for code, field, condition in checks
-    ]
+MESSAGES = {
+    "missing_grain_key": "is missing",
+    "blank_grain_key": "is blank",
+    "unparseable_grain_key": "is not a whole number",
+    "invalid_fips": "is not a code of as many digits as it needs",
+    "fips_prefix_mismatch": "does not begin with the code of its state",
+    "territory_out_of_scope": "is a county of a territory",
+    "invalid_dc_fips": "is not the one county of the district",
+    "invalid_object_id": "is not a positive whole number",
+    "missing_ccn": "is missing",
+    "blank_ccn": "is blank",
+    "invalid_ccn_format": "is not a number of one to ten digits",
+    "duplicate_ccn": "repeats an earlier row",
+}
+
+
+def message(code: str, field: str, found: Column) -> Column:
+    """What is wrong with a field, and its value as it stands."""
+    value = F.coalesce(F.concat(F.lit("'"), found, F.lit("'")), F.lit("null"))
+    return F.concat(F.lit(f"{field} {MESSAGES[code]}: "), value)
+
+
+def row_issues(df: DataFrame, checks: Iterable[Check], keep: Sequence[str], told: bool = False) -> DataFrame:
+    """``keep`` columns plus ``code`` and ``field`` for every check that holds; ``told`` adds the value ``found`` and a ``message``."""
+    def issue(code: str, field: str) -> Column:
+        found = F.col(f"`{field}`").cast("string")
+        more = (found.alias("found"), message(code, field, found).alias("message")) if told else ()
+        return F.struct(F.lit(code).alias("code"), F.lit(field).alias("field"), *more)
+
+    hits = [F.when(condition, issue(code, field)) for code, field, condition in checks]
     found = F.explode(F.array_compact(F.array(*hits)))
     return df.select(*(F.col(f"`{k}`") for k in keep), found.alias("i")).select(
         *(F.col(f"`{k}`") for k in keep), "i.*"
@@ -34,7 +57,7 @@ def _label(name: str) -> Column:
     return F.upper(F.trim(F.col(name)))
 
 
-def medicare_key_issues(df: DataFrame, keep: Sequence[str] = C.MEDICARE_KEYS) -> DataFrame:
+def medicare_key_issues(df: DataFrame, keep: Sequence[str] = C.MEDICARE_KEYS, told: bool = False) -> DataFrame:
     """Missing, blank or unparseable grain keys.
 
     A blank geography code is allowed for the national row and for the two
@@ -54,11 +77,11 @@ def medicare_key_issues(df: DataFrame, keep: Sequence[str] = C.MEDICARE_KEYS) ->
     checks.append(
         ("unparseable_grain_key", "YEAR", ~_blank("YEAR") & ~full_match("YEAR", "[0-9]+"))
     )
-    return row_issues(df, checks, keep)
+    return row_issues(df, checks, keep, told)
 
 
 def county_key_issues(
-    df: DataFrame, keep: Sequence[str] = ("ST", "STCNTY", C.OBJECT_ID)
+    df: DataFrame, keep: Sequence[str] = ("ST", "STCNTY", C.OBJECT_ID), told: bool = False
 ) -> DataFrame:
     """Blank labels, malformed or inconsistent codes, bad object ids."""
     def matches(name: str, pattern: str) -> Column:
@@ -84,10 +107,10 @@ def county_key_issues(
         ),
         ("invalid_object_id", C.OBJECT_ID, ~matches(C.OBJECT_ID, "[1-9][0-9]*")),
     ]
-    return row_issues(df, checks, keep)
+    return row_issues(df, checks, keep, told)
 
 
-def facility_key_issues(df: DataFrame, keep: Sequence[str] = (C.CCN_HEADER,)) -> DataFrame:
+def facility_key_issues(df: DataFrame, keep: Sequence[str] = (C.CCN_HEADER,), told: bool = False) -> DataFrame:
     """Missing, blank or malformed certification numbers."""
     ccn = F.col(f"`{C.CCN_HEADER}`")
     blank = _blank(C.CCN_HEADER)
@@ -96,7 +119,24 @@ def facility_key_issues(df: DataFrame, keep: Sequence[str] = (C.CCN_HEADER,)) ->
         ("blank_ccn", C.CCN_HEADER, blank),
         ("invalid_ccn_format", C.CCN_HEADER, ~blank & ~full_match(ccn, "[0-9]{1,10}")),
     ]
-    return row_issues(df, checks, keep)
+    return row_issues(df, checks, keep, told)
+
+
+def facility_row_issues(df: DataFrame, place: Sequence[str]) -> DataFrame:
+    """Every issue of a facility file: ``place`` of the row, code, field, found, message, and for
+    a well-formed number that repeats the place of the row it was ``first_seen_at``.
+
+    ``place`` names the columns that order the rows, such as file and row number.
+    """
+    ccn = C.CCN_HEADER
+    rows = df.select(F.struct(*place).alias("place"), F.col(f"`{ccn}`"))
+    alone = facility_key_issues(rows, ["place"], told=True)
+    well_formed = full_match(F.col(f"`{ccn}`"), "[0-9]{1,10}")
+    repeated = later_occurrences(rows.where(well_formed).withColumnRenamed(ccn, "ccn"), ["ccn"], "place").select(
+        "place", F.lit("duplicate_ccn").alias("code"), F.lit(ccn).alias("field"), F.col("ccn").alias("found"),
+        message("duplicate_ccn", ccn, F.col("ccn")).alias("message"), "first_seen_at",
+    )
+    return alone.unionByName(repeated, allowMissingColumns=True)
 
 
 def duplicate_key_issues(

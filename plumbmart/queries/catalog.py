@@ -10,7 +10,7 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbmart.functions import tokens as tk
@@ -33,7 +33,7 @@ from plumbmart.session import shared_folder
 from plumbmart.sources import contracts as C
 from plumbmart.sources.files import csv_header, scan_csv
 from plumbmart.sources.pages import parse_pages
-from plumbmart.sources.sinks import combined_counts
+from plumbmart.sources.sinks import build_decision, combined_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -566,6 +566,36 @@ def county_key_issues(spark, sf):
     return rc.county_key_issues(spark_input(spark, sf, "raw_vulnerability"))
 
 
+def _told(field: str, code: str, value: str) -> str:
+    return f"{value} as found, '{field} {rc.MESSAGES[code]}: ' || coalesce(chr(39) || {value} || chr(39), 'null') as message"
+
+
+@register(
+    "county_key_report",
+    oracle.with_relations(
+        ["raw_vulnerability"],
+        " union all ".join(
+            f"select source_page_index, GRASP_ID, '{code}' as code, '{field}' as field, {_told(field, code, field)}"
+            f" from raw_vulnerability where {condition}"
+            for code, field, condition in (
+                ("blank_grain_key", "COUNTY", "trim(coalesce(COUNTY, '')) = ''"),
+                ("blank_grain_key", "STATE", "trim(coalesce(STATE, '')) = ''"),
+                ("blank_grain_key", "ST_ABBR", "trim(coalesce(ST_ABBR, '')) = ''"),
+                ("invalid_fips", "ST", "not regexp_full_match(ST, '[0-9]{2}')"),
+                ("invalid_fips", "STCNTY", "not regexp_full_match(STCNTY, '[0-9]{5}')"),
+                ("fips_prefix_mismatch", "STCNTY", f"{_BOTH_CODES} and left(STCNTY, 2) <> ST"),
+                ("territory_out_of_scope", "STCNTY", f"{_BOTH_CODES} and left(STCNTY, 2) = ST and ST in {oracle.ABROAD}"),
+                ("invalid_dc_fips", "STCNTY", "regexp_full_match(STCNTY, '11[0-9]{3}') and ST = '11' and STCNTY <> '11001'"),
+                ("invalid_object_id", "GRASP_ID", "not regexp_full_match(GRASP_ID, '[1-9][0-9]*')"),
+            )
+        ),
+    ),
+)
+def county_key_report(spark, sf):
+    """The issues of counties with page and object id, the value as it stands and what is wrong with it."""
+    return rc.county_key_issues(spark_input(spark, sf, "raw_vulnerability"), ["source_page_index", C.OBJECT_ID], told=True)
+
+
 _CCN = f'"{C.CCN_HEADER}"'
 
 
@@ -586,6 +616,43 @@ def facility_key_issues(spark, sf):
     )
 
 
+#: Keys a file of those that are written in the order of a key.
+FILE_KEYS = 8000
+_DELIVERY = (
+    "select {k} * 4 as spot, ccn, p_name, p_type from {rows} union all"
+    " select {k} * 4 + 1, ccn, p_name, p_type from {rows} where {k} % 211 = 0 union all"
+    " select {k} {div} 2 * 4 + 2, ccn, p_name, p_type from {rows} where {k} % 223 = 0"
+)
+_GOOD = "regexp_full_match(ccn, '[0-9]{1,10}')"
+
+
+@register(
+    "facility_file_issues",
+    oracle.with_relations(
+        ["facility_rows"],
+        f"select part, row_number, code, '{C.CCN_HEADER}' as field, ccn as found, '{C.CCN_HEADER} ' || words || ': ' || chr(39) || ccn || chr(39) as message,"
+        " first_part, first_row from (select *,"
+        f" case when trim(ccn) = '' then 'blank_ccn' when not {_GOOD} then 'invalid_ccn_format' else 'duplicate_ccn' end as code,"
+        f" case when trim(ccn) = '' then '{rc.MESSAGES['blank_ccn']}' when not {_GOOD} then '{rc.MESSAGES['invalid_ccn_format']}'"
+        f" else '{rc.MESSAGES['duplicate_ccn']}' end as words,"
+        f" case when {_GOOD} then first_value(part) over w end as first_part, case when {_GOOD} then first_value(row_number) over w end as first_row,"
+        " row_number() over w as seen from (select *, row_number() over (partition by part order by spot) + 1 as row_number"
+        f" from (select *, cast(spot // {FILE_KEYS} as int) as part from ({_DELIVERY.format(k='k', rows='facility_rows', div='//')})))"
+        f" window w as (partition by ccn order by part, row_number)) where not {_GOOD} or seen > 1",
+    ),
+)
+def facility_file_issues(spark, sf):
+    """Issues of a facility delivery of many files: the row of each, and where a repeated number stood first."""
+    rows = spark.sql(_DELIVERY.format(k="k", rows="{rows}", div="div"), rows=spark_input(spark, sf, "facility_rows"))
+    names = F.concat("p_name", F.lit("\n"), "p_type").alias("Facility Name")
+    path = keyed_file(rows.select("spot", F.col("ccn").alias(C.CCN_HEADER), names), "spot", "facility", sf)
+    scanned = scan_csv(spark, path, [C.CCN_HEADER], numbered=True).withColumn("part", file_part())
+    return rc.facility_row_issues(scanned, ["part", "row_number"]).select(
+        "place.*", "code", "field", "found", "message",
+        F.col("first_seen_at.part").alias("first_part"), F.col("first_seen_at.row_number").alias("first_row"),
+    )
+
+
 _COPIES = (
     "select '{code}' as code, {keys}, {order} as row_order, first_seen_at from"
     " (select *, row_number() over (partition by {keys} order by {order}) as rn,"
@@ -786,6 +853,45 @@ def load_decisions(spark, sf):
     return reduce(DataFrame.union, parts)
 
 
+@register(
+    "build_decisions",
+    oracle.with_relations(
+        ["raw_audit", "raw_medicare"],
+        "select attempt, decision, cast(audits as bigint) as audits, cast(stored as bigint) as stored_rows,"
+        " cast(n as bigint) as expected_rows, differing from"
+        " (select cms_row_count + svi_row_count + facility_row_count as n,"
+        " (select count(*) from raw_medicare where BENE_GEO_LVL <> 'County') as lost from raw_audit), lateral (values"
+        " ('same', 'database_noop', 1, n, ''), ('retrieved_later', 'database_noop', 1, n, ''), ('first', 'loaded', 0, 0, ''),"
+        " ('other_build', 'conflict', 1, n, 'build_id'), ('two_audits', 'conflict', 2, n, ''),"
+        " ('other_input', 'conflict', 1, n, 'input_set_sha256,svi_snapshot_sha256'),"
+        " ('rows_lost', case when lost > 0 then 'conflict' else 'database_noop' end, 1, n - lost,"
+        " case when lost > 0 then 'cms_stored_rows' else '' end),"
+        " ('unaudited', 'conflict', 0, n, '')) a(attempt, decision, audits, stored, differing)",
+    ),
+)
+def build_decisions(spark, sf):
+    """What a combined build does over the stored one: the same, another, a damaged and none."""
+    stored = mart(spark, sf)
+    tables = {"cms": stored[f"raw.{C.MEDICARE}"], "svi": stored[f"raw.{C.VULNERABILITY}"], "facility": stored[f"raw.{C.FACILITY}"]}
+    audit, other = stored["raw.build_input_audit"], F.sha2(F.lit("other"), 256)
+    counties = {**tables, "cms": tables["cms"].where("BENE_GEO_LVL = 'County'")}
+    attempts = {
+        "same": (tables, audit, audit),
+        "retrieved_later": (tables, audit, audit.withColumn("svi_retrieved_at_utc", F.lit("2027-01-01T00:00:00Z"))),
+        "other_build": (tables, audit, audit.withColumn("build_id", F.lit("other"))),
+        "other_input": (tables, audit, audit.withColumns({"input_set_sha256": other, "svi_snapshot_sha256": other})),
+        "rows_lost": (counties, audit, audit),
+        "two_audits": (tables, audit.union(audit), audit),
+        "unaudited": (tables, audit.where(F.lit(False)), audit),
+        "first": ({p: t.where(F.lit(False)) for p, t in tables.items()}, audit.where(F.lit(False)), audit),
+    }
+    parts = [
+        build_decision(*attempt).select(F.lit(label).alias("attempt"), "*").withColumn("differing", F.array_join("differing", ","))
+        for label, attempt in attempts.items()
+    ]
+    return reduce(DataFrame.union, parts)
+
+
 @register(
     "page_lineage_differences",
     oracle.with_relations(
@@ -1036,6 +1142,18 @@ def csv_file(rows: DataFrame, label: str, sf: str) -> str:
     return _FILES[key]
 
 
+def keyed_file(rows: DataFrame, key: str, label: str, sf: str) -> str:
+    """``rows`` as CSV files of ``FILE_KEYS`` values of a whole-number key, in its order; the key is not written."""
+    last = rows.agg(F.max(key)).first()[0]
+    dealt = rows.repartitionById((last or 0) // FILE_KEYS + 1, F.expr(f"cast({key} div {FILE_KEYS} as int)"))
+    return csv_file(dealt.sortWithinPartitions(key).drop(key), label, sf)
+
+
+def file_part() -> Column:
+    """The number of the part that a scanned row's file holds."""
+    return F.regexp_extract("file", "part-([0-9]+)-", 1).cast("int")
+
+
 def medicare_file(spark: SparkSession, sf: str) -> str:
     """The columns that are published, as CSV."""
     return csv_file(spark_input(spark, sf, "raw_medicare").select(*C.MEDICARE_COLUMNS), "raw_medicare", sf)
@@ -1070,6 +1188,18 @@ def document_file_shape(spark, sf):
     return ev.file_shape(scan_csv(spark, path, ["text"]), csv_header(spark, path), ["doc_id", "lang", "text"], ["text"], announced)
 
 
+@register(
+    "document_csv_rows",
+    f"select cast(doc_id as varchar) as doc_id, cast(doc_id // {FILE_KEYS} as int) as part,"
+    f" row_number() over (partition by doc_id // {FILE_KEYS} order by doc_id) + 1 as row_number from documents",
+)
+def document_csv_rows(spark, sf):
+    """File and row of every document in files whose texts have quoted line breaks, numbered by many tasks."""
+    rows = read_table(spark, sf, "documents").select(F.col("doc_id").alias("spot"), "doc_id", "lang", "text")
+    path = keyed_file(rows, "spot", "document_rows", sf)
+    return scan_csv(spark, path, ["doc_id"], numbered=True).select("doc_id", file_part().alias("part"), "row_number")
+
+
 # -- checksums ---------------------------------------------------------------------------
 
 

@@ -30,13 +30,19 @@ def scan_csv(
     required: Sequence[str],
     *,
     multi_line: bool = True,
+    numbered: bool = False,
 ) -> DataFrame:
     """The required columns as text exactly as received; blanks are ``''``.
 
+    ``numbered`` adds the ``file`` and ``row_number`` of each row, the header being
+    row 1, for reports that name the row.
+
     Ragged rows and files whose header differs stop the read. Files are read by
     many tasks, with quoted line breaks by ``csv_split``; switch ``multi_line`` off
     for a publisher that never breaks lines, which saves its passes over the lines.
     """
+    if numbered and not multi_line:
+        raise ValueError("rows are numbered as they are split")
     header = csv_header(spark, path)
     repeated = sorted({h for h in header if header.count(h) > 1})
     if repeated:
@@ -50,22 +56,23 @@ def scan_csv(
         "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
     }
     if multi_line:
-        rows = _split_rows(csv_records(spark, path), header, schema, {**options, "multiLine": "true"})
+        rows = _split_rows(csv_records(spark, path, numbered), header, schema, {**options, "multiLine": "true"})
     else:
         rows = spark.read.schema(schema).options(**options).csv(path, header=True, enforceSchema=False)
-    return rows.select(*(F.coalesce(F.col(f"`{n}`"), F.lit("")).alias(n) for n in required))
+    texts = [F.coalesce(F.col(f"row.`{n}`") if multi_line else F.col(f"`{n}`"), F.lit("")).alias(n) for n in required]
+    return rows.select(*(["file", "row_number"] if numbered else []), *texts)
 
 
 def _split_rows(records: DataFrame, header: Sequence[str], schema: T.StructType, options: dict[str, str]) -> DataFrame:
     """Records parsed one by one; the first of each file must be the header."""
     ddl = ", ".join(f"`{f.name.replace('`', '``')}` string" for f in schema.fields)
-    parsed = records.select("file", "first", F.from_csv("text", ddl, options).alias("row"))
+    parsed = records.withColumn("row", F.from_csv("text", ddl, options)).drop("text")
     same = F.lit(True)
     for h in header:
         same = same & F.coalesce(F.col("row").getField(h), F.lit("")).eqNullSafe(F.lit(h))
     wrong = F.raise_error(F.concat(F.lit("the header differs in "), F.col("file"))).cast("boolean")
     body = F.when(~F.col("first"), True).when(same, False).otherwise(wrong)
-    return parsed.where(body).select("row.*")
+    return parsed.where(body)
 
 
 def columns_frame(

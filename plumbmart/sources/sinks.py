@@ -110,3 +110,36 @@ def combined_counts(tables: Mapping[str, DataFrame], audit: DataFrame) -> DataFr
         for prefix, df in tables.items()
     ]
     return reduce(DataFrame.union, parts)
+
+
+def build_decision(tables: Mapping[str, DataFrame], audit: DataFrame, expected: DataFrame) -> DataFrame:
+    """``loaded``, ``database_noop`` or ``conflict`` for a combined build, and what differs.
+
+    ``tables`` maps prefixes to the stored raw tables, ``audit`` is the stored build
+    audit and ``expected`` the audit row of the inputs at hand. Nothing stored means
+    load. One audit row that names the same build and inputs, over tables of the
+    announced sizes, means nothing to do. All else is a conflict; ``differing`` lists
+    the audit fields and ``<prefix>_stored_rows`` that disagree. The time of
+    retrieval is no part of an identity. A source that is announced by neither side
+    has no rows.
+    """
+    names = [c for c in expected.columns if not c.endswith("_retrieved_at_utc")]
+    want = one_row(expected)
+    seen = audit.agg(
+        F.count(F.lit(1)).alias("audits"), *(F.count_if(~F.col(c).eqNullSafe(want[c])).alias(c) for c in names)
+    )
+    sizes = {p: df.agg(F.count(F.lit(1))).scalar() for p, df in tables.items()}
+    state = seen.select("audits", *names, want.alias("want"), *(n.alias(f"{p}_stored_rows") for p, n in sizes.items()))
+    announced = {p: F.coalesce(F.col(f"want.{p}_row_count"), F.lit(0)) for p in tables}
+    unequal = {c: F.col(c) > 0 for c in names} | {
+        f"{p}_stored_rows": F.col(f"{p}_stored_rows") != n for p, n in announced.items()
+    }
+    differing = F.array_compact(F.array(*(F.when(test, F.lit(c)) for c, test in unequal.items())))
+    stored_rows = sum((F.col(f"{p}_stored_rows") for p in tables), F.lit(0).cast("bigint"))
+    nothing = (F.col("audits") == 0) & (stored_rows == 0)
+    same = (F.col("audits") == 1) & (F.size(differing) == 0)
+    return state.select(
+        F.when(nothing, "loaded").when(same, "database_noop").otherwise("conflict").alias("decision"),
+        "audits", stored_rows.alias("stored_rows"), sum(announced.values(), F.lit(0).cast("bigint")).alias("expected_rows"),
+        F.when(nothing, F.array().cast("array<string>")).otherwise(differing).alias("differing"),
+    )

@@ -140,3 +140,21 @@ def test_facility_keys_and_duplicates(spark):
     renamed = df.withColumnRenamed(C.CCN_HEADER, "ccn")
     got = rc.duplicate_key_issues(renamed, ["ccn"], "row_no", "duplicate_ccn", renamed.ccn.rlike("^[0-9]+$"))
     assert codes(got, "code", "ccn", "row_order", "first_seen_at") == [("duplicate_ccn", "012345", 8, 2)]
+
+
+def test_issues_tell_row_value_and_message(spark):
+    values = ["012345", "", None, "12a", "012345", "1", "012345"]
+    df = spark.createDataFrame([(v, "f", i + 2) for i, v in enumerate(values)], f"`{C.CCN_HEADER}` string, part string, row_number int")
+    got = {(r.place.row_number, r.code, r.found, r.message.removeprefix(C.CCN_HEADER), r.first_seen_at and r.first_seen_at.row_number)
+           for r in rc.facility_row_issues(df, ["part", "row_number"]).collect()}
+    assert got == {
+        (3, "blank_ccn", "", " is blank: ''", None), (4, "missing_ccn", None, " is missing: null", None),
+        (5, "invalid_ccn_format", "12a", " is not a number of one to ten digits: '12a'", None),
+        (6, "duplicate_ccn", "012345", " repeats an earlier row: '012345'", 2),
+        (8, "duplicate_ccn", "012345", " repeats an earlier row: '012345'", 2)}
+    assert rc.facility_row_issues(df.limit(0), ["part", "row_number"]).count() == 0
+    rows = [(9, *medicare_row("20x4", "State", "AL", ""))]
+    wide = spark.createDataFrame(rows, "row_number int, " + ", ".join(f"`{c}` string" for c in C.MEDICARE_COLUMNS))
+    assert codes(rc.medicare_key_issues(wide, ["row_number"], told=True), "row_number", "code", "found", "message") == [
+        (9, "blank_grain_key", "", "BENE_GEO_CD is blank: ''"),
+        (9, "unparseable_grain_key", "20x4", "YEAR is not a whole number: '20x4'")]

@@ -67,3 +67,24 @@ def test_what_must_not_pass(spark, tmp_path, small_blocks):
     (tmp_path / "twice.csv").write_text("id,id\n1,2\n")
     with pytest.raises(HeaderError):
         scan_csv(spark, str(tmp_path / "twice.csv"), ["id"])
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_rows_are_numbered_as_a_reader_numbers_them(spark, tmp_path, small_blocks, end):
+    folder = tmp_path / "files"
+    files = {"a.csv": sample(1, 300), "b.csv": [*sample(2, 50), ["long", "line\n" * 2000, "spans many blocks"], *sample(3, 50)], "c.csv": []}
+    for name, rows in files.items():
+        write(folder, name, rows, end)
+    scanned = scan_csv(spark, str(folder), HEADER, numbered=True)
+    got = sorted((r.file.rsplit("/", 1)[1], r.row_number, *r[2:]) for r in scanned.collect())
+    assert got == sorted((name, k + 2, *row) for name, rows in files.items() for k, row in enumerate(rows))
+
+
+def test_numbers_without_blank_lines_need_the_splitter(spark, tmp_path):
+    folder = tmp_path / "files"
+    folder.mkdir()
+    (folder / "a.csv").write_bytes(b'id\n\n1\n\n\n"2\n"\n3')
+    got = sorted((r.row_number, r.id) for r in scan_csv(spark, str(folder), ["id"], numbered=True).collect())
+    assert got == [(2, "1"), (3, "2\n"), (4, "3")]
+    with pytest.raises(ValueError, match="split"):
+        scan_csv(spark, str(folder), ["id"], multi_line=False, numbered=True)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from plumbmart.operators import evidence as ev
 from plumbmart.sources.files import columns_frame
+from plumbmart.sources.sinks import build_decision, build_input_audit
 from samples import sha
 
 
@@ -140,3 +141,25 @@ def test_content_decision_and_file_counts(spark):
     assert tuple(ev.csv_evidence(df, "a b").collect()[0]) == (3, 2, 2)
     shape = ev.file_shape(df, ["a b", "x"], ["a b"], ["a b"], F.lit(3)).collect()[0]
     assert tuple(shape) == (False, False, sha('["a b","x"]'), 1, 3, True, 1)
+
+
+def test_build_decision(spark):
+    source = "source_id string, manifest_run_id string, contract_version string, snapshot_sha256 string, retrieved_at_utc string, page_count bigint, row_count bigint"
+    one = {p: spark.createDataFrame([(p, "run", "v", "h" + p, "t", 1, n)], source) for p, n in (("cms", 3), ("svi", 2))}
+    audit = build_input_audit("b", one)
+    tables = {"cms": spark.range(3), "svi": spark.range(2), "facility": spark.range(0)}
+
+    def decide(t, a, e):
+        r = build_decision(t, a, e).collect()[0]
+        return r.decision, r.differing
+
+    none = audit.where("false")
+    assert decide(tables, audit, audit) == ("database_noop", [])
+    assert decide({p: t.limit(0) for p, t in tables.items()}, none, audit) == ("loaded", [])
+    assert decide(tables, none, audit) == ("conflict", [])
+    assert decide(tables, audit.union(audit), audit) == ("conflict", [])
+    assert decide({**tables, "svi": spark.range(1)}, audit, audit) == ("conflict", ["svi_stored_rows"])
+    assert decide({**tables, "facility": spark.range(1)}, audit, audit) == ("conflict", ["facility_stored_rows"])
+    three = build_input_audit("b", {**one, "facility": spark.createDataFrame([("facility", "run", "v", "h", "t", 1, 0)], source)})
+    assert decide(tables, audit, three)[0] == "conflict"
+    assert decide(tables, audit, audit.withColumn("cms_page_count", F.lit(2))) == ("conflict", ["cms_page_count"])
