@@ -93,8 +93,8 @@ def input_set_sha256(audits: DataFrame, format_version: int) -> DataFrame:
 # -- pages -------------------------------------------------------------------------
 
 
-def page_evidence(rows: DataFrame, page: Sequence[str], key: str, position: str) -> DataFrame:
-    """Record count, first and last key of each page, and its records whose key does not rise."""
+def page_evidence(rows: DataFrame, page: Sequence[str], key: str, position: str, *more: Column) -> DataFrame:
+    """Record count, first and last key of each page, its records whose key does not rise, and ``more`` aggregates."""
     before = F.lag(key).over(Window.partitionBy(*page).orderBy(position))
     return rows.withColumn("_before", before).groupBy(*page).agg(
         F.count(F.lit(1)).alias("record_count"),
@@ -103,9 +103,25 @@ def page_evidence(rows: DataFrame, page: Sequence[str], key: str, position: str)
         F.min(key).alias("min_key"),
         F.max(key).alias("max_key"),
         F.count_if(F.col(key) <= F.col("_before")).alias("unordered_count"),
+        *more,
     )
 
 
+def page_report(rows: DataFrame, page: Sequence[str], offset: str, key: str, page_size: int, announced: Column) -> DataFrame:
+    """One row of evidence a parsed page: what was read, what was announced for its offset, and whether it is complete.
+
+    ``rows`` are parsed records; ``page`` names what tells pages apart, such as
+    offset, bytes and digest, and is kept. ``problem_count`` counts records, or
+    pages, that broke the contract; a page without records has a record count of 0.
+    """
+    counts = F.count("position").alias("__read"), F.count("problem").alias("problem_count")
+    seen = page_evidence(rows, page, key, "position", *counts).withColumn("record_count", F.col("__read")).drop("__read")
+    expected = F.greatest(F.least(F.lit(page_size).cast("bigint"), announced - F.col(offset)), F.lit(0))
+    seen = seen.withColumn("expected_count", F.coalesce(expected, F.lit(0)))
+    clean = (F.col("problem_count") == 0) & (F.col("unordered_count") == 0)
+    return seen.withColumn("complete", clean & (F.col("record_count") == F.col("expected_count")))
+
+
 def page_order_violations(
     rows: DataFrame, page: str, offset: str, key: str, position: str
 ) -> DataFrame:

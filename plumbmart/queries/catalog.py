@@ -22,7 +22,7 @@ from plumbmart.operators import schema_checks as sc
 from plumbmart.operators.quantile import exact_quantile
 from plumbmart.plans import assertions as A
 from plumbmart.plans import quality as Q
-from plumbmart.plans.build import MODELS, plan
+from plumbmart.plans.build import MODELS, plan, with_ancestors, with_descendants
 from plumbmart.plans.damage import damage_report
 from plumbmart.plans.relations import FOREIGN_KEYS, RELATIONS, columns
 from plumbmart.queries import assertion_sql, oracle
@@ -31,9 +31,10 @@ from plumbmart.queries.inputs import read_table, spark_input
 from plumbmart.queries.tables import mart, model
 from plumbmart.session import shared_folder
 from plumbmart.sources import contracts as C
-from plumbmart.sources.files import csv_header, scan_csv
+from plumbmart.sources.files import csv_header, scan_csv, scan_fingerprints
 from plumbmart.sources.pages import parse_pages
-from plumbmart.sources.sinks import build_decision, combined_counts
+from plumbmart.sources.seeds import historical_county_identities
+from plumbmart.sources.sinks import build_decision, combined_counts, read_raw, write_raw
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1048,6 +1049,42 @@ def vulnerability_page_evidence(spark, sf):
     return ev.page_evidence(_paged(spark, sf), ["source_page_index"], "STCNTY", "position")
 
 
+#: Customers a page of the paged announcement.
+PAGE = 100
+_LOCATED, _SENT = "c_custkey % 500 = 120", "c_custkey % 370 <> 57"
+_FEATURE = f"""concat('{{"attributes":{{"KEY":"', c_name, '"}}', case when {_LOCATED} then ',"geometry":null' else '' end, '}}')"""
+
+
+@register(
+    "customer_page_report",
+    f"with features as (select c_custkey // {PAGE} * {PAGE} as page_offset, c_custkey, c_name, {_LOCATED} as located, {_FEATURE} as feature"
+    f" from customer where {_SENT}),"
+    " placed as (select *, case when located then null else c_name end as key, row_number() over"
+    " (partition by page_offset order by c_custkey) as position from features),"
+    " pages as (select page_offset, '{\"features\":[' || string_agg(feature, ',' order by c_custkey) || ']}' as body from features group by 1),"
+    " seen as (select page_offset, count(*) as record_count, min_by(key, position) as first_key, max_by(key, position) as last_key,"
+    " min(key) as min_key, max(key) as max_key, count(*) filter (key <= before) as unordered_count, count(*) filter (located) as problem_count"
+    " from (select *, lag(key) over (partition by page_offset order by position) as before from placed) group by 1)"
+    " select page_offset, cast(strlen(body) as bigint) as page_bytes, sha256(body) as page_sha256, seen.* exclude (page_offset),"
+    f" cast(greatest(least({PAGE}, n - page_offset), 0) as bigint) as expected_count,"
+    f" problem_count = 0 and unordered_count = 0 and record_count = greatest(least({PAGE}, n - page_offset), 0) as complete"
+    " from pages join seen using (page_offset), (select max(c_custkey) + 1 as n from customer)",
+)
+def customer_page_report(spark, sf):
+    """Evidence on pages of customers, some short, some with a record that the contract forbids."""
+    customer = read_table(spark, sf, "customer")
+    features = customer.where(_SENT).selectExpr(f"c_custkey div {PAGE} * {PAGE} as page_offset", "c_custkey", f"{_FEATURE} as feature")
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", "feature"))), lambda f: f["feature"])
+    # a page holds at most as many records as its size
+    pages = features.groupBy("page_offset").agg(F.concat(F.lit('{"features":['), F.array_join(ordered, ","), F.lit("]}")).alias("body"))
+    files = pages.select(
+        "page_offset", F.octet_length("body").cast("bigint").alias("page_bytes"), F.sha2("body", 256).alias("page_sha256"), "body"
+    )
+    keys = ["page_offset", "page_bytes", "page_sha256"]
+    announced = customer.agg(F.max("c_custkey") + 1).scalar()
+    return ev.page_report(parse_pages(files, "body", keys, ["KEY"]), keys, "page_offset", "KEY", PAGE, announced)
+
+
 @register(
     "vulnerability_page_set_summary",
     oracle.with_relations(
@@ -1154,6 +1191,100 @@ def file_part() -> Column:
     return F.regexp_extract("file", "part-([0-9]+)-", 1).cast("int")
 
 
+@register(
+    "order_file_fingerprints",
+    "select part, cast(strlen(body) as bigint) as byte_count, sha256(body) as content_sha256 from"
+    f" (select cast(o_orderkey // {FILE_KEYS} as int) as part,"
+    " 'o_orderkey,o_custkey,o_orderstatus' || chr(10) || string_agg(o_orderkey || ',' || o_custkey || ',' || o_orderstatus || chr(10), '' order by o_orderkey) as body"
+    " from orders group by 1)",
+)
+def order_file_fingerprints(spark, sf):
+    """Bytes and digest of every file of an order delivery, from the files themselves."""
+    orders = read_table(spark, sf, "orders").selectExpr("o_orderkey as spot", "o_orderkey", "o_custkey", "o_orderstatus")
+    files = scan_fingerprints(spark, keyed_file(orders, "spot", "order_keys", sf))
+    return files.withColumnRenamed("path", "file").select(file_part().alias("part"), "byte_count", "content_sha256")
+
+
+@register(
+    "customer_layer_issues",
+    "select 'unexpected_' || field as code, field, 'expected ' || wanted || ', found ' || coalesce(found, 'nothing') as message from"
+    " (select unnest([{'field': 'c_mktsegment', 'wanted': 'BUILDING', 'found': c_mktsegment},"
+    " {'field': 'c_nationkey', 'wanted': '3', 'found': cast(c_nationkey as varchar)}], recursive := true) from customer)"
+    " where found is distinct from wanted",
+)
+def customer_layer_issues(spark, sf):
+    """Identity of layers, one a customer, against the one that is expected."""
+    return sc.identity_issues(read_table(spark, sf, "customer"), {"c_mktsegment": "BUILDING", "c_nationkey": "3"})
+
+
+@register(
+    "seed_current_counties",
+    oracle.with_relations(
+        ["county"],
+        "select county_fips, state_fips, count(code) as state_counties, coalesce(bool_or(code = county_fips), false) as is_current"
+        " from (values ('02261'), ('02270'), ('09001'), ('09003'), ('09005'), ('09007'), ('09009'), ('09011'), ('09013'), ('09015'), ('46113'))"
+        " seed(county_fips), lateral (select left(county_fips, 2) as state_fips) left join county on state = state_fips group by all",
+    ),
+)
+def seed_current_counties(spark, sf):
+    """Each historical identity of the seed with the number of current counties of its state, and whether it is one of them."""
+    seed = historical_county_identities(spark).select("county_fips", "state_fips")
+    # counted before the join: a state may hold a third of all counties
+    counties = spark_input(spark, sf, "county").groupBy(F.col("state").alias("state_fips"), F.col("code")).agg(F.count(F.lit(1)).alias("n"))
+    named = counties.join(seed.select(F.col("county_fips").alias("code")), "code", "left_semi").select("code")
+    states = counties.groupBy("state_fips").agg(F.sum("n").alias("n"))
+    found = seed.join(states, "state_fips", "left").join(named.distinct().withColumn("__named", F.lit(True)), F.col("county_fips") == F.col("code"), "left")
+    return found.select(
+        "county_fips", "state_fips", F.coalesce("n", F.lit(0)).cast("bigint").alias("state_counties"), F.coalesce("__named", F.lit(False)).alias("is_current")
+    )
+
+
+@register(
+    "raw_load_audit",
+    oracle.with_relations(
+        ["raw_medicare"],
+        "select count(*) as row_count, 'cms' as source_id, 'load-1' as manifest_run_id, 1 as page_count, count(*) as stored_rows,"
+        " count(*) filter (BENE_GEO_LVL = 'County') as stored_counties from raw_medicare",
+    ),
+)
+def raw_load_audit(spark, sf):
+    """The audit that a raw table is stored with, beside what its stored rows hold."""
+    rows = spark_input(spark, sf, "raw_medicare").select(*C.MEDICARE_COLUMNS)
+    path = f"{shared_folder(spark)}/plumbmart/raw-{uuid.uuid4().hex}"
+    write_raw(rows, path, {"source_id": "cms", "manifest_run_id": "load-1"}, {"row_count": rows.count(), "page_count": 1})
+    stored, audit = read_raw(spark, path)
+    held = stored.agg(F.count(F.lit(1)).alias("stored_rows"), F.count_if(F.col("BENE_GEO_LVL") == "County").alias("stored_counties"))
+    return audit.withColumn("__held", R.one_row(held)).select(*audit.columns, "__held.*")
+
+
+_SELECTIONS = {
+    "dim_county": ("stg_cms_om_gv_county_year", "stg_cdc_svi_county_2022", "dim_county"),
+    "stg_cms_dialysis_facility+": ("stg_cms_dialysis_facility", "dim_facility", "fct_facility_quality_snapshot"),
+}
+
+
+@register(
+    "selected_models",
+    oracle.with_relations(
+        [n for names in _SELECTIONS.values() for n in names],
+        " union all ".join(
+            f"select '{selection}' as selection, '{n}' as relation, count(*) as row_count from {n}" for selection, names in _SELECTIONS.items() for n in names
+        ),
+    ),
+)
+def selected_models(spark, sf):
+    """Models that a name selects with what it reads, or with what reads it, and their rows, planned from the raw tables."""
+    raw = {n: t for n, t in mart(spark, sf).items() if n not in MODELS}
+    chosen = {"dim_county": with_ancestors(["dim_county"]), "stg_cms_dialysis_facility+": with_descendants(["stg_cms_dialysis_facility"])}
+    parts = []
+    for selection, names in chosen.items():
+        tables = plan(raw, names)
+        for n in names:
+            label = F.lit(selection).alias("selection"), F.lit(n).alias("relation")
+            parts.append(tables[n].agg(F.count(F.lit(1)).alias("row_count")).select(*label, "row_count"))
+    return reduce(DataFrame.union, parts)
+
+
 def medicare_file(spark: SparkSession, sf: str) -> str:
     """The columns that are published, as CSV."""
     return csv_file(spark_input(spark, sf, "raw_medicare").select(*C.MEDICARE_COLUMNS), "raw_medicare", sf)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from plumbmart.operators import evidence as ev
 from plumbmart.sources.files import columns_frame
+from plumbmart.sources.pages import parse_pages
 from plumbmart.sources.sinks import build_decision, build_input_audit
 from samples import sha
 
@@ -163,3 +164,16 @@ def test_build_decision(spark):
     three = build_input_audit("b", {**one, "facility": spark.createDataFrame([("facility", "run", "v", "h", "t", 1, 0)], source)})
     assert decide(tables, audit, three)[0] == "conflict"
     assert decide(tables, audit, audit.withColumn("cms_page_count", F.lit(2))) == ("conflict", ["cms_page_count"])
+
+
+def test_page_report(spark):
+    bodies = {0: '{"features":[{"attributes":{"K":"a"}},{"attributes":{"K":"b"}}]}', 2: '{"features":[{"attributes":{"K":"d"}},{"attributes":{"K":"c"}}]}',
+              4: '{"features":[{"attributes":{"K":"e"},"geometry":1}]}', 6: '{"features":[]}', 8: "no page"}
+    pages = spark.createDataFrame([(k, len(b), sha(b), b) for k, b in bodies.items()], "o bigint, n bigint, h string, body string")
+    rows = parse_pages(pages, "body", ["o", "n", "h"], ["K"])
+    got = {r.o: (r.n, r.h, r.record_count, r.expected_count, r.first_key, r.unordered_count, r.problem_count, r.complete)
+           for r in ev.page_report(rows, ["o", "n", "h"], "o", "K", 2, F.lit(7)).collect()}
+    own = {k: (len(b), sha(b)) for k, b in bodies.items()}
+    assert got == {0: (*own[0], 2, 2, "a", 0, 0, True), 2: (*own[2], 2, 2, "d", 1, 0, False), 4: (*own[4], 1, 2, None, 0, 1, False),
+                   6: (*own[6], 0, 1, None, 0, 1, False), 8: (*own[8], 0, 0, None, 0, 1, False)}
+    assert ev.page_report(rows.limit(0), ["o", "n", "h"], "o", "K", 2, F.lit(7)).count() == 0
