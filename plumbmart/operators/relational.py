@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 SALTS = 64
 # Copies of a row that are made from one array.
 REPEAT_BLOCK = 1000
+# Rows of a crowded key that meet as many of the other side in one place.
+CROWD_BLOCK = 256
 
 
 def one_row(df: DataFrame, *cols: str) -> Column:
@@ -40,6 +42,39 @@ def shared_rows(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFra
     return left.join(right.select(*on), list(on), "left_semi")
 
 
+def crowded_left_join(left: DataFrame, right: DataFrame, key: str, like: DataFrame | None = None) -> DataFrame:
+    """A left join on ``key`` whose pairs are spread over tasks where both sides repeat a key.
+
+    Such a key has as many rows as its two counts multiplied, and nothing makes them
+    fewer. Its rows are dealt out on either side into blocks of about ``CROWD_BLOCK``,
+    and every block of the left meets every block of the right on its own, so no task
+    has to write all pairs of a key. ``like`` is counted in place of ``left``, if that
+    is dear to compute; it has the keys that are crowded there. Columns that begin with two
+    underscores are the join's own.
+    """
+
+    def crowd(df: DataFrame, name: str) -> DataFrame:
+        counted = df.groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("__n"))
+        return counted.where(F.col("__n") > CROWD_BLOCK).select("__key", F.ceil(F.col("__n") / CROWD_BLOCK).cast("bigint").alias(name))
+
+    both = crowd(left if like is None else like, "__ls").join(crowd(right, "__rs"), "__key")
+
+    def dealt(df: DataFrame, mine: str, theirs: str, at: str, over: str) -> DataFrame:
+        names = [f"`{c}`" for c in df.columns]
+        sized = df.join(both, F.col(key) == F.col("__key"), "left").withColumn(
+            at, F.pmod(F.xxhash64(*names), F.coalesce(mine, F.lit(1)))
+        )
+        others = F.sequence(F.lit(0).cast("bigint"), F.coalesce(theirs, F.lit(1)) - 1)
+        return sized.withColumn(over, F.explode(others))
+
+    lefts = dealt(left, "__ls", "__rs", "__i", "__j").drop("__key", "__ls")
+    rights = dealt(right, "__rs", "__ls", "__j", "__i").drop("__key", "__ls", "__rs").withColumn("__hit", F.lit(True))
+    # sent out, the right side would leave the blocks of a key in the task where the left rows are
+    joined = lefts.join(rights.hint("merge"), [key, "__i", "__j"], "left")
+    # a crowded row has partners in some block, so its blocks without any say nothing
+    return joined.where("__rs is null or __hit").drop("__i", "__j", "__rs", "__hit")
+
+
 def reconcile_keys(
     left: DataFrame,
     right: DataFrame,

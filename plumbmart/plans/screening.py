@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbmart.operators.quantile import exact_quantile
-from plumbmart.operators.relational import inline, one_row, scaffold
+from plumbmart.operators.relational import crowded_left_join, inline, one_row, scaffold
 from plumbmart.plans.relations import columns
 from plumbmart.sources import contracts as C
 
@@ -86,8 +86,10 @@ def mart_county_screening(
 ) -> DataFrame:
     """One row per current county: two components, their bands and the class.
 
-    All joins share the key ``county_fips``, so each side is shuffled once. The
-    one-row threshold arrives as a scalar and its year prunes the fact scan.
+    The first joins share the key ``county_fips``, so each side is shuffled once. The
+    one-row threshold arrives as a scalar and its year prunes the fact scan. Current
+    counties are rows of the index, so a code that repeats there repeats on both sides
+    of its join, whose pairs are spread over tasks.
     """
     run = one_row(
         threshold,
@@ -113,14 +115,13 @@ def mart_county_screening(
         F.col("cms_row_count").alias("cms_reconciliation_row_count"),
         F.col("svi_row_count").alias("svi_reconciliation_row_count"),
     )
-    joined = (
-        counties.where("is_current_county")
+    current = counties.where("is_current_county")
+    known = (
+        current.select(*(c for c in current.columns if c in columns("mart_county_screening")))
         .join(medicare, "county_fips", "left")
-        .join(svi, "county_fips", "left")
         .join(checked, "county_fips", "left")
-        .withColumn("_run", run)
-        .select("*", "_run.*")
     )
+    joined = crowded_left_join(known, svi, "county_fips", like=current).withColumn("_run", run).select("*", "_run.*")
     return classify(joined).select(*columns("mart_county_screening"))
 
 
