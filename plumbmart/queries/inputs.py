@@ -304,6 +304,12 @@ INPUTS: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
+# Tables of which every row becomes some hundred computed cells. They are a few MB in one
+# file, which one task would read and compute, so their rows are dealt out before.
+SPREAD = {"raw_vulnerability": ("customer",), "raw_facility": ("part",)}
+SPREAD_TASKS = 32
+
+
 def closure(names) -> list[str]:
     """The named inputs and everything they read, in definition order."""
     wanted = set(names)
@@ -326,6 +332,7 @@ def duckdb_ctes(names) -> list[str]:
 
 def spark_input(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     words = {t: f"parquet.`{sf_dir}/{t}.parquet`" for t in TABLES}
+    words |= {t: f"(select /*+ REPARTITION({SPREAD_TASKS}) */ * from {words[t]})" for t in SPREAD.get(name, ())}
     words |= {
         "div": "div", "sha": "sha2", "bits": ", 256", "q": "`", "each": "explode", "list": "array",
     }
