@@ -130,6 +130,8 @@ def build(
 ) -> dict[str, DataFrame]:
     """Build the selected models, checking each as soon as it can be checked.
 
+    A model that ``raw`` already holds is taken as it is.
+
     An assertion runs once all of its relations exist, so a broken input stops
     the build by the assertion's name before any model depends on it. Declared
     not-null checks of a stored model, and of the models that project it, are
@@ -140,7 +142,7 @@ def build(
     """
     tables = dict(raw)
     skipped = set(with_descendants(exclude)) | set(exclude)
-    selected = [n for n in with_ancestors(MODELS if select is None else select) if n not in skipped]
+    selected = [n for n in with_ancestors(MODELS if select is None else select) if n not in skipped and n not in tables]
     done: set[str] = set()
     observed: set[str] = set()
 
