@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from plumbmart.functions.tokens import full_match, is_blank
 from plumbmart.operators import relational as R
-from plumbmart.plans.quality import RowRule, Rule, SetRule
+from plumbmart.plans.quality import WEIGHT, RowRule, Rule, SetRule
 from plumbmart.plans.relations import columns
 from plumbmart.plans.screening import classify
 from plumbmart.plans.staging import county_scope
@@ -594,34 +594,64 @@ def _national_threshold(mart: DataFrame, threshold: DataFrame) -> DataFrame:
     )
 
 
+def _matched(
+    counted: DataFrame, fact: DataFrame, keys: dict[str, str], values: tuple[str, ...], stamps: dict[str, str], prefix: str
+) -> DataFrame:
+    """``counted`` with ``__{prefix}_pairs``, the rows that each of its rows has in a left join with the
+    fact on ``keys``, and ``__{prefix}_equal``, those among them that disagree in no value, status or stamp.
+
+    The rows are counted, never paired: the equal ones are found by the values themselves,
+    so a code that many counties share costs its distinct values and not its pairs.
+    """
+    pairs, equal = f"__{prefix}_pairs", f"__{prefix}_equal"
+    names = counted.columns
+    cells = [*values, *(f"{v}_status" for v in values), *stamps]
+    here = {n: f"__{prefix}_{n}" for n in (*keys, *cells)}
+    held = fact.groupBy(*keys, *cells).agg(F.count(F.lit(1)).alias("__held")).select(
+        *(_c(n).alias(a) for n, a in here.items()), "__held"
+    )
+    totals = held.groupBy(*(here[k] for k in keys)).agg(F.sum("__held").alias("__total"))
+    same_key = [_c(m) == _c(here[k]) for k, m in keys.items()]
+    known = counted.join(totals, same_key, "left").drop(*(here[k] for k in keys))
+    alike = _all([*same_key, *(_c(v).eqNullSafe(_c(here[v])) for v in values)])
+    # a comparison with NULL is no disagreement
+    differs = _any(
+        [_c(f"{v}_status") != _c(here[f"{v}_status"]) for v in values] + [_c(m) != _c(here[n]) for n, m in stamps.items()]
+    )
+    agreed = F.when(_c("__held").isNotNull() & ~F.coalesce(differs, F.lit(False)), _c("__held"))
+    found = known.join(held, alike, "left").groupBy(*names, "__total").agg(F.coalesce(F.sum(agreed), F.lit(0)).alias(equal))
+    # without a partner the one row of the left join has NULL in every cell
+    alone = _all(_c(v).isNull() for v in values).cast("bigint")
+    return found.select(
+        *names, F.coalesce("__total", F.lit(1)).alias(pairs),
+        F.when(_c("__total").isNull(), alone).otherwise(_c(equal)).alias(equal),
+    )
+
+
 def _mart_matches_facts(mart: DataFrame, county: DataFrame, svi: DataFrame) -> DataFrame:
+    """Rows of the mart beside their facts that disagree, counted.
+
+    A row violates with each pair of its facts' rows but those that both agree, or with all if a hash of its own is none.
+    """
     cms_values, svi_values = ("benes_om_cnt", "benes_op_dlys_pct"), ("rpl_themes",)
-    cms_hash, svi_hash = "source_content_sha256", "source_snapshot_sha256"
-
-    def cells(df: DataFrame, prefix: str, keys, values, hash_name) -> DataFrame:
-        names = [n for v in values for n in (v, f"{v}_status")]
-        stamps = {n: f"{prefix}_{n}" for n in ("source_manifest_run_id", hash_name)}
-        return df.select(
-            *(_c(k).alias(v) for k, v in keys.items()),
-            F.struct(*names, *(_c(k).alias(v) for k, v in stamps.items())).alias(f"_{prefix}"),
-        )
 
-    joined = mart.join(
-        cells(county, "cms", {"county_fips": "county_fips", "year": "cms_year"}, cms_values, cms_hash),
-        ["county_fips", "cms_year"], "left",
-    ).join(
-        cells(svi, "svi", {"county_fips": "county_fips", "svi_vintage": "svi_vintage"},
-              svi_values, svi_hash),
-        ["county_fips", "svi_vintage"], "left",
+    def stamps(prefix: str, hash_name: str) -> dict[str, str]:
+        return {n: f"{prefix}_{n}" for n in ("source_manifest_run_id", hash_name)}
+
+    cms, vul = stamps("cms", "source_content_sha256"), stamps("svi", "source_snapshot_sha256")
+    values = [n for v in (*cms_values, *svi_values) for n in (v, f"{v}_status")]
+    own = _any(_not_hash(n) for n in ("input_set_sha256", cms["source_content_sha256"], vul["source_snapshot_sha256"]))
+    rows = mart.groupBy(
+        "county_fips", "cms_year", "svi_vintage", *values, *cms.values(), *vul.values(), F.coalesce(own, F.lit(False)).alias("__own")
+    ).agg(F.count(F.lit(1)).alias("__rows"))
+    rows = _matched(rows, county, {"county_fips": "county_fips", "year": "cms_year"}, cms_values, cms, "cms")
+    rows = _matched(rows, svi, {"county_fips": "county_fips", "svi_vintage": "svi_vintage"}, svi_values, vul, "svi")
+    # wide enough for the pairs of three relations under one code
+    every, agreed = (
+        _c(f"__cms_{n}").cast("decimal(19,0)") * _c(f"__svi_{n}").cast("decimal(19,0)") for n in ("pairs", "equal")
     )
-    checks = [_not_hash(n) for n in ("input_set_sha256", f"cms_{cms_hash}", f"svi_{svi_hash}")]
-    for prefix, values, hash_name in (("cms", cms_values, cms_hash), ("svi", svi_values, svi_hash)):
-        for v in values:
-            checks.append(R.is_distinct(_c(v), _c(f"_{prefix}.{v}")))
-            checks.append(_c(f"{v}_status") != _c(f"_{prefix}.{v}_status"))
-        for n in (f"{prefix}_source_manifest_run_id", f"{prefix}_{hash_name}"):
-            checks.append(_c(n) != _c(f"_{prefix}.{n}"))
-    return joined.where(_any(checks))
+    left = F.when(_c("__own"), every).otherwise(every - agreed)
+    return rows.withColumn(WEIGHT, (_c("__rows") * left).cast("bigint")).where(_c(WEIGHT) > 0)
 
 
 def _mart_counts(mart: DataFrame, counties: DataFrame, threshold: DataFrame) -> DataFrame:
@@ -636,8 +666,13 @@ def _mart_counts(mart: DataFrame, counties: DataFrame, threshold: DataFrame) ->
 
 
 def _mart_current(mart: DataFrame, counties: DataFrame) -> DataFrame:
-    dim = counties.select("county_fips", _c("is_current_county").alias("_current"))
-    return mart.join(dim, "county_fips", "left").where(
+    """Rows of the mart that are not current or not reconciled, beside every county of their code, counted on both sides before they meet."""
+    rows = mart.groupBy(
+        "county_fips", "geography_status", "reconciliation_status", "cms_reconciliation_row_count", "svi_reconciliation_row_count"
+    ).agg(F.count(F.lit(1)).alias("__rows"))
+    dim = counties.groupBy("county_fips", _c("is_current_county").alias("_current")).agg(F.count(F.lit(1)).alias("__counties"))
+    pairs = (_c("__rows") * F.coalesce("__counties", F.lit(1))).alias(WEIGHT)
+    return rows.join(dim, "county_fips", "left").where(
         _any(
             [
                 _c("_current").isNull() | ~_c("_current"),
@@ -647,7 +682,7 @@ def _mart_current(mart: DataFrame, counties: DataFrame) -> DataFrame:
                 _c("svi_reconciliation_row_count") != 1,
             ]
         )
-    )
+    ).select("*", pairs)
 
 
 def _summary_totals(mart: DataFrame, summary: DataFrame) -> DataFrame:

@@ -18,6 +18,8 @@ from plumbmart.plans.relations import FOREIGN_KEYS, RELATIONS
 
 Tables = Mapping[str, DataFrame]
 REPORT = "assertion string, violations bigint"
+# Violating rows may come counted: a row with this column stands for so many.
+WEIGHT = "__violations"
 
 
 class RowRule(NamedTuple):
@@ -32,7 +34,7 @@ class RowRule(NamedTuple):
 
 
 class SetRule(NamedTuple):
-    """Violating rows computed from several relations or from aggregates."""
+    """Violating rows computed from several relations or from aggregates, counted where they carry ``WEIGHT``."""
 
     relations: tuple[str, ...]
     violations: Callable[..., DataFrame]
@@ -56,8 +58,15 @@ def violating_rows(rule: Rule, tables: Tables) -> DataFrame:
     return rule.violations(*(tables[name] for name in rule.relations))
 
 
+def violations(rows: DataFrame) -> Column:
+    """The number of violating rows, as an aggregate."""
+    if WEIGHT in rows.columns:
+        return F.coalesce(F.sum(WEIGHT), F.lit(0)).cast("bigint").alias("violations")
+    return F.count(F.lit(1)).alias("violations")
+
+
 def _counted(name: str, rows: DataFrame) -> DataFrame:
-    return rows.agg(F.count(F.lit(1)).alias("violations")).select(
+    return rows.agg(violations(rows)).select(
         F.lit(name).alias("assertion"), "violations"
     )
 
