@@ -13,7 +13,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbmart.plans.quality import RowRule, Rule, Tables, violating_rows
+from plumbmart.plans.quality import RowRule, Rule, Tables, violating_rows, violations
 
 CHANGE, ADD, DROP = "change", "add", "drop"
 WORLD = "__world"
@@ -76,7 +76,7 @@ def damage_report(rules: Mapping[str, Rule], damages: Mapping[str, Damage], tabl
             together.setdefault(relation, []).append(name)
             continue
         rows = violating_rows(rule, {**tables, relation: damaged(tables[relation], damages[name])})
-        parts.append(rows.agg(F.count(F.lit(1)).alias("violations")).select(
+        parts.append(rows.agg(violations(rows)).select(
             F.lit(name).alias("assertion"), F.lit(relation).alias("damaged"), "violations"))
     for relation, names in together.items():
         copies = worlds(tables[relation], {n: damages[n] for n in names})
