@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Parts that the rows of one key are dealt out to.
+# Parts that the rows of one key are dealt out to, at most the bits of a bigint.
 SALTS = 64
 # Copies of a row that are made from one array.
 REPEAT_BLOCK = 1000
@@ -200,18 +200,21 @@ def later_occurrences(df: DataFrame, keys: Sequence[str], order: str) -> DataFra
     NULL in the key belong to no key and are left out. Exact copies are counted
     before the shuffle, and the other rows of a key are dealt out to ``SALTS`` parts,
     so neither a third of all rows under one key nor a third that are one row meet
-    in one task; what is compared per key is one row a part.
+    in one task; of a key one row a task of the first shuffle is compared.
     """
     keys, names = list(keys), [f"`{c}`" for c in df.columns]
     counted = df.dropna(subset=keys).groupBy(*names).agg(F.count(F.lit(1)).alias("__c"))
     digest = F.struct(F.xxhash64(*names).alias("a"), F.xxhash64(F.lit(1), *names).alias("b"))
     place = F.struct(F.col(f"`{order}`").alias("o"), digest.alias("d"))
-    some = counted.withColumns({"__place": place, "__salt": F.pmod(F.xxhash64(*names), F.lit(SALTS))})
-    parts = some.groupBy(*keys, "__salt").agg(F.min("__place").alias("__p"), F.sum("__c").alias("__n"))
-    every = Window.partitionBy(*keys)
-    known = parts.withColumns({"__first": F.min("__p").over(every), "key_row_count": F.sum("__n").over(every)})
-    known = known.where(F.col("key_row_count") > 1).select(*keys, "__salt", "__first", "key_row_count")
-    found = some.join(known, [*keys, "__salt"])
-    later = found.withColumn("__n", F.col("__c") - F.when(F.col("__place") == F.col("__first"), 1).otherwise(0))
+    dealt = counted.withColumn("__salt", F.pmod(F.xxhash64(*names), F.lit(SALTS)).cast("int"))
+    # a key's parts are the bits of one number, so its rows are added up once, before the shuffle too
+    known = dealt.groupBy(*keys).agg(
+        F.min(place).alias("__first"), F.sum("__c").alias("key_row_count"), F.bit_or(F.expr("shiftleft(1L, __salt)")).alias("__parts")
+    ).where(F.col("key_row_count") > 1)
+    bits = F.expr(f"filter(sequence(0, {SALTS - 1}), i -> getbit(__parts, i) = 1)")
+    known = known.select(*keys, F.explode(bits).alias("__salt"), "__first", "key_row_count")
+    # the place is taken again instead of being shuffled with every row
+    found = dealt.join(known, [*keys, "__salt"])
+    later = found.withColumn("__n", F.col("__c") - F.when(place == F.col("__first"), 1).otherwise(0))
     later = later.withColumn("first_seen_at", F.col("__first.o"))
     return _repeated(later, [*df.columns, "first_seen_at", "key_row_count"])
