@@ -315,10 +315,11 @@ def file_shape(
 ) -> DataFrame:
     """One row of evidence on a scanned file against what was published about it.
 
-    ``header`` is the file's own list of labels, ``rows`` has at least ``keys``.
+    ``header`` is the file's own list of labels, ``rows`` has at least ``keys``. Keys may be
+    long texts, so their digests are counted.
     """
     listed = sorted({h for h in header if h not in published})
-    repeated = rows.groupBy(*(f"`{k}`" for k in keys)).agg(F.count(F.lit(1)).alias("n"))
+    repeated = rows.select(row_digest(rows, keys).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
     counted = repeated.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
         F.count_if(F.col("n") > 1).alias("repeated_key_count"),

@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from plumbmart.operators.relational import crowded_left_join
+from plumbmart.operators import evidence as ev
+from plumbmart.operators.relational import crowded_left_join, later_occurrences
 from plumbmart.plans import assertions as A
 from plumbmart.plans.build import MODELS, build
 from plumbmart.plans.quality import assertion_report
@@ -97,3 +98,20 @@ def test_only_the_relations_asked_for_are_built(spark, monkeypatch):
     assert {n for n in built if n in MODELS} == {A.COUNTY, A.BENCH, A.SVI, "dim_county"}
     whole = T.mart(spark, sf)
     assert set(MODELS) <= set(whole) and sorted(built) == sorted(set(built))
+
+
+def test_later_occurrences_shuffle_rows_once_and_keys_once(spark):
+    rows = spark.range(5000).selectExpr("if(id < 3000, 1, id div 2) as k", "id div 3 as at", "id % 7 as x")
+    later = later_occurrences(rows, ["k"], "at")
+    assert later.count() == 2999 + 1000 and later.agg(F.max("key_row_count")).first()[0] == 3000
+    assert "Window" not in later._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_repeated_long_keys_are_counted_by_their_digest(spark):
+    rows = spark.range(400).selectExpr("if(id % 100 = 0, null, repeat(cast(id % 200 as string), 500)) as text", "if(id % 2 = 0, null, 'a') as b")
+    header = ["text", "b"]
+    found = ev.file_shape(rows, header, header, header, F.lit(400))
+    # the values but one that 100 leaves come twice; NULL has four rows
+    assert (found.first().row_count, found.first().repeated_key_count) == (400, 199)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [text" not in plan
