@@ -13,6 +13,8 @@ SALTS = 64
 REPEAT_BLOCK = 1000
 # Rows of a crowded key that meet as many of the other side in one place.
 CROWD_BLOCK = 256
+# Pairs of such blocks that one task makes.
+TASK_BLOCKS = 8
 
 
 def one_row(df: DataFrame, *cols: str) -> Column:
@@ -42,22 +44,36 @@ def shared_rows(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFra
     return left.join(right.select(*on), list(on), "left_semi")
 
 
-def crowded_left_join(left: DataFrame, right: DataFrame, key: str, like: DataFrame | None = None) -> DataFrame:
+def crowds(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """The keys that both sides repeat, and the blocks that the rows of either are dealt out into."""
+
+    def crowd(df: DataFrame, name: str) -> DataFrame:
+        counted = df.groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("__n"))
+        return counted.where(F.col("__n") > CROWD_BLOCK).select("__key", F.ceil(F.col("__n") / CROWD_BLOCK).cast("bigint").alias(name))
+
+    return crowd(left, "__ls").join(crowd(right, "__rs"), "__key")
+
+
+def crowd_tasks(left: DataFrame, right: DataFrame, key: str) -> int:
+    """Tasks for a crowded join, so that each gets about ``TASK_BLOCKS`` pairs of blocks, however many there are."""
+    blocks = crowds(left, right, key).agg(F.sum(F.col("__ls") * F.col("__rs"))).first()[0] or 0
+    return max(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-blocks // TASK_BLOCKS))
+
+
+def crowded_left_join(
+    left: DataFrame, right: DataFrame, key: str, like: DataFrame | None = None, tasks: int | None = None
+) -> DataFrame:
     """A left join on ``key`` whose pairs are spread over tasks where both sides repeat a key.
 
     Such a key has as many rows as its two counts multiplied, and nothing makes them
     fewer. Its rows are dealt out on either side into blocks of about ``CROWD_BLOCK``,
     and every block of the left meets every block of the right on its own, so no task
     has to write all pairs of a key. ``like`` is counted in place of ``left``, if that
-    is dear to compute; it has the keys that are crowded there. Columns that begin with two
-    underscores are the join's own.
+    is dear to compute; it has the keys that are crowded there. ``tasks`` (see ``crowd_tasks``)
+    fixes their number, which would else follow the bytes that go in and not the pairs that come
+    out. Columns that begin with two underscores are the join's own.
     """
-
-    def crowd(df: DataFrame, name: str) -> DataFrame:
-        counted = df.groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("__n"))
-        return counted.where(F.col("__n") > CROWD_BLOCK).select("__key", F.ceil(F.col("__n") / CROWD_BLOCK).cast("bigint").alias(name))
-
-    both = crowd(left if like is None else like, "__ls").join(crowd(right, "__rs"), "__key")
+    both = crowds(left if like is None else like, right, key)
 
     def dealt(df: DataFrame, mine: str, theirs: str, at: str, over: str) -> DataFrame:
         names = [f"`{c}`" for c in df.columns]
@@ -69,6 +85,8 @@ def crowded_left_join(left: DataFrame, right: DataFrame, key: str, like: DataFra
 
     lefts = dealt(left, "__ls", "__rs", "__i", "__j").drop("__key", "__ls")
     rights = dealt(right, "__rs", "__ls", "__j", "__i").drop("__key", "__ls", "__rs").withColumn("__hit", F.lit(True))
+    if tasks:
+        lefts, rights = (side.repartition(tasks, key, "__i", "__j") for side in (lefts, rights))
     # sent out, the right side would leave the blocks of a key in the task where the left rows are
     joined = lefts.join(rights.hint("merge"), [key, "__i", "__j"], "left")
     # a crowded row has partners in some block, so its blocks without any say nothing

@@ -553,7 +553,7 @@ FACILITY_RULES: dict[str, Rule] = {
 
 # -- screening --------------------------------------------------------------------
 
-_CLASSES = (
+CLASSES = (
     "is_dialysis_use_threshold_eligible", "is_higher_observed_dialysis_use",
     "dialysis_use_band", "is_higher_social_vulnerability", "social_vulnerability_band",
     "screening_data_status", "screening_insufficient_reason", "screening_quadrant",
@@ -561,9 +561,9 @@ _CLASSES = (
 
 
 def _reclassified(mart: DataFrame) -> DataFrame:
-    stored = mart.withColumn("_stored", F.struct(*_CLASSES)).drop(*_CLASSES)
+    stored = mart.withColumn("_stored", F.struct(*CLASSES)).drop(*CLASSES)
     return classify(stored).where(
-        _any(R.is_distinct(_c(n), _c(f"_stored.{n}")) for n in _CLASSES)
+        _any(R.is_distinct(_c(n), _c(f"_stored.{n}")) for n in CLASSES)
     )
 
 

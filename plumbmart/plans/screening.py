@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbmart.operators.quantile import exact_quantile
-from plumbmart.operators.relational import crowded_left_join, inline, one_row, scaffold
+from plumbmart.operators.relational import crowd_tasks, crowded_left_join, inline, one_row, scaffold
 from plumbmart.plans.relations import columns
 from plumbmart.sources import contracts as C
 
+# What the class of a row is read from, beside the threshold.
+CLASSIFIED = ("benes_op_dlys_pct", "benes_op_dlys_pct_status", "rpl_themes", "rpl_themes_status")
+
 
 def reported(value: str) -> Column:
     """Eligible only when the status says reported and the value is there."""
@@ -77,19 +83,24 @@ def int_county_screening_threshold(
     )
 
 
-def mart_county_screening(
+class Sides(NamedTuple):
+    """What the screening mart joins: its county rows and the index rows, by ``county_fips``, beside one run."""
+
+    current: DataFrame
+    known: DataFrame
+    svi: DataFrame
+    run: Column
+
+
+def _sides(
     threshold: DataFrame,
     counties: DataFrame,
     county_fact: DataFrame,
     svi_fact: DataFrame,
     reconciliation: DataFrame,
-) -> DataFrame:
-    """One row per current county: two components, their bands and the class.
-
-    The first joins share the key ``county_fips``, so each side is shuffled once. The
-    one-row threshold arrives as a scalar and its year prunes the fact scan. Current
-    counties are rows of the index, so a code that repeats there repeats on both sides
-    of its join, whose pairs are spread over tasks.
+) -> Sides:
+    """The first joins share the key ``county_fips``, so each side is shuffled once. The
+    one-row threshold arrives as a scalar and its year prunes the fact scan.
     """
     run = one_row(
         threshold,
@@ -121,10 +132,59 @@ def mart_county_screening(
         .join(medicare, "county_fips", "left")
         .join(checked, "county_fips", "left")
     )
+    return Sides(current, known, svi, run)
+
+
+def mart_county_screening(
+    threshold: DataFrame,
+    counties: DataFrame,
+    county_fact: DataFrame,
+    svi_fact: DataFrame,
+    reconciliation: DataFrame,
+) -> DataFrame:
+    """One row per current county: two components, their bands and the class.
+
+    Current counties are rows of the index, so a code that repeats there repeats on both
+    sides of its join, whose pairs are spread over tasks.
+    """
+    current, known, svi, run = _sides(threshold, counties, county_fact, svi_fact, reconciliation)
     joined = crowded_left_join(known, svi, "county_fips", like=current).withColumn("_run", run).select("*", "_run.*")
     return classify(joined).select(*columns("mart_county_screening"))
 
 
+def counted_county_screening(
+    threshold: DataFrame,
+    counties: DataFrame,
+    county_fact: DataFrame,
+    svi_fact: DataFrame,
+    reconciliation: DataFrame,
+    names: Sequence[str],
+    times: str,
+) -> tuple[DataFrame, int]:
+    """The rows of the screening mart in the columns ``names``, counted in ``times`` and not repeated.
+
+    Rows that agree in what is asked for are counted on either side before these meet, so
+    a code that n counties share has as many rows here as its different county rows times
+    its different scores, which are few for a few columns and, whatever n is, no more
+    scores than four decimals give. With all columns the rows differ from each other.
+    Also returned is the number of tasks that share them. It is counted at once, so the
+    relations should be stored.
+    """
+    current, known, svi, run = _sides(threshold, counties, county_fact, svi_fact, reconciliation)
+    needed = {"county_fips", *names, *CLASSIFIED}
+
+    def different(df: DataFrame, alias: str) -> DataFrame:
+        return df.groupBy(*(c for c in df.columns if c in needed)).agg(F.count(F.lit(1)).alias(alias))
+
+    lefts, rights = different(known, "_lefts"), different(svi, "_rights")
+    like = current.select(*(c for c in current.columns if c in needed)).distinct()
+    tasks = crowd_tasks(like, rights, "county_fips")
+    joined = crowded_left_join(lefts, rights, "county_fips", like=like, tasks=tasks)
+    count = F.col("_lefts") * F.coalesce("_rights", F.lit(1).cast("bigint"))
+    rows = classify(joined.withColumn("_run", run).select("*", "_run.*"))
+    return rows.select(*names, count.alias(times)), tasks
+
+
 def classify(df: DataFrame) -> DataFrame:
     """Availability, nullable flags, bands, data status, reason and quadrant."""
     use_ok, vul_ok = reported("benes_op_dlys_pct"), reported("rpl_themes")

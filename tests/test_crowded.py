@@ -3,14 +3,17 @@
 from pyspark.sql import functions as F
 
 from plumbmart.operators import evidence as ev
+from plumbmart.operators import relational as R
 from plumbmart.operators.relational import crowded_left_join, later_occurrences
 from plumbmart.plans import assertions as A
+from plumbmart.plans import screening
 from plumbmart.plans.build import MODELS, build
 from plumbmart.plans.quality import assertion_report
 from plumbmart.plans.relations import schema
 from plumbmart.queries import tables as T
 from plumbmart.queries.catalog import QUERIES
 from plumbmart.queries.inputs import spark_input
+from plumbmart.session import materialise
 
 
 def _rows(spark, relation, n, **cells):
@@ -100,6 +103,69 @@ def test_only_the_relations_asked_for_are_built(spark, monkeypatch):
     assert set(MODELS) <= set(whole) and sorted(built) == sorted(set(built))
 
 
+def _screened(spark, n):
+    """What the screening mart reads: ``n`` counties and as many index rows of one code, and some of their own."""
+    sha, own = "repeat('a', 64)", f"if(id < {n}, 'ABCDE', cast(id as string))"
+    return [
+        _rows(spark, A.THRESHOLD, 1, cms_year="2020", svi_vintage="2022", dialysis_use_p75_threshold="0.4", screening_run_id="'run'"),
+        _rows(
+            spark, "dim_county", n + 40, county_fips=own, state_fips="cast(id % 3 as string)", county_name="cast(id div 2 as string)",
+            is_current_county=f"id < {n} or id % 8 > 0",
+        ),
+        _rows(
+            spark, A.F_COUNTY, 30, county_fips=f"cast(id + {n} as string)", year="2020", benes_op_dlys_pct="id % 10 / 10",
+            benes_op_dlys_pct_status="if(id % 7 = 0, 'suppressed', 'reported')", source_content_sha256=sha,
+        ).union(_rows(spark, A.F_COUNTY, 2, county_fips="'ABCDE'", year="2020", benes_op_dlys_pct="id / 2", benes_op_dlys_pct_status="'reported'")),
+        _rows(
+            spark, A.F_SVI, n + 20, county_fips=own, svi_vintage="2022", rpl_themes="if(id % 11 = 0, null, id % 10 / 10)",
+            rpl_themes_status="if(id % 11 = 0, 'unavailable_null', 'reported')", source_snapshot_sha256=sha,
+        ),
+        _rows(spark, "audit_cms_svi_county_reconciliation", n + 50, county_fips=f"cast(id + {n} as string)", reconciliation_status="'matched'"),
+    ]
+
+
+def test_counted_screening_stands_for_the_rows_of_the_mart(spark, monkeypatch):
+    monkeypatch.setattr(R, "CROWD_BLOCK", 4)
+    monkeypatch.setattr(R, "TASK_BLOCKS", 1)
+    inputs = _screened(spark, 60)
+    whole = screening.mart_county_screening(*inputs)
+    some = ["state_fips", "rpl_themes", "screening_quadrant"]
+    for names in (some, whole.columns):
+        counted, tasks = screening.counted_county_screening(*inputs, names, "times")
+        plain = whole.groupBy(*names).agg(F.count(F.lit(1)).alias("times"))
+        got = counted.groupBy(*names).agg(F.sum("times").alias("times"))
+        assert got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0
+        assert tasks >= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert counted.count() == counted.select(*names).distinct().count()
+
+
+def test_damage_is_counted_over_rows_that_are_not_made(spark, monkeypatch):
+    inputs = _screened(spark, 20000)
+    tables = dict(zip(MODELS[A.MART].inputs, inputs))
+    monkeypatch.setattr(T, "mart", lambda spark, sf, names: {n: tables[n] for n in names})
+    found = QUERIES["assertions_after_damage"](spark, "nowhere")
+    # each of 20,000 counties has two metrics, 0.0 and 0.5, and meets 20,000 scores
+    scores = [None if i % 11 == 0 else i % 10 / 10 for i in range(20000)]
+    low = 20000 * sum(s is not None and s < 0.75 for s in scores)
+    low += sum(
+        i % 8 > 0 and i % 11 > 0 and i % 10 < 7.5 and (i - 20000) % 7 > 0 and (i - 20000) % 10 < 4 for i in range(20000, 20020)
+    )
+    assert {r.damage: r.violations for r in found.collect()} == {"classification": low, "threshold": 3}
+
+
+def test_damage_is_counted_without_the_mart(spark, monkeypatch):
+    built = []
+
+    def store(df, label, *args, **kwargs):
+        built.append(label)
+        return materialise(df, label, *args, **kwargs)
+
+    monkeypatch.setattr(T, "_BUILT", {})
+    monkeypatch.setitem(build.__kwdefaults__, "store", store)
+    QUERIES["assertions_after_damage"](spark, "/root/testdata/sf0.001")
+    assert "int_county_screening_threshold" in built and "mart_county_screening" not in built
+
+
 def test_later_occurrences_shuffle_rows_once_and_keys_once(spark):
     rows = spark.range(5000).selectExpr("if(id < 3000, 1, id div 2) as k", "id div 3 as at", "id % 7 as x")
     later = later_occurrences(rows, ["k"], "at")
