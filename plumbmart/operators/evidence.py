@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -339,13 +339,19 @@ def file_shape(
 # -- checksum of a whole relation --------------------------------------------------------
 
 
+def cell_text(value: Column) -> Column:
+    """A cell as text behind its length, a NULL as ``~``."""
+    text = value.cast("string")
+    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("~"))
+
+
+def row_text(columns: Sequence[str]) -> Column:
+    return F.concat(*(cell_text(F.col(f"`{c}`")) for c in columns))
+
+
 def row_digest(df: DataFrame, columns: Sequence[str]) -> Column:
     """SHA-256 of a row as text: each cell behind its length, a NULL as ``~``."""
-    def cell(c: str) -> Column:
-        text = F.col(f"`{c}`").cast("string")
-        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("~"))
-
-    return F.sha2(F.concat(*(cell(c) for c in columns)), 256)
+    return F.sha2(row_text(columns), 256)
 
 
 def table_checksum(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -356,20 +362,29 @@ def table_checksum(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     share of the distinct rows, and at most 4,096 digests above that.
     """
     names = sorted(columns or df.columns)
-    kinds = dict(df.dtypes)
-    heading = ",".join(f"{c}:{kinds[c]}" for c in names)
     counted = df.select(row_digest(df, names).alias("h")).groupBy("h").agg(
         F.count(F.lit(1)).alias("n")
     )
+    return counted_checksum(counted, {c: kind for c, kind in df.dtypes if c in names})
+
+
+def counted_checksum(counted: DataFrame, kinds: Mapping[str, str], tasks: int | None = None) -> DataFrame:
+    """``table_checksum`` of a relation with columns of these types, whose different rows come as digests ``h`` with their number ``n``.
+
+    ``tasks`` fixes the number of tasks that bring the digests together.
+    """
+    heading = ",".join(f"{c}:{kinds[c]}" for c in sorted(kinds))
     level = counted.select(
         F.substring("h", 1, 6).alias("prefix"),
         F.concat_ws(":", "h", F.col("n").cast("string")).alias("digest"), "n",
     )
-    for width in (6, 3, 0):
-        level = level.groupBy(F.substring("prefix", 1, width).alias("prefix")).agg(
+    if tasks:
+        level = level.repartition(tasks, "prefix")
+    for width in (3, 0, 0):
+        level = level.groupBy("prefix").agg(
             F.sha2(F.concat_ws("\n", F.array_sort(F.collect_list("digest"))), 256).alias("digest"),
             F.sum("n").alias("n"),
-        )
+        ).withColumn("prefix", F.substring("prefix", 1, width))
     total = level.agg(F.max("digest").alias("digest"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
     return total.select(
         F.sha2(F.concat_ws("\n", F.lit(heading), F.coalesce("digest", F.lit(""))), 256).alias("checksum"),

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from itertools import groupby
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbmart.operators import evidence as ev
 from plumbmart.operators.quantile import exact_quantile
 from plumbmart.operators.relational import crowd_tasks, crowded_left_join, inline, one_row, scaffold
 from plumbmart.plans.relations import columns
@@ -152,6 +154,17 @@ def mart_county_screening(
     return classify(joined).select(*columns("mart_county_screening"))
 
 
+def _different(df: DataFrame, names: Iterable[str], alias: str) -> DataFrame:
+    """The different rows of ``df`` in those of its columns, counted."""
+    wanted = set(names)
+    return df.groupBy(*(c for c in df.columns if c in wanted)).agg(F.count(F.lit(1)).alias(alias))
+
+
+def _pairs() -> Column:
+    """How many rows of the mart a row of counted sides stands for."""
+    return F.col("_lefts") * F.coalesce("_rights", F.lit(1).cast("bigint"))
+
+
 def counted_county_screening(
     threshold: DataFrame,
     counties: DataFrame,
@@ -160,56 +173,109 @@ def counted_county_screening(
     reconciliation: DataFrame,
     names: Sequence[str],
     times: str,
-) -> tuple[DataFrame, int]:
+) -> DataFrame:
     """The rows of the screening mart in the columns ``names``, counted in ``times`` and not repeated.
 
     Rows that agree in what is asked for are counted on either side before these meet, so
     a code that n counties share has as many rows here as its different county rows times
-    its different scores, which are few for a few columns and, whatever n is, no more
-    scores than four decimals give. With all columns the rows differ from each other.
-    Also returned is the number of tasks that share them. It is counted at once, so the
-    relations should be stored.
+    its different scores, and scores of four decimals are few, whatever n is. How the join is
+    spread is counted at once, so the relations should be stored.
     """
     current, known, svi, run = _sides(threshold, counties, county_fact, svi_fact, reconciliation)
     needed = {"county_fips", *names, *CLASSIFIED}
-
-    def different(df: DataFrame, alias: str) -> DataFrame:
-        return df.groupBy(*(c for c in df.columns if c in needed)).agg(F.count(F.lit(1)).alias(alias))
-
-    lefts, rights = different(known, "_lefts"), different(svi, "_rights")
-    like = current.select(*(c for c in current.columns if c in needed)).distinct()
+    lefts, rights = _different(known, needed, "_lefts"), _different(svi, needed, "_rights")
+    like = _different(current, needed, "_lefts")
     tasks = crowd_tasks(like, rights, "county_fips")
     joined = crowded_left_join(lefts, rights, "county_fips", like=like, tasks=tasks)
-    count = F.col("_lefts") * F.coalesce("_rights", F.lit(1).cast("bigint"))
     rows = classify(joined.withColumn("_run", run).select("*", "_run.*"))
-    return rows.select(*names, count.alias(times)), tasks
+    return rows.select(*names, _pairs().alias(times))
 
 
-def classify(df: DataFrame) -> DataFrame:
-    """Availability, nullable flags, bands, data status, reason and quadrant."""
-    use_ok, vul_ok = reported("benes_op_dlys_pct"), reported("rpl_themes")
-    use_high = F.col("benes_op_dlys_pct") >= F.col("dialysis_use_p75_threshold")
-    vul_high = F.col("rpl_themes") >= F.lit(C.VULNERABILITY_CUT).cast("decimal(3,2)")
+def county_screening_digests(
+    threshold: DataFrame,
+    counties: DataFrame,
+    county_fact: DataFrame,
+    svi_fact: DataFrame,
+    reconciliation: DataFrame,
+) -> tuple[DataFrame, int]:
+    """Each different row of the screening mart as ``row_digest`` ``h`` with its number ``n``, and the tasks that share them.
 
-    def band(ok: Column, high: Column, noun: str) -> Column:
-        return (
-            F.when(ok & high, f"higher_{noun}")
-            .when(ok, f"lower_{noun}")
-            .otherwise("insufficient_data")
-        )
+    A code that n counties share has n times its different scores as different rows, and
+    each has a digest of its own. So either side makes the text of its cells once, as runs
+    between cells of the other in the order of names, and a pair joins the runs. The
+    relations should be stored, as above.
+    """
+    current, known, svi, run = _sides(threshold, counties, county_fact, svi_fact, reconciliation)
+    names = sorted(columns("mart_county_screening"))
+    key = "county_fips"
+    like, rights = _different(current, names, "_lefts"), _different(svi, names, "_rights")
+    tasks = crowd_tasks(like, rights, key)
+    lefts = use_flags(_different(known, names, "_lefts").withColumn("_run", run).select("*", "_run.*"))
+    rights = vulnerability_flags(rights)
+
+    def side(name: str) -> str:
+        return "left" if name in lefts.columns else "right" if name in rights.columns else "pair"
+
+    runs = [(where, f"_text{i}", list(run)) for i, (where, run) in enumerate(groupby(names, side))]
 
-    flagged = df.withColumns(
+    def texts(df: DataFrame, where: str, *kept: str) -> DataFrame:
+        return df.select(key, *kept, *(ev.row_text(run).alias(name) for at, name, run in runs if at == where))
+
+    # the flags of a county without an index row
+    absent = {"social_vulnerability_band": "insufficient_data"}
+
+    def piece(where: str, name: str, run: list[str]) -> Column:
+        if where == "pair":
+            return ev.row_text(run)
+        none = F.concat(*(ev.cell_text(F.lit(absent.get(c))) for c in run))
+        return F.col(name) if where == "left" else F.coalesce(name, none)
+
+    joined = crowded_left_join(
+        texts(lefts, "left", "dialysis_use_band", "_lefts"), texts(rights, "right", "social_vulnerability_band", "_rights"),
+        key, like=like, tasks=tasks,
+    )
+    rows = quadrants(joined.fillna(absent))
+    return rows.select(F.sha2(F.concat(*(piece(*run) for run in runs)), 256).alias("h"), _pairs().alias("n")), tasks
+
+
+def _band(ok: Column, high: Column, noun: str) -> Column:
+    return (
+        F.when(ok & high, f"higher_{noun}")
+        .when(ok, f"lower_{noun}")
+        .otherwise("insufficient_data")
+    )
+
+
+def use_flags(df: DataFrame) -> DataFrame:
+    """Availability, flag and band of the Medicare component."""
+    use_ok = reported("benes_op_dlys_pct")
+    use_high = F.col("benes_op_dlys_pct") >= F.col("dialysis_use_p75_threshold")
+    return df.withColumns(
         {
             "is_dialysis_use_threshold_eligible": use_ok,
             "is_higher_observed_dialysis_use": F.when(use_ok, use_high),
-            "dialysis_use_band": band(use_ok, use_high, "use"),
+            "dialysis_use_band": _band(use_ok, use_high, "use"),
+        }
+    )
+
+
+def vulnerability_flags(df: DataFrame) -> DataFrame:
+    """Flag and band of the index component."""
+    vul_ok = reported("rpl_themes")
+    vul_high = F.col("rpl_themes") >= F.lit(C.VULNERABILITY_CUT).cast("decimal(3,2)")
+    return df.withColumns(
+        {
             "is_higher_social_vulnerability": F.when(vul_ok, vul_high),
-            "social_vulnerability_band": band(vul_ok, vul_high, "vulnerability"),
+            "social_vulnerability_band": _band(vul_ok, vul_high, "vulnerability"),
         }
     )
+
+
+def quadrants(df: DataFrame) -> DataFrame:
+    """Data status, reason and quadrant from the two bands."""
     no_use = F.col("dialysis_use_band") == "insufficient_data"
     no_vul = F.col("social_vulnerability_band") == "insufficient_data"
-    return flagged.withColumns(
+    return df.withColumns(
         {
             "screening_data_status": F.when(no_use | no_vul, "insufficient_data").otherwise(
                 "complete"
@@ -224,6 +290,11 @@ def classify(df: DataFrame) -> DataFrame:
     )
 
 
+def classify(df: DataFrame) -> DataFrame:
+    """Availability, nullable flags, bands, data status, reason and quadrant."""
+    return quadrants(vulnerability_flags(use_flags(df)))
+
+
 def audit_screening_quadrant_summary(threshold: DataFrame, mart: DataFrame) -> DataFrame:
     """Every quadrant with its count, beside the run totals.
 

@@ -131,14 +131,31 @@ def test_counted_screening_stands_for_the_rows_of_the_mart(spark, monkeypatch):
     whole = screening.mart_county_screening(*inputs)
     some = ["state_fips", "rpl_themes", "screening_quadrant"]
     for names in (some, whole.columns):
-        counted, tasks = screening.counted_county_screening(*inputs, names, "times")
+        counted = screening.counted_county_screening(*inputs, names, "times")
         plain = whole.groupBy(*names).agg(F.count(F.lit(1)).alias("times"))
         got = counted.groupBy(*names).agg(F.sum("times").alias("times"))
         assert got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0
-        assert tasks >= int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert counted.count() == counted.select(*names).distinct().count()
 
 
+def test_mart_checksum_is_that_of_the_rows_that_are_not_made(spark, monkeypatch):
+    monkeypatch.setattr(R, "CROWD_BLOCK", 4)
+    monkeypatch.setattr(R, "TASK_BLOCKS", 1)
+    inputs = _screened(spark, 60)
+    tables = dict(zip(MODELS[A.MART].inputs, inputs))
+    # the mart itself is not there to be read
+    monkeypatch.setattr(T, "mart", lambda spark, sf, names: {n: tables[n] for n in names})
+    whole = screening.mart_county_screening(*inputs)
+    assert [(f.name, f.dataType) for f in whole.schema.fields] == [(f.name, f.dataType) for f in schema(A.MART).fields]
+    assert QUERIES["mart_checksum"](spark, "nowhere").collect() == ev.table_checksum(whole).collect()
+    # 60 counties of one code and 11 scores are dealt out in blocks of 4
+    assert screening.county_screening_digests(*inputs)[1] > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    empty = [inputs[0], *(df.limit(0) for df in inputs[1:])]
+    digests, tasks = screening.county_screening_digests(*empty)
+    kinds = {f.name: f.dataType.simpleString() for f in schema(A.MART).fields}
+    assert ev.counted_checksum(digests, kinds, tasks).collect() == ev.table_checksum(screening.mart_county_screening(*empty)).collect()
+
+
 def test_damage_is_counted_over_rows_that_are_not_made(spark, monkeypatch):
     inputs = _screened(spark, 20000)
     tables = dict(zip(MODELS[A.MART].inputs, inputs))
