@@ -1,32 +1,43 @@
-"""Approximate nearest neighbours: an NN-descent graph, searched greedily.
+"""Approximate nearest neighbours: NN-descent graphs on shards, searched greedily.
 
 ``nearest(df, queries)`` returns, for every query row, its k nearest other rows by
 cosine: query_id, rank, vec_id, score.
 
-The graph. Every vector is a vertex with its DEGREE nearest so far, at first
-those in the blocks of its nearest clusters. A round of NN-descent is a Spark
-join: around every vertex meet its neighbours and (at most as many, drawn by hash)
-vertices that have it as a neighbour; all pairs of them are compared, and each
-keeps the best it met. Rounds end when few edges are new.
-
-The search. A query holds a beam of the best vertices seen. A round joins the
-best ones not expanded with their adjacency lists and merges the neighbours into
-the beam, until the whole beam is expanded. Queries start at their own
-neighbours. All of the beam that may be among the k nearest, given how far codes are
-from their vectors, is compared in double precision on the original vectors.
-
-The recall is audited: at most AUDIT queries are compared with all vectors, and as
-many of those whose beam ends before that bound (tight groups). Below ``recall`` in
-either, the graph is built anew from finer codes if there are such queries, and else
-the search goes on with a beam twice as wide. If the recall is still missed
-when the beam is as wide as the table, that is an error.
-
-Scale: vectors travel as one byte a component, or two where one did not do; what a
-round shuffles is a fixed number of those for each vertex. Vectors of one direction (equal
-ones and multiples, to DIGITS decimals of the largest component) are one vertex, which keeps its
-k + 1 smallest ids, as no query needs more of them; so copies, however many,
-make no hot vertex. The blocks of a cluster are bounded. The driver sees the
-centroids' sample and the audit's queries only.
+The graphs. Every vector is a vertex of one shard: that of its nearest centroid, or one of
+the blocks that a large one is dealt to. A task builds the graph of a shard. Every
+vertex has its DEGREE nearest so far, at first those in its nearest clusters within the
+shard. In a round of NN-descent, around every vertex the new ones of its neighbours
+and of vertices that have it as a neighbour (MEET of either, drawn) meet all of these
+(at most DEGREE of those that have it), and each keeps what is nearer than its DEGREE-th.
+Rounds end when few edges are new. A vertex is then linked with its neighbours and with
+vertices that have it as theirs, those first that few others have.
+
+The search. A query goes to the shards of its nearest centroids. In each it holds a beam
+of the best vertices seen, at first the middles of the clusters, one vertex of each part
+that is linked with none of them, and itself. The best that are not expanded are expanded
+until the whole beam is. All of the beam that may be among the k nearest, given single
+precision, is compared in double precision on the original vectors, and the k best of a
+query from all its shards are brought together.
+
+How many shards and how wide: a sample of at most AUDIT queries is compared with all
+vectors and searched in all shards, with beams twice as wide until it finds ``recall`` of
+its neighbours; the fewest shards that hold this are visited by all queries. The result is
+audited again, also for at most AUDIT queries of those whose beam ends before the bound of
+single precision (tight groups). Below ``recall`` in either, the graphs are built anew in
+double precision if there are such queries, and else more shards are visited, then with
+wider beams. If the recall is still missed when the beam is as wide as the table, that is
+an error.
+
+Scale: each vector is shuffled a few times, whatever the rounds and beams, which stay
+within tasks. A shard has about SPREAD times the root of the vertices, at most twice that
+and within MOST and COMPONENTS, which bound a task's memory. The queries of a shard are
+dealt to tasks by SLICE. Work for graphs is in proportion to the vertices; that of a query
+is in proportion to the shards it visits, which the sample decides: few if near vectors
+share clusters, and a share of all if directions are spread evenly in many dimensions.
+Vectors of one direction (equal ones and multiples, to DIGITS decimals of the largest
+component) are one vertex, which keeps its k + 1 smallest ids, as no query needs more of
+them; so copies, however many, make no large shard. The driver sees the centroids' sample and the audit's
+queries only.
 
 Ties: cosines that agree to DIGITS decimals are equal, as the last bits depend on the
 order of a sum, and the smaller id comes first. The score is the cosine of the two
@@ -44,6 +55,7 @@ Other columns are not returned. An empty table gives an empty one.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,161 +64,175 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbmart.llm.common import by_value, stored
-from plumbmart.llm.vectors import centroids_of, digest, matrix, unit, usable, with_clusters
+from plumbmart.llm.vectors import PER_CENTROID, centroids_of, digest, kmeans, matrix, unit, usable, with_clusters
 
 by_value(__name__)
 
-#: Neighbours of a vertex, best partners that a member of a meeting keeps, rounds, share of new edges that ends them.
-DEGREE, PARTNERS, ROUNDS, ENOUGH = 24, 6, 5, 0.02
-CLUSTER, BLOCK, OVERLAP = 400, 400, 2
-#: Width of the beam, share of it that is expanded in a round, and what single precision may add to a cosine.
-BEAM, STEP, ROUNDING = 256, 0.5, 1e-6
+#: Neighbours of a vertex, new ones of either kind that meet in a round, rounds, share of new edges that ends them.
+DEGREE, MEET, ROUNDS, ENOUGH = 24, 16, 8, 0.02
+#: Clusters within a shard, blocks of them that are compared at first, clusters of a vertex, pairs that a task holds before it sorts them.
+CLUSTER, BLOCK, OVERLAP, PIECE = 400, 1000, 2, 2**22
+#: Vertices of a shard as a multiple of the root of all, the least and the most, and components at most; queries of a task.
+SPREAD, LEAST, MOST, COMPONENTS, SLICE = 32, 2048, 2**15, 2**21, 4096
+#: First width of the beam in each shard, vertices that are expanded in a round, and what single precision may add to a cosine.
+BEAM, STEP, ROUNDING = 128, 16, 1e-6
 RECALL, AUDIT = 0.95, 100
 DIGITS = 12
+SHARD = ["size", "cluster", "block"]
 
 
-def codes_of(x: np.ndarray, size: int = 1) -> list[bytes]:
-    """Vectors as ``size`` bytes a component, in the scale of their largest, after a byte that says the size."""
-    kind, top = (np.int8, 127) if size == 1 else (np.int16, 32767)
-    return [bytes([size]) + c.tobytes() for c in np.rint(x / np.abs(x).max(axis=1, keepdims=True) * top).astype(kind)]
+def listed(rows: np.ndarray, values: np.ndarray, n: int) -> pa.ListArray:
+    """Lists of the values of each of n rows; ``rows`` is in order."""
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(rows, np.arange(n + 1)), pa.int32()), pa.array(values))
 
 
-def decoded(codes: list[bytes]) -> np.ndarray:
-    """Unit vectors of codes of one length."""
-    raw = np.frombuffer(b"".join(codes), np.uint8).reshape(len(codes), -1)
-    kind, real = (np.int8, np.float32) if raw[0, 0] == 1 else (np.int16, np.float64)
-    x = np.ascontiguousarray(raw[:, 1:]).view(kind).astype(real)
-    return x / np.sqrt((x * x).sum(1, keepdims=True))
+def best(n: int, k: int, vertex: np.ndarray, other: np.ndarray, value: np.ndarray, mark: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Arrays (n, k) of others, values and marks: the k distinct others of the largest value of each vertex, -1 where it has fewer.
 
-
-def packed(vertex: np.ndarray, other: np.ndarray, cosine: np.ndarray, flag: np.ndarray) -> pa.RecordBatch:
-    """Rows (vertex, others, cosines, flags) of entries that are sorted by vertex."""
-    heads = np.flatnonzero(np.concatenate([[True], vertex[1:] != vertex[:-1]])) if len(vertex) else np.zeros(0, np.int64)
-    ends = pa.array(np.append(heads, len(vertex)), pa.int32())
-    lists = [pa.ListArray.from_arrays(ends, pa.array(c)) for c in (other, cosine.astype(np.float32), flag)]
-    return pa.RecordBatch.from_arrays([pa.array(vertex[heads]), *lists], names=["vertex", "others", "cosines", "flags"])
-
-
-LISTS = "vertex long, others array<long>, cosines array<float>, flags array<boolean>"
-
-
-def best(table: pa.Table, k: int) -> pa.RecordBatch:
-    """The k best distinct others of every vertex; a flag stays if any entry of the other has it."""
-    lists = table.column("others").combine_chunks()
-    vertex = np.repeat(table.column("vertex").to_numpy(), np.asarray(pa.compute.list_value_length(lists)))
-    other = lists.flatten().to_numpy()
-    cosine = table.column("cosines").combine_chunks().flatten().to_numpy()
-    flag = table.column("flags").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(bool)
-    order = np.lexsort((~flag, other, vertex))
-    vertex, other, cosine, flag = vertex[order], other[order], cosine[order], flag[order]
-    first = np.ones(len(vertex), bool)
-    first[1:] = (vertex[1:] != vertex[:-1]) | (other[1:] != other[:-1])
-    vertex, other, cosine, flag = vertex[first], other[first], cosine[first], flag[first]
-    order = np.lexsort((other, -cosine, vertex))
-    vertex, other, cosine, flag = vertex[order], other[order], cosine[order], flag[order]
-    start = np.searchsorted(vertex, vertex)
-    keep = np.arange(len(vertex)) - start < k
-    return packed(vertex[keep], other[keep], cosine[keep], flag[keep])
-
-
-def merged(lists: DataFrame, k: int) -> DataFrame:
-    """One row for each vertex of rows (vertex, others, cosines, flags): its k best."""
-    parts = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: pa.Table | None = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = table if rest is None else pa.concat_tables([rest, table])
-            vertex = table.column("vertex").to_numpy()
-            cut = int(np.searchsorted(vertex, vertex[-1])) if len(vertex) else 0
-            if cut:
-                yield best(table.slice(0, cut), k)
-            # What the last vertex has so far is reduced, so it never grows.
-            rest = pa.Table.from_batches([best(table.slice(cut), k)]) if table.num_rows else rest
-        if rest is not None and rest.num_rows:
-            yield best(rest, k)
-
-    return lists.select("vertex", "others", "cosines", "flags").repartition(parts, "vertex").sortWithinPartitions("vertex").mapInArrow(run, LISTS)
-
-
-def met(vertices: np.ndarray, x: np.ndarray, partners: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(vertex, other, cosine) of the best partners of every vertex of a meeting."""
-    n = len(vertices)
-    if n < 2:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)
-    cosine = x @ x.T
-    np.fill_diagonal(cosine, -2)
-    k = min(partners, n - 1)
-    near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
-    return np.repeat(vertices, k), vertices[near.ravel()], np.take_along_axis(cosine, near, 1).ravel()
-
-
-def meetings(rows: DataFrame, place: list[str], partners: int) -> DataFrame:
-    """What the rows (vertex, code) that agree in ``place`` find in each other, as lists."""
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sorted_ = rows.select(F.xxhash64(*place).alias("place"), "vertex", "code").repartition(parts, "place").sortWithinPartitions("place", "vertex")
-
-    def meet(table: pa.Table) -> pa.RecordBatch:
-        place, vertex = table.column("place").to_numpy(), table.column("vertex").to_numpy()
-        code = table.column("code").to_pylist()
-        edges = [0, *(np.flatnonzero(place[1:] != place[:-1]) + 1).tolist(), len(place)]
-        found = []
-        for a, b in zip(edges, edges[1:], strict=False):
-            if b - a < 2:
-                continue
-            at = a + np.flatnonzero(np.concatenate([[True], vertex[a + 1 : b] != vertex[a : b - 1]]))
-            size = len(code[a])
-            at = at[[len(code[k]) == size for k in at]]
-            found.append(met(vertex[at], decoded([code[k] for k in at]), partners))
-        columns = [np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in range(3)]
-        order = np.argsort(columns[0], kind="stable")
-        vertex, other, cosine = (c[order] for c in columns)
-        return packed(vertex, other, cosine, np.zeros(len(vertex), bool))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: pa.Table | None = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = table if rest is None else pa.concat_tables([rest, table])
-            place = table.column("place").to_numpy()
-            cut = int(np.argmax(place == place[-1])) if len(place) else 0
-            if cut:
-                yield meet(table.slice(0, cut))
-            rest = table.slice(cut)
-        if rest is not None and rest.num_rows:
-            yield meet(rest)
-
-    return sorted_.mapInArrow(run, LISTS)
-
-
-def first_graph(vertices: DataFrame, codes: DataFrame) -> DataFrame:
-    """Neighbours within the blocks of the nearest clusters."""
-    centroids = centroids_of(vertices.withColumnRenamed("vertex", "key"), CLUSTER)
-    placed = with_clusters(vertices.select("vertex", "vector"), centroids, OVERLAP).select("vertex", F.size("vector").alias("size"), F.explode("clusters").alias("cluster"))
-    blocks = placed.groupBy("size", "cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = placed.join(blocks, ["size", "cluster"]).withColumn("block", F.pmod(F.xxhash64("vertex", "cluster"), F.col("blocks")))
-    return merged(meetings(dealt.join(codes, "vertex"), ["size", "cluster", "block"], DEGREE), DEGREE)
-
-
-def graph_of(vertices: DataFrame, codes: DataFrame) -> DataFrame:
-    """(vertex, others, cosines, flags): the neighbour graph after the rounds of NN-descent."""
-    graph = stored(first_graph(vertices, codes), "graph0")
-    for round_ in range(1, ROUNDS + 1):
-        edges = graph.select("vertex", F.explode("others").alias("other"))
-        # Those that have a vertex as a neighbour may be any number: as many as neighbours meet there.
-        drawn = F.row_number().over(Window.partitionBy("other").orderBy(F.xxhash64("vertex", "other", F.lit(round_)), "vertex"))
-        back = edges.withColumn("n", drawn).where(F.col("n") <= DEGREE)
-        around = edges.select(F.col("vertex").alias("place"), F.col("other").alias("vertex")).union(back.select(F.col("other").alias("place"), "vertex"))
-        around = around.union(graph.select(F.col("vertex").alias("place"), "vertex"))
-        found = meetings(around.join(codes, "vertex"), ["place"], PARTNERS)
-        old = graph.select("vertex", "others", "cosines", F.transform("others", lambda _: F.lit(True)).alias("flags"))
-        new = stored(merged(old.union(found), DEGREE), f"graph{round_}")
-        row = new.agg(F.sum(F.size(F.filter("flags", lambda f: ~f))), F.sum(F.size("flags"))).first()
-        graph = new
-        if not row[1] or row[0] <= ENOUGH * row[1]:
+    Values are from -1 to 1. An other that comes without a mark too has none.
+    """
+    vertex = vertex.astype(np.int64)
+    pair = (vertex * n + other) * 2 + mark
+    order = np.argsort(pair)
+    pair = pair[order] >> 1
+    order = order[np.concatenate([[True], pair[1:] != pair[:-1]])] if len(pair) else order
+    # One number sorts faster than two columns; a shard has less than 2**17 vertices.
+    order = order[np.argsort(vertex[order] << 46 | ((1 - np.clip(value[order].astype(np.float64), -1, 1)) * 2**44).astype(np.int64))]
+    vertex, other, value, mark = vertex[order], other[order], value[order], mark[order]
+    place = np.arange(len(vertex)) - np.searchsorted(vertex, vertex)
+    keep = place < k
+    at = vertex[keep], place[keep]
+    others, values, marks = np.full((n, k), -1, np.int32), np.full((n, k), -2, value.dtype), np.zeros((n, k), bool)
+    others[at], values[at], marks[at] = other[keep], value[keep], mark[keep]
+    return others, values, marks
+
+
+def drawn(others: np.ndarray, marks: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """For each vertex at most k that have it among their marked others, -1 where there are fewer."""
+    source, target = np.nonzero(marks)[0], others[marks]
+    value = rng.random(len(source), dtype=np.float32)
+    return best(len(others), k, target, source, value, np.zeros(len(source), bool))[0]
+
+
+def first_graph(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The neighbours within the blocks of the nearest clusters, and the vertices in the middle of the clusters."""
+    n, rng = len(x), np.random.default_rng(7)
+    clusters = max(1, -(-n // CLUSTER))
+    centroids = kmeans(x[rng.permutation(n)[: clusters * PER_CENTROID]], clusters)
+    cosine = x @ centroids.T
+    near = np.argsort(-cosine, axis=1, kind="stable")[:, :OVERLAP]
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, x.dtype))]
+    for c in range(clusters):
+        own = rng.permutation(np.flatnonzero((near == c).any(1)))
+        for at in np.array_split(own, max(1, -(-len(own) // BLOCK))):
+            k = min(DEGREE, len(at) - 1)
+            if k > 0:
+                met = x[at] @ x[at].T
+                np.fill_diagonal(met, -2)
+                to = np.argpartition(-met, k - 1, axis=1)[:, :k]
+                found.append((np.repeat(at, k), at[to].ravel(), np.take_along_axis(met, to, 1).ravel()))
+    vertex, other, value = (np.concatenate(c) for c in zip(*found, strict=True))
+    return *best(n, DEGREE, vertex, other, value, np.ones(len(vertex), bool)), np.unique(cosine.argmax(0))
+
+
+def meetings(x: np.ndarray, others: np.ndarray, cosines: np.ndarray, new: np.ndarray, rng: np.random.Generator) -> Iterator[list[np.ndarray]]:
+    """(vertex, other, cosine) nearer than the vertex's last neighbour, of all that meet, in pieces; what was drawn of ``new`` is no longer new."""
+    n = len(x)
+    at = np.argpartition(np.where(new, rng.random(new.shape, dtype=np.float32), 2), MEET - 1, axis=1)[:, :MEET]
+    ok = np.take_along_axis(new, at, 1)
+    left = np.concatenate([np.where(ok, np.take_along_axis(others, at, 1), -1), drawn(others, new, MEET, rng)], 1)
+    right = np.concatenate([others, drawn(others, others >= 0, DEGREE, rng)], 1)
+    np.put_along_axis(new, at, False, 1)
+    last = cosines[:, -1]
+    some = others >= 0
+    source, target, value = np.nonzero(some)[0], others[some], cosines[some]
+    nearer = value > last[target]
+    found, held = [(target[nearer], source[nearer], value[nearer])], 0
+    for a in range(0, n, 64):
+        l, r = left[a : a + 64], right[a : a + 64]
+        cosine = x[l] @ x[r].transpose(0, 2, 1)
+        apart = (l >= 0)[:, :, None] & (r >= 0)[:, None, :] & (l[:, :, None] != r[:, None, :])
+        for other, fits in ((0, cosine > last[l][:, :, None]), (1, cosine > last[r][:, None, :])):
+            row, i, j = np.nonzero(fits & apart)
+            ends = l[row, i], r[row, j]
+            found.append((ends[other], ends[1 - other], cosine[row, i, j]))
+            held += len(row)
+        if held >= PIECE or a + 64 >= n:
+            yield [np.concatenate(c) for c in zip(*found, strict=True)]
+            found, held = [], 0
+
+
+def graph_of(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(vertex, other) of all links of the unit vectors, in order, and the vertices where a search begins."""
+    n, rng = len(x), np.random.default_rng(5)
+    others, cosines, new, middles = first_graph(x)
+    for _ in range(ROUNDS):
+        for found in meetings(x, others, cosines, new, rng):
+            some = others >= 0
+            vertex, other, value = (np.concatenate(c) for c in zip((np.nonzero(some)[0], others[some], cosines[some]), found, strict=True))
+            others, cosines, new = best(n, DEGREE, vertex, other, value, np.concatenate([new[some], np.ones(len(found[0]), bool)]))
+        if new.sum() <= ENOUGH * (others >= 0).sum():
+            break
+    some = others >= 0
+    source, target = np.nonzero(some)[0], others[some].astype(np.int64)
+    had = np.bincount(target, minlength=n)
+    # Own neighbours come first, then those that few others lead to.
+    rank = np.concatenate([np.ones(len(source)), -had[source] / n])
+    links = best(n, 2 * DEGREE, np.concatenate([source, target]), np.concatenate([target, source]), rank, np.zeros(len(rank), bool))[0]
+    part, before = np.arange(n), None
+    to = np.where(links < 0, np.arange(n)[:, None], links)
+    while before is None or (part != before).any():
+        before = part
+        part = np.minimum(part, part[to].min(1))
+        np.minimum.at(part, to.ravel(), np.repeat(part, to.shape[1]))
+        part = part[part]
+    apart = np.setdiff1d(part, part[middles])
+    some = links >= 0
+    return np.nonzero(some)[0], links[some], np.union1d(middles, apart)
+
+
+def beams(x: np.ndarray, links: np.ndarray, starts: np.ndarray, own: np.ndarray, queries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The beams of the queries after all of them are expanded, in order: vertices, len(x) where there are fewer, and cosines.
+
+    ``links`` has a row for each vertex and one for the vertex len(x) that is none; ``own``: the query's own vertex, or len(x).
+    """
+    n, rows = len(x), len(queries)
+    base = np.arange(rows)[:, None] * (n + 1)
+    seen, owner = np.zeros(rows * (n + 1), bool), np.zeros(rows * (n + 1), np.int32)
+    ids = np.concatenate([np.broadcast_to(starts, (rows, len(starts))), own[:, None]], 1)
+    # A query's own vertex may be a start.
+    ids[:, :-1][ids[:, :-1] == own[:, None]] = n
+    cosines = np.concatenate([queries @ x[starts].T, np.where(own < n, 1, -2).astype(x.dtype)[:, None]], 1)
+    cosines[ids == n] = -2
+    seen[base + ids] = seen[base + n] = True
+    done = np.zeros(ids.shape, bool)
+    while True:
+        if ids.shape[1] > width:
+            keep = np.argpartition(-cosines, width - 1, axis=1)[:, :width]
+            ids, cosines, done = (np.take_along_axis(a, keep, 1) for a in (ids, cosines, done))
+        open_ = np.where(done | (ids == n), -3, cosines)
+        step = min(STEP, open_.shape[1])
+        top = np.argpartition(-open_, step - 1, axis=1)[:, :step]
+        live = np.take_along_axis(open_, top, 1) > -3
+        if not live.any():
             break
-    return graph
+        np.put_along_axis(done, top, True, 1)
+        flat = (links[np.where(live, np.take_along_axis(ids, top, 1), n)].reshape(rows, -1) + base).ravel()
+        flat = flat[~seen[flat]]
+        # The same vertex may come from several.
+        mark = np.arange(len(flat), dtype=np.int32)
+        owner[flat] = mark
+        flat = flat[owner[flat] == mark]
+        seen[flat] = True
+        row, vertex = np.divmod(flat, n + 1)
+        value = np.concatenate([np.zeros(0, x.dtype), *(np.einsum("ij,ij->i", queries[row[a : a + 1024]], x[vertex[a : a + 1024]]) for a in range(0, len(row), 1024))])
+        count = np.bincount(row, minlength=rows)
+        place = np.arange(len(row)) - (np.cumsum(count) - count)[row]
+        more, values = np.full((rows, count.max()), n, np.int64), np.full((rows, count.max()), -2, x.dtype)
+        more[row, place], values[row, place] = vertex, value
+        ids, cosines, done = np.concatenate([ids, more], 1), np.concatenate([cosines, values], 1), np.concatenate([done, np.zeros(more.shape, bool)], 1)
+    order = np.argsort(-cosines, axis=1, kind="stable")
+    return np.take_along_axis(ids, order, 1), np.take_along_axis(cosines, order, 1)
 
 
 def vertices_of(df: DataFrame, key: str, vector: str, copies: int) -> tuple[DataFrame, DataFrame]:
@@ -214,63 +240,128 @@ def vertices_of(df: DataFrame, key: str, vector: str, copies: int) -> tuple[Data
     rows = df.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{vector}`").cast("array<double>").alias("vector"))
     rows = rows.where(usable(F.col("vector")) & F.col("id").isNotNull()).withColumn("digest", digest(F.col("vector")))
     rows = rows.groupBy("id").agg(F.min_by("vector", "digest").alias("vector"))
-    largest = F.array_max(F.transform("vector", F.abs))
-    # -0.0 becomes 0.0
-    direction = F.transform("vector", lambda x: F.round(x / F.col("largest"), DIGITS) + F.lit(0.0))
-    rows = stored(rows.withColumn("largest", largest).select("id", "vector", digest(direction).alias("digest")), "rows")
+
+    def directions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists, out = batch.column(1), [b""] * batch.num_rows
+            sizes = np.asarray(pa.compute.list_value_length(lists))
+            for size in np.unique(sizes):
+                at = np.flatnonzero(sizes == size)
+                x = matrix(lists.take(pa.array(at)))
+                # -0.0 becomes 0.0
+                x = np.round(x / np.abs(x).max(axis=1, keepdims=True), DIGITS) + 0.0
+                for k, row in zip(at, x, strict=True):
+                    out[k] = hashlib.blake2b(row.tobytes(), digest_size=16).digest()
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=["id", "vector", "digest"])
+
+    rows = stored(rows.select("id", "vector").mapInArrow(directions, "id long, vector array<double>, digest binary"), "rows")
     ids = rows.withColumn("n", F.row_number().over(Window.partitionBy("digest").orderBy("id"))).where(F.col("n") <= copies).groupBy("digest").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     heads = stored(ids.withColumn("vertex", F.col("ids")[0]), "ids")
     vertices = heads.join(rows.select(F.col("id").alias("vertex"), "vector"), "vertex").select("vertex", "vector", "ids")
     return rows.join(heads.select("digest", "vertex"), "digest").select("id", "vertex", "vector"), stored(vertices, "vertices")
 
 
-def coded(vertices: DataFrame, size: int = 1) -> DataFrame:
-    """(vertex, code, off): the codes and the angles between them and their vectors."""
+def share_of(vertices: DataFrame, count: int) -> int:
+    """The vertices of a shard."""
+    d = vertices.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").first()
+    return min(max(LEAST, int(SPREAD * count**0.5)), MOST, max(1, COMPONENTS // d.d)) if d else 1
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            codes, off = [], []
-            for v in batch.column(1).to_pylist():
-                x = np.asarray(v, float)[None, :]
-                codes += codes_of(x, size)
-                off.append(float(np.arcsin(min(1.0, np.linalg.norm(unit(x) - unit(decoded(codes[-1:]).astype(float))) / 2)) * 2))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes, pa.binary()), pa.array(off, pa.float64())], names=["vertex", "code", "off"])
 
-    return vertices.select("vertex", "vector").mapInArrow(run, "vertex long, code binary, off double")
+def sharded(vertices: DataFrame, centroids: np.ndarray, share: int) -> DataFrame:
+    """(vertex, vector) with the SHARD columns."""
+    placed = with_clusters(vertices.select("vertex", "vector"), centroids, 1).select("vertex", "vector", F.size("vector").alias("size"), F.col("clusters")[0].alias("cluster"))
+    placed = stored(placed, "placed")
+    # A cluster may have twice as many as its share.
+    counts = placed.groupBy("size", "cluster").agg(F.count("*").alias("members"))
+    most = F.least(F.lit(2.0 * share), F.greatest(F.lit(1.0), F.lit(2 * COMPONENTS) / F.col("size")))
+    blocks = counts.select("size", "cluster", F.ceil(F.col("members") / most).cast("int").alias("blocks"))
+    return placed.join(blocks, ["size", "cluster"]).select("vertex", "vector", "size", "cluster", F.pmod(F.xxhash64("vertex"), "blocks").cast("int").alias("block"))
 
 
-def expanded(frontier: DataFrame) -> DataFrame:
-    """Lists of the neighbours (others, near) of each row's vertex with their cosines with the query."""
+GRAPH = "size int, cluster int, block int, vertex long, vector array<double>, links array<int>, start boolean"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            query, own = batch.column(0).to_numpy(), batch.column(1).to_pylist()
-            others, near = batch.column(2), batch.column(3).to_pylist()
-            sizes = [len(x) for x in near]
-            cosine = [np.zeros(0, np.float32), *(decoded(codes) @ decoded([code])[0] for code, codes in zip(own, near, strict=True) if codes)]
-            ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
-            total = int(np.sum(sizes))
-            lists = [others, pa.ListArray.from_arrays(ends, pa.array(np.concatenate(cosine).astype(np.float32))), pa.ListArray.from_arrays(ends, pa.array(np.zeros(total, bool)))]
-            yield pa.RecordBatch.from_arrays([pa.array(query), *lists], names=["vertex", "others", "cosines", "flags"])
 
-    return frontier.select("query", "code", "others", "near").mapInArrow(run, LISTS)
+def graphs(shards: DataFrame, real: str) -> DataFrame:
+    """The rows of every shard with their links, as places in the order of the vertices, and whether a search begins there."""
 
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("vertex")
+        vertex, other, starts = graph_of(unit(matrix(table.column("vector"))).astype(real))
+        start = np.zeros(len(table), bool)
+        start[starts] = True
+        return table.append_column("links", listed(vertex, other, len(table))).append_column("start", pa.array(start))
 
-def search(queries: DataFrame, codes: DataFrame, lists: DataFrame, beam: DataFrame, width: int) -> DataFrame:
-    """The beams after all of their vertices are expanded; a flag says that a vertex was."""
-    while True:
-        state = beam.select("vertex", F.arrays_zip("others", "cosines", "flags").alias("b"))
-        # The best that are not expanded; the list is in order.
-        open_ = F.slice(F.filter("b", lambda x: ~x["flags"]), 1, max(1, int(width * STEP)))
-        state = state.select("vertex", "b", open_.alias("open"))
-        step = state.select(F.col("vertex").alias("query"), F.explode("open").alias("o")).select("query", F.col("o.others").alias("vertex"))
-        if not step.limit(1).count():
-            return beam
-        front = step.join(lists, "vertex").join(codes.select(F.col("vertex").alias("query"), "code"), "query")
-        old = state.select(
-            "vertex", F.col("b.others").alias("others"), F.col("b.cosines").alias("cosines"), F.transform("b", lambda x: x["flags"] | F.array_contains(F.col("open.others"), x["others"])).alias("flags")
-        )
-        beam = stored(merged(old.union(expanded(front)), width), "beam")
+    return shards.select(*SHARD, "vertex", "vector").groupBy(*SHARD).applyInArrow(run, GRAPH)
+
+
+def search(queries: DataFrame, graph: DataFrame, centroids: np.ndarray, k: int, probes: int, width: int, real: str) -> DataFrame:
+    """(query, rank, cut, others, scores) of each query (vertex, vector) and shard of its ``probes`` nearest centroids: its k nearest others there.
+
+    ``rank`` is the place of the shard's centroid. ``cut``: the beam ends before all that may be among these by ``real`` numbers.
+    """
+    routed = with_clusters(queries.select("vertex", "vector"), centroids, probes).select(F.col("vertex").alias("query"), F.col("vector").alias("own"), F.size("vector").alias("size"), F.posexplode("clusters").alias("rank", "cluster"))
+    routed = routed.join(graph.select(*(F.col(c).alias(c) for c in SHARD)).distinct(), ["size", "cluster"])
+    slices = routed.groupBy(*SHARD).agg(F.ceil(F.count("*") / SLICE).cast("int").alias("slices"))
+    asked = routed.join(slices, SHARD).withColumn("slice", F.pmod(F.xxhash64("query"), "slices").cast("int"))
+    dealt = graph.join(slices, SHARD).withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    rounding = ROUNDING if real == "float32" else 10.0**-DIGITS
+
+    def run(shard: pa.Table, asked: pa.Table) -> pa.Table:
+        names = ["query", "rank", "cut", "others", "scores"]
+        shard, asked = shard.sort_by("vertex"), asked.sort_by("query")
+        vertex, query = shard.column("vertex").to_numpy(), asked.column("query").to_numpy()
+        n = len(vertex)
+        if not len(query) or not n:
+            return pa.Table.from_arrays([pa.array([], t) for t in (pa.int64(), pa.int32(), pa.bool_(), pa.list_(pa.int64()), pa.list_(pa.float64()))], names=names)
+        x, q = unit(matrix(shard.column("vector"))), unit(matrix(asked.column("own")))
+        lists = shard.column("links").combine_chunks()
+        sizes = np.asarray(pa.compute.list_value_length(lists))
+        links = np.full((n + 1, max(1, sizes.max())), n, np.int64)
+        links[:-1][np.arange(links.shape[1]) < sizes[:, None]] = lists.flatten().to_numpy()
+        starts = np.flatnonzero(shard.column("start").to_numpy())
+        own = np.searchsorted(vertex, query)
+        own = np.where(vertex[np.minimum(own, n - 1)] == query, own, n)
+        short, wanted = x.astype(real), q.astype(real)
+        cut, rows, others, scores = np.zeros(len(query), bool), [], [], []
+        block = min(32, max(1, 2**21 // (n + 1)))
+        for a in range(0, len(query), block):
+            ids, cosines = beams(short, links, starts, own[a : a + block], wanted[a : a + block], width)
+            for b in range(len(ids)):
+                i = a + b
+                keep = (ids[b] < n) & (ids[b] != own[i])
+                at, near = ids[b][keep], cosines[b][keep]
+                if len(at) > k:
+                    bound = near[k - 1] - 2 * rounding
+                    cut[i] = ids.shape[1] >= width and near[-1] >= bound
+                    at = at[near >= bound]
+                score = np.clip(x[at] @ q[i], -1, 1)
+                order = np.lexsort((vertex[at], -np.round(score, DIGITS)))[:k]
+                rows.append(np.full(len(order), i))
+                others.append(vertex[at][order])
+                scores.append(score[order])
+        row = np.concatenate(rows)
+        lists = [listed(row, np.concatenate(c), len(query)) for c in (others, scores)]
+        return pa.Table.from_arrays([pa.array(query), pa.array(asked.column("rank").to_numpy()), pa.array(cut), *lists], names=names)
+
+    left = dealt.select(*SHARD, "slice", "vertex", "vector", "links", "start").groupBy(*SHARD, "slice")
+    right = asked.select(*SHARD, "slice", "query", "own", "rank").groupBy(*SHARD, "slice")
+    return left.cogroup(right).applyInArrow(run, "query long, rank int, cut boolean, others array<long>, scores array<double>")
+
+
+def united(parts: DataFrame, vertices: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """(query, cut, found): for each query vertex the k + 1 best (score, id), its own ids among them."""
+    best_ = lambda column, n: F.slice(F.sort_array(F.collect_list(column)), 1, n)
+    each = parts.select("query", "cut", F.explode_outer(F.arrays_zip("scores", "others")).alias("o"))
+    each = each.select("query", "cut", F.when(F.col("o").isNotNull(), F.struct((-F.round(F.col("o.scores"), DIGITS)).alias("minus"), F.col("o.others").alias("vertex"))).alias("o"))
+    # A vertex has its smallest id as its name, so the best vertices hold the best ids.
+    near = each.groupBy("query").agg(F.max("cut").alias("cut"), best_("o", k).alias("o"))
+    own = F.array(F.struct(F.lit(-1.0).alias("minus"), F.col("vertex").alias("vertex")))
+    near = queries.select("vertex").join(near.withColumnRenamed("query", "q"), F.col("vertex") == F.col("q"), "left").select(
+        F.col("vertex").alias("query"), F.coalesce("cut", F.lit(False)).alias("cut"), F.concat(own, F.coalesce("o", F.array().cast("array<struct<minus:double,vertex:bigint>>"))).alias("o")
+    )
+    pairs = near.select("query", "cut", F.explode("o").alias("o")).select("query", "cut", "o.minus", "o.vertex")
+    ids = pairs.join(vertices.select("vertex", "ids"), "vertex").select("query", "cut", "minus", F.explode("ids").alias("id"))
+    return ids.groupBy("query").agg(best_(F.struct("minus", "id"), k + 1).alias("found"), F.max("cut").alias("cut"))
 
 
 def compared(pairs: DataFrame) -> DataFrame:
@@ -288,23 +379,35 @@ def compared(pairs: DataFrame) -> DataFrame:
     return pairs.select("query", "own", "vector", "ids").mapInArrow(run, "query long, score double, ids array<long>")
 
 
-def ranked_exactly(beam: DataFrame, vertices: DataFrame, k: int, off: float, width: int) -> DataFrame:
-    """(query, cut, found): for each query vertex the k + 1 best (score, id), its own ids among them.
+def true_ones(chosen: DataFrame, vertices: DataFrame, k: int) -> DataFrame:
+    """(query, least, all) of a bounded number of query vertices: the cosine of the last of its k nearest others and their number, by brute force."""
+    rows = chosen.join(vertices.select(F.col("vertex").alias("query"), "vector"), "query").collect()
+    queries = vertices.sparkSession.sparkContext.broadcast([(r.query, np.asarray(r.vector, float)) for r in rows])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, ids = np.asarray(pa.compute.list_value_length(batch.column(0))), batch.column(1)
+            found = []
+            for size in np.unique(sizes):
+                at = np.flatnonzero(sizes == size)
+                asked = [(query, vector) for query, vector in queries.value if len(vector) == size]
+                if asked:
+                    cosine = np.round(unit(np.stack([v for _, v in asked])) @ unit(matrix(batch.column(0).take(pa.array(at)))).T, DIGITS)
+                    for (query, _), row in zip(asked, cosine, strict=True):
+                        last = np.partition(row, -min(k + 1, len(row)))[-min(k + 1, len(row))]
+                        top = np.flatnonzero(row > last)
+                        top = [*top, *np.flatnonzero(row == last)[: k + 1 - len(top)]]
+                        # The values decide, not which of equal ones.
+                        found += [(query, float(row[t]), i) for t in top for i in ids[int(at[t])].as_py()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in found], kind) for c, kind in enumerate((pa.int64(), pa.float64(), pa.int64()))], names=["query", "score", "id"])
+
+    every = vertices.select("vector", "ids").mapInArrow(run, "query long, score double, id long").where("query <> id")
+    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "id"))
+    return every.withColumn("n", place).where(F.col("n") <= k).groupBy("query").agg(F.min("score").alias("least"), F.count("id").alias("all"))
 
-    Codes are at most ``off`` from their vectors, so one of the k nearest is at most
-    4 ``off`` farther by codes than the k-th by codes besides the query itself, which may be
-    in the beam. ``cut``: the beam ends before that.
-    """
-    reach = F.acos(F.greatest(F.lit(-1.0), F.get("cosines", F.lit(k)).cast("double") - ROUNDING)) + 4 * off
-    bound = F.coalesce(F.cos(F.least(reach, F.lit(np.pi))) - ROUNDING, F.lit(-2.0))
-    near = beam.withColumn("bound", bound).withColumn("n", F.size(F.filter("cosines", lambda c: c >= F.col("bound"))))
-    # The beam is in order.
-    near = stored(near.select(F.col("vertex").alias("query"), (F.col("n") >= width).alias("cut"), F.slice("others", 1, F.col("n")).alias("others")), "near")
-    pairs = near.select("query", F.explode(F.concat("others", F.array("query"))).alias("vertex")).distinct()
-    rows = pairs.join(vertices, "vertex").join(vertices.select(F.col("vertex").alias("query"), F.col("vector").alias("own")), "query").where(F.size("own") == F.size("vector"))
-    each = compared(rows).select("query", "score", F.explode("ids").alias("id"))
-    found = F.slice(F.sort_array(F.collect_list(F.struct((-F.round("score", DIGITS)).alias("minus"), "id"))), 1, k + 1)
-    return each.groupBy("query").agg(found.alias("found")).join(near.select("query", "cut"), "query")
+
+def sampled(queries: DataFrame, sample: int = AUDIT) -> DataFrame:
+    return queries.orderBy(F.xxhash64("query", F.lit(5)), "query").limit(sample)
 
 
 def audited(found: DataFrame, vertices: DataFrame, k: int, sample: int = AUDIT) -> tuple[float, float]:
@@ -312,77 +415,68 @@ def audited(found: DataFrame, vertices: DataFrame, k: int, sample: int = AUDIT)
 
     Those whose beam was cut are a sample of their own, with a share of its own.
     """
-    parts = [found.where(c).orderBy(F.xxhash64("query", F.lit(5)), "query").limit(sample) for c in ("true", "cut")]
-    chosen = parts[0].union(parts[1]).select("query").distinct().join(vertices.select(F.col("vertex").alias("query"), "vector"), "query").collect()
-    if not chosen:
-        return 1.0, 1.0
-    queries = vertices.sparkSession.sparkContext.broadcast([(r.query, np.asarray(r.vector, float)) for r in chosen])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, ids = np.asarray(pa.compute.list_value_length(batch.column(0))), batch.column(1)
-            first = np.asarray([i[0] for i in ids.to_pylist()], np.int64)
-            rows = []
-            for query, vector in queries.value:
-                at = np.flatnonzero(sizes == len(vector))
-                if len(at):
-                    cosine = np.round(unit(matrix(batch.column(0).take(pa.array(at)))) @ unit(vector[None, :])[0], DIGITS)
-                    top = np.lexsort((first[at], -cosine))[: k + 1]
-                    rows += [(query, float(cosine[t]), i) for t in top for i in ids[int(at[t])].as_py()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], kind) for c, kind in enumerate((pa.int64(), pa.float64(), pa.int64()))], names=["query", "score", "id"])
-
-    every = vertices.select("vector", "ids").mapInArrow(run, "query long, score double, id long")
-    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "id"))
-    every = every.where("query <> id")
-    truth = every.withColumn("n", place).where(F.col("n") <= k).groupBy("query").agg(F.min("score").alias("least"), F.count("id").alias("all"))
+    parts = [sampled(found.where(c), sample) for c in ("true", "cut")]
+    truth = true_ones(parts[0].union(parts[1]).select("query").distinct(), vertices, k)
     others = F.slice(F.filter("found", lambda x: x["id"] != F.col("query")), 1, k)
     hit = F.size(F.filter(others, lambda x: -x["minus"] >= F.col("least") - 2 * 10.0**-DIGITS))
-    both = truth.join(found, "query").select("cut", hit.alias("hit"), "all")
-    sums = both.groupBy("cut").agg(F.sum("hit"), F.sum("all")).collect()
+    sums = truth.join(found, "query").select("cut", hit.alias("hit"), "all").groupBy("cut").agg(F.sum("hit"), F.sum("all")).collect()
     # One drawn from all queries that was cut adds to its own sample.
     shares = {r.cut: r[1] / r[2] for r in sums}
     return (sum(r[1] for r in sums) / sum(r[2] for r in sums) if sums else 1.0), shares.get(True, 1.0)
 
 
+def tried(truth: DataFrame, parts: DataFrame, vertices: DataFrame, k: int) -> list[float]:
+    """The share of the true ones that a search of the first shard, the first two and so on has found."""
+    total = truth.agg(F.sum("all")).first()[0]
+    if not total:
+        return [1.0]
+    each = parts.select("query", "rank", F.explode(F.arrays_zip("scores", "others")).alias("o")).select("query", "rank", "o.scores", F.col("o.others").alias("vertex"))
+    # Copies of the query are its own vertex, which needs no search.
+    own = truth.select("query", F.lit(0).alias("rank"), F.lit(1.0).alias("scores"), F.col("query").alias("vertex"))
+    hits = each.union(own).join(truth, "query").where(F.round("scores", DIGITS) >= F.col("least") - 2 * 10.0**-DIGITS).join(vertices.select("vertex", "ids"), "vertex")
+    hits = hits.select("query", "all", "rank", F.explode("ids").alias("id")).where("id <> query")
+    place = F.row_number().over(Window.partitionBy("query").orderBy("rank", "id"))
+    by = {r.rank: r["count"] for r in hits.withColumn("n", place).where(F.col("n") <= F.col("all")).groupBy("rank").count().collect()}
+    return (np.cumsum([by.get(r, 0) for r in range(max(by, default=0) + 1)]) / total).tolist()
+
+
 def nearest(df: DataFrame, queries: Column, k: int = 5, key: str = "vec_id", vector: str = "embedding", recall: float = RECALL) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k nearest rows found of every row for which ``queries`` holds of its id."""
     members, vertices = vertices_of(df, key, vector, k + 1)
     members = stored(members, "members")
     asked = stored(members.where(queries), "queries")
-    starts = asked.select("vertex").distinct()
+    starts = stored(asked.select("vertex").distinct().join(vertices.select("vertex", "vector"), "vertex"), "starts")
     count = vertices.count()
-
-    def prepared(size: int) -> tuple[DataFrame, float, DataFrame, DataFrame]:
-        """Codes, their largest angle with a vector, adjacency lists and first beams."""
-        codes = stored(coded(vertices, size), "codes")
-        graph = graph_of(vertices, codes)
-        near = graph.select("vertex", F.posexplode("others").alias("n", "other")).join(codes.select(F.col("vertex").alias("other"), F.col("code").alias("c")), "other")
-        near = near.groupBy("vertex").agg(F.sort_array(F.collect_list(F.struct("n", "other", "c"))).alias("s"))
-        lists = stored(near.select("vertex", F.col("s.other").alias("others"), F.col("s.c").alias("near")), "adjacency")
-        beam = stored(graph.join(starts, "vertex", "left_semi").select("vertex", "others", "cosines", F.transform("others", lambda _: F.lit(False)).alias("flags")), "beam")
-        return codes, codes.agg(F.max("off")).first()[0] or 0.0, lists, beam
-
-    size, width = 1, BEAM
-    codes, off, lists, beam = prepared(size)
+    share = share_of(vertices, count)
+    centroids = centroids_of(vertices.withColumnRenamed("vertex", "key"), share)
+    shards = stored(sharded(vertices, centroids, share), "shards")
+    some = sampled(starts.withColumnRenamed("vertex", "query")).select(F.col("query").alias("vertex"), "vector")
+    truth = stored(true_ones(some.select(F.col("vertex").alias("query")), vertices, k), "truth")
+
+    def searched(asked: DataFrame) -> DataFrame:
+        return stored(search(asked, graph, centroids, k, probes, width, real), "parts")
+
+    real, width, probes = "float32", BEAM, max(1, len(centroids))
+    graph = stored(graphs(shards, real), "graph")
+    # What a sample needs decides how many shards all queries visit, and how wide their beams are.
+    while (shares := tried(truth, searched(some), vertices, k))[-1] < recall and width < count:
+        width *= 2
+    probes = next((n for n, share in enumerate(shares, 1) if share >= recall), probes)
     while True:
-        beam = search(starts, codes, lists, beam, width)
-        # A vertex without any neighbour has no beam, but itself and its copies.
-        alone = starts.join(beam, "vertex", "left")
-        alone = alone.select("vertex", *(F.coalesce(c, F.array().cast(f"array<{kind}>")).alias(c) for c, kind in (("others", "long"), ("cosines", "float"))))
-        found = stored(ranked_exactly(alone, vertices, k, off, width), "found")
+        found = stored(united(searched(starts), vertices, starts, k), "found")
         every, tight = audited(found, vertices, k)
-        share = min(every, tight)
-        if share >= recall:
+        held = min(every, tight)
+        if held >= recall:
             break
-        if size == 1 and tight < recall:
-            size = 2
-            codes, off, lists, beam = prepared(size)
-            continue
-        if width >= count:
-            raise RuntimeError(f"recall {share:.3f} of {recall} with a beam of the whole table")
-        # The wider beam takes in what the narrow one passed by, so its vertices are expanded again.
-        width *= 2
-        beam = beam.withColumn("flags", F.transform("flags", lambda _: F.lit(False)))
+        if real == "float32" and tight < recall:
+            real = "float64"
+            graph = stored(graphs(shards, real), "graph")
+        elif probes < len(centroids):
+            probes = min(2 * probes, len(centroids))
+        elif width >= count:
+            raise RuntimeError(f"recall {held:.3f} of {recall} with a beam of the whole table")
+        else:
+            width *= 2
     each = asked.select("id", "vertex").join(found, asked["vertex"] == found["query"]).select(F.col("id").alias("query"), F.slice(F.filter("found", lambda x: x["id"] != F.col("id")), 1, k).alias("f"))
     pairs = each.select("query", F.explode("f.id").alias("id"))
     pairs = pairs.join(members.select("id", "vector"), "id").join(asked.select(F.col("id").alias("query"), F.col("vector").alias("own")), "query")

@@ -107,3 +107,46 @@ def test_an_audit_that_fails_at_the_full_width_is_an_error(spark, monkeypatch):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 1.0])], "vec_id long, embedding array<double>")
     with pytest.raises(RuntimeError, match="recall 0.500"):
         nndescent.nearest(df, F.lit(True))
+
+
+def test_tables_written_do_not_grow_with_the_search(spark, monkeypatch):
+    """Directions spread evenly need wide beams, in every shard; rounds and beams stay within tasks all the same."""
+    for name, value in (("LEAST", 500), ("SPREAD", 1), ("SLICE", 10)):
+        monkeypatch.setattr(nndescent, name, value, raising=False)
+    written = {}
+
+    def stored(df, label, store=nndescent.stored):
+        out = store(df, label)
+        written.setdefault(label, []).append(out)
+        return out
+
+    monkeypatch.setattr(nndescent, "stored", stored)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(3000, 64))
+    x[1000:1060] = x[1000] + rng.normal(size=(60, 64)) * 0.01  # linked with nothing else
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    got = found(nndescent.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("id") % 20 == 0))
+    want = brute(rows, lambda q: q % 20 == 0)
+    assert got.keys() == want.keys()
+    for some in (want.keys(), range(1000, 1060, 20)):
+        assert sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in some) >= 0.9 * 5 * len(some)
+    assert sum(map(len, written.values())) <= 16, {k: len(v) for k, v in written.items()}
+    assert written["graph"][0].select("size", "cluster", "block").distinct().count() >= 4
+    assert written["shards"][0].count() == written["graph"][0].count() == 3000
+
+
+def test_a_search_can_begin_in_every_part_of_a_graph():
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(900, 32))
+    for a in range(0, 300, 60):
+        x[a : a + 60] = x[a] + rng.normal(size=(60, 32)) * 0.01
+    x /= np.sqrt((x * x).sum(1))[:, None]
+    vertex, other, starts = nndescent.graph_of(x)
+    reached, before = np.isin(np.arange(len(x)), starts), 0
+    while reached.sum() > before:
+        before = reached.sum()
+        reached[other[reached[vertex]]] = True
+    assert reached.all()
+    near = np.argsort(-(x @ x.T), axis=1)[:, 1:6]
+    links = set(zip(vertex.tolist(), other.tolist(), strict=True))
+    assert sum((v, o) in links for v in range(len(x)) for o in near[v].tolist()) >= 0.95 * near.size
