@@ -20,13 +20,13 @@ precision, is compared in double precision on the original vectors, and the k be
 query from all its shards are brought together.
 
 How many shards and how wide: a sample of at most AUDIT queries is compared with all
-vectors and searched in all shards, with beams twice as wide until it finds ``recall`` of
-its neighbours; the fewest shards that hold this are visited by all queries. The result is
-audited again, also for at most AUDIT queries of those whose beam ends before the bound of
-single precision (tight groups). Below ``recall`` in either, the graphs are built anew in
-double precision if there are such queries, and else more shards are visited, then with
-wider beams. If the recall is still missed when the beam is as wide as the table, that is
-an error.
+vectors and searched in all shards, until ``recall`` of its neighbours is found; the fewest
+shards that hold this are visited by all queries. Below it, the graphs are built anew in
+double precision if queries miss it whose beam ends before the bound of single precision
+(tight groups), and else the beams are twice as wide. The result is audited for the same
+sample, and for at most AUDIT queries of those whose beam ends so. Below ``recall`` in either,
+it is double precision again, or else more shards, then wider beams. If the recall is still
+missed when the beam is as wide as the table, that is an error.
 
 Scale: each vector is shuffled a few times, whatever the rounds and beams, which stay
 within tasks. A shard has about SPREAD times the root of the vertices, at most twice that
@@ -459,8 +459,13 @@ def nearest(df: DataFrame, queries: Column, k: int = 5, key: str = "vec_id", vec
     real, width, probes = "float32", BEAM, max(1, len(centroids))
     graph = stored(graphs(shards, real), "graph")
     # What a sample needs decides how many shards all queries visit, and how wide their beams are.
-    while (shares := tried(truth, searched(some), vertices, k))[-1] < recall and width < count:
-        width *= 2
+    while (shares := tried(truth, parts := searched(some), vertices, k))[-1] < recall and width < count:
+        cut = truth.join(parts.where("cut").select("query").distinct(), "query", "left_semi")
+        if real == "float32" and tried(cut, parts, vertices, k)[-1] < recall:
+            real = "float64"
+            graph = stored(graphs(shards, real), "graph")
+        else:
+            width *= 2
     probes = next((n for n, share in enumerate(shares, 1) if share >= recall), probes)
     while True:
         found = stored(united(searched(starts), vertices, starts, k), "found")

@@ -150,3 +150,21 @@ def test_a_search_can_begin_in_every_part_of_a_graph():
     near = np.argsort(-(x @ x.T), axis=1)[:, 1:6]
     links = set(zip(vertex.tolist(), other.tolist(), strict=True))
     assert sum((v, o) in links for v in range(len(x)) for o in near[v].tolist()) >= 0.95 * near.size
+
+
+def test_what_single_precision_cannot_rank_is_not_searched_wider(spark, monkeypatch):
+    used = []
+
+    def search(*args, run=nndescent.search):
+        used.append(args[-2:])
+        return run(*args)
+
+    monkeypatch.setattr(nndescent, "search", search)
+    rng = np.random.default_rng(10)
+    x = rng.normal(size=(2100, 64))
+    x[::3] = x[0] + rng.normal(size=(700, 64)) * 0.0003
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    got = found(nndescent.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("id") % 20 == 0))
+    want = brute(rows, lambda q: q % 20 == 0)
+    assert sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want) >= 0.9 * 5 * len(want)
+    assert used[-1][1] == "float64" and max(width for width, _ in used) == nndescent.BEAM, used
